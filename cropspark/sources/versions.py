@@ -1,0 +1,39 @@
+"""Versioned Parquet tables: write a new version, then publish it.
+
+An upsert rewrites a table it also reads, so each version gets its own folder. A
+version counts only when a line for it is in `commits/`, which is written after
+the data; a job that dies half-way leaves the last published version in place.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
+
+_COMMIT = T.StructType([T.StructField("version", T.LongType())])
+
+
+def current_version(spark: SparkSession, path: str) -> int | None:
+    try:
+        commits = spark.read.schema(_COMMIT).json(f"{path}/commits")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return commits.agg(F.max("version").alias("v")).first()["v"]
+
+
+def read_current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The published version, or no rows before the first one."""
+    version = current_version(spark, path)
+    if version is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/version={version}")
+
+
+def publish(df: DataFrame, path: str, version: int) -> None:
+    spark = df.sparkSession
+    df.write.mode("overwrite").option("compression", "snappy").parquet(f"{path}/version={version}")
+    spark.range(version, version + 1, 1, 1).select(F.col("id").alias("version")).write.mode(
+        "append"
+    ).json(f"{path}/commits")

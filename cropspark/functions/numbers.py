@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from cropspark.fixed_values import MISSING_MARKS
 from cropspark.functions.text import strip
 
-# A plain decimal number. The JVM would also accept suffixes such as "12d".
-_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Letters a plain number cannot hold; a cast would accept "12d", "NaN" or "Infinity".
+_NOT_NUMERIC = "[A-DF-Za-df-z]"
 
 
 def _decimal_or_null(text: Column) -> Column:
-    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
+    return F.when(~text.rlike(_NOT_NUMERIC), text.try_cast("double"))
 
 
 def to_number(col: Column) -> Column:

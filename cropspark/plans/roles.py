@@ -3,8 +3,8 @@
 A line item is one measurement: its part's brand number is the product, its
 supplier's nation the place, the nation's region the territorial level and the
 ship year the year. Quantity plays harvested area, price produced quantity and
-discounted price the value. Sums are taken on decimals, so they are exact in any
-order.
+discounted price the value. Amounts are whole numbers of the smallest unit, so sums
+are exact in any order and cheap on every row.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,49 +35,57 @@ def official_or_brand(code: Column) -> Column:
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """One row per line item with its product and place."""
-    price = F.col("l_extendedprice").cast(MONEY)
-    paid = (price * (1 - F.col("l_discount").cast("decimal(5,2)"))).cast(MONEY)
-    part = table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
+    kept_percent = 100 - F.rint(F.col("l_discount") * 100).cast("bigint")
+    code = (FIRST_CODE + brand_number()).cast("string")
+    part = table(spark, folder, "part").select(
+        "p_partkey",
+        "p_size",
+        brand_number().alias("id_commodity"),
+        code.alias("produto_cod"),
+        official_or_brand(code).alias("produto"),
+    )
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     places = table(spark, folder, "nation").join(
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    code = (FIRST_CODE + brand_number()).cast("string")
     return (
         table(spark, folder, "lineitem")
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
-            official_or_brand(code).alias("produto"),
-            code.alias("produto_cod"),
+            "produto",
+            "produto_cod",
             F.col("r_name").alias("nivel_territorial"),
             F.col("s_nationkey").cast("string").alias("cod_territorial"),
             F.col("n_name").alias("nome_territorial"),
             F.year("l_shipdate").alias("ano"),
-            F.col("l_quantity").cast(MONEY).alias("area"),
-            price.alias("qtd"),
-            paid.alias("valor"),
+            F.col("l_quantity").cast("bigint").alias("area"),
+            cents.alias("centavos"),
+            (cents * kept_percent).alias("valor_1e4"),
             "l_shipdate",
             "l_orderkey",
             "l_linenumber",
             "l_returnflag",
             "l_linestatus",
             "p_size",
-            brand_number().alias("id_commodity"),
+            "id_commodity",
             (F.col("s_nationkey") + 1).alias("id_territorio"),
         )
     )
 
 
 def _metrics() -> list[Column]:
-    area, quantity, value = F.sum("area"), F.sum("qtd"), F.sum("valor")
+    area = F.sum("area").cast(MONEY)
+    quantity = (F.sum("centavos").cast("decimal(20,0)") / 100).cast(MONEY)
+    value = (F.sum("valor_1e4").cast("decimal(24,0)") / 10000).cast(MONEY)
     ratio = quantity.cast("double") / area.cast("double")
     return [
-        area.cast(MONEY).alias("area_colhida_ha"),
-        quantity.cast(MONEY).alias("qtd_produzida"),
+        area.alias("area_colhida_ha"),
+        quantity.alias("qtd_produzida"),
         (F.rint(ratio * 100) / 100).cast(MONEY).alias("rendimento_medio_kg_ha"),
-        value.cast(MONEY).alias("valor_producao_mil_reais"),
+        value.alias("valor_producao_mil_reais"),
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd HH:mm:ss").alias("coletado_em"),
     ]
 
@@ -158,10 +166,16 @@ def long_form(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _hundredths(name: str) -> Column:
+    """A whole number of hundredths as decimal text."""
+    units = F.expr(f"{name} div 100").cast("string")
+    return F.concat(units, F.lit("."), F.lpad((F.col(name) % 100).cast("string"), 2, "0"))
+
+
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as untyped raw rows with blanks, mixed case, marks and bad values."""
     reversed_sale = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A")
-    quantity = F.col("qtd").cast("string")
+    quantity = _hundredths("centavos")
     return lines(spark, folder).select(
         F.concat(
             F.lit("  "),
@@ -179,14 +193,14 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("ano").cast("string"))
         .alias("ano"),
         F.when(F.col("l_returnflag") == "R", "...")
-        .otherwise(F.col("area").cast("string"))
+        .otherwise(F.concat(F.col("area").cast("string"), F.lit(".00")))
         .alias("area_colhida_ha"),
         quantity.alias("qtd_produzida"),
         F.lit(" toneladas").alias("unidade_qtd"),
         F.when(reversed_sale, F.concat(F.lit("-"), quantity))
         .otherwise(quantity)
         .alias("rendimento_medio_kg_ha"),
-        F.concat(F.col("valor").cast("string"), F.lit("5")).alias("valor_producao_mil_reais"),
+        F.concat(quantity, F.lit("5")).alias("valor_producao_mil_reais"),
         F.lit("ibge/pam-sidra ").alias("fonte"),
         F.lit(fv.TABLE_CODE).alias("tabela_sidra"),
         F.concat_ws("/", F.lit("landed"), F.col("l_orderkey").cast("string")).alias("url_origem"),
@@ -215,7 +229,7 @@ SQL_LINES = f"""lines AS (
     CAST(s_nationkey AS VARCHAR) AS cod_territorial, n_name AS nome_territorial,
     CAST(year(l_shipdate) AS INTEGER) AS ano,
     CAST(l_quantity AS DECIMAL(18,2)) AS area, {_SQL_PRICE} AS qtd,
-    CAST({_SQL_PRICE} * (1 - CAST(l_discount AS DECIMAL(5,2))) AS DECIMAL(18,2)) AS valor,
+    {_SQL_PRICE} * (1 - CAST(l_discount AS DECIMAL(5,2))) AS valor,
     l_shipdate, l_orderkey, l_linenumber, l_returnflag, l_linestatus, p_size,
     {_SQL_NUMBER} AS id_commodity, s_nationkey + 1 AS id_territorio
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
@@ -231,7 +245,7 @@ SQL_RAW_LINES = f"""{SQL_LINES}, bruto AS (
     CAST(qtd AS VARCHAR) AS qtd_produzida, ' toneladas' AS unidade_qtd,
     CASE WHEN l_linestatus = 'O' AND l_returnflag = 'A' THEN '-' ELSE '' END || CAST(qtd AS VARCHAR)
       AS rendimento_medio_kg_ha,
-    CAST(valor AS VARCHAR) || '5' AS valor_producao_mil_reais, 'ibge/pam-sidra ' AS fonte,
+    CAST(qtd AS VARCHAR) || '5' AS valor_producao_mil_reais, 'ibge/pam-sidra ' AS fonte,
     '{fv.TABLE_CODE}' AS tabela_sidra, 'landed/' || CAST(l_orderkey AS VARCHAR) AS url_origem,
     CASE WHEN l_linenumber = 1 THEN '0000-00' ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END
       AS coletado_em

@@ -8,23 +8,28 @@ from pyspark.sql import functions as F
 from cropspark.fixed_values import MISSING_MARKS
 from cropspark.functions.text import strip
 
-# Letters a plain number cannot hold; a cast would accept "12d", "NaN" or "Infinity".
-_NOT_NUMERIC = "[A-DF-Za-df-z]"
+# Text is matched before it is cast: a failed cast costs an exception per row, and the
+# JVM would also read "12d", "NaN" or "Infinity".
+_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_SPACED_DECIMAL = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
+_WHOLE = r"^[+-]?[0-9]{1,9}(\.0*)?$"
 
 
 def _decimal_or_null(text: Column) -> Column:
-    return F.when(~text.rlike(_NOT_NUMERIC), text.try_cast("double"))
+    return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
 
 
 def to_number(col: Column) -> Column:
     """Text or number to double; anything that is not a number becomes NULL."""
-    return _decimal_or_null(strip(col.cast("string")))
+    text = col.cast("string")
+    usual = F.when(text.rlike(_SPACED_DECIMAL), text.try_cast("double"))  # a cast trims spaces
+    return usual.otherwise(_decimal_or_null(strip(text)))
 
 
 def to_year(col: Column) -> Column:
     """Text or number to a nullable whole year ("2023" and "2023.0" are both 2023)."""
-    number = to_number(col)
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    text = strip(col.cast("string"))
+    return F.when(text.rlike(_WHOLE), text.try_cast("double").cast("int"))
 
 
 def to_timestamp(col: Column) -> Column:

@@ -16,7 +16,9 @@ BLANKS = (
 
 def strip(col: Column) -> Column:
     """Trim every Unicode blank, not only spaces."""
-    return F.btrim(col, F.lit(BLANKS))
+    trimmed = F.trim(col)
+    odd_end = trimmed.rlike(r"^[^!-~]|[^!-~]\z")  # rare: neither end is plain visible text
+    return F.when(odd_end, F.btrim(col, F.lit(BLANKS))).otherwise(trimmed)
 
 
 def title_case(col: Column) -> Column:

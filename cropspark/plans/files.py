@@ -1 +1,139 @@
+"""Snapshots, envelopes, lakes and tables written to the shared folder and read back."""
 
+import uuid
+
+from pyspark.sql import functions as F
+
+from cropspark import fixed_values as fv
+from cropspark import schemas
+from cropspark.operators import quality
+from cropspark.plans import roles as r
+from cropspark.plans.registry import query
+from cropspark.session import scratch_path
+from cropspark.sources import catalog, lake
+from cropspark.sources import snapshots as snap
+
+_YEARS = list(range(1995, 2002))
+_DAY = "20240115"
+_RAW = ", ".join(
+    f"CAST({c} AS DOUBLE) AS {c}" if c in fv.METRICS else c for c in fv.RAW_COLUMNS
+)
+
+
+def raw_rows(spark, folder):
+    return r.doubles(r.wide(spark, folder))
+
+
+def _raw_layer(spark, folder):
+    root = scratch_path(spark, "raw")
+    return snap.write_raw_layer(raw_rows(spark, folder), root, "uf", _YEARS, _DAY, r.COLLECTED_AT)
+
+
+@query("csv_sink_roundtrip", sql=f"WITH {r.SQL_WIDE} SELECT {_RAW} FROM wide")
+def csv_sink_roundtrip(spark, folder):
+    path = scratch_path(spark, "csv")
+    snap.write_csv(raw_rows(spark, folder), path)
+    return snap.read_csv(spark, path)
+
+
+@query("parquet_sink_roundtrip", sql=f"WITH {r.SQL_WIDE} SELECT {_RAW} FROM wide")
+def parquet_sink_roundtrip(spark, folder):
+    path = scratch_path(spark, "parquet")
+    snap.write_parquet(raw_rows(spark, folder), path)
+    return spark.read.schema(schemas.RAW_WIDE).parquet(path)
+
+
+@query("json_envelope_roundtrip", sql=f"WITH {r.SQL_WIDE} SELECT {_RAW} FROM wide")
+def json_envelope_roundtrip(spark, folder):
+    return snap.read_json_envelopes(spark, _raw_layer(spark, folder)["json"])
+
+
+@query(
+    "scan_latest_snapshot",
+    sql=f"WITH {r.SQL_WIDE} SELECT {_RAW} FROM wide WHERE ano >= {r.YEAR}",
+)
+def scan_latest_snapshot(spark, folder):
+    """Two snapshots of different days; only the later one is read."""
+    root = scratch_path(spark, "snapshots")
+    rows = raw_rows(spark, folder)
+    snap.write_csv(rows, f"{root}/ibge_pam_uf_1995_2001_20240101.csv")
+    snap.write_csv(rows.where(F.col("ano") >= r.YEAR), f"{root}/ibge_pam_uf_1995_2001_20240115.csv")
+    return snap.scan_latest_snapshot(spark, root)
+
+
+@query(
+    "raw_layer_write",
+    sql=f"""WITH {r.SQL_WIDE} SELECT unnest(['csv', 'json', 'parquet']) AS tabela,
+      (SELECT count(*) FROM wide) AS total""",
+)
+def raw_layer_write(spark, folder):
+    """Rows that each format of one snapshot gives back."""
+    paths = _raw_layer(spark, folder)
+    return quality.table_counts(
+        {
+            "csv": snap.read_csv(spark, paths["csv"]),
+            "json": snap.read_json_envelopes(spark, paths["json"]),
+            "parquet": spark.read.parquet(paths["parquet"]),
+        }
+    )
+
+
+def _written_files(spark, folder):
+    paths = _raw_layer(spark, folder)
+    rows = spark.read.parquet(paths["parquet"]).agg(F.count(F.lit(1))).scalar()
+    return snap.snapshot_files(spark, paths, rows)
+
+
+@query("snapshot_manifest")
+def snapshot_manifest(spark, folder):
+    files = _written_files(spark, folder)
+    return snap.manifest(files, "cropspark", "uf", _YEARS, r.COLLECTED_AT)
+
+
+@query("format_size_report")
+def format_size_report(spark, folder):
+    return snap.format_size_report(_written_files(spark, folder))
+
+
+@query(
+    "partition_pruned_scan",
+    sql=f"""WITH {r.SQL_WIDE} SELECT produto, CAST(qtd_produzida AS DOUBLE) AS qtd_produzida,
+      CAST(valor_producao_mil_reais AS DOUBLE) AS valor_producao_mil_reais
+      FROM wide WHERE nivel_territorial = 'ASIA' AND ano = {r.YEAR}""",
+)
+def partition_pruned_scan(spark, folder):
+    """Write the lake by table, level and year; read one level and year of it."""
+    path = scratch_path(spark, "lake")
+    rows = raw_rows(spark, folder).withColumnsRenamed({"tabela_sidra": "tabela", "nivel_territorial": "nivel"})
+    lake.write_lake(rows, path)
+    return (
+        lake.read_lake(spark, path)
+        .where((F.col("nivel") == "ASIA") & (F.col("ano") == r.YEAR))
+        .select("produto", "qtd_produzida", "valor_producao_mil_reais")
+        .orderBy(F.col("valor_producao_mil_reais").desc_nulls_last())
+    )
+
+
+@query(
+    "create_star_tables",
+    sql=f"""WITH {r.SQL_STAR} SELECT 'dim_commodity' AS tabela, count(*) AS total FROM dim_commodity
+      UNION ALL SELECT 'dim_territorio', count(*) FROM dim_territorio
+      UNION ALL SELECT 'fato_producao', count(*) FROM fato
+      UNION ALL SELECT 'fato_producao com fonte padrão', count(*) FROM fato""",
+)
+def create_star_tables(spark, folder):
+    """Create typed tables, insert the star schema, count what the tables hold."""
+    name = f"crop_{uuid.uuid4().hex}"
+    tables = catalog.create_tables(spark, name, scratch_path(spark, "warehouse"))
+    catalog.append_to(r.dim_commodity(spark, folder), tables["dim_commodity"])
+    catalog.append_to(r.dim_territory(spark, folder), tables["dim_territorio"])
+    catalog.append_to(r.fact(spark, folder), tables["fato_producao"])
+    fact = spark.table(tables["fato_producao"])
+    return quality.table_counts(
+        {
+            "dim_commodity": spark.table(tables["dim_commodity"]),
+            "dim_territorio": spark.table(tables["dim_territorio"]),
+            "fato_producao": fact,
+            "fato_producao com fonte padrão": fact.where(F.col("fonte") == fv.SOURCE_NAME),
+        }
+    )

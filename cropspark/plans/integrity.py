@@ -1 +1,202 @@
+"""Anomaly, integrity and constraint reports over whole tables."""
 
+from pyspark.sql import functions as F
+
+from cropspark import fixed_values as fv
+from cropspark.operators import quality
+from cropspark.plans import roles as r
+from cropspark.plans.registry import query
+
+_VALUE = "valor_producao_mil_reais"
+
+
+def line_metrics(spark, folder):
+    """Line items as metric rows: zero tax, zero discount and returned amounts occur."""
+    signed = F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    return r.table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_returnflag",
+        F.col("l_quantity").alias("area_colhida_ha"),
+        signed.alias("qtd_produzida"),
+        F.col("l_discount").alias(_VALUE),
+        F.nullif("l_tax", F.lit(0.02)).alias("rendimento_medio_kg_ha"),
+    )
+
+
+_SQL_LINE_METRICS = f"""medidas AS (SELECT l_orderkey, l_returnflag, l_quantity AS area_colhida_ha,
+  CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END AS qtd_produzida,
+  l_discount AS {_VALUE}, nullif(l_tax, 0.02) AS rendimento_medio_kg_ha FROM lineitem)"""
+
+_SQL_CATEGORY = (
+    "CASE "
+    + " ".join(f"WHEN {m} <= 0 THEN '{name}'" for m, name in fv.ANOMALY_CATEGORIES)
+    + f" ELSE '{fv.VALID_CATEGORY}' END"
+)
+
+
+@query(
+    "anomaly_summary",
+    sql=f"""WITH {_SQL_LINE_METRICS}, t AS (SELECT {_SQL_CATEGORY} AS categoria, count(*) AS n FROM medidas GROUP BY 1)
+      SELECT categoria, n AS total_registros,
+        CAST((n * 20000 + (SELECT sum(n) FROM t)) // (2 * (SELECT sum(n) FROM t)) AS DOUBLE) / 100 AS percentual
+      FROM t""",
+)
+def anomaly_summary(spark, folder):
+    return quality.anomaly_summary(line_metrics(spark, folder))
+
+
+_CEILING = 2_000_000.0
+
+
+@query(
+    "anomaly_rows",
+    sql=f"""WITH {_SQL_LINE_METRICS} SELECT l_orderkey, area_colhida_ha, qtd_produzida FROM medidas
+      WHERE area_colhida_ha < 0 OR qtd_produzida < 0
+        OR qtd_produzida * 1000 / nullif(area_colhida_ha, 0) > {_CEILING}""",
+)
+def anomaly_rows(spark, folder):
+    found = quality.anomaly_rows(line_metrics(spark, folder), ceiling=_CEILING)
+    return found.select("l_orderkey", "area_colhida_ha", "qtd_produzida")
+
+
+_SQL_P95 = """limites AS (SELECT l_returnflag, quantile_cont(qtd_produzida, 0.95) AS p95 FROM medidas GROUP BY 1)"""
+_SQL_RULES = {
+    **{f"{m} negativo": f"{m} < 0" for m in fv.METRICS},
+    "area_colhida_ha fora da faixa": "area_colhida_ha < 2 OR area_colhida_ha > 49",
+    "acima do percentil 95": "qtd_produzida > p95",
+    "rendimento inconsistente": f"qtd_produzida * 1000 / nullif(area_colhida_ha, 0) > {_CEILING}",
+}
+
+
+@query(
+    "anomaly_counts_by_type",
+    sql=f"WITH {_SQL_LINE_METRICS}, {_SQL_P95} "
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS tipo, count(*) FILTER (WHERE {rule}) AS total FROM medidas JOIN limites USING (l_returnflag)"
+        for name, rule in _SQL_RULES.items()
+    ),
+)
+def anomaly_counts_by_type(spark, folder):
+    flagged = quality.flag_above_percentile(line_metrics(spark, folder), "l_returnflag", "qtd_produzida")
+    rules = {
+        **quality.negative_rules(),
+        **quality.range_rules({"area_colhida_ha": (2, 49)}),
+        "acima do percentil 95": F.col("acima_p95"),
+        "rendimento inconsistente": quality.yield_per_area(F.col("qtd_produzida"), F.col("area_colhida_ha"))
+        > _CEILING,
+    }
+    return quality.anomaly_counts(flagged, rules)
+
+
+def _star_with_gaps(spark, folder):
+    products = r.dim_commodity(spark, folder).where(F.col("codigo_sidra") != "40130")
+    places = r.dim_territory(spark, folder).where(F.col("nome") != "NATION_5")
+    return r.fact(spark, folder), products, places
+
+
+_SQL_GAPS = f"""{r.SQL_STAR}, produtos AS (SELECT * FROM dim_commodity WHERE codigo_sidra <> '40130'),
+  lugares AS (SELECT * FROM dim_territorio WHERE nome <> 'NATION_5')"""
+
+
+@query(
+    "orphan_counts",
+    sql=f"""WITH {_SQL_GAPS}
+      SELECT 'fato → dim_commodity' AS verificacao, count(*) AS orfas FROM fato
+        WHERE id_commodity NOT IN (SELECT id_commodity FROM produtos)
+      UNION ALL SELECT 'fato → dim_territorio', count(*) FROM fato
+        WHERE id_territorio NOT IN (SELECT id_territorio FROM lugares)
+      UNION ALL SELECT 'lineitem → part', count(*) FROM lineitem
+        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <> 7)""",
+)
+def orphan_counts(spark, folder):
+    fact, products, places = _star_with_gaps(spark, folder)
+    report = quality.orphan_counts(
+        fact,
+        {
+            "fato → dim_commodity": ("id_commodity", products, "id_commodity"),
+            "fato → dim_territorio": ("id_territorio", places, "id_territorio"),
+        },
+    )
+    parts = r.table(spark, folder, "part").where(F.col("p_size") != 7)
+    items = r.table(spark, folder, "lineitem")
+    return report.unionAll(
+        quality.orphan_counts(items, {"lineitem → part": ("l_partkey", parts, "p_partkey")})
+    )
+
+
+@query(
+    "table_counts",
+    sql=f"""WITH {r.SQL_STAR} SELECT 'dim_commodity' AS tabela, count(*) AS total FROM dim_commodity
+      UNION ALL SELECT 'dim_territorio', count(*) FROM dim_territorio
+      UNION ALL SELECT 'fato_producao', count(*) FROM fato""",
+)
+def table_counts(spark, folder):
+    return quality.table_counts(
+        {
+            "dim_commodity": r.dim_commodity(spark, folder),
+            "dim_territorio": r.dim_territory(spark, folder),
+            "fato_producao": r.fact(spark, folder),
+        }
+    )
+
+
+@query(
+    "constraint_report",
+    sql=f"""WITH {_SQL_GAPS}, linhas AS (SELECT l_orderkey, l_linenumber, l_partkey, nullif(l_tax, 0) AS imposto,
+        l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS ano FROM lineitem)
+      SELECT 'lineitem' AS tabela, 'imposto não nulo' AS restricao, count(*) FILTER (WHERE imposto IS NULL) AS violacoes FROM linhas
+      UNION ALL SELECT 'lineitem', 'ano entre 1974 e 2000', count(*) FILTER (WHERE NOT ano BETWEEN 1974 AND 2000) FROM linhas
+      UNION ALL SELECT 'lineitem', 'imposto positivo', count(*) FILTER (WHERE NOT imposto > 0.01) FROM linhas
+      UNION ALL SELECT 'lineitem', 'status na lista', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) FROM linhas
+      UNION ALL SELECT 'lineitem', 'l_orderkey, l_linenumber único', count(*) FROM
+        (SELECT 1 FROM linhas GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+      UNION ALL SELECT 'lineitem', 'l_partkey em part', count(*) FROM lineitem
+        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <> 7)
+      UNION ALL SELECT 'dim_commodity', 'codigo_sidra não nulo', count(*) FILTER (WHERE codigo_sidra IS NULL) FROM dim_commodity
+      UNION ALL SELECT 'dim_commodity', 'codigo_sidra numérico', count(*) FILTER (WHERE NOT regexp_full_match(codigo_sidra, '[0-9]+')) FROM dim_commodity
+      UNION ALL SELECT 'dim_commodity', 'nome_oficial até 12 caracteres', count(*) FILTER (WHERE length(nome_oficial) > 12) FROM dim_commodity
+      UNION ALL SELECT 'dim_commodity', 'codigo_sidra único', 0 FROM (SELECT 1)
+      UNION ALL SELECT 'fato_producao', 'ano entre 1974 e 2100', count(*) FILTER (WHERE NOT ano BETWEEN 1974 AND 2100) FROM fato
+      UNION ALL SELECT 'fato_producao', 'id_commodity, id_territorio, ano único', 0 FROM (SELECT 1)
+      UNION ALL SELECT 'fato_producao', 'id_commodity em dim_commodity', count(*) FROM fato
+        WHERE id_commodity NOT IN (SELECT id_commodity FROM produtos)""",
+)
+def constraint_report(spark, folder):
+    items = r.table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_returnflag",
+        F.nullif("l_tax", F.lit(0.0)).alias("imposto"),
+        F.year("l_shipdate").alias("ano"),
+    )
+    parts = r.table(spark, folder, "part").where(F.col("p_size") != 7)
+    lines = quality.constraint_report(
+        "lineitem",
+        items,
+        not_null=["imposto"],
+        checks={
+            "ano entre 1974 e 2000": F.col("ano").between(1974, 2000),
+            "imposto positivo": F.col("imposto") > 0.01,
+            "status na lista": F.col("l_returnflag").isin("A", "N"),
+        },
+        unique=[["l_orderkey", "l_linenumber"]],
+        references={"l_partkey em part": ("l_partkey", parts, "p_partkey")},
+    )
+    fact, products, _ = _star_with_gaps(spark, folder)
+    dimension = quality.constraint_report(
+        "dim_commodity",
+        r.dim_commodity(spark, folder),
+        not_null=["codigo_sidra"],
+        checks={"codigo_sidra numérico": F.col("codigo_sidra").rlike("^[0-9]+$")},
+        lengths={"nome_oficial": 12},
+        unique=[["codigo_sidra"]],
+    )
+    facts = quality.constraint_report(
+        "fato_producao",
+        fact,
+        checks={"ano entre 1974 e 2100": F.col("ano").between(fv.YEAR_MIN, fv.YEAR_MAX)},
+        unique=[fv.FACT_KEYS],
+        references={"id_commodity em dim_commodity": ("id_commodity", products, "id_commodity")},
+    )
+    return lines.unionAll(dimension).unionAll(facts)

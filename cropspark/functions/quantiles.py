@@ -4,7 +4,8 @@ Spark's `percentile` keeps every distinct value of a group in one buffer. Here a
 mergeable sketch first brackets each wanted rank, rows outside the brackets are
 folded into per-gap counts on the map side, and only the few values inside the
 brackets are put in order. A group that holds most of the table therefore still
-costs one distributed aggregation.
+costs one distributed aggregation, and the rows themselves are shuffled only if the
+sketches are too many to broadcast.
 """
 
 from collections.abc import Mapping, Sequence
@@ -12,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cropspark.session import written_once
+
 
 def exact_percentiles(
     df: DataFrame,
@@ -43,16 +46,15 @@ def exact_percentiles(
     if by:
         keys = [f"_k{i}" for i in range(len(by))]
         side = sketch.withColumnsRenamed(dict(zip(by, keys)))
-        if few_groups:
-            side = F.broadcast(side)
+        # Written, the sketches have a measured size, on which Catalyst decides.
+        side = F.broadcast(side) if few_groups else written_once(side, "sketch")
         same_group = F.lit(True)
         for name, key in zip(by, keys):
             same_group = same_group & rows[name].eqNullSafe(side[key])
         rows = rows.join(side, same_group).drop(*keys)
     else:
-        rows = rows.withColumns(
-            {"_edges": sketch.select("_edges").scalar(), "_n": sketch.select("_n").scalar()}
-        )
+        bounds = sketch.select(F.struct("_edges", "_n").alias("_s")).scalar()
+        rows = rows.withColumn("_s", bounds).select("_v", "_s._edges", "_s._n")
 
     v = F.col("_v")
     brackets = [(F.col("_edges")[2 * i], F.col("_edges")[2 * i + 1]) for i in range(len(probs))]

@@ -1,5 +1,6 @@
 """Text clean-up and lookup expressions."""
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -29,10 +30,8 @@ def title_case(col: Column) -> Column:
 
 def lookup(col: Column, table: Mapping[str, str]) -> Column:
     """Value for a key of a small constant table, NULL for any other key."""
-    if not table:
-        return F.lit(None).cast("string")
-    pairs = [F.lit(item) for pair in table.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), col)
+    constant = F.from_json(F.lit(json.dumps(table)), "map<string,string>")  # folded once
+    return F.try_element_at(constant, col)
 
 
 def lookup_or(col: Column, table: Mapping[str, str], default: Column) -> Column:

@@ -11,6 +11,7 @@ from cropspark.functions.numbers import yield_per_area
 from cropspark.functions.quantiles import exact_percentiles
 from cropspark.operators.rows import counts_as_rows
 from cropspark.operators.stats import melt_metrics
+from cropspark.session import written_once
 
 
 def anomaly_category(
@@ -89,9 +90,8 @@ def flag_above_percentile(
     df: DataFrame, by: str, value: str, p: float = 0.95, out: str = "acima_p95"
 ) -> DataFrame:
     """Mark rows above their group's percentile; a NULL value is never above."""
-    limits = exact_percentiles(df, value, {"_limit": p}, by=[by]).select(
-        F.col(by).alias("_group"), "_limit"
-    )
+    limits = exact_percentiles(df, value, {"_limit": p}, by=[by])
+    limits = written_once(limits.select(F.col(by).alias("_group"), "_limit"), "limits")
     joined = df.join(limits, df[by].eqNullSafe(limits["_group"]), "left")
     above = F.coalesce(F.col(value) > F.col("_limit"), F.lit(False))
     return joined.withColumn(out, above).drop("_group", "_limit")
@@ -108,15 +108,19 @@ def count_orphans(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> Da
     SQL: a NULL in the dimension leaves no orphan, an empty dimension leaves all.
     """
     known = dim.select(F.col(dim_key).alias("_known"))
-    size = known.agg(F.count(F.lit(1))).scalar()
-    nulls = known.agg(F.count_if(F.col("_known").isNull())).scalar()
+    facts = known.agg(
+        F.struct(F.count(F.lit(1)).alias("size"), F.count_if(F.col("_known").isNull()).alias("nulls"))
+    ).scalar()
     per_key = fact.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
     unmatched = per_key.join(known, F.col("_key") == F.col("_known"), "left_anti").agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("_all"),
         F.coalesce(F.sum(F.when(F.col("_key").isNotNull(), F.col("_rows"))), F.lit(0)).alias("_set"),
     )
     return unmatched.select(
-        F.when(size == 0, F.col("_all")).when(nulls > 0, F.lit(0)).otherwise(F.col("_set")).alias("orfas")
+        F.when(facts["size"] == 0, F.col("_all"))
+        .when(facts["nulls"] > 0, F.lit(0))
+        .otherwise(F.col("_set"))
+        .alias("orfas")
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cropspark import fixed_values as fv
-from cropspark.session import reliable_checkpoint
+from cropspark.session import written_once
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -23,13 +23,13 @@ def number_rows(
 ) -> DataFrame:
     """Consecutive numbers start+1, start+2, ... by `order`, without one big task.
 
-    Rows are range-partitioned and written to the checkpoint folder, so the
-    partition of a row is fixed. The running total of partition sizes has one row
+    Rows are range-partitioned and written to the shared folder, so the partition
+    of a row is fixed. The running total of partition sizes has one row
     per partition, which bounds what is broadcast.
     """
     start = F.lit(start) if isinstance(start, int) else start
-    parts = reliable_checkpoint(
-        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    parts = written_once(
+        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "numbered"
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

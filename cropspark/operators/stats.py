@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cropspark import fixed_values as fv
 from cropspark.functions.numbers import guarded_ratio, percent_change, round_half_even
 from cropspark.functions.quantiles import exact_percentiles
+from cropspark.session import written_once
 
 
 def _zero_if_null(col: Column) -> Column:
@@ -248,6 +249,7 @@ def boxplot_stats(df: DataFrame, by: str, value: str, reach: float = 1.5) -> Dat
     boxes = boxes.withColumns(
         {"_low": F.col("q1") - reach * spread, "_high": F.col("q3") + reach * spread}
     ).withColumnRenamed(by, "_group")
+    boxes = written_once(boxes, "boxes")
     joined = rows.join(boxes, rows[by].eqNullSafe(boxes["_group"]))
     inside = F.col("_v").between(F.col("_low"), F.col("_high"))
     return joined.groupBy(by).agg(

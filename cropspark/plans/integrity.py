@@ -91,7 +91,7 @@ def anomaly_counts_by_type(spark, folder):
 def _star_with_gaps(spark, folder):
     products = r.dim_commodity(spark, folder).where(F.col("codigo_sidra") != "40130")
     places = r.dim_territory(spark, folder).where(F.col("nome") != "NATION_5")
-    return r.fact(spark, folder), products, places
+    return r.stored_fact(spark, folder), products, places
 
 
 _SQL_GAPS = f"""{r.SQL_STAR}, produtos AS (SELECT * FROM dim_commodity WHERE codigo_sidra <> '40130'),

@@ -8,6 +8,7 @@ from cropspark.operators import reports, star
 from cropspark.operators.reshape import attach_unit, pivot_first_nonnull
 from cropspark.plans import roles as r
 from cropspark.plans.registry import query
+from cropspark.session import written_once
 from cropspark.sources import payload as src
 
 _METRICS = ", ".join(fv.METRICS)
@@ -145,7 +146,7 @@ def pivot_line_items(spark, folder):
         LEFT JOIN unidades USING (produto_cod, ano, cod_territorial)""",
 )
 def attach_unit_left_join(spark, folder):
-    long = cells(spark, folder)
+    long = written_once(cells(spark, folder), "cells")
     return attach_unit(pivot_first_nonnull(long), long)
 
 
@@ -167,7 +168,7 @@ def collect_wide(spark, folder):
     sql=f"""WITH {SQL_CELLS} SELECT (SELECT count(*) FROM wide) AS linhas, count(*) AS celulas FROM celulas""",
 )
 def collection_totals(spark, folder):
-    long = cells(spark, folder)
+    long = written_once(cells(spark, folder), "cells")
     return reports.collection_totals(pivot_first_nonnull(long), long)
 
 
@@ -290,7 +291,7 @@ def base_and_batch(df):
 
 
 def fact_base_and_batch(spark, folder):
-    rows = r.fact(spark, folder).withColumn("fonte", F.lit("base"))
+    rows = r.stored_fact(spark, folder).withColumn("fonte", F.lit("base"))
     base, batch = base_and_batch(rows)
     return base, batch.withColumn("fonte", F.lit("lote"))
 
@@ -325,7 +326,7 @@ def upsert_idempotent(spark, folder):
 def upsert_processed(spark, folder):
     """Product name and metrics follow the batch; the unit keeps its first value."""
     shown = ["produto", *fv.PROCESSED_KEYS, *fv.METRICS, "unidade_qtd"]
-    rows = r.wide(spark, folder).withColumn("unidade_qtd", F.coalesce("unidade_qtd", F.lit("Frutos")))
+    rows = r.stored_wide(spark, folder).withColumn("unidade_qtd", F.coalesce("unidade_qtd", F.lit("Frutos")))
     base, batch = base_and_batch(rows.select(*shown))
     batch = batch.withColumns(
         {c: F.concat(F.col(c), F.lit(" novo")) for c in ("produto", "unidade_qtd")}

@@ -10,9 +10,9 @@ from cropspark.plans.registry import query
 _VALUE = "valor_producao_mil_reais"
 
 
-def star(spark, folder):
+def star(spark, folder, fact=r.fact):
     return (
-        r.fact(spark, folder),
+        fact(spark, folder),
         r.dim_commodity(spark, folder),
         r.dim_territory(spark, folder),
     )
@@ -28,7 +28,7 @@ def star(spark, folder):
       ORDER BY {_VALUE} DESC, nome_oficial, nome LIMIT 5""",
 )
 def top5_latest_year(spark, folder):
-    top = reports.top_latest_year(*star(spark, folder))
+    top = reports.top_latest_year(*star(spark, folder, r.stored_fact))
     return r.doubles(top, ["qtd_produzida", _VALUE])
 
 
@@ -74,7 +74,7 @@ def star_listing_selected(spark, folder):
       GROUP BY produto, ano ORDER BY sum(qtd_produzida) DESC, produto LIMIT 5""",
 )
 def top5_volume_last_year(spark, folder):
-    return r.doubles(reports.top_volume_last_year(r.wide(spark, folder)), ["qtd_produzida"])
+    return r.doubles(reports.top_volume_last_year(r.stored_wide(spark, folder)), ["qtd_produzida"])
 
 
 @query(
@@ -87,7 +87,7 @@ def top5_volume_last_year(spark, folder):
         (SELECT count(*) FROM wide) AS total_linhas FROM wide""",
 )
 def collection_report(spark, folder):
-    rows = r.doubles(r.wide(spark, folder)).withColumn(
+    rows = r.doubles(r.stored_wide(spark, folder)).withColumn(
         "qtd_produzida", F.when(F.col("cod_territorial") != "7", F.col("qtd_produzida"))
     )
     return reports.collection_report(rows)
@@ -112,7 +112,7 @@ def sum_by_product(spark, folder):
         CAST(s AS DOUBLE) / CAST((SELECT sum(s) FROM somas) AS DOUBLE) AS participacao FROM somas""",
 )
 def share_of_total(spark, folder):
-    rows = r.doubles(r.wide(spark, folder), ["area_colhida_ha"])  # whole numbers: exact sums
+    rows = r.doubles(r.stored_wide(spark, folder), ["area_colhida_ha"])  # whole numbers: exact sums
     return stats.share_of_total(rows, "produto", "area_colhida_ha")
 
 
@@ -127,7 +127,7 @@ _YIELD = "rendimento_medio_kg_ha"
 )
 def mean_by_product_refs(spark, folder):
     means = stats.mean_by_with_references(
-        r.doubles(r.wide(spark, folder), [_YIELD]), "produto", _YIELD
+        r.doubles(r.stored_wide(spark, folder), [_YIELD]), "produto", _YIELD
     )
     return means.select("produto", *[F.round(c, 4).alias(c) for c in (_YIELD, "media", "mediana")])
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from cropspark import fixed_values as fv
 from cropspark.functions.text import lookup_or
+from cropspark.session import written_once
 
 COLLECTED_AT = "2024-01-15 10:00:00"
 PROCESSED_AT = "2024-01-16 12:30:00"
@@ -21,8 +22,24 @@ FIRST_CODE = 40123  # brand 1 becomes product code 40124
 MONEY = "decimal(18,2)"
 
 
+# Explicit schemas: no job to read file footers before the query starts.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def brand_number(col: str = "p_brand") -> Column:
@@ -113,6 +130,15 @@ def wide(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """`wide` computed once, for queries that pass over it more than once."""
+    return written_once(wide(spark, folder), "wide")
+
+
+def stored_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return written_once(fact(spark, folder), "fact")
+
+
 def unit_of(code: Column) -> Column:
     return F.when(code == "40127", "Mil frutos").when(code != "40131", "Toneladas")
 

@@ -45,7 +45,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/cropspark/{label}-{uuid.uuid4().hex}"
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and go on from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+def written_once(df: DataFrame, label: str = "step") -> DataFrame:
+    """Write `df` to the shared folder and go on from the written copy.
+
+    For a frame that feeds several passes: it is computed once, survives the loss of
+    executors, is read back by column, and its real size is known, so Catalyst
+    broadcasts it in a join only when it is under the threshold.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "snappy").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

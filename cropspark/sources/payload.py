@@ -12,6 +12,7 @@ from cropspark.functions.text import lookup_or
 from cropspark.operators.reshape import attach_unit, pivot_first_nonnull
 from cropspark.operators.rows import add_missing_columns, project_ordered
 from cropspark.schemas import PAYLOAD
+from cropspark.session import written_once
 
 
 def read_payloads(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
@@ -69,8 +70,11 @@ def payload_to_cells(
 
 
 def collect_wide(payloads: DataFrame, collected_at: str | Column, **options) -> DataFrame:
-    """All landed payloads to typed, sorted raw wide rows, as one lazy plan."""
-    cells = payload_to_cells(payloads, collected_at, **options)
+    """All landed payloads to typed, sorted raw wide rows.
+
+    The parsed cells are written once: the pivot and the unit both read them.
+    """
+    cells = written_once(payload_to_cells(payloads, collected_at, **options), "cells")
     wide = (
         pivot_first_nonnull(cells)
         .transform(attach_unit, cells=cells)

@@ -8,6 +8,7 @@ from cropspark.functions.text import lookup_or
 from cropspark.operators import reports, rows
 from cropspark.plans import roles as r
 from cropspark.plans.registry import query
+from cropspark.session import written_once
 from cropspark.sources.snapshots import first_available, parse_snapshot_name, snapshot_name
 
 _CODES = "produto_cod, tabela_sidra, cod_territorial"
@@ -18,6 +19,11 @@ def processed(spark, folder):
     return r.raw_lines(spark, folder).transform(rows.clean_rows, processed_at=r.PROCESSED_AT)
 
 
+def stored_processed(spark, folder):
+    """The processed table as a stored layer, for listings that sort or pass twice."""
+    return written_once(processed(spark, folder), "processed")
+
+
 # --- projections and filters -------------------------------------------------
 
 
@@ -310,7 +316,7 @@ def clean_chain(spark, folder):
       processado_em FROM processado""",
 )
 def processed_listing(spark, folder):
-    return reports.processed_listing(processed(spark, folder))
+    return reports.processed_listing(stored_processed(spark, folder))
 
 
 @query(
@@ -319,7 +325,7 @@ def processed_listing(spark, folder):
       WHERE status_dado = 'parcial'""",
 )
 def partial_records(spark, folder):
-    return rows.partial_records(processed(spark, folder))
+    return rows.partial_records(stored_processed(spark, folder))
 
 
 @query(
@@ -346,7 +352,7 @@ def distinct_name_map(spark, folder):
       UNION ALL SELECT DISTINCT 'produto', produto FROM processado""",
 )
 def filter_options(spark, folder):
-    rows_ = processed(spark, folder)
+    rows_ = stored_processed(spark, folder)
     years = reports.filter_options(rows_, "ano", descending=True)
     products = reports.filter_options(rows_, "produto")
     return years.select(F.lit("ano").alias("filtro"), F.col("ano").cast("string").alias("opcao")).unionAll(

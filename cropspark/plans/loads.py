@@ -121,15 +121,15 @@ def pivot_by_source(spark, folder):
 @query(
     "pivot_line_items",
     sql="""SELECT l_orderkey, l_linenumber,
-        arg_min(l_quantity, l_suppkey * 1000000 + l_partkey) FILTER (WHERE l_returnflag = 'A') AS "A",
-        arg_min(l_quantity, l_suppkey * 1000000 + l_partkey) FILTER (WHERE l_returnflag = 'N') AS "N",
-        arg_min(l_quantity, l_suppkey * 1000000 + l_partkey) FILTER (WHERE l_returnflag = 'R') AS "R"
+        arg_min(l_quantity, (l_suppkey, l_partkey, l_quantity)) FILTER (WHERE l_returnflag = 'A') AS "A",
+        arg_min(l_quantity, (l_suppkey, l_partkey, l_quantity)) FILTER (WHERE l_returnflag = 'N') AS "N",
+        arg_min(l_quantity, (l_suppkey, l_partkey, l_quantity)) FILTER (WHERE l_returnflag = 'R') AS "R"
       FROM lineitem GROUP BY l_orderkey, l_linenumber""",
 )
 def pivot_line_items(spark, folder):
     """Line items that share a key, first quantity per return flag."""
     rows = r.table(spark, folder, "lineitem").withColumn(
-        "lugar", F.col("l_suppkey") * 1000000 + F.col("l_partkey")
+        "lugar", F.struct("l_suppkey", "l_partkey", "l_quantity")
     )
     return pivot_first_nonnull(
         rows, ["l_orderkey", "l_linenumber"], ["A", "N", "R"], "l_returnflag", "l_quantity", "lugar"

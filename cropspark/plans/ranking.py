@@ -122,14 +122,14 @@ _YIELD = "rendimento_medio_kg_ha"
 @query(
     "mean_by_product_refs",
     sql=f"""WITH {r.SQL_WIDE}, medias AS (SELECT produto, avg(CAST({_YIELD} AS DOUBLE)) AS m FROM wide GROUP BY produto)
-      SELECT produto, round(m, 4) AS {_YIELD}, round((SELECT avg(m) FROM medias), 4) AS media,
-        round((SELECT quantile_cont(m, 0.5) FROM medias), 4) AS mediana FROM medias""",
+      SELECT produto, round(m, 8) AS {_YIELD}, round((SELECT avg(m) FROM medias), 8) AS media,
+        round((SELECT quantile_cont(m, 0.5) FROM medias), 8) AS mediana FROM medias""",
 )
 def mean_by_product_refs(spark, folder):
     means = stats.mean_by_with_references(
         r.doubles(r.stored_wide(spark, folder), [_YIELD]), "produto", _YIELD
     )
-    return means.select("produto", *[F.round(c, 4).alias(c) for c in (_YIELD, "media", "mediana")])
+    return means.select("produto", *[F.round(c, 8).alias(c) for c in (_YIELD, "media", "mediana")])
 
 
 @query(

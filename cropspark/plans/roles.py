@@ -192,16 +192,10 @@ def long_form(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _hundredths(name: str) -> Column:
-    """A whole number of hundredths as decimal text."""
-    units = F.expr(f"{name} div 100").cast("string")
-    return F.concat(units, F.lit("."), F.lpad((F.col(name) % 100).cast("string"), 2, "0"))
-
-
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as untyped raw rows with blanks, mixed case, marks and bad values."""
     reversed_sale = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A")
-    quantity = _hundredths("centavos")
+    quantity = (F.col("centavos") / 100).cast("string")
     return lines(spark, folder).select(
         F.concat(
             F.lit("  "),
@@ -219,19 +213,19 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("ano").cast("string"))
         .alias("ano"),
         F.when(F.col("l_returnflag") == "R", "...")
-        .otherwise(F.concat(F.col("area").cast("string"), F.lit(".00")))
+        .otherwise(F.col("area").cast("string"))
         .alias("area_colhida_ha"),
         quantity.alias("qtd_produzida"),
         F.lit(" toneladas").alias("unidade_qtd"),
         F.when(reversed_sale, F.concat(F.lit("-"), quantity))
         .otherwise(quantity)
         .alias("rendimento_medio_kg_ha"),
-        F.concat(quantity, F.lit("5")).alias("valor_producao_mil_reais"),
+        ((F.col("centavos") * 10 + 5) / 1000).cast("string").alias("valor_producao_mil_reais"),
         F.lit("ibge/pam-sidra ").alias("fonte"),
         F.lit(fv.TABLE_CODE).alias("tabela_sidra"),
         F.concat_ws("/", F.lit("landed"), F.col("l_orderkey").cast("string")).alias("url_origem"),
         F.when(F.col("l_linenumber") == 1, "0000-00")
-        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+        .otherwise(F.col("l_shipdate").cast("string"))
         .alias("coletado_em"),
     )
 

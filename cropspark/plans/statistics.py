@@ -60,14 +60,16 @@ def describe_line_items(spark, folder):
     "summary_by_commodity",
     sql=f"""WITH {r.SQL_FACT}
       SELECT id_commodity, CAST(min({_VALUE}) AS DOUBLE) AS minimo, CAST(max({_VALUE}) AS DOUBLE) AS maximo,
-        round(avg(CAST({_VALUE} AS DOUBLE)), 3) AS media,
+        round(avg(CAST({_VALUE} AS DOUBLE)), 6) AS media,
         round(stddev_samp(CAST({_VALUE} AS DOUBLE)), 3) AS desvio_padrao
       FROM fato GROUP BY id_commodity""",
 )
 def summary_by_commodity(spark, folder):
     rows = r.doubles(r.fact(spark, folder), [_VALUE])
     summary = stats.summary_by(rows, ["id_commodity"], _VALUE)
-    return summary.withColumns({c: F.round(c, 3) for c in ("media", "desvio_padrao")})
+    return summary.withColumns(
+        {"media": F.round("media", 6), "desvio_padrao": F.round("desvio_padrao", 3)}
+    )
 
 
 _SQL_YOY = f"""medias AS (SELECT id_commodity, ano, avg(CAST({_VALUE} AS DOUBLE)) AS m FROM fato GROUP BY 1, 2),
@@ -78,25 +80,25 @@ _SQL_YOY = f"""medias AS (SELECT id_commodity, ano, avg(CAST({_VALUE} AS DOUBLE)
 @query(
     "yoy_lag",
     sql=f"""WITH {r.SQL_FACT}, {_SQL_YOY}
-      SELECT id_commodity, ano, round(m, 3) AS preco_medio, round(anterior, 3) AS preco_anterior FROM com_anterior""",
+      SELECT id_commodity, ano, round(m, 6) AS preco_medio, round(anterior, 6) AS preco_anterior FROM com_anterior""",
 )
 def yoy_lag(spark, folder):
     means = stats.mean_with_previous(r.doubles(r.fact(spark, folder), [_VALUE]))
-    return means.withColumns({c: F.round(c, 3) for c in ("preco_medio", "preco_anterior")})
+    return means.withColumns({c: F.round(c, 6) for c in ("preco_medio", "preco_anterior")})
 
 
 @query(
     "yoy_pct_change",
     sql=f"""WITH {r.SQL_FACT}, {_SQL_YOY}
-      SELECT id_commodity, ano, round(m, 3) AS preco_medio, round(anterior, 3) AS preco_anterior,
+      SELECT id_commodity, ano, round(m, 6) AS preco_medio, round(anterior, 6) AS preco_anterior,
         round((m - anterior) * 100 / nullif(anterior, 0), 6) AS variacao_pct FROM com_anterior""",
 )
 def yoy_pct_change(spark, folder):
     changes = stats.change_on_previous(r.doubles(r.fact(spark, folder), [_VALUE]))
     return changes.withColumns(
         {
-            "preco_medio": F.round("preco_medio", 3),
-            "preco_anterior": F.round("preco_anterior", 3),
+            "preco_medio": F.round("preco_medio", 6),
+            "preco_anterior": F.round("preco_anterior", 6),
             "variacao_pct": F.round("variacao_pct", 6),
         }
     )
@@ -134,12 +136,12 @@ def trend_line_rows(spark, folder):
 @query(
     "yield_refs_year",
     sql=f"""WITH {_sql_year()}
-      SELECT produto, {_YIELD}, round((SELECT avg({_YIELD}) FROM ano_unico), 6) AS media,
-        round((SELECT quantile_cont({_YIELD}, 0.5) FROM ano_unico), 6) AS mediana FROM ano_unico""",
+      SELECT produto, {_YIELD}, round((SELECT avg({_YIELD}) FROM ano_unico), 8) AS media,
+        round((SELECT quantile_cont({_YIELD}, 0.5) FROM ano_unico), 8) AS mediana FROM ano_unico""",
 )
 def yield_refs_year(spark, folder):
     rows = stats.row_values_with_references(one_year(spark, folder), "produto", _YIELD)
-    return rows.withColumns({c: F.round(c, 6) for c in ("media", "mediana")})
+    return rows.withColumns({c: F.round(c, 8) for c in ("media", "mediana")})
 
 
 @query(

@@ -12,6 +12,7 @@ from cropspark.functions.text import strip
 # JVM would also read "12d", "NaN" or "Infinity".
 _DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _SPACED_DECIMAL = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
+_DATE = r"^ *[0-9]{4}-(0?[1-9]|1[0-2])(-(0?[1-9]|[12][0-9]|3[01])([ T].*)?)? *$"
 _WHOLE = r"^[+-]?[0-9]{1,9}(\.0*)?$"
 
 
@@ -34,7 +35,8 @@ def to_year(col: Column) -> Column:
 
 def to_timestamp(col: Column) -> Column:
     """Text to a timestamp without zone; bad text becomes NULL."""
-    return col.try_cast("timestamp_ntz")
+    text = col.cast("string")
+    return F.when(text.rlike(_DATE), text.try_cast("timestamp_ntz"))
 
 
 def parse_locale_number(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cropspark import fixed_values as fv
 from cropspark.functions.text import lookup_or
-from cropspark.session import written_once
+from cropspark.session import spread, written_once
 
 COLLECTED_AT = "2024-01-15 10:00:00"
 PROCESSED_AT = "2024-01-16 12:30:00"
@@ -50,8 +50,9 @@ def official_or_brand(code: Column) -> Column:
     return lookup_or(code, fv.OFFICIAL_NAMES, F.col("p_brand"))
 
 
-def lines(spark: SparkSession, folder: str) -> DataFrame:
+def lines(spark: SparkSession, folder: str, items: DataFrame | None = None) -> DataFrame:
     """One row per line item with its product and place."""
+    items = table(spark, folder, "lineitem") if items is None else items
     cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     kept_percent = 100 - F.rint(F.col("l_discount") * 100).cast("bigint")
     code = (FIRST_CODE + brand_number()).cast("string")
@@ -67,8 +68,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     return (
-        table(spark, folder, "lineitem")
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        items.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(places, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
@@ -196,7 +196,11 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as untyped raw rows with blanks, mixed case, marks and bad values."""
     reversed_sale = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A")
     quantity = (F.col("centavos") / 100).cast("string")
-    return lines(spark, folder).select(
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
+    )
+    return lines(spark, folder, spread(items)).select(
         F.concat(
             F.lit("  "),
             F.when(F.col("l_linestatus") == "F", F.upper("produto")).otherwise(F.lower("produto")),

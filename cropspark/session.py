@@ -45,6 +45,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/cropspark/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input that arrives in fewer partitions than there are cores.
+
+    One unsplittable file would otherwise keep costly row work in one task. A large
+    input already has more partitions than cores and is left as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def written_once(df: DataFrame, label: str = "step") -> DataFrame:
     """Write `df` to the shared folder and go on from the written copy.
 

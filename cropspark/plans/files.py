@@ -86,8 +86,11 @@ def _written_files(spark, folder):
 
 @query("snapshot_manifest")
 def snapshot_manifest(spark, folder):
+    """Describe a written snapshot, save the description, read it back."""
     files = _written_files(spark, folder)
-    return snap.manifest(files, "cropspark", "uf", _YEARS, r.COLLECTED_AT)
+    described = snap.manifest(files, "cropspark", "uf", _YEARS, r.COLLECTED_AT)
+    path = snap.write_manifest(described, scratch_path(spark, "manifest"))
+    return spark.read.schema(described.schema).json(path)
 
 
 @query("format_size_report")

@@ -6,6 +6,7 @@ folder of part files, or a single file made elsewhere; both are read the same wa
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +17,7 @@ from cropspark.functions.numbers import round_half_even
 from cropspark.operators.rows import project_ordered
 
 FORMATS = ("csv", "json", "parquet")
+CSV_OPTIONS = {"header": True, "escape": '"'}  # a quote inside a value is doubled
 
 # Snapshot file name, prefix_level_years_date.extension
 NAME_PREFIX = "ibge_pam"
@@ -65,7 +67,7 @@ def write_csv(
     if single_file:
         first, *rest = out.columns
         out = out.select(F.col(first).alias("﻿" + first), *rest).coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -136,8 +138,8 @@ def write_raw_layer(
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType = schemas.RAW_WIDE
 ) -> DataFrame:
-    """CSV with header; a byte-order mark is dropped; quotes are doubled or escaped."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with header; a byte-order mark is dropped."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
 def read_json_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -173,7 +175,12 @@ def newest_snapshot(
         raise ValueError(f"unknown order {by!r}")
     name = F.element_at(F.split("path", "/"), -1)
     rank = name if by == "name" else F.struct("data", name.alias("name"))
-    listed = list_snapshots(spark, folder, suffix)
+    try:
+        listed = list_snapshots(spark, folder, suffix)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
     if by == "date":
         listed = listed.where(F.col("data").isNotNull())
     return listed.agg(F.max_by("path", rank).alias("path")).first()["path"]
@@ -260,6 +267,13 @@ def manifest(
     )
 
 
+def write_manifest(described: DataFrame, root: str) -> str:
+    """Save the one-row manifest as JSON at the root of the raw layer; returns its path."""
+    path = f"{root}/manifesto.json"
+    described.write.mode("overwrite").json(path)
+    return path
+
+
 def format_size_report(files: DataFrame, baseline: str = "csv") -> DataFrame:
     """Size of each format as a percentage of the CSV size."""
     base = files.where(F.col("formato") == baseline).agg(F.max("tamanho_bytes")).scalar()

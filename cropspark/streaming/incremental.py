@@ -11,13 +11,14 @@ from cropspark import fixed_values as fv
 from cropspark import schemas
 from cropspark.operators.rows import clean_rows
 from cropspark.operators.star import upsert_processed
+from cropspark.sources.snapshots import CSV_OPTIONS
 from cropspark.sources.versions import current_version, publish, read_current
 
 
 def landed_rows(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spark.readStream.schema(schemas.RAW_WIDE_TEXT)
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("recursiveFileLookup", True)
         .csv(folder)
     )

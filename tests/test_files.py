@@ -45,6 +45,8 @@ def test_three_formats_hold_the_same_rows(spark, wide, tmp_path):
     assert [r["formato"] for r in files.orderBy("formato").collect()] == ["csv", "json", "parquet"]
     described = snap.manifest(files, "crop", "brasil", [2023, 2024], AT).first()
     assert set(described["arquivos"]) == {"csv", "json", "parquet"} and described["total_linhas"] == 3
+    saved = snap.write_manifest(snap.manifest(files, "crop", "brasil", [2023, 2024], AT), str(tmp_path))
+    assert json.loads(open(glob.glob(saved + "/part-*.json")[0]).readline())["arquivos"]["csv"]["linhas"] == 3
     share = {r["formato"]: r["pct_do_csv"] for r in snap.format_size_report(files).collect()}
     assert share["csv"] == 100.0
 
@@ -76,6 +78,18 @@ def test_newest_by_name_and_by_date_differ(spark, wide, tmp_path):
         snap.newest_snapshot(spark, folder, by="size")
 
 
+def test_no_snapshot_is_no_rows(spark, tmp_path):
+    assert snap.newest_snapshot(spark, str(tmp_path)) is None
+    assert snap.scan_latest_snapshot(spark, str(tmp_path)).count() == 0
+
+
+def test_a_file_with_mark_and_doubled_quotes_is_read(spark, tmp_path):
+    header = ",".join(fv.RAW_COLUMNS)
+    line = 'Soja,1,Brasil,1,"Bra""sil, x",2023,1.5,,t,3.0,4.0,f,5457,u,' + AT
+    (tmp_path / "ibge_pam_brasil_2023_20240101.csv").write_text(f"\ufeff{header}\n{line}\n", encoding="utf-8")
+    assert values(snap.scan_latest_snapshot(spark, str(tmp_path))) == [row()]
+
+
 def test_names(spark):
     parts = snap.parse_snapshot_name(F.col("n"))
     df = spark.createDataFrame([("x/ibge_pam_brasil_2023_2024_20260323.csv",), ("other.csv",)], "n string")

@@ -1,11 +1,11 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 # Fixed value: words between the blanks 0x20 and 0x09 to 0x0D.
-WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 QUALITY_RULES = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, {WORDS} AS w,
-                  list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
            FROM documents),
 win AS (SELECT r, i, [w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]] AS g
         FROM (SELECT r, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d WHERE len(w) >= 5)),
@@ -15,7 +15,7 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
              CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
-             len(list_filter(w, x -> list_contains({{stops}}, lower(x)))) AS n_stops, len(l) AS n_lines
+             len(list_filter(w, lambda x: list_contains({{stops}}, lower(x)))) AS n_stops, len(l) AS n_lines
       FROM d LEFT JOIN rep USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

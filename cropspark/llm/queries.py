@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cropspark.llm import corpus_oracles, quality_rules
+from cropspark.llm import corpus_oracles, minhash_near_dedup, quality_rules
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,7 +18,17 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules}
+def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_near_dedup.near_duplicates(_table(spark, folder, "documents"))
+
+
+QUERIES = {
+    "op2_quality_rules": op2_quality_rules,
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+}
 
 _STOPS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS)) + "]"
-ORACLES = {"op2_quality_rules": corpus_oracles.QUALITY_RULES.replace("{stops}", _STOPS)}
+ORACLES = {
+    "op2_quality_rules": corpus_oracles.QUALITY_RULES.replace("{stops}", _STOPS),
+    "op7_minhash_near_dedup": corpus_oracles.NEAR_DUPLICATES,
+}

@@ -33,9 +33,9 @@ s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
       FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 shared AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
       FROM s a JOIN shared USING (g) JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
-links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 75 * (x.n + y.n - both)),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
 two AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
 reach(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.node, two.b FROM reach JOIN two ON two.a = reach.seen)
 SELECT node AS doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(seen) AS component_id, node = min(seen) AS kept

@@ -10,8 +10,8 @@
    and generate nothing.
 3. Within a posting list, nodes are tried against a centre; a verified link makes them one
    component, and lists are contracted to components before the next round, so a group of
-   copies is never expanded into all pairs. What is left in the last round is joined in full,
-   but only between nodes of different components: the components are those of all links.
+   copies is never expanded into all pairs. Between the components that are left, pairs come
+   from a join on the rarest shingles of the full sets: the components are those of all links.
 4. Collisions over the whole signature are counted, then links are confirmed on the full sets.
 
 Defined results: null or blank text has an empty set, links with nothing and is kept; rows
@@ -22,6 +22,7 @@ only the id and text columns are read, so other columns may have any name.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ COORDINATES = 64
 MATCHES = 32
 PERCENT = 75
 CENTRE_ROUNDS = 2
+SIZE_STEP = 1.06
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _SCALE = _rng.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,7 +83,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def _prefixes(nodes: DataFrame) -> DataFrame:
-    """(post, rep, node): the posting lists of the prefixes."""
+    """(post, rep, node, common): the posting lists of the prefixes; common counts shared values."""
     post = (F.shiftleft(F.col("j").cast("bigint"), 32) + F.col("v").cast("bigint")).alias("post")
     posts = nodes.select("rep", "node", F.posexplode("signature").alias("j", "v")).select("rep", "node", post)
     shared = posts.groupBy("post").agg(F.count("*").alias("n")).filter("n > 1")
@@ -92,7 +94,8 @@ def _prefixes(nodes: DataFrame) -> DataFrame:
         .filter(F.size("posts") >= MATCHES)
     )
     prefix = F.slice("posts", F.lit(1), F.size("posts") - F.lit(MATCHES - 1))
-    return per_node.select("rep", "node", F.explode(prefix).alias("p")).select("p.post", "rep", "node")
+    listed = per_node.select("rep", "node", F.size("posts").alias("common"), F.explode(prefix).alias("p"))
+    return listed.select("p.post", "rep", "node", "common")
 
 
 def _collisions(left: Column, right: Column) -> Column:
@@ -136,7 +139,55 @@ def _labelled(lists: DataFrame, links: DataFrame) -> DataFrame:
     found = components(links, "a", "b")
     rows = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed_lists = rows.groupBy("post").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    return rows.join(mixed_lists.select("post"), "post").select("post", "rep", "node", "component")
+    return rows.join(mixed_lists.select("post"), "post").select("post", "rep", "node", "common", "component")
+
+
+def _rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs between components that can still be similar, by a prefix of the full sets.
+
+    Similar sets of given sizes share a least number of elements, so they meet in the rarest
+    shingles that remain when that number, less one, is cut off the end. Nodes are posted for
+    each size class of partners; a heavily edited copy has too many shingles of its own to be
+    posted for its like.
+    """
+    nodes = rows.select("node", "component").distinct()
+    posts = sets.join(nodes, "node").select("node", "component", F.size("shingles").alias("size"), F.explode("shingles").alias("g"))
+    shared = posts.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
+
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(n) / F.lit(math.log(SIZE_STEP)))
+
+    part = PERCENT / 100
+    partners = F.sequence(size_class(F.greatest(F.floor(F.col("size") * part), F.lit(1))), size_class(F.ceil(F.col("size") / part)))
+    per_node = (
+        posts.join(shared, "g")
+        .groupBy("node", "component", "size")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("posts"))
+        .filter(F.size("posts") >= F.col("size") * part)
+        .select("*", F.explode(partners).alias("partner"))
+    )
+    # the overlap of similar sets of these sizes, taken a little low against rounding
+    least = F.greatest(F.col("size") * part, (F.col("size") + F.pow(F.lit(SIZE_STEP), "partner")) * (part / (1 + part)))
+    need = F.ceil(least - F.lit(1e-6)).cast("int")
+    prefix = F.slice("posts", F.lit(1), F.size("posts") - need + F.lit(1))
+    own = size_class(F.col("size"))
+    lists = (
+        per_node.filter(F.size("posts") >= need)
+        .select("node", "component", F.least(own, "partner").alias("s"), F.greatest(own, "partner").alias("t"), F.explode(prefix).alias("p"))
+        .select("p.g", "s", "t", "node", "component")
+    )
+    lists = stored(lists, "rest")
+    key = ["g", "s", "t"]
+    between = lists.groupBy(*key).agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(*key)
+    lists = lists.join(between, key)
+    other = lists.select(*key, F.col("node").alias("b"), F.col("component").alias("cb"))
+    return (
+        lists.select(*key, F.col("node").alias("a"), F.col("component").alias("ca"))
+        .join(other, key)
+        .filter("ca <> cb and a < b")
+        .select("a", "b")
+        .distinct()
+    )
 
 
 def _centre_pairs(rows: DataFrame, order: Column) -> DataFrame:
@@ -168,7 +219,8 @@ def links(docs: DataFrame, signed: DataFrame, id_col: str = "doc_id", text_col:
     tried = None
     found = None
     for step in range(CENTRE_ROUNDS):
-        order = F.col("rep") if step == 0 else F.xxhash64(F.lit(step), "node")
+        # first the node with the fewest values of its own, which an original is among its copies
+        order = F.struct(-F.col("common"), "rep") if step == 0 else F.xxhash64(F.lit(step), "node")
         pairs = _centre_pairs(rows, order)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -177,15 +229,7 @@ def links(docs: DataFrame, signed: DataFrame, id_col: str = "doc_id", text_col:
         tried = pairs if tried is None else tried.union(pairs)
         found = more if found is None else found.union(more)
         rows = stored(_labelled(lists, found), "lists")
-    other = rows.select("post", F.col("node").alias("b"), F.col("component").alias("cb"))
-    rest = (
-        rows.select("post", F.col("node").alias("a"), F.col("component").alias("ca"))
-        .join(other, "post")
-        .filter("ca <> cb and a < b")
-        .select("a", "b")
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
+    rest = stored(_rest_pairs(rows, sets).join(tried, ["a", "b"], "left_anti"), "pairs")
     return stored(found.union(_confirmed(rest, nodes, sets)), "links")
 
 

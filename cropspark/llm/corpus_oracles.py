@@ -41,3 +41,17 @@ reach(node, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.no
 SELECT node AS doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(seen) AS component_id, node = min(seen) AS kept
 FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node, n.n
 """
+
+LINE_DEDUP = r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+h AS (SELECT doc_id, l, i, CAST('0x' || substr(md5(l[i]), 1, 7) AS BIGINT) AS h
+      FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM d WHERE text IS NOT NULL)),
+b AS (SELECT *, ((coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 + h) % 2147483647) % 3 = 0 AS ends FROM h),
+c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM b),
+ch AS (SELECT doc_id, k, count(*) AS n, string_agg(l[i], chr(10) ORDER BY i) AS t FROM c GROUP BY doc_id, k),
+r AS (SELECT *, CASE WHEN n >= 2 THEN row_number() OVER (PARTITION BY t, n >= 2 ORDER BY doc_id, k) > 1 ELSE false END AS gone FROM ch)
+SELECT d.doc_id, coalesce(string_agg(t, chr(10) ORDER BY k) FILTER (NOT gone), CASE WHEN d.text IS NOT NULL THEN '' END) AS text,
+       CAST(coalesce(sum(n), 0) AS INT) AS n_lines, CAST(count(k) AS INT) AS n_chunks,
+       CAST(count(k) FILTER (gone) AS INT) AS n_removed_chunks, CAST(coalesce(sum(n) FILTER (gone), 0) AS INT) AS n_removed_lines
+FROM d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.text
+"""

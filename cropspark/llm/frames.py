@@ -33,6 +33,21 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANK_RUN))
 
 
+def one_row(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """`keep` and one struct `_m` of the columns, each of which is computed once.
+
+    The struct comes from a generator, so Catalyst neither repeats the columns where they are
+    used more than once nor pushes later filters below them.
+    """
+    fields = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.explode(F.array(fields)).alias("_m"))
+
+
+def packed(df: DataFrame, name: str, *more: Column) -> DataFrame:
+    """All columns of `df` as one struct, so that no name can clash with the columns `more`."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(name), *more)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write `df` to the shared folder and go on from the written copy."""
     path = scratch_path(df.sparkSession, label)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cropspark.llm.frames import BLANKS, bound, fresh, words_of
+from cropspark.llm.frames import BLANKS, bound, fresh, one_row, words_of
 
 SYMBOLS = "#*$%&|<>"
 # Common function words of the languages of the corpus.
@@ -76,19 +76,13 @@ def _repeat_words(hashes: Column) -> Column:
     return F.when(repeats, bound(bound(ordered, positions), covered)).otherwise(0).cast("bigint")
 
 
-def _row(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
-    """`keep` and one struct `_m` of the columns, each of which is computed once."""
-    fields = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.explode(F.array(fields)).alias("_m"))
-
-
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: the id and a struct `_m` of counts and ratios of its whole text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     t, w, ln, h = (F.col(f"_m.{c}") for c in "twlh")
-    parts = _row(docs, [id_col], t=text, w=words_of(text), l=lines)
-    hashed = _row(parts, [id_col], t=t, w=w, l=ln, h=_window_hashes(w))
+    parts = one_row(docs, [id_col], t=text, w=words_of(text), l=lines)
+    hashed = one_row(parts, [id_col], t=t, w=w, l=ln, h=_window_hashes(w))
     n, n_lines = F.size(w).cast("bigint"), F.size(ln)
 
     def share(part: Column, whole: Column) -> Column:
@@ -98,7 +92,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     symbols = F.length(t) - F.length(F.regexp_replace(t, f"[{SYMBOLS}]+", ""))
     dup_lines = n_lines - F.size(F.array_distinct(ln))
     stops = F.size(F.filter(w, lambda x: F.lower(x).isin(*dict.fromkeys(STOP_WORDS))))
-    counted = _row(
+    counted = one_row(
         hashed,
         [id_col],
         n_words=n,
@@ -110,7 +104,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         n_stop_words=stops.cast("bigint"),
     )
     m = {c: F.col(f"_m.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words")}
-    return _row(
+    return one_row(
         counted,
         [id_col],
         **m,

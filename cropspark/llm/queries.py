@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, minhash_near_dedup, quality_rules
+from cropspark.llm import corpus_oracles, line_dedup, minhash_near_dedup, quality_rules
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,17 +19,26 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = line_dedup.dedup_lines(_table(spark, folder, "documents"))
+    return done.select(
+        "doc.doc_id", F.col("text_left").alias("text"), "n_lines", "n_chunks", "n_removed_chunks", "n_removed_lines"
+    )
+
+
 def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op6_line_dedup": op6_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
 
 _STOPS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS)) + "]"
 ORACLES = {
     "op2_quality_rules": corpus_oracles.QUALITY_RULES.replace("{stops}", _STOPS),
+    "op6_line_dedup": corpus_oracles.LINE_DEDUP,
     "op7_minhash_near_dedup": corpus_oracles.NEAR_DUPLICATES,
 }

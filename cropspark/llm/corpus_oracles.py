@@ -55,3 +55,12 @@ SELECT d.doc_id, coalesce(string_agg(t, chr(10) ORDER BY k) FILTER (NOT gone), C
        CAST(count(k) FILTER (gone) AS INT) AS n_removed_chunks, CAST(coalesce(sum(n) FILTER (gone), 0) AS INT) AS n_removed_lines
 FROM d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.text
 """
+
+WARC = r"""
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+l AS (SELECT d, max(page_id) AS lead FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN lead <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN lead <> page_id THEN lead END AS refers_to
+FROM p LEFT JOIN l USING (d)
+"""

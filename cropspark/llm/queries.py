@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, line_dedup, minhash_near_dedup, quality_rules
+from cropspark.llm import corpus_oracles, line_dedup, minhash_near_dedup, quality_rules, warc
+from cropspark.session import scratch_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +20,12 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_pages(_table(spark, folder, "pages"), path)
+    return warc.page_payloads(warc.read_records(spark, path))
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.dedup_lines(_table(spark, folder, "documents"))
     return done.select(
@@ -32,6 +39,7 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_warc": op3_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
 }
@@ -39,6 +47,7 @@ QUERIES = {
 _STOPS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS)) + "]"
 ORACLES = {
     "op2_quality_rules": corpus_oracles.QUALITY_RULES.replace("{stops}", _STOPS),
+    "op3_warc": corpus_oracles.WARC,
     "op6_line_dedup": corpus_oracles.LINE_DEDUP,
     "op7_minhash_near_dedup": corpus_oracles.NEAR_DUPLICATES,
 }

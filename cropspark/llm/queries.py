@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, line_dedup, minhash_near_dedup, quality_rules, warc
+from cropspark.llm import corpus_oracles, decontamination, line_dedup, minhash_near_dedup, quality_rules, warc
 from cropspark.session import scratch_path
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judge(_table(spark, folder, "documents"))
     return judged.select(
@@ -38,6 +42,7 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_warc": op3_warc,
     "op6_line_dedup": op6_line_dedup,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, decontamination, line_dedup, minhash_near_dedup, quality_rules, warc
+from cropspark.llm import corpus_oracles, decontamination, line_dedup, minhash_near_dedup, quality_rules, token_counts, token_output, warc
 from cropspark.session import scratch_path
 
 
@@ -30,6 +31,13 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_payloads(warc.read_records(spark, path))
 
 
+def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "sequences")
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_output.write_sequences(_table(spark, folder, "documents"), path, tokenizer, end_id=2)
+    return token_output.read_documents(spark, path)
+
+
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = line_dedup.dedup_lines(_table(spark, folder, "documents"))
     return done.select(
@@ -41,12 +49,21 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "flat-tokens")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    token_counts.write_flat(_table(spark, folder, "documents"), path, ranks, public_tokenizers.PATTERN, end_id=50256)
+    return token_counts.count_tokens(spark, path, end_id=50256).select("document", "start", "n_tokens", "ended")
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_warc": op3_warc,
+    "op5_token_output": op5_token_output,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 _STOPS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS)) + "]"

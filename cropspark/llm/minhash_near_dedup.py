@@ -173,21 +173,18 @@ def _rest_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
     own = size_class(F.col("size"))
     lists = (
         per_node.filter(F.size("posts") >= need)
-        .select("node", "component", F.least(own, "partner").alias("s"), F.greatest(own, "partner").alias("t"), F.explode(prefix).alias("p"))
-        .select("p.g", "s", "t", "node", "component")
+        .select("node", "component", F.least(own, "partner").alias("s"), F.greatest(own, "partner").alias("t"), "size", F.size("posts").alias("all"), F.posexplode(prefix).alias("at", "p"))
+        .select("p.g", "s", "t", "node", "component", "size", (F.col("all") - F.col("at")).alias("left"))
     )
     lists = stored(lists, "rest")
     key = ["g", "s", "t"]
     between = lists.groupBy(*key).agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select(*key)
     lists = lists.join(between, key)
-    other = lists.select(*key, F.col("node").alias("b"), F.col("component").alias("cb"))
-    return (
-        lists.select(*key, F.col("node").alias("a"), F.col("component").alias("ca"))
-        .join(other, key)
-        .filter("ca <> cb and a < b")
-        .select("a", "b")
-        .distinct()
-    )
+    one = lists.select(*key, F.col("node").alias("a"), F.col("component").alias("ca"), F.col("size").alias("na"), F.col("left").alias("ra"))
+    other = lists.select(*key, F.col("node").alias("b"), F.col("component").alias("cb"), F.col("size").alias("nb"), F.col("left").alias("rb"))
+    # from the first shingle they share on, both must have as many left as sets of these sizes share
+    enough = F.least("ra", "rb") * F.lit(100 + PERCENT) >= F.lit(PERCENT) * (F.col("na") + F.col("nb"))
+    return one.join(other, key).filter(F.expr("ca <> cb and a < b") & enough).select("a", "b").distinct()
 
 
 def _centre_pairs(rows: DataFrame, order: Column) -> DataFrame:

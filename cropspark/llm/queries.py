@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, decontamination, line_dedup, minhash_near_dedup, quality_rules, token_counts, token_output, warc
+from cropspark.llm import corpus_oracles, decontamination, line_dedup, minhash_near_dedup, quality_rules, sentencepiece, token_counts, token_output, warc
 from cropspark.session import scratch_path
 
 
@@ -31,6 +31,14 @@ def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.page_payloads(warc.read_records(spark, path))
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = sentencepiece.load_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    back = sentencepiece.decode(sentencepiece.encode(docs, model), model)
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), sentencepiece.BLANK, " ")
+    return back.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
 def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "sequences")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +68,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
     "op3_warc": op3_warc,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_token_output": op5_token_output,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,

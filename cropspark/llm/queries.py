@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, decontamination, line_dedup, minhash_near_dedup, quality_rules, sentencepiece, token_counts, token_output, warc
+from cropspark.llm import corpus_oracles, decontamination, line_dedup, lm_scoring, minhash_near_dedup, quality_rules, sentencepiece, token_counts, token_output, warc
 from cropspark.session import scratch_path
 
 
@@ -57,6 +57,10 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, folder, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "flat-tokens")
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -72,6 +76,7 @@ QUERIES = {
     "op5_token_output": op5_token_output,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_token_counts": op10_token_counts,
 }
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, decontamination, line_dedup, lm_scoring, minhash_near_dedup, quality_rules, sentencepiece, token_counts, token_output, warc
+from cropspark.llm import corpus_oracles, decontamination, line_dedup, lm_scoring, minhash_near_dedup, quality_rules, sentencepiece, suffix_array_dedup, token_counts, token_output, warc
 from cropspark.session import scratch_path
 
 
@@ -57,6 +57,11 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = suffix_array_dedup.remove_repeats(_table(spark, folder, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score(_table(spark, folder, "documents"))
 
@@ -76,6 +81,7 @@ QUERIES = {
     "op5_token_output": op5_token_output,
     "op6_line_dedup": op6_line_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_counts": op10_token_counts,
 }

@@ -1,23 +1,58 @@
-"""The training-data pipeline: each stage takes the documents its predecessor kept."""
+"""The training-data pipeline: each stage takes the documents its predecessor kept.
+
+Stages return the columns of `documents`; the last one adds the token ids of the text that is
+left. Decisions take effect: rejected, duplicate and contaminated documents go, repeated lines
+are cut out of the texts.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cropspark.llm import quality_rules
+from cropspark.llm import decontamination, line_dedup, minhash_near_dedup, quality_rules, sentencepiece
 from cropspark.llm.frames import stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that break the base rule or a rule of the table go."""
     return quality_rules.keep_good(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality)]
-#: The later stages keep state that SQL has no words for; tests hold the rows against a brute-force version.
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Chunks of lines that occurred before are cut out; n_chars follows the text."""
+    return line_dedup.without_repeats(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one with the smallest id."""
+    return minhash_near_dedup.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document with its token ids and their number."""
+    model = sentencepiece.load_model(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepiece.encode(docs, model).withColumn("n_tokens", F.size("ids").cast("bigint"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("MinHash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("SentencePiece encoding", encode),
+]
+#: SQL has no words for the alignments and the merges; tests hold run() against brute force.
 ORACLE_SQL = None
 
 

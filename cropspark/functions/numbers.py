@@ -12,8 +12,9 @@ from cropspark.functions.text import strip
 # JVM would also read "12d", "NaN" or "Infinity".
 _DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _SPACED_DECIMAL = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
-_DATE = r"^ *[0-9]{4}-(0?[1-9]|1[0-2])(-(0?[1-9]|[12][0-9]|3[01])([ T].*)?)? *$"
-_WHOLE = r"^[+-]?[0-9]{1,9}(\.0*)?$"
+_WHOLE = r"^[+-]?[0-9]+(\.0*)?$"
+_POWER = r"^[+-]?[0-9]+(\.[0-9]*)?[eE][+]?[0-9]+$"
+_DATE = r"^\s*[+-]?[0-9]{4,7}(-(0?[1-9]|1[0-2])(-(0?[1-9]|[12][0-9]|3[01])([ T].*)?)?)?\s*$"
 
 
 def _decimal_or_null(text: Column) -> Column:
@@ -28,9 +29,16 @@ def to_number(col: Column) -> Column:
 
 
 def to_year(col: Column) -> Column:
-    """Text or number to a nullable whole year ("2023" and "2023.0" are both 2023)."""
+    """Text or number to a nullable whole year ("2023", "2023.0" and "2.023e3" are all 2023).
+
+    Whether a year is possible is for the range check of the caller to say; only what is not
+    whole or doesn't fit an integer is NULL.
+    """
     text = strip(col.cast("string"))
-    return F.when(text.rlike(_WHOLE), text.try_cast("double").cast("int"))
+    number = text.try_cast("double")
+    return F.when(text.rlike(_WHOLE), number.try_cast("int")).when(
+        text.rlike(_POWER) & (number == F.floor(number)), number.try_cast("int")
+    )
 
 
 def to_timestamp(col: Column) -> Column:

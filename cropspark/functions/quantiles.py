@@ -16,6 +16,30 @@ from pyspark.sql import functions as F
 from cropspark.session import written_once
 
 
+def _running_counts(cells, by):
+    """`_start` and `_end` of each cell in the order of its group.
+
+    Cells are range-partitioned in that order and written, so a large group lies in many
+    partitions. What stands before a partition comes from one row per group and partition;
+    the running count inside it is a window over that partition only.
+    """
+    order = [F.col("_at").asc_nulls_first(), F.col("_gap").asc_nulls_first()]
+    spread = cells.repartitionByRange(*[F.col(c).asc_nulls_first() for c in by], *order)
+    parts = written_once(spread.withColumn("_part", F.spark_partition_id()), "cells")
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy(*by, "_part").agg(F.sum("_c").alias("_s"))
+    offsets = offsets.withColumn("_offset", F.coalesce(F.sum("_s").over(before), F.lit(0)))
+    keys = {c: f"_o{i}" for i, c in enumerate(by)}
+    side = offsets.select(*[F.col(c).alias(k) for c, k in keys.items()], F.col("_part").alias("_p"), "_offset")
+    same = parts["_part"] == side["_p"]
+    for c, k in keys.items():
+        same = same & parts[c].eqNullSafe(side[k])
+    within = Window.partitionBy("_part", *by).orderBy(*order)
+    placed = parts.join(side, same).drop("_p", *keys.values())
+    placed = placed.withColumn("_end", F.col("_offset") + F.sum("_c").over(within))
+    return placed.withColumn("_start", F.col("_end") - F.col("_c"))
+
+
 def exact_percentiles(
     df: DataFrame,
     value: str,
@@ -79,10 +103,7 @@ def exact_percentiles(
             F.max("_n").alias("_n"),
         )
     )
-    in_order = Window.partitionBy(*by).orderBy(F.col("_at").asc_nulls_first(), "_gap")
-    ranked = cells.withColumn("_end", F.sum("_c").over(in_order)).withColumn(
-        "_start", F.col("_end") - F.col("_c")
-    )
+    ranked = _running_counts(cells, by)
 
     def at_rank(rank):
         found = (

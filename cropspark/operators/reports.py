@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from cropspark.functions.numbers import thousands
 
+LISTED = (
+    "produto", "produto_nome_ibge", "ano", "area_colhida_ha", "qtd_produzida", "unidade_qtd",
+    "rendimento_medio_kg_ha", "valor_producao_mil_reais", "status_dado", "processado_em",
+)
+
 
 def star_join(
     fact: DataFrame, dim_commodity: DataFrame, dim_territory: DataFrame | None = None
@@ -87,17 +92,16 @@ def top_volume_last_year(
 
 
 def processed_listing(df: DataFrame) -> DataFrame:
-    return df.select(
-        "produto", "produto_nome_ibge", "ano", "area_colhida_ha", "qtd_produzida",
-        "unidade_qtd", "rendimento_medio_kg_ha", "valor_producao_mil_reais",
-        "status_dado", "processado_em",
-    ).orderBy(F.col("ano").desc(), F.col("valor_producao_mil_reais").desc_nulls_last())
+    return df.select(*LISTED).orderBy(F.col("ano").desc(), F.col("valor_producao_mil_reais").desc_nulls_last())
+
 
+def collection_report(df: DataFrame, width: int | None = None) -> DataFrame:
+    """Printable lines per product and year, with the number of rows collected.
 
-def collection_report(df: DataFrame) -> DataFrame:
-    """Printable lines per product and year, with the number of rows collected."""
+    Names are whole; a printed report cuts them to its column `width`.
+    """
     lines = df.select(
-        F.substring("produto", 1, 34).alias("produto"),
+        (F.col("produto") if width is None else F.substring("produto", 1, width)).alias("produto"),
         F.col("ano").cast("string").alias("ano"),
         thousands(F.col("qtd_produzida"), 0, missing="—").alias("qtd_texto"),
         thousands(F.col("valor_producao_mil_reais"), 0, missing="—").alias("valor_texto"),

@@ -112,25 +112,34 @@ def has_both_keys() -> Column:
 def unique_batch(
     batch: DataFrame, keys: Sequence[str], on_duplicate: str = "fail", order: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key. "fail" raises on a repeated key, "last" keeps the last by `order`."""
+    """One row per key. "fail" raises on a repeated key, "last" keeps the last by `order`.
+
+    A NULL key part equals nothing, so such rows have no conflict key; the key columns don't
+    take NULL, and `without_key` gives these rows for a report.
+    """
     if on_duplicate not in ("fail", "last"):
         raise ValueError(f"unknown duplicate rule {on_duplicate!r}")
     if on_duplicate == "last" and not order:
         raise ValueError('"last" needs an order')
+    batch = batch.na.drop(subset=list(keys))
+    if on_duplicate == "fail":
+        copies = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+        bad = F.raise_error(F.lit("the batch holds a conflict key twice")).cast("boolean")
+        return batch.join(copies.where(bad).select(*keys), list(keys), "left_anti")
     rest = [c for c in batch.columns if c not in keys]
     position = F.struct(*order) if order else F.struct(*rest)
-    grouped = batch.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), position).alias("_row"), F.count(F.lit(1)).alias("_copies")
-    )
-    if on_duplicate == "fail":
-        grouped = grouped.where(
-            F.when(F.col("_copies") == 1, True).otherwise(
-                F.raise_error(F.lit("the batch holds a conflict key twice")).cast("boolean")
-            )
-        )
+    grouped = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), position).alias("_row"))
     return grouped.select(*keys, "_row.*").select(*batch.columns)
 
 
+def without_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that no upsert can store: a part of the conflict key is NULL."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    return batch.where(missing)
+
+
 def upsert(
     base: DataFrame,
     batch: DataFrame,

@@ -19,11 +19,6 @@ def processed(spark, folder):
     return r.raw_lines(spark, folder).transform(rows.clean_rows, processed_at=r.PROCESSED_AT)
 
 
-def stored_processed(spark, folder):
-    """The processed table as a stored layer, for listings that sort or pass twice."""
-    return written_once(processed(spark, folder), "processed")
-
-
 # --- projections and filters -------------------------------------------------
 
 
@@ -316,7 +311,7 @@ def clean_chain(spark, folder):
       processado_em FROM processado""",
 )
 def processed_listing(spark, folder):
-    return reports.processed_listing(stored_processed(spark, folder))
+    return reports.processed_listing(written_once(processed(spark, folder).select(*reports.LISTED), "listed"))
 
 
 @query(
@@ -325,7 +320,7 @@ def processed_listing(spark, folder):
       WHERE status_dado = 'parcial'""",
 )
 def partial_records(spark, folder):
-    return rows.partial_records(stored_processed(spark, folder))
+    return rows.partial_records(processed(spark, folder))
 
 
 @query(
@@ -352,7 +347,7 @@ def distinct_name_map(spark, folder):
       UNION ALL SELECT DISTINCT 'produto', produto FROM processado""",
 )
 def filter_options(spark, folder):
-    rows_ = stored_processed(spark, folder)
+    rows_ = written_once(processed(spark, folder).select("ano", "produto").distinct(), "options")
     years = reports.filter_options(rows_, "ano", descending=True)
     products = reports.filter_options(rows_, "produto")
     return years.select(F.lit("ano").alias("filtro"), F.col("ano").cast("string").alias("opcao")).unionAll(

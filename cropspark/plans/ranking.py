@@ -19,6 +19,10 @@ def star(spark, folder, fact=r.fact):
     )
 
 
+def one_year_fact(spark, folder):
+    return r.fact(spark, folder, r.YEAR)
+
+
 @query(
     "top5_latest_year",
     sql=f"""WITH {r.SQL_STAR}
@@ -43,7 +47,7 @@ def top5_latest_year(spark, folder):
       ORDER BY {_VALUE} DESC, produto, id_territorio LIMIT 5""",
 )
 def top5_fixed_year(spark, folder):
-    fact, products, _ = star(spark, folder)
+    fact, products, _ = star(spark, folder, one_year_fact)
     return r.doubles(reports.top_fixed_year(fact, products, r.YEAR), ["qtd_produzida", _VALUE])
 
 
@@ -63,7 +67,7 @@ def star_listing(spark, folder):
 )
 def star_listing_selected(spark, folder):
     """Two products in one year, the example listing of the relational model."""
-    chosen = reports.selected_products(*star(spark, folder), codes=["40124", "40125"], year=r.YEAR)
+    chosen = reports.selected_products(*star(spark, folder, one_year_fact), codes=["40124", "40125"], year=r.YEAR)
     return r.doubles(chosen)
 
 
@@ -91,7 +95,7 @@ def collection_report(spark, folder):
     rows = r.doubles(r.stored_wide(spark, folder)).withColumn(
         "qtd_produzida", F.when(F.col("cod_territorial") != "7", F.col("qtd_produzida"))
     )
-    return reports.collection_report(rows)
+    return reports.collection_report(rows, width=34)
 
 
 # --- dashboard -------------------------------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cropspark import fixed_values as fv
 from cropspark.functions.text import lookup_or
-from cropspark.session import spread, written_once
+from cropspark.session import written_once
 
 COLLECTED_AT = "2024-01-15 10:00:00"
 PROCESSED_AT = "2024-01-16 12:30:00"
@@ -50,9 +50,19 @@ def official_or_brand(code: Column) -> Column:
     return lookup_or(code, fv.OFFICIAL_NAMES, F.col("p_brand"))
 
 
-def lines(spark: SparkSession, folder: str, items: DataFrame | None = None) -> DataFrame:
+def of_year(items: DataFrame, year: int | None) -> DataFrame:
+    """Line items of one year, as a range of the ship date that reaches the scan."""
+    if year is None:
+        return items
+    shipped = F.col("l_shipdate")
+    return items.where((shipped >= F.lit(f"{year}-01-01").cast("date")) & (shipped < F.lit(f"{year + 1}-01-01").cast("date")))
+
+
+def lines(
+    spark: SparkSession, folder: str, items: DataFrame | None = None, year: int | None = None
+) -> DataFrame:
     """One row per line item with its product and place."""
-    items = table(spark, folder, "lineitem") if items is None else items
+    items = of_year(table(spark, folder, "lineitem") if items is None else items, year)
     cents = F.rint(F.col("l_extendedprice") * 100).cast("bigint")
     kept_percent = 100 - F.rint(F.col("l_discount") * 100).cast("bigint")
     code = (FIRST_CODE + brand_number()).cast("string")
@@ -78,7 +88,7 @@ def lines(spark: SparkSession, folder: str, items: DataFrame | None = None) -> D
             F.col("s_nationkey").cast("string").alias("cod_territorial"),
             F.col("n_name").alias("nome_territorial"),
             F.year("l_shipdate").alias("ano"),
-            F.col("l_quantity").cast("bigint").alias("area"),
+            F.col("l_quantity").cast("decimal(18,2)").alias("area"),
             cents.alias("centavos"),
             (cents * kept_percent).alias("valor_1e4"),
             "l_shipdate",
@@ -112,10 +122,10 @@ PLACE_KEYS = [
 ]
 
 
-def wide(spark: SparkSession, folder: str) -> DataFrame:
+def wide(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
     """Raw wide rows: one per product, place and year, in the 15-column order."""
     return (
-        lines(spark, folder)
+        lines(spark, folder, year=year)
         .groupBy(*PLACE_KEYS)
         .agg(*_metrics())
         .withColumns(
@@ -130,9 +140,9 @@ def wide(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stored_wide(spark: SparkSession, folder: str) -> DataFrame:
+def stored_wide(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
     """`wide` computed once, for queries that pass over it more than once."""
-    return written_once(wide(spark, folder), "wide")
+    return written_once(wide(spark, folder, year), "wide")
 
 
 def stored_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,8 +185,8 @@ def dim_territory(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def fact(spark: SparkSession, folder: str) -> DataFrame:
-    return lines(spark, folder).groupBy("id_commodity", "id_territorio", "ano").agg(*_metrics())
+def fact(spark: SparkSession, folder: str, year: int | None = None) -> DataFrame:
+    return lines(spark, folder, year=year).groupBy("id_commodity", "id_territorio", "ano").agg(*_metrics())
 
 
 def long_form(spark: SparkSession, folder: str) -> DataFrame:
@@ -200,7 +210,7 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    return lines(spark, folder, spread(items)).select(
+    return lines(spark, folder, items).select(
         F.concat(
             F.lit("  "),
             F.when(F.col("l_linestatus") == "F", F.upper("produto")).otherwise(F.lower("produto")),

@@ -14,7 +14,7 @@ _QUANTITY = "qtd_produzida"
 
 
 def one_year(spark, folder):
-    return r.doubles(r.stored_wide(spark, folder).where(F.col("ano") == r.YEAR))
+    return r.doubles(r.stored_wide(spark, folder, r.YEAR))
 
 
 def _sql_year(extra: str = "") -> str:

@@ -1,5 +1,6 @@
 """Session settings and the shared scratch folder."""
 
+import functools
 import tempfile
 import uuid
 
@@ -28,13 +29,23 @@ def get_spark(app_name: str = "cropspark", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="cropspark-", ignore_cleanup_errors=True)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one in local mode only."""
+    """The cluster's shared checkpoint folder.
+
+    Where none is set, a local session (one process, so every task sees its folders) gets a
+    temporary one, which goes with the process; any other session has to set it.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        folder = tempfile.mkdtemp(prefix="cropspark-")
+        folder = _own_folder().name
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -45,16 +56,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/cropspark/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core on an input that arrives in fewer partitions than there are cores.
-
-    One unsplittable file would otherwise keep costly row work in one task. A large
-    input already has more partitions than cores and is left as it is, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def written_once(df: DataFrame, label: str = "step") -> DataFrame:
     """Write `df` to the shared folder and go on from the written copy.
 

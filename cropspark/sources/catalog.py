@@ -1,5 +1,7 @@
 """Typed catalog tables for the processed rows and the star schema."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +68,11 @@ def append_to(df: DataFrame, table: str) -> None:
     """Insert by column name; table columns the frame lacks take their default."""
     target = df.sparkSession.table(table).schema
     shared = [f for f in target if f.name in df.columns]
-    df.select(*[F.col(f.name).cast(f.dataType) for f in shared]).createOrReplaceTempView("_rows")
+    view = f"rows_{uuid.uuid4().hex}"
+    df.select(*[F.col(f.name).cast(f.dataType) for f in shared]).createOrReplaceTempView(view)
     names = ", ".join(f.name for f in shared)
-    df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM _rows")
+    df.sparkSession.sql(f"INSERT INTO {table} ({names}) SELECT {names} FROM {view}")
+    df.sparkSession.catalog.dropTempView(view)
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

@@ -34,7 +34,8 @@ def payload_to_cells(
     table: str = fv.TABLE_CODE,
     number_mode: str = "pt_BR",
 ) -> DataFrame:
-    """One typed row per payload cell; a malformed document yields no rows.
+    """One typed row per payload cell; a malformed document yields no rows
+    (`rejected_documents` lists them).
 
     `payloads` has `payload` and `url_origem`. `posicao` is the place of the cell
     in its document and orders duplicates of one cell.
@@ -69,6 +70,11 @@ def payload_to_cells(
     )
 
 
+def rejected_documents(payloads: DataFrame) -> DataFrame:
+    """The documents that are not a JSON array of cells, which give no rows."""
+    return payloads.where(F.from_json("payload", PAYLOAD).isNull())
+
+
 def collect_wide(payloads: DataFrame, collected_at: str | Column, **options) -> DataFrame:
     """All landed payloads to typed, sorted raw wide rows.
 

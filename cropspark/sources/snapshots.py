@@ -17,7 +17,10 @@ from cropspark.functions.numbers import round_half_even
 from cropspark.operators.rows import project_ordered
 
 FORMATS = ("csv", "json", "parquet")
-CSV_OPTIONS = {"header": True, "escape": '"'}  # a quote inside a value is doubled
+# A quote inside a value is doubled; blanks around a value are kept.
+CSV_OPTIONS = {
+    "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 # Snapshot file name, prefix_level_years_date.extension
 NAME_PREFIX = "ibge_pam"
@@ -55,15 +58,42 @@ def _base_name(level: str, years: Sequence[int], day: str) -> str:
 # --- writers -------------------------------------------------------------------
 
 
+# A backslash is written twice, a line feed as \\n, a carriage return as \\r.
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _escape_breaks(text: Column) -> Column:
+    for plain, written in _ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(written))
+    return text
+
+
+def _restore_breaks(text: Column) -> Column:
+    # every second part of a split at doubled backslashes is free of them
+    parts = F.transform(
+        F.split(text, r"\\\\"), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    )
+    return F.array_join(parts, "\\")
+
+
+def _in_texts(df: DataFrame, change) -> DataFrame:
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.select(*[change(F.col(c)).alias(c) if c in texts else c for c in df.columns])
+
+
 def write_csv(
-    df: DataFrame, path: str, order: Sequence[str] = fv.RAW_COLUMNS, single_file: bool = False
+    df: DataFrame, path: str, order: Sequence[str] = fv.RAW_COLUMNS, single_file: bool = False, escaped: bool = False
 ) -> None:
     """CSV with header and fixed column order, one part per task.
 
     `single_file=True` gives one part that starts with a byte-order mark for
-    spreadsheet programs; use it for small exports only.
+    spreadsheet programs; use it for small exports only. `escaped=True` writes line
+    breaks as backslash sequences, so that a row stays one line and files stay splittable;
+    read them back with `read_csv(..., escaped=True)`.
     """
     out = project_ordered(df, order)
+    if escaped:
+        out = _in_texts(out, _escape_breaks)
     if single_file:
         first, *rest = out.columns
         out = out.select(F.col(first).alias("﻿" + first), *rest).coalesce(1)
@@ -136,10 +166,14 @@ def write_raw_layer(
 
 
 def read_csv(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType = schemas.RAW_WIDE
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: T.StructType = schemas.RAW_WIDE,
+    escaped: bool = False,
 ) -> DataFrame:
     """CSV with header; a byte-order mark is dropped."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return _in_texts(rows, _restore_breaks) if escaped else rows
 
 
 def read_json_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:

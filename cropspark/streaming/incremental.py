@@ -10,9 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from cropspark import fixed_values as fv
 from cropspark import schemas
 from cropspark.operators.rows import clean_rows
-from cropspark.operators.star import upsert_processed
+from cropspark.sources.lake import upsert_lake
 from cropspark.sources.snapshots import CSV_OPTIONS
-from cropspark.sources.versions import current_version, publish, read_current
 
 
 def landed_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,18 +23,13 @@ def landed_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def load_batch(batch: DataFrame, batch_id: int, table: str, processed_at: str) -> None:
-    """Upsert one micro-batch; a batch that was already published is skipped."""
-    spark = batch.sparkSession
-    done = current_version(spark, table)
-    if done is not None and done >= batch_id:
-        return
+def load_batch(batch: DataFrame, table: str, processed_at: str) -> None:
+    """Upsert one micro-batch into the years it touches; doing it again changes nothing."""
     cleaned = clean_rows(batch, processed_at)
-    base = read_current(spark, table, schemas.PROCESSED)
-    merged = upsert_processed(
-        base, cleaned, on_duplicate="last", order=["coletado_em", *fv.METRICS]
+    order = ["coletado_em", *fv.METRICS]
+    upsert_lake(
+        table, cleaned, fv.PROCESSED_KEYS, fv.PROCESSED_UPDATES, schemas.PROCESSED, on_duplicate="last", order=order
     )
-    publish(merged, table, batch_id)
 
 
 def load_landed(
@@ -44,7 +38,7 @@ def load_landed(
     """Start loading everything not loaded yet; the query ends when it has caught up."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(batch, batch_id, table, processed_at)
+        load_batch(batch, table, processed_at)
 
     return (
         landed_rows(spark, folder)

@@ -98,3 +98,12 @@ def test_guarded_division(spark):
         num.percent_change(F.col("q"), F.col("a")),
     ).collect()
     assert [tuple(r) for r in got] == [(5.0, 5000.0, 400.0), (0.0, None, None), (0.0, None, None)]
+
+
+def test_years_and_dates_are_read_as_the_cast_reads_them(spark):
+    from cropspark.functions.numbers import to_timestamp, to_year
+
+    df = spark.createDataFrame([("2023.0",), (" 2.023e3",), ("12345678901",), ("2023.5",), ("x",), ("\t2026-03-23",)], "t string")
+    assert [r[0] for r in df.select(to_year(F.col("t"))).collect()] == [2023, 2023, None, None, None, None]
+    days = spark.createDataFrame([("2026",), ("\t2026-03-23",), ("x",)], "t string").select(to_timestamp(F.col("t")).cast("string"))
+    assert [r[0] for r in days.collect()] == ["2026-01-01 00:00:00", "2026-03-23 00:00:00", None]

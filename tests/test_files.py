@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cropspark import fixed_values as fv
 from cropspark import schemas
-from cropspark.sources import catalog, lake, versions
+from cropspark.sources import catalog, lake
 from cropspark.sources import snapshots as snap
 from cropspark.streaming.incremental import load_landed
 
@@ -124,17 +124,6 @@ def test_tables_enforce_types_and_defaults(spark, tmp_path):
         catalog.append_to(dim.withColumn("codigo_sidra", F.lit("12345678901")), tables["dim_commodity"])
 
 
-def test_only_published_versions_are_read(spark, tmp_path):
-    path = str(tmp_path / "table")
-    schema = spark.range(1).schema
-    assert versions.read_current(spark, path, schema).count() == 0
-    versions.publish(spark.range(3), path, 0)
-    spark.range(9).write.parquet(f"{path}/version=1")  # written, never published
-    assert versions.read_current(spark, path, schema).count() == 3
-    versions.publish(versions.read_current(spark, path, schema).unionAll(spark.range(1)), path, 1)
-    assert versions.read_current(spark, path, schema).count() == 4
-
-
 def test_new_files_are_upserted_once(spark, tmp_path):
     landed, table, checkpoint = (str(tmp_path / d) for d in ("landed", "table", "checkpoint"))
 
@@ -143,10 +132,39 @@ def test_new_files_are_upserted_once(spark, tmp_path):
 
     def load():
         load_landed(spark, landed, table, checkpoint, AT).awaitTermination()
-        return values(versions.read_current(spark, table, schemas.PROCESSED), "produto_cod", "area_colhida_ha")
+        return values(lake.read_lake(spark, table, schemas.PROCESSED), "produto_cod", "area_colhida_ha")
 
     land("a.csv", row(), row(code="2"))
     assert load() == [("1", 1.5), ("2", 1.5)]
     land("b.csv", row(area=9.0, at="2024-02-01 00:00:00"), row(code="3"), row(code="bad"))
     assert load() == [("1", 9.0), ("2", 1.5), ("3", 1.5)]
     assert load() == [("1", 9.0), ("2", 1.5), ("3", 1.5)]
+
+
+def test_a_new_checkpoint_loads_its_first_batch(spark, tmp_path):
+    landed, table = (str(tmp_path / d) for d in ("landed", "table"))
+    for k, code in enumerate("12"):
+        snap.write_csv(spark.createDataFrame([row(code=code)], schemas.RAW_WIDE), f"{landed}-{k}/a.csv")
+        load_landed(spark, f"{landed}-{k}", table, str(tmp_path / f"checkpoint-{k}"), AT).awaitTermination()
+    assert values(lake.read_lake(spark, table, schemas.PROCESSED), "produto_cod") == [("1",), ("2",)]
+
+
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark, tmp_path):
+    texts = ["  a b ", 'say "x"', "one\ntwo\r\nthree", "back\\nslash", "\\\\", "tab\t", None]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "produto string, ano int")
+    snap.write_csv(df, str(tmp_path / "x.csv"), order=["produto", "ano"], escaped=True)
+    back = snap.read_csv(spark, str(tmp_path / "x.csv"), df.schema, escaped=True)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == sorted(map(tuple, df.collect()), key=lambda r: r[1])
+
+
+def test_upsert_leaves_other_years_alone(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "k string, v int, ano int"
+    base = spark.createDataFrame([("a", 1, 2020), ("b", 2, 2020), ("a", 3, 2021)], schema)
+    lake.write_lake(base, path, ("ano",))
+    before = sorted(str(p) for p in (tmp_path / "t" / "ano=2021").glob("*.parquet"))
+    batch = spark.createDataFrame([("b", 9, 2020), ("c", 5, 2022), (None, 7, 2020)], schema)
+    for _ in range(2):
+        lake.upsert_lake(path, batch, ["k", "ano"], ["v"], base.schema)
+        found = values(lake.read_lake(spark, path, base.schema), "k", "v", "ano")
+        assert found == [("a", 1, 2020), ("a", 3, 2021), ("b", 9, 2020), ("c", 5, 2022)]
+    assert sorted(str(p) for p in (tmp_path / "t" / "ano=2021").glob("*.parquet")) == before

@@ -78,3 +78,12 @@ def test_a_repeated_conflict_key_fails_or_keeps_the_last(spark):
         star.unique_batch(batch, ["k"], "last")
     with pytest.raises(ValueError):
         star.unique_batch(batch, ["k"], "other")
+
+
+def test_a_missing_key_part_neither_merges_nor_multiplies(spark):
+    batch = spark.createDataFrame([("1", None, 1.0), ("2", None, 2.0), ("3", "a", 3.0)], "k string, p string, v double")
+    base = spark.createDataFrame([], batch.schema)
+    once = star.upsert(base, batch, ["k", "p"], ["v"])
+    twice = star.upsert(once, batch, ["k", "p"], ["v"])
+    assert values(once) == values(twice) == [("3", "a", 3.0)]
+    assert values(star.without_key(batch, ["k", "p"])) == [("1", None, 1.0), ("2", None, 2.0)]

@@ -84,18 +84,40 @@ def _written_files(spark, folder):
     return snap.snapshot_files(spark, paths, rows)
 
 
-@query("snapshot_manifest")
+@query(
+    "snapshot_manifest",
+    sql=f"""WITH {r.SQL_WIDE} SELECT unnest(['csv', 'json', 'parquet']) AS formato,
+      (SELECT count(*) FROM wide) AS linhas, (SELECT count(*) FROM wide) AS total_linhas,
+      true AS tem_bytes, true AS kb_confere""",
+)
 def snapshot_manifest(spark, folder):
-    """Describe a written snapshot, save the description, read it back."""
+    """Describe a written snapshot, save the description, read it back, one row per format."""
     files = _written_files(spark, folder)
     described = snap.manifest(files, "cropspark", "uf", _YEARS, r.COLLECTED_AT)
     path = snap.write_manifest(described, scratch_path(spark, "manifest"))
-    return spark.read.schema(described.schema).json(path)
+    saved = spark.read.schema(described.schema).json(path)
+    entries = saved.select("total_linhas", F.explode("arquivos").alias("formato", "f"))
+    return entries.select(
+        "formato", "f.linhas", "total_linhas", (F.col("f.tamanho_bytes") > 0).alias("tem_bytes"),
+        (F.abs(F.col("f.tamanho_bytes") / 1024 - F.col("f.tamanho_kb")) <= 0.005).alias("kb_confere"),
+    )
 
 
-@query("format_size_report")
+@query(
+    "format_size_report",
+    sql="""SELECT unnest(['csv', 'json', 'parquet']) AS formato, true AS tem_kb,
+      unnest([true, false, false]) AS e_base, true AS pct_confere""",
+)
 def format_size_report(spark, folder):
-    return snap.format_size_report(_written_files(spark, folder))
+    """The sizes themselves are the writer's; what must hold for them is reported."""
+    files = _written_files(spark, folder)
+    report = snap.format_size_report(files)
+    base = files.where(F.col("formato") == "csv").agg(F.max("tamanho_kb")).scalar()
+    pct = F.col("tamanho_kb") * 100 / base
+    return report.select(
+        "formato", (F.col("tamanho_kb") > 0).alias("tem_kb"), (F.col("formato") == "csv").alias("e_base"),
+        (F.abs(pct - F.col("pct_do_csv")) <= 0.1).alias("pct_confere"),
+    )
 
 
 @query(

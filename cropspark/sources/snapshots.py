@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from cropspark import fixed_values as fv
 from cropspark import schemas
 from cropspark.functions.numbers import round_half_even
+from cropspark.functions.text import lookup_or
 from cropspark.operators.rows import project_ordered
 
 FORMATS = ("csv", "json", "parquet")
@@ -251,11 +252,8 @@ def snapshot_files(
 ) -> DataFrame:
     """(formato, path, linhas, tamanho_bytes, tamanho_kb) per written format."""
     listed = spark.read.format("binaryFile").load(list(paths.values())).select("path", "length")
-    fmt = F.lit(None).cast("string")
-    root = F.lit(None).cast("string")
-    for name, path in paths.items():
-        here = F.col("path").contains(path)
-        fmt, root = F.when(here, name).otherwise(fmt), F.when(here, path).otherwise(root)
+    fmt = parse_snapshot_name(F.col("path"))["formato"]
+    root = lookup_or(fmt, paths, F.lit(None).cast("string"))
     sizes = (
         listed.select(fmt.alias("formato"), root.alias("path"), "length")
         .groupBy("formato", "path")

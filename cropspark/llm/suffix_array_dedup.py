@@ -15,8 +15,9 @@ longest left extension that it shares with any other member of the interval.
 
 Hot anchors. A hash with more than `GROUP` different contexts is split by what the strings
 around it contain: those that reach half of the way or more to the left share that left part,
-the others share a right part; and so on, until groups are small or one string is left, which
-is a plain count. So no group is ever collected whole, and none is cut.
+the others share a right part; and so on, until groups are small. Contexts are cut to what is
+left to reach each time, and those that are equal then become one, so strings that many copies
+share soon leave one row. So no group is ever collected whole, and none is cut.
 
 Defined results: null is an empty text; texts below `MIN_BYTES` bytes have no repeats except as
 copies have none either; copies of one longer text are removed whole; overlapping repeats of a
@@ -30,15 +31,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropspark.llm.frames import stored
-from cropspark.llm.text_arrays import Texts, gram, slices
+from cropspark.llm.text_arrays import Texts, gram, mixed, slices
 
 MIN_BYTES = 400
 GRAM = 64
-GROUP = 500
+GROUP = 1000
 SENT_HASHES = 8_000_000
 LEFT = MIN_BYTES - GRAM
 SLICE_BYTES = 2 << 20
@@ -85,34 +86,48 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_CONTEXTS = "h bigint, t binary, at bigint, c binary, before binary, after binary"
+_PLACES = "h bigint, t binary, at bigint, c binary, before bigint, after bigint"
+_CONTEXTS = "h bigint, c binary, before binary, after binary"
 
 
-def _context_rows(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    """Contexts of the anchors whose hash repeats; `sent` holds these hashes, None keeps all."""
+def _place_keys(texts: list[bytes], at: np.ndarray) -> np.ndarray:
+    """One number for each text and place; a chance agreement of two only costs a row."""
+    return np.array([int.from_bytes(t[:8], "little") for t in texts], np.uint64) ^ mixed(at.astype(np.uint64) + np.uint64(1))
+
+
+def _known(sent, values: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted array that was sent; all if none was."""
+    if sent is None:
+        return np.ones(len(values), bool)
+    at = np.minimum(np.searchsorted(sent.value, values), max(0, len(sent.value) - 1))
+    return sent.value[at] == values if len(sent.value) else np.zeros(len(values), bool)
+
+
+def _context_rows(batches: Iterator[pa.RecordBatch], hashes_sent, places_sent, content: bool) -> Iterator[pa.RecordBatch]:
+    """Contexts of the anchors that were sent: where they are and how long, or their bytes."""
     for batch in batches:
         for part in slices(batch.column(0), SLICE_BYTES):
             hashes, places, owner = anchors(part)
-            if sent is not None:
-                known = sent.value
-                at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-                keep = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+            keep = _known(hashes_sent, hashes)
+            hashes, places, owner = hashes[keep], places[keep], owner[keep]
+            own = set(owner.tolist())
+            by_text = [hashlib.md5(part.text(i)).digest() if i in own else b"" for i in range(part.n)]
+            at, digests = places - part.offsets[owner], [by_text[i] for i in owner.tolist()]
+            if content:
+                keep = _known(places_sent, _place_keys(digests, at)) if len(at) else np.zeros(0, bool)
                 hashes, places, owner = hashes[keep], places[keep], owner[keep]
             data = part.data.tobytes()
-            low = np.maximum(part.offsets[owner], places - LEFT).tolist()
-            high = np.minimum(part.offsets[owner + 1], places + MIN_BYTES).tolist()
-            before = [data[a:p] for a, p in zip(low, places.tolist())]
-            after = [data[p:b] for p, b in zip(places.tolist(), high)]
-            ids = [hashlib.md5(b"%d:" % len(x) + x + y).digest() for x, y in zip(before, after)]
-            own = set(owner.tolist())
-            digests = [hashlib.md5(part.text(i)).digest() if i in own else b"" for i in range(part.n)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(hashes.view(np.int64)), pa.array([digests[i] for i in owner.tolist()], pa.binary()), pa.array(places - part.offsets[owner]),
-                    pa.array(ids, pa.binary()), pa.array(before, pa.binary()), pa.array(after, pa.binary()),
-                ],
-                names=["h", "t", "at", "c", "before", "after"],
-            )
+            low = np.maximum(part.offsets[owner], places - LEFT)
+            high = np.minimum(part.offsets[owner + 1], places + MIN_BYTES)
+            edges = list(zip(low.tolist(), places.tolist(), high.tolist()))
+            ids = pa.array([hashlib.md5(b"%d:" % (p - a) + data[a:b]).digest() for a, p, b in edges], pa.binary())
+            h = pa.array(hashes.view(np.int64))
+            if content:
+                before, after = [data[a:p] for a, p, _ in edges], [data[p:b] for _, p, b in edges]
+                yield pa.RecordBatch.from_arrays([h, ids, pa.array(before, pa.binary()), pa.array(after, pa.binary())], names=["h", "c", "before", "after"])
+            else:
+                columns = [h, pa.array(digests, pa.binary()), pa.array(at), ids, pa.array(places - low), pa.array(high - places)]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "t", "at", "c", "before", "after"])
 
 
 def _agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -224,65 +239,101 @@ def _solve_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    """Each row for the strings that reach the middle to the left, and for the others."""
-    middle = F.floor((F.col("low") + F.col("high") + 1) / 2).cast("int")
-    rows = rows.withColumn("middle", middle)
+    """Each row for the strings that reach the middle to the left, and for the others.
+
+    Contexts are cut to what those strings can reach; `c` is the context before, `cut` after.
+    """
+    rows = rows.withColumn("middle", F.floor((F.col("low") + F.col("high") + 1) / 2).cast("int"))
+    reach = F.lit(MIN_BYTES + 1) - F.col("middle")
+
+    def ends(name: str, length) -> Column:
+        return F.substring(name, F.octet_length(name) - F.least(length, F.octet_length(name)) + F.lit(1), length)
+
     left = rows.filter(F.octet_length("before") >= F.col("middle")).select(
-        F.xxhash64("key", F.lit("left"), F.expr("right(hex(before), 2 * middle)")).alias("key"),
-        "c", "before", "after", "many", F.col("middle").alias("low"), "high",
+        F.xxhash64("key", F.lit("left"), ends("before", F.col("middle"))).alias("key"), "c",
+        "before", F.substring("after", F.lit(1), F.lit(MIN_BYTES) - F.col("middle")).alias("after"), "many", F.col("middle").alias("low"), "high",
     )
-    reach = F.lit(MIN_BYTES + 1) - F.col("middle")
     right = rows.filter(F.octet_length("after") >= reach).select(
-        F.xxhash64("key", F.lit("right"), F.substring("after", F.lit(1), reach)).alias("key"),
-        "c", "before", "after", "many", "low", (F.col("middle") - 1).alias("high"),
+        F.xxhash64("key", F.lit("right"), F.substring("after", F.lit(1), reach)).alias("key"), "c",
+        ends("before", F.col("middle") - F.lit(1)).alias("before"), "after", "many", "low", (F.col("middle") - 1).alias("high"),
     )
-    return left.unionByName(right)
+    both = left.unionByName(right)
+    content = F.concat(F.octet_length("before").cast("string").cast("binary"), F.lit(":").cast("binary"), F.col("before"), F.col("after"))
+    return both.withColumn("cut", F.unhex(F.md5(content)))
+
+
+def _sent(spark, df: DataFrame, values, limit: int):
+    """The sorted values of a small table as a broadcast, None for a table of over `limit` rows."""
+    return spark.sparkContext.broadcast(np.sort(values(df.toArrow()))) if df.count() <= limit else None
+
+
+def _whole_spans(before: Column, after: Column, low: Column, high: Column) -> Column:
+    """The span of all strings around an anchor that its context can hold."""
+    left, right = F.least(high, before).cast("int"), F.greatest(low, F.lit(MIN_BYTES) - after).cast("int")
+    span = F.struct((-left).alias("a"), (F.lit(MIN_BYTES) - right).alias("b"))
+    return F.when(left >= right, F.array(span)).otherwise(F.array().cast("array<struct<a:int,b:int>>"))
 
 
-def trees(docs: DataFrame, text_col: str = "text", sent_hashes: int = SENT_HASHES, group: int = GROUP) -> tuple[DataFrame, DataFrame]:
-    """The solved rows (nodes and contexts) and the places (t, at, c) of the contexts in texts."""
+def trees(docs: DataFrame, text_col: str = "text", sent_hashes: int = SENT_HASHES, group: int = GROUP) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The nodes, the spans (c, s) of the contexts, and the places (t, at, c) of the contexts."""
     spark = docs.sparkSession
     texts = docs.select(F.coalesce(text_col, F.lit("")).alias("text"))
     where = F.struct("t", "at")
     found = texts.mapInArrow(_anchor_rows, "h bigint, t binary, at bigint")
     repeated = found.groupBy("h").agg(F.min(where).alias("x"), F.max(where).alias("y")).filter("x <> y").select("h")
     repeated = stored(repeated, "anchors")
-    if repeated.count() <= sent_hashes:
-        known = np.sort(repeated.toArrow().column(0).to_numpy().view(np.uint64))
-        sent = spark.sparkContext.broadcast(known)
-        rows = texts.mapInArrow(lambda b: _context_rows(b, sent), _CONTEXTS)
-    else:
-        rows = texts.mapInArrow(lambda b: _context_rows(b, None), _CONTEXTS).join(repeated, "h")
-    rows = stored(rows, "contexts")
-    contexts = rows.groupBy(F.col("h").alias("key"), "c").agg(
-        F.first("before").alias("before"), F.first("after").alias("after"), (F.min(where) < F.max(where)).alias("many")
+    hashes = _sent(spark, repeated, lambda t: t.column(0).to_numpy().view(np.uint64), sent_hashes)
+    places = texts.mapInArrow(lambda b: _context_rows(b, hashes, None, False), _PLACES)
+    places = stored(places if hashes is not None else places.join(repeated, "h", "left_semi"), "places")
+    contexts = places.groupBy(F.col("h").alias("key"), "c").agg(
+        F.min(where).alias("first"), (F.min(where) < F.max(where)).alias("many"), F.max("before").alias("before"), F.max("after").alias("after")
     )
-    todo = stored(contexts.withColumn("low", F.lit(0)).withColumn("high", F.lit(LEFT)), "groups")
-    solved = None
+    contexts = stored(contexts, "contexts")
+    sizes = stored(contexts.groupBy("key").agg(F.count("*").alias("n")), "sizes")
+    # one context that occurs more than once is covered as far as it reaches, whatever its bytes
+    alone = contexts.join(sizes.filter("n = 1").select("key"), "key").filter("many")
+    spans = [alone.select("c", F.explode(_whole_spans(F.col("before"), F.col("after"), F.lit(0), F.lit(LEFT))).alias("s"))]
+    wanted = stored(contexts.join(sizes.filter("n > 1").select("key"), "key").select("key", "c", "first", "many"), "wanted")
+    firsts = wanted.select("first.t", "first.at").distinct()
+    keys = _sent(spark, firsts, lambda t: _place_keys(t.column(0).to_pylist(), t.column(1).to_numpy()) if len(t) else np.zeros(0, np.uint64), sent_hashes)
+    content = texts.mapInArrow(lambda b: _context_rows(b, hashes, keys, True), _CONTEXTS).withColumnRenamed("h", "key")
+    content = content.groupBy("key", "c").agg(F.first("before").alias("before"), F.first("after").alias("after"))
+    todo = wanted.select("key", "c", "many").join(content, ["key", "c"]).withColumn("low", F.lit(0)).withColumn("high", F.lit(LEFT))
+    todo, members, nodes = stored(todo, "groups"), None, []
     while True:
-        counted = todo.groupBy("key").agg(F.count("*").alias("n"), F.max("many").alias("any"))
-        counted = stored(counted.filter("n > 1 or any"), "sizes")
-        rows_of = lambda which: todo.join(counted.filter(which).select("key", "n"), "key")
-        small = rows_of(f"n <= {group}").drop("n")
-        ordered = small.repartition("key").sortWithinPartitions("key", "after")
-        done = stored(ordered.mapInArrow(_solve_groups, _SOLVED), "solved")
-        solved = done if solved is None else solved.unionByName(done)
+        counted = stored(todo.groupBy("key").agg(F.count("*").alias("n"), F.max("many").alias("any")), "sizes")
+        counted = counted.filter("n > 1 or any")
+        small = todo.join(counted.filter(f"n <= {group}").select("key"), "key")
+        solved = stored(small.repartition("key").sortWithinPartitions("key", "after").mapInArrow(_solve_groups, _SOLVED), "solved")
+        nodes.append(solved.filter("c is null").drop("c", "spans"))
+        done = solved.filter("c is not null").select("key", "c", F.explode("spans").alias("s"))
+        if members is not None:
+            done = done.withColumnRenamed("c", "cut").join(members, ["key", "cut"]).select("c", "s")
+        spans.append(done.select("c", "s"))
+        large = todo.join(counted.filter(f"n > {group}").select("key"), "key")
         if counted.filter(f"n > {group}").isEmpty():
             break
-        large = rows_of(f"n > {group}").drop("n")
-        # one string left: all members of its group have it
-        single = large.filter("low = high").filter(F.octet_length("before") >= F.col("low")).filter(F.octet_length("after") >= F.lit(MIN_BYTES) - F.col("low"))
-        span = F.array(F.struct((-F.col("low")).alias("a"), (F.lit(MIN_BYTES) - F.col("low")).alias("b")))
-        whole = single.select("key", "c", F.lit(-1).alias("node"), *[F.lit(None).cast("int").alias(x) for x in ("parent", "depth", "extent", "members")], span.alias("spans"))
-        solved = solved.unionByName(stored(whole, "solved"))
-        todo = stored(_split(large.filter("low < high")), "groups")
-    return solved, rows.select("t", "at", "c").distinct()
+        parts = stored(_split(large.filter("low < high")), "parts")
+        todo = parts.groupBy("key", F.col("cut").alias("c"), "low", "high").agg(
+            F.first("before").alias("before"), F.first("after").alias("after"), ((F.count("*") > 1) | F.max("many")).alias("many")
+        )
+        todo = stored(todo, "groups")
+        old = parts.select(F.col("c").alias("old"), "key", "cut")
+        if members is not None:
+            members = stored(members.select("c", F.col("cut").alias("old")).distinct().join(old, "old").select("c", "key", "cut").distinct(), "members")
+        else:
+            members = stored(old.withColumnRenamed("old", "c"), "members")
+    out, tree = spans[0], nodes[0]
+    for more in spans[1:]:
+        out = out.unionByName(more)
+    for more in nodes[1:]:
+        tree = tree.unionByName(more)
+    return tree, out.distinct(), places.select("t", "at", "c").distinct()
 
 
 def covered(docs: DataFrame, text_col: str = "text", sent_hashes: int = SENT_HASHES, group: int = GROUP) -> DataFrame:
     """(t, spans): per text (its MD5) the merged byte ranges [a, b) of repeated strings."""
-    solved, places = trees(docs, text_col, sent_hashes, group)
-    spans = solved.filter("c is not null and size(spans) > 0").select("c", F.explode("spans").alias("s")).distinct()
+    _, spans, places = trees(docs, text_col, sent_hashes, group)
     per_context = spans.groupBy("c").agg(F.collect_list("s").alias("spans"))
     found = places.join(per_context, "c").select("t", F.explode(F.transform("spans", lambda s: F.struct((F.col("at") + s["a"]).alias("a"), (F.col("at") + s["b"]).alias("b")))).alias("s"))
     listed = found.groupBy("t").agg(F.array_sort(F.collect_set("s")).alias("all"))

@@ -102,7 +102,7 @@ def count_tokens(spark: SparkSession, path: str, end_id: int) -> DataFrame:
 
     `start` counts all ids before it, separators included; `file` holds its end.
     """
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path", "content")
     found = files.mapInArrow(lambda b: _scanned(b, end_id), "file string, block bigint, n bigint, ends array<bigint>")
     blocks = stored(found.repartitionByRange("file", "block").withColumn("part", F.spark_partition_id()), "blocks")
     order = ["file", "block"]

@@ -42,7 +42,7 @@ def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 def op5_token_output(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "sequences")
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
-    token_output.write_sequences(_table(spark, folder, "documents"), path, tokenizer, end_id=2)
+    token_output.write_sequences(_table(spark, folder, "documents"), path, tokenizer, public_tokenizers.PATTERN, end_id=2)
     return token_output.read_documents(spark, path)
 
 

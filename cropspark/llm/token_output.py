@@ -14,17 +14,19 @@ texts and one file.
 
 Defined results: null and empty texts give the end id alone; documents without an id come
 first; documents with equal ids follow each other in no stated order; an empty table gives no
-file and no rows; only the id and text columns are read.
+sequences and no rows; only the id and text columns are read.
 """
 
 from __future__ import annotations
 
+import itertools
 import sys
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -35,7 +37,8 @@ LENGTH = 1024
 ROWS = 256
 BATCHES = 4
 MAGIC = "ARROW1"
-SLICE_BYTES = 1 << 18
+SLICE_BYTES = 1 << 20
+KEPT_PIECES = 300_000
 
 
 def load_tokenizer(path: str):
@@ -52,15 +55,55 @@ def load_tokenizer(path: str):
     return known[path]
 
 
-def encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[int | None, np.ndarray]]:
+class Encoder:
+    """Ids of texts by a byte-level BPE tokenizer of the tokenizers library.
+
+    Such a tokenizer splits a text by a pattern and encodes each piece on its own, so a piece
+    is given to the library once and remembered (up to `KEPT_PIECES`). New pieces go in lines of
+    one string, whose line feeds are pieces of their own; pieces of blanks go one by one.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        self.tokenizer = load_tokenizer(path)
+        self.split = regex.compile(pattern).findall
+        self.known: dict[str, list[int]] = {}
+        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+
+    def learn(self, pieces: list[str]) -> None:
+        plain = [p for p in pieces if not p.isspace() and "\n" not in p]
+        for at in range(0, len(plain), 2000):
+            own = plain[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids)
+            ends = [*np.flatnonzero(ids == self.line_feed[0]).tolist(), len(ids)]
+            if len(ends) != len(own):  # the tokenizer doesn't keep line feeds apart
+                self.known.update((p, self.tokenizer.encode(p, add_special_tokens=False).ids) for p in own)
+                continue
+            parts, start = ids.tolist(), 0
+            for piece, end in zip(own, ends):
+                self.known[piece] = parts[start:end]
+                start = end + 1
+        for piece in pieces:
+            if piece not in self.known:
+                self.known[piece] = self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def encode(self, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
+        split = [self.split(t) for t in texts]
+        if len(self.known) > KEPT_PIECES:
+            self.known.clear()
+        self.learn(list({p for p in itertools.chain.from_iterable(split) if p not in self.known}))
+        look = self.known.__getitem__
+        for pieces in split:
+            yield np.fromiter(itertools.chain(itertools.chain.from_iterable(map(look, pieces)), (end_id,)), np.uint32)
+
+
+def encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int) -> Iterator[tuple[int | None, np.ndarray]]:
     """Id and token ids, with the end id, of each document (columns: id, text)."""
-    tokenizer = load_tokenizer(path)
+    encoder = Encoder(path, pattern)
     for batch in batches:
         for part in slices(batch.column(1), SLICE_BYTES):
             ids = batch.column(0).slice(part.first, part.n).to_pylist()
             texts = [part.text(i).decode("utf-8", "replace") for i in range(part.n)]
-            for doc_id, found in zip(ids, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                yield doc_id, np.array([*found.ids, end_id], np.uint32)
+            yield from zip(ids, encoder.encode(texts, end_id))
 
 
 def _file(tokens: np.ndarray, width: np.dtype, partition: int, number: int, docs: list[tuple]) -> bytes:
@@ -96,13 +139,13 @@ def _file(tokens: np.ndarray, width: np.dtype, partition: int, number: int, docs
     return data[: -len(MAGIC)]
 
 
-def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
+def _packed(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     width = np.dtype("<u2" if load_tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4")
     partition, full = TaskContext.get().partitionId(), LENGTH * ROWS * BATCHES
     held, docs, place, number = [], [], 0, 0
-    for doc_id, ids in encoded(batches, path, end_id):
+    for doc_id, ids in encoded(batches, path, pattern, end_id):
         docs.append((doc_id, place, len(ids)))
         place += len(ids)
         held.append(ids)
@@ -116,11 +159,11 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterat
         yield pa.RecordBatch.from_pydict({"file": pa.array([rest], pa.binary())})
 
 
-def write_sequences(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_sequences(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode `docs` in ascending order of id and write the files below `path`."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    files = ordered.mapInArrow(lambda batches: _packed(batches, tokenizer, end_id), "file binary")
+    files = ordered.mapInArrow(lambda batches: _packed(batches, tokenizer, pattern, end_id), "file binary")
     files.select(F.col("file").cast("string").alias("value")).write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(path)
 
 
@@ -192,7 +235,7 @@ def _with_crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the files."""
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").load(path).filter("length > 0").select("content")
     pieces = files.mapInArrow(_with_crc, _PIECES + ", crc bigint")
     whole = pieces.filter("ids is null").select("partition", "place", "doc_id", "n", "crc")
     # a piece that goes on belongs to the last document that starts before it in its partition

@@ -83,7 +83,7 @@ def _removals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = stored(found, "repeated-chunks")
 
     # the bytes of all occurrences: one group for each different text
-    texts = cut.join(found, "id").select("id", F.col("_m").alias("_m"), F.explode("found").alias("x"))
+    texts = cut.join(found.hint("merge"), "id").select("id", F.col("_m").alias("_m"), F.explode("found").alias("x"))
     texts = texts.select("id", "x.*", _text(lines, F.get(F.col("_m.c"), F.col("x.k"))).alias("text"))
     same = texts.groupBy("h1", "h2", "text").agg(F.min(F.struct("id", "k")).alias("first"), F.count("*").alias("n"))
     agreed = (
@@ -100,7 +100,7 @@ def _removals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A struct `doc` of the columns of `docs`, the text that is left, and counts, per row."""
     gone = _removals(docs, id_col, text_col)
-    rows = packed(docs, "doc", F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(gone, "id", "left")
+    rows = packed(docs, "doc", F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(gone.hint("merge"), "id", "left")
     cut = chunks(rows, ["doc", "gone"], F.col("text"))
     lines, parts = F.col("_m.l"), F.col("_m.c")
 

@@ -4,8 +4,8 @@ Writing. Each page gives one record. Of pages with equal payloads of `REVISIT_BY
 the one with the largest id is a response and the others are revisits of it. The HTTP body is
 sent in chunked framing. A block longer than `SEGMENT` bytes is split into a first record and
 continuation records. The files are written by Spark's text writer with the line separator
-that ends a WARC record, so they are plain archives on any file system Spark can write, and
-`RECORDS` a file bound their size.
+that ends a WARC record, so they are archives on any file system Spark can write, each one
+gzip member, and `RECORDS` a file bound their size.
 
 Reading. Files are parsed record by record by their stated lengths. Records that are whole are
 decoded where they are; only segments are shuffled, grouped by the id of the record they
@@ -22,6 +22,7 @@ that isn't a record is skipped up to the next one; an empty table writes an empt
 from __future__ import annotations
 
 import base64
+import gzip
 import re
 import uuid
 from collections.abc import Iterator
@@ -131,7 +132,7 @@ def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: s
     )
     joined = rows.join(leaders, "digest", "left").withColumn("nonce", F.monotonically_increasing_id())
     records = joined.mapInArrow(_serialise, "record binary")
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).text(path)
+    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", END).option("maxRecordsPerFile", RECORDS).option("compression", "gzip").text(path)
 
 
 def _number(value: str | None) -> int | None:
@@ -175,7 +176,8 @@ def _parsed(batches: Iterator[pa.RecordBatch], segments: bool) -> Iterator[pa.Re
     for batch in batches:
         for content in batch.column(0):
             rows = []
-            for fields, block in parse_records(content.as_py()):
+            data = content.as_py()
+            for fields, block in parse_records(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                 row = _row(fields, block)
                 if (row[6] is not None) == segments:
                     rows.append(row if segments else (*row[:-1], payload_of(block)))

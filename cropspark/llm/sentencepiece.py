@@ -290,6 +290,18 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(h), batch.column(1).slice(part.first, part.n)], names=["h", "ids"])
 
 
+def _flat_table(found: pa.Table, pieces: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted word hashes, where the ids of each begin, and all ids."""
+    width = np.uint16 if pieces <= 1 << 16 else np.int32
+    chunks = found.column(1).chunks
+    flat = np.concatenate([np.zeros(0, width), *[c.flatten().to_numpy().astype(width) for c in chunks]])
+    sizes = np.concatenate([np.zeros(1, np.int32), *[np.diff(c.offsets.to_numpy()) for c in chunks]])
+    keys = found.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(flat)).take(pa.array(order))
+    return keys[order], lists.offsets.to_numpy(), lists.values.to_numpy()
+
+
 def _looked_up(batches: Iterator[pa.RecordBatch], column: int, sent) -> Iterator[pa.RecordBatch]:
     keys, first, flat = sent.value
     for batch in batches:
@@ -329,14 +341,7 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", ids_col: str =
     table = stored(encode_words(distinct_words(docs, text_col), model), "words")
     if table.count() > cached_words:
         return _by_join(docs, table, text_col, ids_col)
-    found = table.mapInArrow(_hashed, "h bigint, ids array<int>").toArrow()
-    keys = found.column(0).to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    lists = found.column(1).combine_chunks()
-    lists = lists.take(pa.array(order)) if len(order) else pa.array([], pa.list_(pa.int32()))
-    width = np.uint16 if len(model.pieces) <= 1 << 16 else np.int32
-    first = np.append(lists.offsets.to_numpy()[:1], lists.offsets.to_numpy()[1:]) if len(lists) else np.zeros(1, np.int32)
-    sent = spark.sparkContext.broadcast((keys[order], first - first[0], lists.flatten().to_numpy().astype(width)))
+    sent = spark.sparkContext.broadcast(_flat_table(table.mapInArrow(_hashed, "h bigint, ids array<int>").toArrow(), len(model.pieces)))
     at = docs.columns.index(text_col)
     schema = T.StructType([*docs.schema.fields, T.StructField("_ids", T.ArrayType(T.IntegerType()))])
     return docs.mapInArrow(lambda batches: _looked_up(batches, at, sent), schema).toDF(*docs.columns, ids_col)

@@ -10,7 +10,7 @@ null ids included; no input columns are kept except the id, so clashing names do
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +42,13 @@ class Rule:
 
 RULES = (
     Rule("mean_word_length", "mean_word_chars", 1.5, 25.0),
-    Rule("symbol_ratio", "symbols_per_word", None, 0.5),
+    # Bars of menus ('word | word') count as words too, so such text never exceeds 0.5.
+    Rule("symbol_ratio", "symbols_per_word", None, 0.1),
     Rule("stop_word_ratio", "stop_word_share", 0.01, None),
     Rule("duplicate_lines", "dup_line_share", None, 0.5),
 )
-
+#: The table as the SQL twin of op2_quality_rules states it; only that query uses it.
+TWIN_RULES = tuple(replace(r, high=0.5) if r.name == "symbol_ratio" else r for r in RULES)
 
 
 def _window_hashes(words: Column) -> Column:

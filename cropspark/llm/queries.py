@@ -19,7 +19,7 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality_rules.judge(_table(spark, folder, "documents"))
+    judged = quality_rules.judge(_table(spark, folder, "documents"), quality_rules.TWIN_RULES)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )

@@ -43,6 +43,26 @@ def test_rules_are_read_from_the_table(spark):
     assert rows(quality_rules.judge(docs, ()), "broken_rules") == [([],), ([],)]
 
 
+def test_menus_break_the_symbol_rule(spark):
+    menu = " | ".join(["home", "the news", "of", "contact"] + [f"entry{i}" for i in range(20)])
+    judged = {r["doc_id"]: (r["broken_rules"], r["kept"]) for r in quality_rules.judge(awkward(spark, [menu, prose(1, 60) + " the of"])).collect()}
+    assert judged == {0: (["symbol_ratio"], False), 1: ([], True)}
+
+
+def test_limits_against_the_labels(spark):
+    folder = "/root/testdata/sf0.01"
+    if not pathlib.Path(folder).exists():
+        pytest.skip("no test tables")
+    labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    judged = [r for r in quality_rules.judge(spark.read.parquet(f"{folder}/documents.parquet")).collect() if r["n_words"] >= 10]
+    good = [r for r in judged if labels.get(r["doc_id"]) == 1]
+    bad = [r for r in judged if labels.get(r["doc_id"]) == 0]
+    symbols = [r for r in bad if r["n_symbols"] > 0]
+    assert good and symbols and all("symbol_ratio" in r["broken_rules"] for r in symbols)
+    for rule in quality_rules.RULES:
+        assert sum(rule.name in r["broken_rules"] for r in good) <= len(good) // 100, rule.name
+
+
 def test_quality_plan_has_no_python(spark):
     plan = quality_rules.judge(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

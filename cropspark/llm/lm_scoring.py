@@ -8,17 +8,19 @@ half the product over the contexts one byte longer. So the tree mixes all depths
 scored with the trained tree held fixed: a decision's probability goes down the path of its
 contexts, at each depth taking the posterior weight of the estimate and passing the rest on.
 
-The work. Texts are counted as (DEPTH + 1)-byte grams, combined in each task and then by
-shuffles; grams of texts that are only scored come along with count nil. Node statistics go up
-the depths as aggregations and weights come down as joins, one per depth, over distinct
-contexts. Each gram ends with one number, the logarithm of its byte's probability. Words are
-counted the same way for the unigram model.
+The work. Texts are counted as grams of `DEPTH` bytes of context and a byte, combined in each
+task and then by shuffles; grams of texts that are only scored come along with count nil. The
+contexts over `SHALLOW` bytes are worked out by numpy in the task that has all grams with the
+same last `SHALLOW` bytes. Above, node statistics go up the depths as aggregations and weights
+come down as joins, one per depth, over distinct contexts. Each gram ends with one number, the
+logarithm of its byte's probability. Words are counted the same way for the unigram model.
 
 Texts then add up the numbers of their grams and words. The `CACHED` most frequent of each are
-sent to the tasks as flat arrays (16 bytes each); the rest is summed up per text and value, and
+sent to the tasks as flat arrays (at most 33 bytes each); the rest is summed up per text and value, and
 joined on the shuffle. Both ways give the same sums, whatever the share of each.
 
-Defined results: null and empty texts have no bytes (score 0) and one token, the end; rows
+Defined results: null and empty texts have no bytes (score 0, bits per byte null) and one
+token, the end; rows
 without an id take part with the text "" in place of the id and are trained on; rows with one
 id and text each give a row; without training texts every bit has probability one half; an
 empty table gives no rows; only the id and text columns are read.
@@ -35,36 +37,56 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cropspark.llm.frames import stored
+from cropspark.llm.frames import bound, stored
 from cropspark.llm.text_arrays import Texts, slices, word_hashes
 
-DEPTH = 4
+DEPTH = 8
+SHALLOW = 4
+DEEP_ROWS = 200_000
 CACHED = 1 << 21
 SLICE_BYTES = 2 << 20
 END = np.uint64(0x2545F4914F6CDD1D)
 
 
-def grams(part: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """For each byte it and the `DEPTH` bytes before it in its text as one number; its text.
+def grams(part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each byte the `DEPTH` (up to 8) bytes before it in its text as one number; it; its text.
 
-    The byte itself is the lowest, the byte before it the next; zeros stand before the text.
+    The byte just before is the lowest of the number; zeros stand before the text.
     """
     data = part.data.astype(np.uint64)
     owner = np.repeat(np.arange(part.n), np.diff(part.offsets))
     place = np.arange(len(data)) - part.offsets[owner]
-    out = data.copy()
+    out = np.zeros_like(data)
     for back in range(1, DEPTH + 1):
         earlier = np.zeros_like(data)
         earlier[back:] = data[:-back] if len(data) > back else 0
         earlier[place < back] = 0
-        out |= earlier << np.uint64(8 * back)
-    return out, owner
+        out |= earlier << np.uint64(8 * (back - 1))
+    return out, data.astype(np.int64), owner
 
 
-def tokens(part: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text of each word, A-Z in lower case, and of one end per text."""
+def tokens(part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, nil and text of each word, A-Z in lower case, and of one end per text."""
     hashes, owner = word_hashes(part)
-    return np.append(hashes, np.full(part.n, END)), np.append(owner, np.arange(part.n))
+    return np.append(hashes, np.full(part.n, END)), np.zeros(len(hashes) + part.n, np.int64), np.append(owner, np.arange(part.n))
+
+
+def _distinct(values: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of each pair among the distinct pairs, and those."""
+    own, first = pd.factorize(values)
+    codes, pairs = pd.factorize(own.astype(np.int64) * 256 + byte)
+    return codes, first[pairs >> 8], pairs & 255
+
+
+def _found(keys: tuple[np.ndarray, np.ndarray], values: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs are in the table with the sorted `keys`, and where."""
+    firsts, pairs = keys
+    if not len(firsts):
+        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
+    own = np.minimum(np.searchsorted(firsts, values), len(firsts) - 1)
+    wanted = own * 256 + byte
+    at = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
+    return (firsts[own] == values) & (pairs[at] == wanted), at
 
 
 _KINDS = {"gram": grams, "word": tokens}
@@ -77,12 +99,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch.column(1), SLICE_BYTES):
             own = trained[part.first : part.first + part.n].astype(np.int64)
             for kind, of in _KINDS.items():
-                values, owner = of(part)
-                codes, distinct = pd.factorize(values)
+                values, byte, owner = of(part)
+                codes, distinct, low = _distinct(values, byte)
                 counts = np.bincount(codes, weights=own[owner], minlength=len(distinct)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * len(distinct)).dictionary_encode().cast(pa.string()), pa.array(distinct.view(np.int64)), pa.array(counts)],
-                    names=["kind", "value", "n"],
+                    [pa.array([kind] * len(distinct)).dictionary_encode().cast(pa.string()), pa.array(distinct.view(np.int64)), pa.array(low.astype(np.int16)), pa.array(counts)],
+                    names=["kind", "value", "byte", "n"],
                 )
 
 
@@ -112,23 +134,99 @@ def _log_add(a: Column, b: Column) -> Column:
     return F.greatest(a, b) + F.log1p(F.exp(-F.abs(a - b)))
 
 
+def _log_rising(n: np.ndarray, start: float) -> np.ndarray:
+    """ln of start (start + 1) ... for `n` factors, start being 0.5 or 1."""
+    table = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1 << 16) + start))])
+    x = np.maximum(n, 1 << 16) + start
+    far = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - math.lgamma(start)
+    return np.where(n <= 1 << 16, table[np.minimum(n, 1 << 16)], far)
+
+
+def deep_mix(context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+    """The mixture of the depths over `SHALLOW` for each bit of each gram's byte, and what is above.
+
+    The grams are all those of some contexts of `SHALLOW` bytes. Above: per bit the context, node,
+    zeros, ones and logarithm of the product over the contexts one byte longer.
+    """
+    top = context & np.uint64((1 << 8 * SHALLOW) - 1)
+    ids = [pd.factorize(top)[0].astype(np.int64)]
+    for depth in range(SHALLOW, DEPTH):
+        more = ((context >> np.uint64(8 * depth)) & np.uint64(255)).astype(np.int64)
+        ids.append(pd.factorize(ids[-1] * 256 + more)[0].astype(np.int64))
+    deep, above, half = np.zeros((len(byte), 8)), [], math.log(0.5)
+    for bit in range(8):
+        node, one = (256 + byte) >> (8 - bit), (byte >> (7 - bit)) & 1
+        keys = [pd.factorize(i * 256 + node)[0] for i in ids]
+        zeros = [np.bincount(k, n * (1 - one)).astype(np.int64) for k in keys]
+        ones = [np.bincount(k, n * one).astype(np.int64) for k in keys]
+        e = [_log_rising(z, 0.5) + _log_rising(o, 0.5) - _log_rising(z + o, 1.0) for z, o in zip(zeros, ones)]
+        w = {len(keys) - 1: e[-1]}
+        for d in reversed(range(len(keys) - 1)):
+            parent = np.zeros(len(e[d + 1]), np.int64)
+            parent[keys[d + 1]] = keys[d]
+            below = np.bincount(parent, w[d + 1], len(e[d]))
+            w[d] = np.where(zeros[d] + ones[d] == 0, 0.0, half + np.logaddexp(e[d], below))
+        first = np.zeros(len(e[0]), np.int64)
+        first[keys[0]] = np.arange(len(byte))
+        above.append((top[first], node[first], zeros[0], ones[0], below))
+        left = np.ones(len(byte))
+        for d in range(1, len(keys)):
+            weight = np.exp(half + e[d] - w[d]) if d < len(keys) - 1 else np.ones(len(e[d]))
+            total = zeros[d] + ones[d] + 1.0
+            own = keys[d]
+            deep[:, bit] += left * weight[own] * np.where(one == 1, ((ones[d] + 0.5) / total)[own], ((zeros[d] + 0.5) / total)[own])
+            left = left * (1 - weight[own])
+    return deep, above
+
+
+_MIXED = "context bigint, byte smallint, n bigint, deep array<double>, node int, zeros bigint, ones bigint, below double"
+
+
+def _deep_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`deep_mix` of rows that are sorted by `top`; byte is null in the rows for what is above."""
+    names = [x.split()[0] for x in _MIXED.split(", ")]
+
+    def solved(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, context, byte, n = columns
+        deep, above = deep_mix(context.view(np.uint64), byte.astype(np.int64), n)
+        size, flat = len(n), pa.array(deep.ravel())
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * size + 1, 8, dtype=np.int32)), flat)
+        none = [pa.nulls(size, k) for k in (pa.int32(), pa.int64(), pa.int64(), pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array(context), pa.array(byte), pa.array(n), lists, *none], names=names)
+        for top, node, zeros, ones, below in above:
+            none = [pa.nulls(len(top), k) for k in (pa.int16(), pa.int64(), pa.list_(pa.float64()))]
+            own = [pa.array(top.view(np.int64)), *none, pa.array(node.astype(np.int32)), pa.array(zeros), pa.array(ones), pa.array(below)]
+            yield pa.RecordBatch.from_arrays(own, names=names)
+
+    held, rows = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            rows += batch.num_rows
+        if rows >= DEEP_ROWS:
+            whole = [np.concatenate(c) for c in zip(*held)]
+            end = int(np.searchsorted(whole[0], whole[0][-1]))
+            if end:
+                yield from solved([c[:end] for c in whole])
+            held = [[c[end:].copy() for c in whole]]
+            rows = 0 if end else -rows  # a long group is looked at again after twice as many rows
+    if held:
+        yield from solved([np.concatenate(c) for c in zip(*held)])
+
+
 def gram_scores(counts: DataFrame) -> DataFrame:
-    """(value, log10): the logarithm of the probability of each gram's byte after its context."""
+    """(value, byte, n, log10): the logarithm of the probability of each gram's byte after its context."""
     half = math.log(0.5)
-    context = F.shiftright(F.col("value"), 8)
-    byte = F.col("value").bitwiseAND(F.lit(255))
-    bit = F.col("bit")
-    prefix = F.expr("shiftright(shiftleft(1, 8) + byte, 8 - bit)").cast("int")
-    one = F.expr("shiftright(byte, 7 - bit) & 1")
-    steps = counts.select("value", context.alias("context"), byte.cast("int").alias("byte"), "n", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit"))
-    steps = steps.select("value", "context", prefix.alias("node"), one.alias("one"), "n")
-    level = steps.groupBy("context", "node").agg(
-        F.sum(F.when(F.col("one") == 0, F.col("n")).otherwise(0)).alias("zeros"), F.sum(F.when(F.col("one") == 1, F.col("n")).otherwise(0)).alias("ones")
-    )
     estimate = _log_estimate(F.col("zeros"), F.col("ones"))
-    level = level.withColumn("e", estimate).withColumn("w", F.col("e"))
-    levels = [stored(level, f"context-{DEPTH}")]
-    for depth in reversed(range(DEPTH)):
+    mixed = F.lit(half) + _log_add(F.col("e"), F.col("below"))
+    # a context nobody was trained on has estimate and product one
+    weighted = F.when(F.col("zeros") + F.col("ones") == 0, F.lit(0.0)).otherwise(mixed)
+    top = F.col("value").bitwiseAND(F.lit((1 << 8 * SHALLOW) - 1))
+    grouped = counts.select(top.alias("top"), "value", "byte", "n").repartition("top").sortWithinPartitions("top")
+    solved = stored(grouped.mapInArrow(_deep_rows, _MIXED), "deep")
+    level = solved.filter("byte is null").select("context", "node", "zeros", "ones", "below").withColumn("e", estimate)
+    levels = [stored(level.withColumn("w", weighted).drop("below"), f"context-{SHALLOW}")]
+    for depth in reversed(range(SHALLOW)):
         mask = (1 << (8 * depth)) - 1
         up = (
             levels[-1]
@@ -136,14 +234,11 @@ def gram_scores(counts: DataFrame) -> DataFrame:
             .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("w").alias("below"))
             .withColumn("e", estimate)
         )
-        mixed = F.lit(half) + _log_add(F.col("e"), F.col("below"))
-        # a context nobody was trained on has estimate and product one
-        up = up.withColumn("w", F.when(F.col("zeros") + F.col("ones") == 0, F.lit(0.0)).otherwise(mixed)).drop("below")
-        levels.append(stored(up, f"context-{depth}"))
+        levels.append(stored(up.withColumn("w", weighted).drop("below"), f"context-{depth}"))
     down = None
     for depth, own in enumerate(reversed(levels)):
         total = F.col("zeros") + F.col("ones") + F.lit(1.0)
-        weight = F.lit(1.0) if depth == DEPTH else F.exp(F.lit(half) + F.col("e") - F.col("w"))
+        weight = F.exp(F.lit(half) + F.col("e") - F.col("w"))
         rows = own.select("context", "node", weight.alias("weight"), ((F.col("zeros") + 0.5) / total).alias("p0"), ((F.col("ones") + 0.5) / total).alias("p1"))
         if down is None:
             above = rows.withColumn("left", F.lit(1.0)).withColumn("q0", F.lit(0.0)).withColumn("q1", F.lit(0.0))
@@ -157,8 +252,16 @@ def gram_scores(counts: DataFrame) -> DataFrame:
             (F.col("q0") + share * F.col("p0")).alias("q0"), (F.col("q1") + share * F.col("p1")).alias("q1"),
         )
         down = stored(down, f"mixed-{depth}")
-    scored = steps.select("value", "context", "node", "one").join(down.select("context", "node", "q0", "q1"), ["context", "node"])
-    return scored.groupBy("value").agg(F.sum(F.log10(F.when(F.col("one") == 1, F.col("q1")).otherwise(F.col("q0")))).alias("log10"))
+    nodes = down.groupBy(F.col("context").alias("top")).agg(F.map_from_entries(F.collect_list(F.struct("node", F.struct("left", "q0", "q1")))).alias("nodes"))
+    own = solved.filter("byte is not null").select(F.col("context").alias("value"), F.col("byte").cast("int").alias("byte"), "n", "deep")
+    joined = own.withColumn("top", top).join(nodes, "top")
+
+    def log_bit(bit: int) -> Column:
+        node = F.shiftright(F.col("byte") + F.lit(256), 8 - bit)
+        one = F.shiftright(F.col("byte"), 7 - bit).bitwiseAND(F.lit(1)) == 1
+        return bound(F.element_at("nodes", node), lambda x: F.log10(F.when(one, x["q1"]).otherwise(x["q0"]) + x["left"] * F.get("deep", F.lit(bit))))
+
+    return joined.select("value", F.col("byte").cast("smallint").alias("byte"), "n", sum((log_bit(b) for b in range(1, 8)), log_bit(0)).alias("log10"))
 
 
 def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
@@ -166,89 +269,92 @@ def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]
     tables = sent.value
     for batch in batches:
         for part in slices(batch.column(1), SLICE_BYTES):
-            sums, rest = {}, [[], [], [], []]
+            sums, rest = {}, [[], [], [], [], []]
             for kind, of in _KINDS.items():
-                values, owner = of(part)
-                codes, distinct = pd.factorize(values)
+                values, byte, owner = of(part)
+                codes, distinct, low = _distinct(values, byte)
                 keys, numbers, known = tables[kind]
-                at = np.minimum(np.searchsorted(keys, distinct), max(0, len(keys) - 1))
-                hit = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
-                number = np.where(hit, numbers[at] if len(keys) else 0.0, 0.0)
-                seen = np.where(hit, known[at] if len(keys) else False, False)
-                sums[kind] = np.bincount(owner, number[codes], part.n)
+                hit, at = _found(keys, distinct, low)
+                number = np.where(hit, numbers[at] if len(numbers) else 0.0, 0.0)
+                seen = np.where(hit, known[at] if len(numbers) else False, False)
+                sums[kind] = np.bincount(owner, number[codes], part.n).astype(np.float64)  # of no rows it is int
                 sums[kind, "known"] = np.bincount(owner, seen[codes], part.n).astype(np.int64)
                 sums[kind, "n"] = np.bincount(owner, minlength=part.n).astype(np.int64)
                 missed = np.flatnonzero(~hit[codes])
                 if len(missed):
-                    pairs = pd.DataFrame({"o": owner[missed], "v": values[missed]}).groupby(["o", "v"]).size().reset_index(name="n")
+                    pairs = pd.DataFrame({"o": owner[missed], "c": codes[missed]}).groupby(["o", "c"]).size().reset_index(name="n")
                     rest[0] += [kind] * len(pairs)
-                    for k, column in enumerate(("o", "v", "n"), 1):
-                        rest[k].append(pairs[column].to_numpy())
+                    own = pairs["c"].to_numpy()
+                    for k, column in enumerate((pairs["o"].to_numpy(), distinct[own], low[own], pairs["n"].to_numpy()), 1):
+                        rest[k].append(column)
             ids, held = (batch.column(k).slice(part.first, part.n) for k in (0, 2))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids, held, batch.column(3).slice(part.first, part.n), pa.nulls(part.n, pa.string()), pa.nulls(part.n, pa.int64()),
-                    pa.array(sums["word", "n"]), pa.array(sums["word", "known"]), pa.array(sums["word"]), pa.array(sums["gram"]),
+                    pa.nulls(part.n, pa.int16()), pa.array(sums["gram", "n"]), pa.array(sums["word", "n"]), pa.array(sums["word", "known"]), pa.array(sums["word"]), pa.array(sums["gram"]),
                 ],
                 names=_SUM_NAMES,
             )
             if rest[0]:
-                owner, value, n = (np.concatenate(x) for x in rest[1:])
+                owner, value, low, n = (np.concatenate(x) for x in rest[1:])
                 own = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(own), held.take(own), batch.column(3).slice(part.first, part.n).take(own), pa.array(rest[0]),
-                        pa.array(value.view(np.int64)), pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64()), pa.nulls(len(n), pa.float64()),
+                        pa.array(value.view(np.int64)), pa.array(low.astype(np.int16)), pa.nulls(len(n), pa.int64()), pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64()), pa.nulls(len(n), pa.float64()),
                     ],
                     names=_SUM_NAMES,
                 )
 
 
 _SUMS = (
-    "doc_id bigint, held_out boolean, row bigint, kind string, value bigint, n bigint, n_known bigint, base_score double, score double"
+    "doc_id bigint, held_out boolean, row bigint, kind string, value bigint, byte smallint, n_bytes bigint, n bigint, n_known bigint, base_score double, score double"
 )
 _SUM_NAMES = [x.split()[0] for x in _SUMS.split(", ")]
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cached: int = CACHED) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte per row."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte per row."""
     spark = docs.sparkSession
     rows = _prepared(docs, id_col, text_col)
-    found = rows.select((~F.col("held_out")).alias("trained"), "text").mapInArrow(_counted, "kind string, value bigint, n bigint")
-    counts = stored(found.groupBy("kind", "value").agg(F.sum("n").alias("n")), "counts")
+    found = rows.select((~F.col("held_out")).alias("trained"), "text").mapInArrow(_counted, "kind string, value bigint, byte smallint, n bigint")
+    counts = stored(found.groupBy("kind", "value", "byte").agg(F.sum("n").alias("n")), "counts")
     words = counts.filter("kind = 'word'")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     below = math.log10(total[0] + total[1] + 1)
-    word_scores = words.select("kind", "value", "n", (F.log10(F.col("n") + F.lit(1.0)) - F.lit(below)).alias("log10"))
-    by_gram = counts.filter("kind = 'gram'").select("kind", "value", "n")
-    gram_rows = by_gram.join(gram_scores(by_gram), "value").select("kind", "value", "n", "log10")
+    word_scores = words.select("kind", "value", "byte", "n", (F.log10(F.col("n") + F.lit(1.0)) - F.lit(below)).alias("log10"))
+    by_gram = counts.filter("kind = 'gram'").select("value", "byte", "n")
+    gram_rows = gram_scores(by_gram).select(F.lit("gram").alias("kind"), "value", "byte", "n", "log10")
     numbers = stored(gram_rows.unionByName(word_scores), "numbers")
     tables = {}
     for kind in _KINDS:
-        top = numbers.filter(F.col("kind") == kind).select("value", "log10", "n").orderBy(F.desc("n"), "value").limit(cached).toArrow()
-        keys = top.column(0).to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        tables[kind] = keys[order], top.column(1).to_numpy()[order], top.column(2).to_numpy()[order] > 0
+        top = numbers.filter(F.col("kind") == kind).select("value", "byte", "log10", "n").orderBy(F.desc("n"), "value", "byte").limit(cached).toArrow()
+        firsts, own = np.unique(top.column(0).to_numpy().view(np.uint64), return_inverse=True)
+        pairs = own.astype(np.int64) * 256 + top.column(1).to_numpy()
+        order = np.argsort(pairs)
+        tables[kind] = (firsts, pairs[order]), top.column(2).to_numpy()[order], top.column(3).to_numpy()[order] > 0
     sent = spark.sparkContext.broadcast(tables)
     marked = rows.select("doc_id", "text", "held_out", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"))
     parts = stored(marked.mapInArrow(lambda b: _summed(b, sent), _SUMS), "sums")
     key = ["doc_id", "row"]
-    missing = parts.filter("kind is not null").select(*key, "kind", "value", F.col("n").alias("times")).distinct()
-    own = missing.join(numbers, ["kind", "value"])
+    missing = parts.filter("kind is not null").select(*key, "kind", "value", "byte", F.col("n").alias("times")).distinct()
+    own = missing.join(numbers, ["kind", "value", "byte"])
     word = F.col("kind") == "word"
     rest = own.groupBy(*key).agg(
         F.sum(F.when(word & (F.col("n") > 0), F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.when(word, F.col("times") * F.col("log10")).otherwise(0.0)).alias("more_base"),
         F.sum(F.when(~word, F.col("times") * F.col("log10")).otherwise(0.0)).alias("more"),
     )
-    whole = parts.filter("kind is null").drop("kind", "value").alias("x")
+    whole = parts.filter("kind is null").drop("kind", "value", "byte").alias("x")
     same = F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.row") == F.col("y.row"))
     joined = whole.join(rest.alias("y"), same, "left")
 
     def plus(name: str, more: str, zero: object) -> Column:
         return F.col(f"x.{name}") + F.coalesce(F.col(f"y.{more}"), F.lit(zero))
 
-    return joined.select(
+    scored = joined.select(
         "x.doc_id", "x.held_out", F.col("x.n").alias("n_tokens"), plus("n_known", "more_known", 0).alias("n_known"),
-        F.lit(total[0]).cast("bigint").alias("train_tokens"), plus("base_score", "more_base", 0.0).alias("base_score"), plus("score", "more", 0.0).alias("score"),
+        F.lit(total[0]).cast("bigint").alias("train_tokens"), plus("base_score", "more_base", 0.0).alias("base_score"), plus("score", "more", 0.0).alias("score"), "x.n_bytes",
     )
+    bits = F.when(F.col("n_bytes") > 0, -F.col("score") * F.lit(math.log2(10)) / F.col("n_bytes"))
+    return scored.withColumn("bits_per_byte", bits)

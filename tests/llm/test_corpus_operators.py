@@ -138,5 +138,23 @@ def test_scores_match_the_definition(spark, cached):
         assert own["score"] == pytest.approx(ctw_score(data[i], tree, lm_scoring.DEPTH, memory), abs=1e-6)
 
 
+def test_code_lengths_beat_the_words(spark):
+    folder = "/root/testdata/sf0.01"
+    if not pathlib.Path(folder).exists():
+        pytest.skip("no test tables")
+    found = lm_scoring.score(spark.read.parquet(f"{folder}/documents.parquet")).collect()
+    for r in found[:50]:
+        assert r["bits_per_byte"] == pytest.approx(-r["score"] * math.log2(10) / r["n_bytes"])
+    held = [r for r in found if r["held_out"]]
+    size = sum(r["n_bytes"] for r in held)
+    tree, words = (-sum(r[c] for r in held) * math.log2(10) / size for c in ("score", "base_score"))
+    assert tree < words and words == pytest.approx(2.15, abs=0.01)
+
+
+def test_code_length_of_no_bytes(spark):
+    found = {r["doc_id"]: (r["n_bytes"], r["bits_per_byte"] is None) for r in lm_scoring.score(awkward(spark, [None, "", "é"])).collect()}
+    assert found == {0: (0, True), 1: (0, True), 2: (2, False)}
+
+
 def test_scores_without_training_rows(spark):
     assert lm_scoring.score(awkward(spark, [])).count() == 0

@@ -6,6 +6,10 @@ passage don't change the chunks inside it. Chunks of `MIN_LINES` lines or more t
 anywhere are removed, all but the first in order of id and place. Chunks are counted by two
 64-bit hashes; those that repeat are then compared byte by byte, by grouping their whole texts.
 
+Limits. A cut depends on two lines, so a chunk can only be found again from the second line of
+a passage on, between two cuts inside it: most repeated passages of a few lines stay, longer
+ones keep their first and last lines.
+
 Only built-in expressions are used. Counts and comparisons are combined before their shuffles,
 and joins on a chunk or a document leave the large side splittable.
 

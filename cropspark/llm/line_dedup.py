@@ -8,7 +8,8 @@ anywhere are removed, all but the first in order of id and place. Chunks are cou
 
 Limits. A cut depends on two lines, so a chunk can only be found again from the second line of
 a passage on, between two cuts inside it: most repeated passages of a few lines stay, longer
-ones keep their first and last lines.
+ones keep their first and last lines. Chunks of fewer than `MIN_LINES` lines are never counted,
+so single lines stay even of exact copies of a whole text.
 
 Only built-in expressions are used. Counts and comparisons are combined before their shuffles,
 and joins on a chunk or a document leave the large side splittable.

@@ -44,7 +44,8 @@ DEPTH = 8
 SHALLOW = 4
 DEEP_ROWS = 200_000
 CACHED = 1 << 21
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
+BATCH_ROWS = 1 << 16
 END = np.uint64(0x2545F4914F6CDD1D)
 
 
@@ -92,6 +93,13 @@ def _found(keys: tuple[np.ndarray, np.ndarray], values: np.ndarray, byte: np.nda
 _KINDS = {"gram": grams, "word": tokens}
 
 
+def _pieces(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows as batches of at most `BATCH_ROWS`."""
+    whole = pa.RecordBatch.from_arrays(columns, names=names)
+    for at in range(0, whole.num_rows, BATCH_ROWS):
+        yield whole.slice(at, BATCH_ROWS)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kind, value and training count of the distinct values of each slice."""
     for batch in batches:
@@ -102,8 +110,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 values, byte, owner = of(part)
                 codes, distinct, low = _distinct(values, byte)
                 counts = np.bincount(codes, weights=own[owner], minlength=len(distinct)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * len(distinct)).dictionary_encode().cast(pa.string()), pa.array(distinct.view(np.int64)), pa.array(low.astype(np.int16)), pa.array(counts)],
+                yield from _pieces(
+                    [pa.repeat(kind, len(distinct)), pa.array(distinct.view(np.int64)), pa.array(low.astype(np.int16)), pa.array(counts)],
                     names=["kind", "value", "byte", "n"],
                 )
 
@@ -192,11 +200,11 @@ def _deep_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size, flat = len(n), pa.array(deep.ravel())
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * size + 1, 8, dtype=np.int32)), flat)
         none = [pa.nulls(size, k) for k in (pa.int32(), pa.int64(), pa.int64(), pa.float64())]
-        yield pa.RecordBatch.from_arrays([pa.array(context), pa.array(byte), pa.array(n), lists, *none], names=names)
+        yield from _pieces([pa.array(context), pa.array(byte), pa.array(n), lists, *none], names)
         for top, node, zeros, ones, below in above:
             none = [pa.nulls(len(top), k) for k in (pa.int16(), pa.int64(), pa.list_(pa.float64()))]
             own = [pa.array(top.view(np.int64)), *none, pa.array(node.astype(np.int32)), pa.array(zeros), pa.array(ones), pa.array(below)]
-            yield pa.RecordBatch.from_arrays(own, names=names)
+            yield from _pieces(own, names)
 
     held, rows = [], 0
     for batch in batches:
@@ -298,7 +306,7 @@ def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]
             if rest[0]:
                 owner, value, low, n = (np.concatenate(x) for x in rest[1:])
                 own = pa.array(owner)
-                yield pa.RecordBatch.from_arrays(
+                yield from _pieces(
                     [
                         ids.take(own), held.take(own), batch.column(3).slice(part.first, part.n).take(own), pa.array(rest[0]),
                         pa.array(value.view(np.int64)), pa.array(low.astype(np.int16)), pa.nulls(len(n), pa.int64()), pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64()), pa.nulls(len(n), pa.float64()),

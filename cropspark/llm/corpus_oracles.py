@@ -64,3 +64,35 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
        CASE WHEN lead <> page_id THEN lead END AS refers_to
 FROM p LEFT JOIN l USING (d)
 """
+
+NEAR_VECTORS = r"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS x,
+         vec_id IS NOT NULL AND len(embedding) > 0 AND list_bool_and([y IS NOT NULL AND isfinite(y) FOR y IN embedding])
+           AND list_bool_or([y <> 0 FOR y IN embedding]) AS ok
+  FROM embeddings),
+links AS (SELECT a.r AS a, b.r AS b, b.vec_id FROM v a JOIN v b ON a.r <> b.r AND len(a.x) = len(b.x)
+          WHERE a.ok AND b.ok AND list_cosine_similarity(a.x, b.x) >= 0.95),
+reach(r, seen) AS (SELECT r, r FROM v UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.seen),
+least AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = seen GROUP BY reach.r),
+n AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, component_id, coalesce(v.vec_id = component_id, true) AS kept
+FROM v JOIN least USING (r) LEFT JOIN n USING (r)
+"""
+
+FILL_IN_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l,
+                  sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, CAST(len(l) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(l) + 1) AS x,
+             CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(l) + 1) AS y, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS z FROM d),
+c AS (SELECT *, array_to_string(l[1 : least(x, y)], '') AS p, array_to_string(l[least(x, y) + 1 : greatest(x, y)], '') AS m,
+             array_to_string(l[greatest(x, y) + 1 : n], '') AS s,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain'
+                  WHEN z < 50 THEN 'spm' ELSE 'psm' END AS form FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
+"""

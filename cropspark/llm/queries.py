@@ -6,7 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropspark.llm import corpus_oracles, decontamination, line_dedup, lm_scoring, minhash_near_dedup, quality_rules, sentencepiece, suffix_array_dedup, token_counts, token_output, warc
+from cropspark.llm import (
+    corpus_oracles,
+    decontamination,
+    embedding_near_dedup,
+    fill_in_middle,
+    line_dedup,
+    lm_scoring,
+    minhash_near_dedup,
+    quality_rules,
+    sentencepiece,
+    suffix_array_dedup,
+    token_alignment,
+    token_counts,
+    token_output,
+    warc,
+)
 from cropspark.session import scratch_path
 
 
@@ -73,6 +88,24 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(spark, path, end_id=50256).select("document", "start", "n_tokens", "ended")
 
 
+def op11_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_near_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    done = fill_in_middle.transform(_table(spark, folder, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return done.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256")
+    )
+
+
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    first, second = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    done = token_alignment.align(_table(spark, folder, "documents"), first, second)
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_rules": op2_quality_rules,
@@ -84,6 +117,9 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_counts": op10_token_counts,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _STOPS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS)) + "]"
@@ -92,4 +128,6 @@ ORACLES = {
     "op3_warc": corpus_oracles.WARC,
     "op6_line_dedup": corpus_oracles.LINE_DEDUP,
     "op7_minhash_near_dedup": corpus_oracles.NEAR_DUPLICATES,
+    "op11_embedding_near_dedup": corpus_oracles.NEAR_VECTORS,
+    "op12_fill_in_middle": corpus_oracles.FILL_IN_MIDDLE,
 }

@@ -191,6 +191,28 @@ def aligned(texts):
 FILES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
+def test_byte_level_ids_are_the_librarys_with_and_without_ranks(tmp_path):
+    import json
+
+    import tokenizers
+
+    with open(FILES[0], encoding="utf-8") as file:
+        spec = json.load(file)
+    spec["model"]["ignore_merges"] = True  # not the plain rule any more
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec), encoding="utf-8")
+    # every letter beside letters, digits, blanks and signs
+    points = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f"a{c}b 1{c} {c}  !{c}" for c in points[at : at + 4096]) for at in range(0, len(points), 4096)]
+    for path, ranked in ((FILES[0], True), (str(other), False)):
+        own, known = token_alignment.ByteLevel(path), tokenizers.Tokenizer.from_file(path)
+        known.encode_special_tokens = True
+        sample = texts if ranked else texts[:2]
+        counts, ids = own.encode([*sample, "<|endoftext|>", ""])
+        expected = [known.encode(" " + t, add_special_tokens=False).ids for t in [*sample, "<|endoftext|>", ""]]
+        assert own.ranked is ranked and counts.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
+
+
 def short_texts():
     texts = [t if t is None or len(t) < 9000 else t[:4000] for t in awkward_texts()]
     return texts + ["<|endoftext|> <s> </s> <unk>", "  two  blanks ", "\tx\r\n", "ＡＢ ﬁ é", "🙂🙂 ok", "\x00", "▁", "a▁b", *texts[8:11]]

@@ -43,7 +43,7 @@ from cropspark.llm.frames import stored
 from cropspark.llm.text_arrays import Texts, slices
 
 DOCS = 8192
-LINKS = 4_000_000
+LINKS = 2_000_000
 #: Bits of a pair that its second id takes.
 SECOND = 24
 _SLOT = DOCS.bit_length() - 1
@@ -395,33 +395,35 @@ def _add_scores(sums: np.ndarray, rows: pa.RecordBatch) -> None:
         sums[:, bits] += weights[:, i : i + 1]
 
 
-def _finished(docs: list[pa.RecordBatch], sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of some blocks with their scores.
+
+    Sums take a small share of what the postings of their block take, so memory is bounded by the
+    size of a shuffle partition; postings themselves are not held.
+    """
+    blocks: dict[int, np.ndarray] = {}
+    docs: list[pa.RecordBatch] = []
     names = [c.split()[0] for c in _RETURNED.split(", ")]
+    for batch in batches:
+        is_doc = pc.is_null(batch.column("links"))
+        docs.append(batch.filter(is_doc).select(["block", "slot", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]))
+        postings = batch.filter(pc.invert(is_doc))
+        own = postings.column("block").to_numpy()
+        order = np.argsort(own, kind="stable")
+        starts = np.flatnonzero(np.diff(own[order], prepend=-1))
+        for at, rows in zip(starts.tolist(), np.split(order, starts[1:])):
+            sums = blocks.setdefault(int(own[order[at]]), np.zeros((2, DOCS), np.int64))
+            _add_scores(sums, postings.take(pa.array(rows)))
     for batch in docs:
-        slot = batch.column("slot").to_numpy(zero_copy_only=False)
-        own = np.where(slot >= 0, sums[:, slot], 0)
-        columns = {c: batch.column(c) for c in batch.schema.names} | {"count_sum": pa.array(own[0]), "n_best": pa.array(own[1])}
+        block, slot = (batch.column(c).to_numpy() for c in ("block", "slot"))
+        sums = np.zeros((2, len(slot)), np.int64)
+        for own in np.unique(block[slot >= 0]).tolist():
+            here = (block == own) & (slot >= 0)
+            sums[:, here] = blocks[own][:, slot[here]]
+        columns = {c: batch.column(c) for c in batch.schema.names} | {"count_sum": pa.array(sums[0]), "n_best": pa.array(sums[1])}
         yield pa.RecordBatch.from_arrays([columns[c] for c in names], names=names)
 
 
-def _returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their scores; rows come sorted by block, and one block is held at a time."""
-    now, docs, sums = None, [], np.zeros((2, DOCS), np.int64)
-    for batch in batches:
-        blocks = batch.column("block").to_numpy()
-        starts = np.flatnonzero(np.diff(blocks, prepend=blocks[:1] - 1)).tolist()
-        for a, b in zip(starts, [*starts[1:], batch.num_rows]):
-            if blocks[a] != now:
-                yield from _finished(docs, sums)
-                now, docs, sums = blocks[a], [], np.zeros((2, DOCS), np.int64)
-            rows = batch.slice(a, b - a)
-            is_doc = pc.is_null(rows.column("links"))
-            if found := rows.filter(is_doc):
-                docs.append(found.select(["slot", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]))
-            _add_scores(sums, rows.filter(pc.invert(is_doc)))
-    yield from _finished(docs, sums)
-
-
 def align(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of `docs`: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     indexed = index(docs, first, second, id_col, text_col)
@@ -430,5 +432,5 @@ def align(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text
     scored = pairs.join(most, "b").select("pair", "links", (F.col("links") == F.col("most")).alias("best"))
     postings = indexed.filter("pair is not null").select("pair", "block", "plane", "n", "dense", "docs").join(scored.hint("merge"), "pair").drop("pair")
     documents = indexed.filter("pair is null").select("block", "slot", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-    by_block = documents.unionByName(postings, allowMissingColumns=True).repartition("block").sortWithinPartitions("block")
+    by_block = documents.unionByName(postings, allowMissingColumns=True).repartition("block")
     return by_block.mapInArrow(_returned, _RETURNED)

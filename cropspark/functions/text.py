@@ -24,9 +24,14 @@ def strip(col: Column) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """Upper-case the first letter of every run of letters, lower-case the rest."""
+    """Upper-case the first letter of every run of letters, lower-case the rest.
+
+    Where runs are parted by spaces alone, or by signs that no letter follows, `initcap` does that in
+    one pass; only other texts are cut into runs.
+    """
     runs = F.regexp_extract_all(col, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    return F.array_join(F.transform(runs, F.initcap), "")
+    cut = F.array_join(F.transform(runs, F.initcap), "")
+    return F.when(col.rlike(r"[^\p{L} ]\p{L}"), cut).otherwise(F.initcap(col))
 
 
 def lookup(col: Column, table: Mapping[str, str]) -> Column:

@@ -147,13 +147,15 @@ def upsert(
     update: Sequence[str],
     on_duplicate: str = "fail",
     order: Sequence[str] = (),
+    checked: bool = False,
 ) -> DataFrame:
     """Insert new keys; on a known key overwrite only the `update` columns.
 
     One full outer join on the conflict key: both sides hold a key once, so no key
     is hot. Columns the batch lacks keep the base value and are NULL on new rows.
+    `checked=True` is for a batch that has been through `unique_batch`.
     """
-    incoming = unique_batch(batch, keys, on_duplicate, order)
+    incoming = batch if checked else unique_batch(batch, keys, on_duplicate, order)
     fresh = {c: f"_new_{c}" for c in incoming.columns}
     right = incoming.withColumnsRenamed(fresh).withColumn("_in_batch", F.lit(True))
     left = base.withColumn("_in_base", F.lit(True))

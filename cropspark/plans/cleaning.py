@@ -3,13 +3,14 @@
 from pyspark.sql import functions as F
 
 from cropspark import fixed_values as fv
+from cropspark import schemas
 from cropspark.functions import numbers as num
 from cropspark.functions.text import lookup_or
 from cropspark.operators import reports, rows
 from cropspark.plans import roles as r
 from cropspark.plans.registry import query
-from cropspark.session import written_once
-from cropspark.sources.snapshots import first_available, parse_snapshot_name, snapshot_name
+from cropspark.session import scratch_path, written_once
+from cropspark.sources.snapshots import first_available, parse_snapshot_name, read_csv, snapshot_name, write_csv
 
 _CODES = "produto_cod, tabela_sidra, cod_territorial"
 _METRICS = ", ".join(fv.METRICS)
@@ -365,3 +366,22 @@ def first_available_source(spark, folder):
     missing = orders.where(F.col("o_orderstatus") == "none")
     found = first_available({"pedidos abertos": missing, "pedidos": orders})
     return found.select("o_orderkey", "o_totalprice", "fonte_carga")
+
+
+@query(
+    "processed_csv_scan",
+    sql=f"""WITH {r.SQL_PROCESSED} SELECT {', '.join(fv.PROCESSED_COLUMNS)}, 'CSV processado' AS fonte_carga
+      FROM processado""",
+)
+def processed_csv_scan(spark, folder):
+    """The processed rows as CSV, read back in their types; a first source that holds no row is passed over."""
+    root = scratch_path(spark, "processed")
+    rows_ = processed(spark, folder)
+    write_csv(rows_.limit(0), f"{root}/novo.csv", fv.PROCESSED_COLUMNS)
+    write_csv(rows_, f"{root}/processado.csv", fv.PROCESSED_COLUMNS)
+    return first_available(
+        {
+            "CSV novo": read_csv(spark, f"{root}/novo.csv", schemas.PROCESSED),
+            "CSV processado": read_csv(spark, f"{root}/processado.csv", schemas.PROCESSED),
+        }
+    )

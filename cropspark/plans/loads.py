@@ -1,14 +1,18 @@
 """Payload to wide rows, star loads and upserts over whole tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cropspark import fixed_values as fv
+from cropspark import schemas
 from cropspark.operators import reports, star
 from cropspark.operators.reshape import attach_unit, pivot_first_nonnull
 from cropspark.plans import roles as r
 from cropspark.plans.registry import query
-from cropspark.session import written_once
+from cropspark.session import scratch_path, written_once
+from cropspark.sources import bucketed, lake
 from cropspark.sources import payload as src
 
 _METRICS = ", ".join(fv.METRICS)
@@ -52,11 +56,14 @@ def _cell(variable):
     )
 
 
+def _document():
+    names = "D1C D1N D2C D2N D3C D3N D4C D4N MC MN NC NN V".split()
+    return F.struct(*[F.lit("header").alias(n) for n in names]), [_cell(v) for v in fv.METRICS]
+
+
 def payloads(spark, folder):
     """Every wide row as a response document: a header and one cell per variable."""
-    names = "D1C D1N D2C D2N D3C D3N D4C D4N MC MN NC NN V".split()
-    header = F.struct(*[F.lit("header").alias(n) for n in names])
-    cells = [_cell(v) for v in fv.METRICS]
+    header, cells = _document()
     place = F.concat_ws("/", "cod_territorial", "produto_cod", F.col("ano").cast("string"))
     return r.wide(spark, folder).select(
         F.to_json(F.array(header, *cells)).alias("payload"),
@@ -85,9 +92,70 @@ def cells(spark, folder):
     return src.payload_to_cells(payloads(spark, folder), r.COLLECTED_AT)
 
 
-@query("payload_to_cells", sql=f"WITH {SQL_CELLS} SELECT * FROM celulas")
+# --- the same documents landed as files: lines, and one array file per level --------
+
+_IN_ARRAYS = ["ASIA", "EUROPE"]
+_ORDER = ["cod_territorial", "produto_cod", "ano", "variavel_cod"]
+_SQL_IN_ARRAYS = f"nivel_territorial IN ({', '.join(repr(n) for n in _IN_ARRAYS)})"
+_SQL_LANDED_AS = f"CASE WHEN {_SQL_IN_ARRAYS} THEN 'arrays/' ELSE 'lines/' END || regexp_extract(nivel_territorial, '[A-Z]+')"
+SQL_LANDED = f"""{SQL_CELLS}, recebidas AS (
+  SELECT * REPLACE ({_SQL_LANDED_AS} AS url_origem, CAST(CASE WHEN {_SQL_IN_ARRAYS}
+    THEN row_number() OVER (PARTITION BY nivel_territorial ORDER BY {', '.join(_ORDER)}) ELSE posicao END AS INTEGER) AS posicao)
+  FROM celulas)"""
+
+
+def land(spark, folder):
+    """Write the documents below a new folder, which is returned: `lines` and `arrays`.
+
+    Some documents of 1995 land a second time, cut off.
+    """
+    root = scratch_path(spark, "landing")
+    rows = r.stored_wide(spark, folder)
+    header, cells = _document()
+    document = F.to_json(F.array(header, *cells))
+    cut = F.when((F.col("ano") == 1995) & (F.col("nome_territorial") == "NATION_3"), F.substring(document, 1, 200))
+    lines = rows.where(~F.col("nivel_territorial").isin(_IN_ARRAYS)).select(
+        F.col("nivel_territorial").alias("nivel"), F.explode(F.array_compact(F.array(document, cut))).alias("value")
+    )
+    lines.write.partitionBy("nivel").text(f"{root}/lines")
+    each = F.explode(F.array(*[F.struct(F.lit(_CODE_OF[v]).alias("variavel_cod"), F.to_json(c).alias("cell")) for v, c in zip(fv.METRICS, cells)]))
+    arrays = rows.where(F.col("nivel_territorial").isin(_IN_ARRAYS)).select(
+        F.col("nivel_territorial").alias("nivel"), "cod_territorial", "produto_cod", "ano", each.alias("_c")
+    )
+    src.write_arrays(arrays.select("nivel", *_ORDER[:-1], "_c.*"), f"{root}/arrays", "nivel", _ORDER, "cell", F.to_json(header))
+    return root
+
+
+def landed_cells(spark, folder):
+    """All cells of the landed files, and what became of each document."""
+    root = land(spark, folder)
+    lines = src.read_payloads(spark, f"{root}/lines")
+    of_arrays, files = src.landed_cells(spark, f"{root}/arrays", r.COLLECTED_AT)
+    cells = src.union_blocks([src.payload_to_cells(lines, r.COLLECTED_AT), of_arrays])
+    return cells.withColumn("url_origem", _landed_as()), lines, files
+
+
+def _landed_as():
+    return F.regexp_replace(F.regexp_extract("url_origem", "((?:lines|arrays)/nivel=[A-Z]+)", 1), "nivel=", "")
+
+
+@query("payload_to_cells", sql=f"WITH {SQL_LANDED} SELECT * FROM recebidas")
 def payload_to_cells(spark, folder):
-    return cells(spark, folder)
+    return landed_cells(spark, folder)[0]
+
+
+@query(
+    "landed_documents",
+    sql=f"""WITH {r.SQL_WIDE} SELECT 'lines' AS forma, count(*) FILTER (WHERE NOT {_SQL_IN_ARRAYS}) AS aceitos,
+        count(*) FILTER (WHERE NOT {_SQL_IN_ARRAYS} AND ano = 1995 AND nome_territorial = 'NATION_3') AS recusados FROM wide
+      UNION ALL SELECT 'arrays', count(DISTINCT nivel_territorial) FILTER (WHERE {_SQL_IN_ARRAYS}), 0 FROM wide""",
+)
+def landed_documents(spark, folder):
+    """Documents that gave cells, and those that were refused."""
+    _, lines, files = landed_cells(spark, folder)
+    parsed = lines.select(F.from_json("payload", schemas.PAYLOAD).isNotNull().alias("aceito"))
+    both = parsed.select(F.lit("lines").alias("forma"), "aceito").unionByName(files.select(F.lit("arrays").alias("forma"), "aceito"))
+    return both.groupBy("forma").agg(F.count_if("aceito").alias("aceitos"), F.count_if(~F.col("aceito")).alias("recusados"))
 
 
 _SQL_PIVOT = ", ".join(
@@ -156,11 +224,10 @@ def attach_unit_left_join(spark, folder):
       ano, {_sql_cell_value('area_colhida_ha')} AS area_colhida_ha, CAST(qtd_produzida AS DOUBLE) AS qtd_produzida,
       coalesce(unidade_qtd, 'Frutos') AS unidade_qtd, CAST(rendimento_medio_kg_ha AS DOUBLE) AS rendimento_medio_kg_ha,
       CAST(valor_producao_mil_reais AS DOUBLE) AS valor_producao_mil_reais, fonte, tabela_sidra,
-      'landed/' || cod_territorial || '/' || produto_cod || '/' || CAST(ano AS VARCHAR) AS url_origem,
-      '{r.COLLECTED_AT}' AS coletado_em FROM wide""",
+      {_SQL_LANDED_AS} AS url_origem, '{r.COLLECTED_AT}' AS coletado_em FROM wide""",
 )
 def collect_wide(spark, folder):
-    return src.collect_wide(payloads(spark, folder), r.COLLECTED_AT)
+    return src.collect_cells(landed_cells(spark, folder)[0])
 
 
 @query(
@@ -179,7 +246,7 @@ def collection_totals(spark, folder):
       FROM events WHERE event_type NOT IN ('error', 'signup')""",
 )
 def clean_long_values(spark, folder):
-    """Every event as a document of the second form, read back by header text."""
+    """Every event as a landed document of the second form, one a line, read by header text."""
     titles = {"D4N": "Produto das lavouras temporárias", "D2N": "Variável", "V": "Valor", "D1N": "Município"}
     header = F.create_map(*[F.lit(x) for pair in titles.items() for x in pair])
     event = F.col("event_type")
@@ -195,7 +262,9 @@ def clean_long_values(spark, folder):
         F.lit("D1N"), F.col("user_id").cast("string"),
     )
     docs = r.table(spark, folder, "events").select(F.to_json(F.array(header, cell)).alias("payload"))
-    return src.clean_long_values(src.header_named_cells(docs))
+    path = scratch_path(spark, "second-form")
+    docs.write.text(path)
+    return src.clean_long_values(src.header_named_cells(src.read_payloads(spark, path)))
 
 
 # --- keys and dimensions ---------------------------------------------------------
@@ -281,6 +350,8 @@ def fact_key_lookup(spark, folder):
 
 # --- upserts -----------------------------------------------------------------------
 
+_BUCKETS = 8
+
 
 def base_and_batch(df):
     """Years up to 1999 as the table; 1999 on, with doubled metrics, as the batch."""
@@ -306,15 +377,23 @@ _SQL_UPSERTED_FACT = f"""SELECT id_commodity, id_territorio, ano, {_SQL_DOUBLED}
 
 @query("upsert_partial_columns", sql=f"WITH {r.SQL_FACT} {_SQL_UPSERTED_FACT}")
 def upsert_partial_columns(spark, folder):
+    """The fact stored by its key; the batch alone is moved."""
     base, batch = fact_base_and_batch(spark, folder)
-    return r.doubles(star.upsert_fact(base, batch))
+    table = f"fato_{uuid.uuid4().hex}"
+    bucketed.create(base, table, scratch_path(spark, "buckets"), fv.FACT_KEYS, _BUCKETS)
+    bucketed.upsert_table(spark, table, batch, fv.FACT_UPDATES)
+    return r.doubles(spark.table(table))
 
 
 @query("upsert_idempotent", sql=f"WITH {r.SQL_FACT} {_SQL_UPSERTED_FACT}")
 def upsert_idempotent(spark, folder):
-    """The same batch twice gives what it gives once."""
+    """The same batch delivered twice to a table by year, of which only touched years are rewritten."""
     base, batch = fact_base_and_batch(spark, folder)
-    return r.doubles(star.upsert_fact(star.upsert_fact(base, batch), batch))
+    path = scratch_path(spark, "by-year")
+    lake.write_lake(base, path, ["ano"])
+    for _ in range(2):
+        lake.upsert_lake(path, batch, fv.FACT_KEYS, fv.FACT_UPDATES, base.schema)
+    return r.doubles(lake.read_lake(spark, path, base.schema)).select(*base.columns)
 
 
 @query(
@@ -331,4 +410,7 @@ def upsert_processed(spark, folder):
     batch = batch.withColumns(
         {c: F.concat(F.col(c), F.lit(" novo")) for c in ("produto", "unidade_qtd")}
     ).drop("coletado_em")
-    return r.doubles(star.upsert_processed(base, batch))
+    table = f"processado_{uuid.uuid4().hex}"
+    bucketed.create(base, table, scratch_path(spark, "buckets"), fv.PROCESSED_KEYS, _BUCKETS)
+    bucketed.upsert_table(spark, table, batch, fv.PROCESSED_UPDATES)
+    return r.doubles(spark.table(table))

@@ -16,6 +16,7 @@ from cropspark import schemas
 from cropspark.functions.numbers import round_half_even
 from cropspark.functions.text import lookup_or
 from cropspark.operators.rows import project_ordered
+from cropspark.sources.pieces import csv_records, has_quoted_breaks, parse_csv
 
 FORMATS = ("csv", "json", "parquet")
 # A quote inside a value is doubled; blanks around a value are kept.
@@ -89,8 +90,9 @@ def write_csv(
 
     `single_file=True` gives one part that starts with a byte-order mark for
     spreadsheet programs; use it for small exports only. `escaped=True` writes line
-    breaks as backslash sequences, so that a row stays one line and files stay splittable;
-    read them back with `read_csv(..., escaped=True)`.
+    breaks as backslash sequences, so that any reader of lines can take the files; read them back
+    with `read_csv(..., escaped=True)`. Otherwise values with breaks are quoted, which
+    `read_csv` finds. CSV has no sign for an empty text: it is read back as NULL.
     """
     out = project_ordered(df, order)
     if escaped:
@@ -172,7 +174,14 @@ def read_csv(
     schema: T.StructType = schemas.RAW_WIDE,
     escaped: bool = False,
 ) -> DataFrame:
-    """CSV with header; a byte-order mark is dropped."""
+    """CSV with header; a byte-order mark is dropped.
+
+    If a quoted value of the files holds a line break, rows are put together from lines by the
+    quotes before them (`pieces`), so files are split among tasks either way. `escaped=True` is
+    for files that were written with it, whose lines are rows.
+    """
+    if not escaped and has_quoted_breaks(spark, path):
+        return parse_csv(csv_records(spark, path), schema, CSV_OPTIONS)
     rows = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
     return _in_texts(rows, _restore_breaks) if escaped else rows
 

@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pandas as pd
@@ -107,3 +108,11 @@ def test_years_and_dates_are_read_as_the_cast_reads_them(spark):
     assert [r[0] for r in df.select(to_year(F.col("t"))).collect()] == [2023, 2023, None, None, None, None]
     days = spark.createDataFrame([("2026",), ("\t2026-03-23",), ("x",)], "t string").select(to_timestamp(F.col("t")).cast("string"))
     assert [r[0] for r in days.collect()] == ["2026-01-01 00:00:00", "2026-03-23 00:00:00", None]
+
+
+def test_title_case_by_either_way(spark):
+    texts = ["soja EM grão", "NATION_3", "3abc d", "d'água-mel", "a\tb c", "(x) y", "  two  blanks", "ÉTÉ été", "a.b", "", None, "x_1 y", "1 a 2b"]
+    def expected(t):
+        return None if t is None else re.sub(r"[^\W\d_]+", lambda m: m[0][0].upper() + m[0][1:].lower(), t)
+
+    assert evaluate(spark, texts, txt.title_case) == [expected(t) for t in texts]

@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cropspark import fixed_values as fv
 from cropspark.functions.numbers import yield_per_area
@@ -124,15 +125,46 @@ def count_orphans(fact: DataFrame, key: str, dim: DataFrame, dim_key: str) -> Da
     )
 
 
+def _as_text(column: str, kinds: set[type]) -> Column:
+    """A key as text that is equal where keys of these types are equal."""
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if kinds <= set(integral) or kinds == {T.StringType}:
+        return F.col(column).cast("string")
+    return F.col(column).cast("double").cast("string")
+
+
 def orphan_counts(
     fact: DataFrame, references: Mapping[str, tuple[str, DataFrame, str]]
 ) -> DataFrame:
-    """(verificacao, orfas) per reference name -> (fact key, dimension, dimension key)."""
-    checks = [
-        count_orphans(fact, key, dim, dim_key).select(F.lit(name).alias("verificacao"), "orfas")
-        for name, (key, dim, dim_key) in references.items()
-    ]
-    return functools.reduce(DataFrame.unionAll, checks)
+    """(verificacao, orfas) per reference name -> (fact key, dimension, dimension key).
+
+    All references share one scan of the fact and one shuffle: a row gives a (reference, key) pair
+    for each, pairs are counted, so a hot key is one row, and one anti join tells the unknown ones.
+    NULL follows SQL's NOT IN, as in `count_orphans`.
+    """
+    pairs, known = [], []
+    for i, (key, dim, dim_key) in enumerate(references.values()):
+        kinds = {type(fact.schema[key].dataType), type(dim.schema[dim_key].dataType)}
+        pairs.append(F.struct(F.lit(i).alias("_ref"), _as_text(key, kinds).alias("_key")))
+        known.append(dim.select(F.lit(i).alias("_ref"), _as_text(dim_key, kinds).alias("_key")))
+    per_key = (
+        fact.select(F.explode(F.array(*pairs)).alias("_p"))
+        .groupBy(F.col("_p._ref").alias("_ref"), F.col("_p._key").alias("_key"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
+    )
+    keys = functools.reduce(DataFrame.unionAll, known)
+    unmatched = per_key.join(keys, ["_ref", "_key"], "left_anti").groupBy("_ref").agg(
+        F.sum("_rows").alias("_all"), F.sum(F.when(F.col("_key").isNotNull(), F.col("_rows"))).alias("_set")
+    )
+    sizes = keys.groupBy("_ref").agg(F.count(F.lit(1)).alias("_size"), F.count_if(F.col("_key").isNull()).alias("_nulls"))
+    names = fact.sparkSession.createDataFrame(list(enumerate(references)), "_ref int, verificacao string")
+    orphans = (
+        F.when(F.coalesce("_size", F.lit(0)) == 0, F.col("_all"))
+        .when(F.col("_nulls") > 0, F.lit(0))
+        .otherwise(F.col("_set"))
+    )
+    joined = names.join(sizes, "_ref", "left").join(unmatched, "_ref", "left")
+    return joined.select("verificacao", F.coalesce(orphans, F.lit(0)).alias("orfas"))
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -173,12 +205,8 @@ def constraint_report(
     for keys in unique:
         name = F.lit(f"{', '.join(keys)} único").alias("restricao")
         reports.append(count_duplicate_keys(df, keys).select(name, "violacoes"))
-    for name, (key, dim, dim_key) in (references or {}).items():
-        reports.append(
-            count_orphans(df, key, dim, dim_key).select(
-                F.lit(name).alias("restricao"), F.col("orfas").alias("violacoes")
-            )
-        )
+    if references:
+        reports.append(orphan_counts(df, references).toDF("restricao", "violacoes"))
     return functools.reduce(DataFrame.unionAll, reports).select(
         F.lit(table).alias("tabela"), "restricao", "violacoes"
     )

@@ -154,16 +154,26 @@ def validation_report(
     max_year: int = fv.YEAR_MAX,
 ) -> DataFrame:
     """What `validate_rows` rejects or changes, counted in one pass: (regra, total)."""
+    return counts_as_rows(df, validation_counts(year, code, metrics, min_year, max_year), "regra")
+
+
+def validation_counts(
+    year: str = "ano",
+    code: str = "produto_cod",
+    metrics: Sequence[str] = fv.METRICS,
+    min_year: int = fv.YEAR_MIN,
+    max_year: int = fv.YEAR_MAX,
+) -> dict[str, Column]:
+    """The counts of the report, by rule."""
     year_ok = _year_ok(year, min_year, max_year)
     approved = year_ok & _code_ok(code)
-    counts = {
+    return {
         "ano inválido": F.count_if(~year_ok),
         "código inválido": F.count_if(year_ok & ~_code_ok(code)),
         **{f"negativo em {c}": F.count_if(approved & (F.col(c) < 0)) for c in metrics},
         "aprovados": F.count_if(approved),
         "total": F.count(F.lit(1)),
     }
-    return counts_as_rows(df, counts, "regra")
 
 
 def null_profile(df: DataFrame, metrics: Sequence[str] = fv.METRICS) -> DataFrame:

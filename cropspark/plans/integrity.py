@@ -1,11 +1,14 @@
 """Anomaly, integrity and constraint reports over whole tables."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from cropspark import fixed_values as fv
-from cropspark.operators import quality
+from cropspark.operators import quality, rows
 from cropspark.plans import roles as r
 from cropspark.plans.registry import query
+from cropspark.session import written_once
 
 _VALUE = "valor_producao_mil_reais"
 
@@ -140,63 +143,126 @@ def table_counts(spark, folder):
     )
 
 
+_LEVELS = ["AFRICA", "AMERICA", "ASIA", "EUROPE"]
+_STORED = ["produto", "produto_cod", "nivel_territorial", "cod_territorial", "nome_territorial", "ano", "unidade_qtd", "status_dado", "area_colhida_ha"]
+
+
+def _sql_unique(table, keys):
+    held = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    names = ", ".join(keys)
+    return f"""SELECT '{table}' AS tabela, '{names} único' AS restricao, count(*) AS violacoes
+      FROM (SELECT 1 FROM {table} WHERE {held} GROUP BY {names} HAVING count(*) > 1)"""
+
+
+def _sql_rule(table, name, broken):
+    return f"SELECT '{table}' AS tabela, '{name}' AS restricao, count(*) FILTER (WHERE {broken}) AS violacoes FROM {table}"
+
+
+def _sql_reference(table, name, key, known):
+    return f"SELECT '{table}' AS tabela, '{name}' AS restricao, count(*) AS violacoes FROM {table} WHERE {key} NOT IN ({known})"
+
+
+_SQL_CONSTRAINTS = " UNION ALL ".join(
+    [
+        _sql_rule("linhas", "imposto não nulo", "imposto IS NULL"),
+        _sql_rule("linhas", "ano entre 1974 e 2000", "NOT ano BETWEEN 1974 AND 2000"),
+        _sql_rule("linhas", "imposto positivo", "NOT imposto > 0.01"),
+        _sql_rule("linhas", "status na lista", "l_returnflag NOT IN ('A', 'N')"),
+        _sql_unique("linhas", ["l_orderkey", "l_linenumber"]),
+        _sql_reference("linhas", "l_partkey em part", "l_partkey", "SELECT p_partkey FROM part WHERE p_size <> 7"),
+        _sql_reference("linhas", "l_suppkey em supplier", "l_suppkey", "SELECT s_suppkey FROM supplier WHERE s_nationkey <> 3"),
+        _sql_rule("dim_commodity", "codigo_sidra não nulo", "codigo_sidra IS NULL"),
+        _sql_rule("dim_commodity", "codigo_sidra numérico", "NOT regexp_full_match(codigo_sidra, '[0-9]+')"),
+        _sql_rule("dim_commodity", "nome_oficial até 12 caracteres", "length(nome_oficial) > 12"),
+        _sql_unique("dim_commodity", ["codigo_sidra"]),
+        _sql_unique("dim_commodity", ["unidade_medida"]),
+        _sql_rule("dim_territorio", "codigo_ibge não nulo", "codigo_ibge IS NULL"),
+        _sql_rule("dim_territorio", "nome não nulo", "nome IS NULL"),
+        _sql_rule("dim_territorio", "nivel_territorial na lista", f"nivel_territorial NOT IN ({', '.join(map(repr, _LEVELS))})"),
+        _sql_rule("dim_territorio", "nome até 8 caracteres", "length(nome) > 8"),
+        _sql_unique("dim_territorio", ["codigo_ibge", "nivel_territorial"]),
+        _sql_unique("dim_territorio", ["nivel_territorial"]),
+        _sql_rule("fato", "ano entre 1974 e 2100", "NOT ano BETWEEN 1974 AND 2100"),
+        _sql_unique("fato", fv.FACT_KEYS),
+        _sql_reference("fato", "id_commodity em dim_commodity", "id_commodity", "SELECT id_commodity FROM produtos"),
+        _sql_reference("fato", "id_territorio em dim_territorio", "id_territorio", "SELECT id_territorio FROM lugares"),
+        _sql_rule("processado", "unidade_qtd não nulo", "unidade_qtd IS NULL"),
+        _sql_rule("processado", "area_colhida_ha não nulo", "area_colhida_ha IS NULL"),
+        _sql_rule("processado", "ano entre 1974 e 2100", "NOT ano BETWEEN 1974 AND 2100"),
+        _sql_rule("processado", "status_dado na lista", "status_dado NOT IN ('completo')"),
+        _sql_rule("processado", "produto até 10 caracteres", "length(produto) > 10"),
+        _sql_rule("processado", "nome_territorial até 8 caracteres", "length(nome_territorial) > 8"),
+        _sql_unique("processado", fv.PROCESSED_KEYS),
+    ]
+)
+
+
 @query(
     "constraint_report",
-    sql=f"""WITH {_SQL_GAPS}, linhas AS (SELECT l_orderkey, l_linenumber, l_partkey, nullif(l_tax, 0) AS imposto,
+    sql=f"""WITH {r.SQL_PROCESSED}, fato AS (SELECT id_commodity, id_territorio, ano, count(*) AS n FROM lines GROUP BY ALL),
+      {r.SQL_DIM_COMMODITY}, {r.SQL_DIM_TERRITORY}, produtos AS (SELECT * FROM dim_commodity WHERE codigo_sidra <> '40130'),
+      lugares AS (SELECT * FROM dim_territorio WHERE nome <> 'NATION_5'),
+      linhas AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, nullif(l_tax, 0) AS imposto,
         l_returnflag, CAST(year(l_shipdate) AS INTEGER) AS ano FROM lineitem)
-      SELECT 'lineitem' AS tabela, 'imposto não nulo' AS restricao, count(*) FILTER (WHERE imposto IS NULL) AS violacoes FROM linhas
-      UNION ALL SELECT 'lineitem', 'ano entre 1974 e 2000', count(*) FILTER (WHERE NOT ano BETWEEN 1974 AND 2000) FROM linhas
-      UNION ALL SELECT 'lineitem', 'imposto positivo', count(*) FILTER (WHERE NOT imposto > 0.01) FROM linhas
-      UNION ALL SELECT 'lineitem', 'status na lista', count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N')) FROM linhas
-      UNION ALL SELECT 'lineitem', 'l_orderkey, l_linenumber único', count(*) FROM
-        (SELECT 1 FROM linhas GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
-      UNION ALL SELECT 'lineitem', 'l_partkey em part', count(*) FROM lineitem
-        WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size <> 7)
-      UNION ALL SELECT 'dim_commodity', 'codigo_sidra não nulo', count(*) FILTER (WHERE codigo_sidra IS NULL) FROM dim_commodity
-      UNION ALL SELECT 'dim_commodity', 'codigo_sidra numérico', count(*) FILTER (WHERE NOT regexp_full_match(codigo_sidra, '[0-9]+')) FROM dim_commodity
-      UNION ALL SELECT 'dim_commodity', 'nome_oficial até 12 caracteres', count(*) FILTER (WHERE length(nome_oficial) > 12) FROM dim_commodity
-      UNION ALL SELECT 'dim_commodity', 'codigo_sidra único', 0 FROM (SELECT 1)
-      UNION ALL SELECT 'fato_producao', 'ano entre 1974 e 2100', count(*) FILTER (WHERE NOT ano BETWEEN 1974 AND 2100) FROM fato
-      UNION ALL SELECT 'fato_producao', 'id_commodity, id_territorio, ano único', 0 FROM (SELECT 1)
-      UNION ALL SELECT 'fato_producao', 'id_commodity em dim_commodity', count(*) FROM fato
-        WHERE id_commodity NOT IN (SELECT id_commodity FROM produtos)""",
+      {_SQL_CONSTRAINTS}""",
 )
 def constraint_report(spark, folder):
+    """The rules of the line items, the star schema and the processed table."""
     items = r.table(spark, folder, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_returnflag",
-        F.nullif("l_tax", F.lit(0.0)).alias("imposto"),
-        F.year("l_shipdate").alias("ano"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
+        F.nullif("l_tax", F.lit(0.0)).alias("imposto"), F.year("l_shipdate").alias("ano"),
     )
     parts = r.table(spark, folder, "part").where(F.col("p_size") != 7)
-    lines = quality.constraint_report(
-        "lineitem",
-        items,
-        not_null=["imposto"],
-        checks={
-            "ano entre 1974 e 2000": F.col("ano").between(1974, 2000),
-            "imposto positivo": F.col("imposto") > 0.01,
-            "status na lista": F.col("l_returnflag").isin("A", "N"),
-        },
-        unique=[["l_orderkey", "l_linenumber"]],
-        references={"l_partkey em part": ("l_partkey", parts, "p_partkey")},
-    )
-    fact, products, _ = _star_with_gaps(spark, folder)
-    dimension = quality.constraint_report(
-        "dim_commodity",
-        r.dim_commodity(spark, folder),
-        not_null=["codigo_sidra"],
-        checks={"codigo_sidra numérico": F.col("codigo_sidra").rlike("^[0-9]+$")},
-        lengths={"nome_oficial": 12},
-        unique=[["codigo_sidra"]],
-    )
-    facts = quality.constraint_report(
-        "fato_producao",
-        fact,
-        checks={"ano entre 1974 e 2100": F.col("ano").between(fv.YEAR_MIN, fv.YEAR_MAX)},
-        unique=[fv.FACT_KEYS],
-        references={"id_commodity em dim_commodity": ("id_commodity", products, "id_commodity")},
-    )
-    return lines.unionAll(dimension).unionAll(facts)
+    suppliers = r.table(spark, folder, "supplier").where(F.col("s_nationkey") != 3)
+    fact, products, places = _star_with_gaps(spark, folder)
+    stored = written_once(rows.clean_rows(r.raw_lines(spark, folder), r.PROCESSED_AT).select(*_STORED), "processed")
+    years = {"ano entre 1974 e 2100": F.col("ano").between(fv.YEAR_MIN, fv.YEAR_MAX)}
+    reports = [
+        quality.constraint_report(
+            "linhas",
+            items,
+            not_null=["imposto"],
+            checks={
+                "ano entre 1974 e 2000": F.col("ano").between(1974, 2000),
+                "imposto positivo": F.col("imposto") > 0.01,
+                "status na lista": F.col("l_returnflag").isin("A", "N"),
+            },
+            unique=[["l_orderkey", "l_linenumber"]],
+            references={"l_partkey em part": ("l_partkey", parts, "p_partkey"), "l_suppkey em supplier": ("l_suppkey", suppliers, "s_suppkey")},
+        ),
+        quality.constraint_report(
+            "dim_commodity",
+            r.dim_commodity(spark, folder),
+            not_null=["codigo_sidra"],
+            checks={"codigo_sidra numérico": F.col("codigo_sidra").rlike("^[0-9]+$")},
+            lengths={"nome_oficial": 12},
+            unique=[["codigo_sidra"], ["unidade_medida"]],
+        ),
+        quality.constraint_report(
+            "dim_territorio",
+            r.dim_territory(spark, folder),
+            not_null=["codigo_ibge", "nome"],
+            checks={"nivel_territorial na lista": F.col("nivel_territorial").isin(_LEVELS)},
+            lengths={"nome": 8},
+            unique=[["codigo_ibge", "nivel_territorial"], ["nivel_territorial"]],
+        ),
+        quality.constraint_report(
+            "fato",
+            fact,
+            checks=years,
+            unique=[fv.FACT_KEYS],
+            references={
+                "id_commodity em dim_commodity": ("id_commodity", products, "id_commodity"),
+                "id_territorio em dim_territorio": ("id_territorio", places, "id_territorio"),
+            },
+        ),
+        quality.constraint_report(
+            "processado",
+            stored,
+            not_null=["unidade_qtd", "area_colhida_ha"],
+            checks={**years, "status_dado na lista": F.col("status_dado").isin("completo")},
+            lengths={"produto": 10, "nome_territorial": 8},
+            unique=[fv.PROCESSED_KEYS],
+        ),
+    ]
+    return functools.reduce(lambda a, b: a.unionAll(b), reports)

@@ -132,6 +132,20 @@ def partition_pruned_scan(spark, folder):
     )
 
 
+@query(
+    "clustered_scan",
+    sql=f"""WITH {r.SQL_WIDE} SELECT produto, produto_cod, cod_territorial, ano, CAST(qtd_produzida AS DOUBLE) AS qtd_produzida
+      FROM wide WHERE produto_cod IN ('40124', '40131') AND ano >= {r.YEAR}""",
+)
+def clustered_scan(spark, folder):
+    """A lake by year, clustered by product: a filter on products skips row groups."""
+    path = scratch_path(spark, "clustered")
+    rows_ = raw_rows(spark, folder)
+    lake.write_clustered(rows_, path, ["produto_cod"], ["ano"])
+    found = lake.read_lake(spark, path, rows_.schema).where(F.col("produto_cod").isin("40124", "40131") & (F.col("ano") >= r.YEAR))
+    return found.select("produto", "produto_cod", "cod_territorial", "ano", "qtd_produzida")
+
+
 _KEYED = " AND ".join(f"{k} IS NOT NULL" for k in fv.PROCESSED_KEYS)
 
 

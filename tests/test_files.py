@@ -168,3 +168,35 @@ def test_upsert_leaves_other_years_alone(spark, tmp_path):
         found = values(lake.read_lake(spark, path, base.schema), "k", "v", "ano")
         assert found == [("a", 1, 2020), ("a", 3, 2021), ("b", 9, 2020), ("c", 5, 2022)]
     assert sorted(str(p) for p in (tmp_path / "t" / "ano=2021").glob("*.parquet")) == before
+
+
+def _row_groups(folder, code):
+    """Row groups of a folder, and those whose limits let a code be in them."""
+    import pyarrow.parquet as pq
+
+    total = hit = 0
+    for path in folder.rglob("*.parquet"):
+        meta = pq.ParquetFile(path).metadata
+        at = meta.schema.names.index("code")
+        for i in range(meta.num_row_groups):
+            limits = meta.row_group(i).column(at).statistics
+            total, hit = total + 1, hit + (limits.min <= code <= limits.max)
+    return total, hit
+
+
+def test_clustering_lets_a_filter_skip_row_groups(spark, tmp_path):
+    year, code = (F.col("id") % 2 + 2000).cast("int"), F.format_string("c%04d", F.col("id") * 7919 % 400)
+    hot = F.when(F.col("id") % 3 == 0, "c0200").otherwise(code)
+    df = spark.range(0, 40_000, 1, 8).select(year.alias("ano"), hot.alias("code"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    lake.write_lake(df, str(tmp_path / "plain"), ["ano"])
+    lake.write_clustered(df, str(tmp_path / "clustered"), ["code"], ["ano"], row_group_bytes=64 << 10)
+    total, hit = _row_groups(tmp_path / "clustered", "c0123")
+    plain_total, plain_hit = _row_groups(tmp_path / "plain", "c0123")
+    assert plain_hit == plain_total and hit <= 4 < total
+    # the hot code lies in several files
+    assert len({r[0] for r in spark.read.parquet(str(tmp_path / "clustered")).where("code = 'c0200'").select(F.input_file_name()).collect()}) > 2
+    for path in ("plain", "clustered"):
+        back = lake.read_lake(spark, str(tmp_path / path), df.schema)
+        assert back.count() == 40_000 and back.where("code = 'c0123'").count() == df.where("code = 'c0123'").count()
+    lake.write_clustered(df.where("ano = 2001").limit(5), str(tmp_path / "clustered"), ["code"], ["ano"], touched_only=True)
+    assert lake.read_lake(spark, str(tmp_path / "clustered"), df.schema).groupBy("ano").count().orderBy("ano").collect() == [(2000, 20_000), (2001, 5)]

@@ -1,24 +1,23 @@
-"""SentencePiece encoding and decoding by a relational lattice of pieces.
+"""SentencePiece encoding and decoding by a lattice of pieces, folded with Spark's `aggregate`.
 
 Encoding. A text gets a blank in front, and is cut before each run of blanks that follows
-another character: no piece lies across such a cut, so words can be encoded on their own. Every
-distinct word of the corpus is encoded once:
-
-* lattice: all its substrings up to the longest piece, equi-joined to the piece table. The table
-  is broadcast; it is bounded by the model file. A single character without a piece stands for
-  the unknown piece, written as byte pieces if the model has them.
-* edges are grouped by word and folded with `aggregate`. For a unigram model this is Viterbi:
-  the best sum of scores for each end, the longer last piece where sums are equal, then the way
-  back. Scores of a BPE model are ranks of merges, whose best sum is not what such a model
-  means, so its fold starts from single characters and takes, step by step, the edge of the
-  best score that joins two neighbours, the leftmost of equals. Words stay in the partitions of
-  their distinct-step, so neither substrings nor edges are shuffled.
-* words of over `LONG` characters take the same rule in plain Python, where a step doesn't
-  copy an array.
-
-Texts then look their words up. If the corpus has no more than `CACHED_WORDS` distinct words
-their ids are sent to the tasks as flat arrays (about 20 bytes a word); beyond that bound words
-are exploded and joined on the shuffle.
+another character: no piece lies across such a cut, so words can be encoded on their own. A task
+encodes each distinct word of its texts once; nothing is shuffled, collected or broadcast but the
+piece table, which is bounded by the model file:
+
+* a first Arrow pass numbers the words. The substrings of new words, up to the longest piece, are
+  exploded as arrays and equi-joined to the piece table by hash; what is found is the word's
+  lattice. Words go on in rows of `WORDS`, ahead of the rows whose texts hold them.
+* the lattices are folded with `aggregate`. For a unigram model this is Viterbi: the best sum of
+  scores for each end, the longer last piece where sums are equal, then the way back. Scores of a
+  BPE model are ranks of merges, whose best sum is not what such a model means, so its fold starts
+  from single characters and takes, step by step, the best-ranked piece that joins two neighbours,
+  the leftmost of equals. A character without a piece stands for the unknown piece, written as byte
+  pieces if the model has them.
+* words of over `LONG` characters take the same rule in plain Python, where a step doesn't cost
+  the length of the word.
+* a second Arrow pass, in the same task and order, keeps the ids of the words so far (about 20
+  bytes a word of the partition) and puts the texts' ids together.
 
 Decoding puts the pieces' bytes together and takes the first blank away.
 
@@ -27,7 +26,7 @@ differ where a text mixes scores of very different sizes.)
 
 Defined results: null or empty texts have no ids; the sign U+2581 counts as a blank, so it is
 decoded as one; equal rows each give a row; an empty table gives no rows; other columns are
-passed through under their own names.
+passed through, whatever their names, but one named like the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -37,19 +36,22 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 
-from cropspark.llm.frames import bound, fresh, stored
+from cropspark.llm.frames import bound
 from cropspark.llm.text_arrays import Texts, as_binary, gram, slices
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 LONG = 256
-CACHED_WORDS = 8_000_000
+#: Words of a row, and rows of a batch, on their way to the fold and back.
+WORDS = 128
+ROWS = 64
+_RANK = 24
 SLICE_BYTES = 1 << 20
 
 
@@ -172,25 +174,6 @@ def _hashes(part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return gram(part.prefix(), starts, ends), starts, ends
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen = np.zeros(0, np.uint64)
-    for batch in batches:
-        for raw in slices(batch.column(0), SLICE_BYTES):
-            part = _in_front(raw)
-            hashes, starts, ends = _hashes(part)
-            found, first = np.unique(hashes, return_index=True)
-            first = first[~np.isin(found, seen, assume_unique=True)]
-            seen = np.union1d(seen, hashes[first])
-            whole = part.data.tobytes()
-            words = [whole[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string())], names=["word"])
-
-
-def distinct_words(docs: DataFrame, text_col: str) -> DataFrame:
-    """The distinct words of all texts, blanks in front of them written as blanks."""
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(_distinct_words, "word string").distinct()
-
-
 def _fold(n: Column, edges: Column) -> Column:
     """Ids of the best path over edges (e, s, score, ids) of a word of n characters."""
 
@@ -218,133 +201,230 @@ def _fold(n: Column, edges: Column) -> Column:
     return bound(F.aggregate(F.sequence(F.lit(1), n), nothing, step)["back"], back)
 
 
-def _merge_fold(n: Column, edges: Column) -> Column:
-    """Ids of a word of n characters by merges along its edges."""
-    joins = F.filter(edges, lambda x: x["e"] - x["s"] > 1)
+def _merge_fold(n: Column, width: Column, lattice: Column) -> Column:
+    """Values of the pieces of a word of n characters, by merges along its lattice.
 
-    def step(cuts: Column, joins: Column) -> Column:
-        def place(x: Column) -> Column:
-            return F.array_position(cuts, x["s"]).cast("int")
+    `lattice` holds at `start * width + length - 1` the value of the piece there, null for none:
+    its rank above `_RANK` bits, its id below them.
+    """
 
-        # the edge runs from one cut over the next to the one after it
-        fits = F.filter(joins, lambda x: F.coalesce((F.get(cuts, place(x) + F.lit(1)) == x["e"]) & (F.get(cuts, place(x) - F.lit(1)) == x["s"]), F.lit(False)))
-        best = F.array_max(F.transform(fits, lambda x: F.struct(x["score"].alias("score"), (-x["s"]).alias("s"), F.get(cuts, place(x)).alias("cut"))))
-        return bound(best, lambda m: F.when(m.isNull(), cuts).otherwise(F.array_remove(cuts, F.coalesce(m["cut"], F.lit(-1)))))
+    def value(start: Column, end: Column) -> Column:
+        return F.when(end - start <= width, F.get(lattice, start * width + end - start - F.lit(1)))
 
-    def ids(cuts: Column) -> Column:
-        def own(at: Column, k: Column) -> Column:
-            found = F.filter(edges, lambda x: (x["s"] == at) & (x["e"] == F.get(cuts, k + F.lit(1))))
-            return F.get(found, F.lit(0))["ids"]
+    def step(cuts: Column, _: Column) -> Column:
+        def joined(start: Column, k: Column) -> Column:
+            rank = F.shiftright(value(start, F.get(cuts, k + F.lit(2))), _RANK)
+            return F.shiftleft(rank, 32) + k.cast("bigint")
 
-        return F.flatten(F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - F.lit(1)), own))
+        best = F.array_min(F.transform(cuts, joined))
+        taken = lambda m: F.filter(cuts, lambda _, k: k != m.bitwiseAND(0xFFFFFFFF) + 1)
+        return bound(best, lambda m: F.when(m.isNull(), cuts).otherwise(taken(m)))
 
     steps = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
-    fold = lambda joins: F.aggregate(steps, F.sequence(F.lit(0), n), lambda cuts, _: step(cuts, joins))
-    return bound(bound(joins, fold), ids)
-
-
-def encode_words(words: DataFrame, model: Model) -> DataFrame:
-    """(word, ids) of the rows of `words`, which are distinct."""
-    spark = words.sparkSession
-    rows = [(p, i, s) for i, (p, s, ok) in enumerate(zip(model.pieces, model.scores, model.usable)) if ok]
-    pieces = F.broadcast(spark.createDataFrame(rows, "piece string, id int, score double"))
-    spelled = words.select("word", F.translate("word", " ", BLANK).alias("w"))
-    sized = spelled.withColumn("n", F.length("w"))
-    starts = sized.filter(f"n <= {LONG}").select("word", "w", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
-    widths = F.sequence(F.lit(1), F.least(F.lit(model.longest), F.col("n") - F.col("s")))
-    spans = starts.select("word", "n", "s", F.col("w"), F.explode(widths).alias("l")).select(
-        "word", "n", "s", (F.col("s") + F.col("l")).alias("e"), F.col("w").substr(F.col("s") + F.lit(1), F.col("l")).alias("piece")
-    )
-    joined = spans.join(pieces, "piece", "left").filter("id is not null or e - s = 1")
-    if model.byte_ids:
-        digits = F.hex(F.encode("piece", "UTF-8"))
-        byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
-        unknown = F.transform(
-            F.sequence(F.lit(1), F.length(digits), F.lit(2)), lambda k: F.get(byte_ids, F.conv(F.substring(digits, k, F.lit(2)), 16, 10).cast("int"))
-        )
+    done = F.aggregate(steps, F.sequence(F.lit(0), n), step)
+    pieces = lambda cuts: F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - F.lit(1)), lambda c, k: value(c, F.get(cuts, k + F.lit(1))))
+    return F.transform(bound(done, pieces), lambda v: F.when(v < 0, v.cast("int")).otherwise(v.bitwiseAND((1 << _RANK) - 1).cast("int")))
+
+
+class _Pieces:
+    """The piece table by hash: the relation that substrings are joined to."""
+
+    def __init__(self, model: Model):
+        rows = [(p, i, s) for i, (p, s, ok) in enumerate(zip(model.pieces, model.scores, model.usable)) if ok]
+        data = [p.replace(BLANK, " ").encode() for p, _, _ in rows]
+        ends = np.cumsum([0, *map(len, data)])
+        part = Texts(np.frombuffer(b"".join(data), np.uint8), ends, 0)
+        hashes = gram(part.prefix(), ends[:-1], ends[1:])
+        order = np.argsort(hashes)
+        self.table = {p: (i, s) for p, i, s in rows}
+        self.hashes = hashes[order]
+        self.ids = np.array([i for _, i, _ in rows], np.int64)[order]
+        self.scores = np.array([s for _, _, s in rows])[order]
+        self.ranks = np.unique(-self.scores, return_inverse=True)[1].astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash in the table, -1 if it has none."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+
+_EDGE = pa.struct([("e", pa.int32()), ("s", pa.int32()), ("score", pa.float64()), ("ids", pa.list_(pa.int32()))])
+_WORD = pa.struct([("n", pa.int32()), ("width", pa.int32()), ("lattice", pa.list_(pa.int64())), ("edges", pa.list_(_EDGE)), ("ids", pa.list_(pa.int32()))])
+
+
+def _lattices(words: list[bytes], model: Model, pieces: _Pieces) -> pa.Array:
+    """One `_WORD` per word: its lattice, or its ids if it is long."""
+    data = np.frombuffer(b"".join(words), np.uint8)
+    ends = np.cumsum([len(w) for w in words])
+    # where each character begins; a position is one of these
+    begins = np.flatnonzero((data & 0xC0) != 0x80)
+    last = np.searchsorted(begins, ends)  # one past the characters of each word
+    n = np.diff(last, prepend=0)
+    width = np.minimum(n, model.longest)
+    long = n > LONG
+    sums = Texts(data, np.array([0, len(data)]), 0).prefix()
+    edge = np.append(begins, len(data))
+    char_word = np.repeat(np.arange(len(words)), n)
+    char_at = np.arange(len(begins)) - np.repeat(last - n, n)
+    shown = ~long[char_word]
+    base = np.cumsum(np.where(long, 0, n * width)) - np.where(long, 0, n * width)
+    lattice = np.full(int(np.where(long, 0, n * width).sum()), -1, np.int64)
+    for length in range(1, model.longest + 1):
+        at = np.flatnonzero(shown & (char_at + length <= n[char_word]))
+        found = pieces.find(gram(sums, edge[at], edge[at + length]))
+        own = char_word[at]
+        place = base[own] + char_at[at] * width[own] + length - 1
+        lattice[place[found >= 0]] = found[found >= 0]
+        if length == 1:
+            unknown = at[found < 0]
+    offsets = np.concatenate([[0], np.cumsum(np.where(long, 0, n * width))]).astype(np.int32)
+    none = np.zeros(len(words) + 1, np.int32)
+    ids = [None] * len(words)
+    for i in np.flatnonzero(long).tolist():
+        word = words[i].decode("utf-8", "replace").replace(" ", BLANK)
+        ids[i] = (merged if model.merges else viterbi)(word, model, pieces.table)
+    if model.merges:
+        packed = np.where(lattice >= 0, pieces.ranks[lattice] << _RANK | pieces.ids[lattice], 0)
+        missing = lattice < 0
+        if len(unknown):
+            signs = [data[edge[k] : edge[k + 1]].tobytes().decode("utf-8", "replace") for k in unknown.tolist()]
+            place = base[char_word[unknown]] + char_at[unknown] * width[char_word[unknown]]
+            packed[place], missing[place] = [-1 - ord(c) for c in signs], False
+        values, sizes = pa.array(packed, mask=missing), offsets
+        edges = pa.ListArray.from_arrays(pa.array(none), pa.array([], _EDGE))
     else:
-        unknown = F.array(F.lit(model.unknown))
-    edge = F.struct(
-        "e", "s", F.coalesce("score", F.lit(model.unknown_score)).alias("score"),
-        F.when(F.col("id").isNotNull(), F.array("id")).otherwise(unknown).alias("ids"),
-    )
-    lattice = joined.groupBy("word", "n").agg(F.collect_list(edge).alias("edges"))
-    fold = _merge_fold if model.merges else _fold
-    short = lattice.select("word", fold(F.col("n"), F.col("edges")).alias("ids"))
-
-    def in_python(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, one = {p: (i, s) for p, i, s in rows}, merged if model.merges else viterbi
-        for batch in batches:
-            ids = [one(w.replace(" ", BLANK), model, table) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    long = sized.filter(f"n > {LONG}").select("word").mapInArrow(in_python, "word string, ids array<int>")
-    return short.unionByName(long)
-
-
-def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch.column(0), SLICE_BYTES):
-            full = part.offsets[:-1]
-            h = gram(part.prefix(), full, part.offsets[1:]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h), batch.column(1).slice(part.first, part.n)], names=["h", "ids"])
-
-
-def _flat_table(found: pa.Table, pieces: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted word hashes, where the ids of each begin, and all ids."""
-    width = np.uint16 if pieces <= 1 << 16 else np.int32
-    chunks = found.column(1).chunks
-    flat = np.concatenate([np.zeros(0, width), *[c.flatten().to_numpy().astype(width) for c in chunks]])
-    sizes = np.concatenate([np.zeros(1, np.int32), *[np.diff(c.offsets.to_numpy()) for c in chunks]])
-    keys = found.column(0).to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(flat)).take(pa.array(order))
-    return keys[order], lists.offsets.to_numpy(), lists.values.to_numpy()
-
-
-def _looked_up(batches: Iterator[pa.RecordBatch], column: int, sent) -> Iterator[pa.RecordBatch]:
-    keys, first, flat = sent.value
+        values, sizes = pa.array([], pa.int64()), none
+        edges = _edge_lists(lattice, base, n, width, long, words, model, pieces)
+    columns = [pa.array(n.astype(np.int32)), pa.array(width.astype(np.int32)), pa.ListArray.from_arrays(pa.array(sizes), values), edges, pa.array(ids, pa.list_(pa.int32()))]
+    return pa.StructArray.from_arrays(columns, names=["n", "width", "lattice", "edges", "ids"])
+
+
+def _edge_lists(lattice, base, n, width, long, words, model: Model, pieces: _Pieces) -> pa.Array:
+    """The lattices as edges with scores, for the fold by Viterbi."""
+    out = []
+    for i, word in enumerate(words):
+        edges = []
+        if not long[i]:
+            text, w = word.decode("utf-8", "replace").replace(" ", BLANK), int(width[i])
+            own = lattice[base[i] : base[i] + n[i] * w].tolist()
+            for k, found in enumerate(own):
+                s, length = k // w, k % w + 1
+                if found >= 0:
+                    edges.append({"e": s + length, "s": s, "score": float(pieces.scores[found]), "ids": [int(pieces.ids[found])]})
+                elif length == 1:
+                    edges.append({"e": s + 1, "s": s, "score": model.unknown_score, "ids": model.ids_of_unknown(text[s])})
+        out.append(edges)
+    return pa.array(out, pa.list_(_EDGE))
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> Iterator[pa.RecordBatch]:
+    """The rows with their texts as word numbers, and before them rows with the lattices of new words."""
+    pieces, known = _Pieces(model), {}
     for batch in batches:
+        kinds = [f.type for f in batch.schema]
+        names = [*batch.schema.names, "codes", "words"]
         for raw in slices(batch.column(column), SLICE_BYTES):
             part = _in_front(raw)
-            hashes, starts, _ = _hashes(part)
-            codes, words = pd.factorize(hashes)
-            at = np.searchsorted(keys, words)
-            if len(words) and not np.array_equal(keys[np.minimum(at, len(keys) - 1)], words):
-                raise RuntimeError("the texts changed between the two readings")
-            begin, size = first[at][codes], (first[at + 1] - first[at])[codes]
-            total = np.concatenate([[0], np.cumsum(size)])
-            ids = flat[np.repeat(begin - total[:-1], size) + np.arange(total[-1])].astype(np.int32)
-            per_text = total[np.searchsorted(starts, part.offsets)].astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(per_text), pa.array(ids))
+            hashes, starts, ends = _hashes(part)
+            found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+            fresh = [k for k, h in enumerate(found.tolist()) if h not in known]
+            known.update(zip(found[fresh].tolist(), range(len(known), len(known) + len(fresh))))
+            for at in range(0, len(fresh), WORDS * ROWS):
+                own = first[fresh[at : at + WORDS * ROWS]]
+                words = [part.data[a:b].tobytes() for a, b in zip(starts[own].tolist(), ends[own].tolist())]
+                lattices = _lattices(words, model, pieces)
+                cuts = np.append(np.arange(0, len(words), WORDS), len(words)).astype(np.int32)
+                rows = len(cuts) - 1
+                lists = [pa.nulls(rows, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(cuts), lattices)]
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(rows, k) for k in kinds], *lists], names=names)
+            codes = np.fromiter(map(known.__getitem__, found.tolist()), np.int32, len(found))[inverse]
+            per_text = np.searchsorted(starts, part.offsets).astype(np.int32)
             own = batch.slice(raw.first, raw.n)
-            yield pa.RecordBatch.from_arrays([*own.columns, lists], names=[*own.schema.names, "_ids"])
+            lists = [pa.ListArray.from_arrays(pa.array(per_text), pa.array(codes)), pa.nulls(raw.n, pa.list_(_WORD))]
+            yield pa.RecordBatch.from_arrays([*own.columns, *lists], names=names)
+
+
+def folded(word: Column, model: Model) -> Column:
+    """The ids of a word by the fold of its lattice; -1 - c for a character c without a piece."""
+    fold = _merge_fold(word["n"], word["width"], word["lattice"]) if model.merges else _fold(word["n"], word["edges"])
+    return F.coalesce(word["ids"], fold)
+
 
+class _Known:
+    """The ids of the words of a task so far, one after the other."""
 
-def _by_join(docs: DataFrame, table: DataFrame, text_col: str, out: str) -> DataFrame:
-    """Words exploded, joined to their ids on the shuffle, and gathered by row."""
-    row, text = fresh(docs, "_row"), F.translate(F.coalesce(F.col(text_col), F.lit("")), BLANK, " ")
-    # equal rows have equal ids, so a row may stand for its copies while words are looked up
-    numbered = docs.withColumn(row, F.struct(F.xxhash64(text), F.xxhash64(F.lit("again"), text)))
-    words = F.when(text != "", F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(" +[^ ]*"), F.lit(0)))
-    distinct = numbered.select(row, words.alias("w")).dropDuplicates([row])
-    looked = distinct.select(row, F.posexplode("w").alias("p", "word")).join(table, "word")
-    gathered = looked.groupBy(row).agg(F.array_sort(F.collect_list(F.struct("p", "ids"))).alias("x"))
-    ids = gathered.select(row, F.flatten(F.transform("x", lambda x: x["ids"])).alias(out))
-    joined = numbered.join(ids, row, "left")
-    return joined.select(*docs.columns, F.coalesce(F.col(out), F.array().cast("array<int>")).alias(out))
+    def __init__(self):
+        self.flat, self.ends, self.n = np.zeros(1 << 12, np.int32), np.zeros(1 << 10, np.int64), 0
 
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        used = int(self.ends[self.n])
+        while used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.n + len(sizes) + 1 > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[used : used + len(ids)] = ids
+        self.ends[self.n + 1 : self.n + 1 + len(sizes)] = used + np.cumsum(sizes)
+        self.n += len(sizes)
 
-def encode(docs: DataFrame, model: Model, text_col: str = "text", ids_col: str = "ids", cached_words: int = CACHED_WORDS) -> DataFrame:
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words, one after the other, and where those of each end."""
+        begin, size = self.ends[codes], self.ends[codes + 1] - self.ends[codes]
+        total = np.concatenate([[0], np.cumsum(size)])
+        return self.flat[np.repeat(begin - total[:-1], size) + np.arange(total[-1])], total
+
+
+def _sizes(lists: pa.ListArray) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _put_together(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    known = _Known()
+    for batch in batches:
+        lists, codes = batch.column("words"), batch.column("codes")
+        is_text = codes.is_valid().to_numpy(zero_copy_only=False)
+        # runs of word rows and of text rows, in the order in which they came
+        cuts = np.append(np.flatnonzero(np.diff(is_text, prepend=~is_text[:1])), len(is_text)).tolist()
+        for a, b in zip(cuts, cuts[1:]):
+            if not is_text[a]:
+                words = lists.slice(a, b - a).flatten()
+                ids, sizes = words.flatten().to_numpy(zero_copy_only=False), _sizes(words)
+                known.add(*_spelled(ids, sizes, model))
+                continue
+            for at in range(a, b, ROWS):
+                own = codes.slice(at, min(ROWS, b - at))
+                ids, total = known.of(own.flatten().to_numpy(zero_copy_only=False))
+                ends = total[np.concatenate([[0], np.cumsum(_sizes(own))])].astype(np.int32)
+                found = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+                columns = [batch.column(i).slice(at, len(own)) for i in range(batch.num_columns - 2)]
+                yield pa.RecordBatch.from_arrays([*columns, found], names=[*batch.schema.names[:-2], "ids"])
+
+
+def _spelled(ids: np.ndarray, sizes: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Ids with the bytes of characters that have no piece, and the numbers of ids of each word."""
+    if not len(ids) or ids.min() >= 0:
+        return ids, sizes
+    out, of_word = [], np.repeat(np.arange(len(sizes)), sizes)
+    bytes_of = {int(v): model.ids_of_unknown(chr(-1 - int(v))) for v in np.unique(ids[ids < 0])}
+    longer = np.ones(len(ids), np.int64)
+    for v, b in bytes_of.items():
+        longer[ids == v] = len(b)
+    for v in ids.tolist():
+        out += bytes_of[v] if v < 0 else [v]
+    return np.array(out, np.int32), np.bincount(of_word, longer, len(sizes)).astype(np.int64)
+
+
+def encode(docs: DataFrame, model: Model, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """The rows of `docs` with the ids of their texts in `ids_col`."""
-    spark = docs.sparkSession
-    table = stored(encode_words(distinct_words(docs, text_col), model), "words")
-    if table.count() > cached_words:
-        return _by_join(docs, table, text_col, ids_col)
-    sent = spark.sparkContext.broadcast(_flat_table(table.mapInArrow(_hashed, "h bigint, ids array<int>").toArrow(), len(model.pieces)))
     at = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_ids", T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(lambda batches: _looked_up(batches, at, sent), schema).toDF(*docs.columns, ids_col)
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    fields = [T.StructField(c, f.dataType) for c, f in zip(inner, docs.schema)]
+    more = [T.StructField("codes", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(from_arrow_type(_WORD)))]
+    numbered = docs.toDF(*inner).mapInArrow(lambda batches: _numbered(batches, at, model), T.StructType(fields + more))
+    words = numbered.select(*inner, F.transform("words", lambda w: folded(w, model)).alias("words"), "codes")
+    done = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    rows = words.select(*inner, "words", "codes").mapInArrow(lambda batches: _put_together(batches, model), done)
+    kept = [i for i, c in enumerate(docs.columns) if c.lower() != ids_col.lower()]
+    return rows.select(*[inner[i] for i in kept], "ids").toDF(*[docs.columns[i] for i in kept], ids_col)
 
 
 def _piece_bytes(model: Model) -> tuple[np.ndarray, np.ndarray]:
@@ -377,5 +457,8 @@ def _decoded(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> It
 def decode(rows: DataFrame, model: Model, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """`rows` with the text of their ids in `text_col`; null ids give null, ids out of range fail."""
     at = rows.columns.index(ids_col)
-    schema = T.StructType([*rows.schema.fields, T.StructField("_text", T.StringType())])
-    return rows.mapInArrow(lambda batches: _decoded(batches, at, model), schema).toDF(*rows.columns, text_col)
+    inner = [f"c{i}" for i in range(len(rows.columns))]
+    schema = T.StructType([*[T.StructField(c, f.dataType) for c, f in zip(inner, rows.schema)], T.StructField("_text", T.StringType())])
+    done = rows.toDF(*inner).mapInArrow(lambda batches: _decoded(batches, at, model), schema)
+    kept = [i for i, c in enumerate(rows.columns) if c.lower() != text_col.lower()]
+    return done.select(*[inner[i] for i in kept], "_text").toDF(*[rows.columns[i] for i in kept], text_col)

@@ -164,15 +164,16 @@ def library(kind=None):
     return spm.SentencePieceProcessor(model_proto=model.SerializeToString()), model.SerializeToString()
 
 
-@pytest.mark.parametrize("cached", [sentencepiece.CACHED_WORDS, 0])
+@pytest.mark.parametrize("slice_bytes", [sentencepiece.SLICE_BYTES, 500])
 @pytest.mark.parametrize("kind", [None, 1])
-def test_ids_are_those_of_the_library(spark, tmp_path, kind, cached):
+def test_ids_are_those_of_the_library(spark, tmp_path, monkeypatch, kind, slice_bytes):
+    monkeypatch.setattr(sentencepiece, "SLICE_BYTES", slice_bytes)
     known, raw = library(kind)
     (tmp_path / "m.model").write_bytes(raw)
     model = sentencepiece.load_model(str(tmp_path / "m.model"))
     assert model.merges == (kind is None)
     texts = awkward_texts() + ["  two  blanks ", "▁ sign", "tab\tand more", "1,234.50 --> x==y;", "q" * 700]
-    rows = sentencepiece.encode(awkward(spark, texts), model, cached_words=cached)
+    rows = sentencepiece.encode(awkward(spark, texts), model)
     assert rows.columns == ["doc_id", "text", "lang", "n", "h", "ids"]
     found = {r["doc_id"]: r for r in sentencepiece.decode(rows, model).collect()}
     for i, text in enumerate(texts):

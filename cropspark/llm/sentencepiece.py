@@ -15,7 +15,7 @@ piece table, which is bounded by the model file:
   the leftmost of equals. A character without a piece stands for the unknown piece, written as byte
   pieces if the model has them.
 * words of over `LONG` characters take the same rule in plain Python, where a step doesn't cost
-  the length of the word.
+  the length of the word, as do words that hold joined pieces of one score (runs of blanks).
 * a second Arrow pass, in the same task and order, keeps the ids of the words so far (about 20
   bytes a word of the partition) and puts the texts' ids together.
 
@@ -47,11 +47,12 @@ from cropspark.llm.text_arrays import Texts, as_binary, gram, slices
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-LONG = 256
+LONG = 64
 #: Words of a row, and rows of a batch, on their way to the fold and back.
 WORDS = 128
 ROWS = 64
-_RANK = 24
+_NONE = 2**31 - 1
+_SLOTS = 1 << 18
 SLICE_BYTES = 1 << 20
 
 
@@ -201,120 +202,116 @@ def _fold(n: Column, edges: Column) -> Column:
     return bound(F.aggregate(F.sequence(F.lit(1), n), nothing, step)["back"], back)
 
 
-def _merge_fold(n: Column, width: Column, lattice: Column) -> Column:
-    """Values of the pieces of a word of n characters, by merges along its lattice.
+def _merge_fold(n: Column, lattice: Column) -> Column:
+    """Places of the pieces of a word of n characters, by merges along its lattice.
 
-    `lattice` holds at `start * width + length - 1` the value of the piece there, null for none:
-    its rank above `_RANK` bits, its id below them.
+    `lattice` holds at `start * n + end` the place in the order of merges of the piece between
+    the two, `_NONE` if there is none.
     """
 
-    def value(start: Column, end: Column) -> Column:
-        return F.when(end - start <= width, F.get(lattice, start * width + end - start - F.lit(1)))
-
     def step(cuts: Column, _: Column) -> Column:
-        def joined(start: Column, k: Column) -> Column:
-            rank = F.shiftright(value(start, F.get(cuts, k + F.lit(2))), _RANK)
-            return F.shiftleft(rank, 32) + k.cast("bigint")
+        # for each cut, the piece from there over the next cut to the one after it
+        joins = F.transform(cuts, lambda c, k: F.get(lattice, c * n + F.get(cuts, k + F.lit(2))))
+
+        def joined(joins: Column) -> Column:
+            taken = lambda m: F.array_remove(cuts, F.get(cuts, F.array_position(joins, m).cast("int")))
+            return bound(F.array_min(joins), lambda m: F.when(m < _NONE, taken(m)).otherwise(cuts))
 
-        best = F.array_min(F.transform(cuts, joined))
-        taken = lambda m: F.filter(cuts, lambda _, k: k != m.bitwiseAND(0xFFFFFFFF) + 1)
-        return bound(best, lambda m: F.when(m.isNull(), cuts).otherwise(taken(m)))
+        return bound(joins, joined)
 
     steps = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
     done = F.aggregate(steps, F.sequence(F.lit(0), n), step)
-    pieces = lambda cuts: F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - F.lit(1)), lambda c, k: value(c, F.get(cuts, k + F.lit(1))))
-    return F.transform(bound(done, pieces), lambda v: F.when(v < 0, v.cast("int")).otherwise(v.bitwiseAND((1 << _RANK) - 1).cast("int")))
+    return bound(done, lambda cuts: F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - F.lit(1)), lambda c, k: F.get(lattice, c * n + F.get(cuts, k + F.lit(1)))))
 
 
 class _Pieces:
-    """The piece table by hash: the relation that substrings are joined to."""
+    """The piece table by hash, in the order of merges: the relation that substrings are joined to."""
 
     def __init__(self, model: Model):
         rows = [(p, i, s) for i, (p, s, ok) in enumerate(zip(model.pieces, model.scores, model.usable)) if ok]
+        rows.sort(key=lambda r: -r[2])
         data = [p.replace(BLANK, " ").encode() for p, _, _ in rows]
         ends = np.cumsum([0, *map(len, data)])
         part = Texts(np.frombuffer(b"".join(data), np.uint8), ends, 0)
-        hashes = gram(part.prefix(), ends[:-1], ends[1:])
-        order = np.argsort(hashes)
         self.table = {p: (i, s) for p, i, s in rows}
-        self.hashes = hashes[order]
-        self.ids = np.array([i for _, i, _ in rows], np.int64)[order]
-        self.scores = np.array([s for _, _, s in rows])[order]
-        self.ranks = np.unique(-self.scores, return_inverse=True)[1].astype(np.int64)
+        self.hashes = gram(part.prefix(), ends[:-1], ends[1:])
+        self.ids = np.array([i for _, i, _ in rows], np.int32)
+        self.scores = np.array([s for _, _, s in rows])
+        self.longest = model.longest
+        #: pieces of equal score join from left to right, which places in an order can't tell
+        _, of_score, shared = np.unique(self.scores, return_inverse=True, return_counts=True)
+        self.tied = model.merges & (shared[of_score] > 1) & np.array([len(p) > 1 for p, _, _ in rows])
+        # slots by some bits of the hash; a piece whose slot is taken goes to the next table
+        self.tables, left, shift = [], np.arange(len(rows)), 0
+        while len(left):
+            slots = (self.hashes[left] >> np.uint64(shift)) & np.uint64(_SLOTS - 1)
+            _, first = np.unique(slots, return_index=True)
+            table = np.zeros(_SLOTS, np.int32)
+            table[slots[first]] = left[first]
+            self.tables.append((np.uint64(shift), table))
+            left, shift = np.delete(left, first), (shift + 7) % 46
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The place of each hash in the table, -1 if it has none."""
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        found = np.full(len(hashes), -1, np.int32)
+        for shift, table in self.tables:
+            at = table[(hashes >> shift) & np.uint64(_SLOTS - 1)]
+            np.copyto(found, at, where=self.hashes[at] == hashes)
+        return found
 
 
 _EDGE = pa.struct([("e", pa.int32()), ("s", pa.int32()), ("score", pa.float64()), ("ids", pa.list_(pa.int32()))])
-_WORD = pa.struct([("n", pa.int32()), ("width", pa.int32()), ("lattice", pa.list_(pa.int64())), ("edges", pa.list_(_EDGE)), ("ids", pa.list_(pa.int32()))])
+_WORD = pa.struct([("n", pa.int32()), ("lattice", pa.list_(pa.int32())), ("edges", pa.list_(_EDGE)), ("ids", pa.list_(pa.int32()))])
 
 
 def _lattices(words: list[bytes], model: Model, pieces: _Pieces) -> pa.Array:
-    """One `_WORD` per word: its lattice, or its ids if it is long."""
+    """One `_WORD` per word: its lattice, and its ids if it is long or holds tied pieces."""
     data = np.frombuffer(b"".join(words), np.uint8)
     ends = np.cumsum([len(w) for w in words])
-    # where each character begins; a position is one of these
-    begins = np.flatnonzero((data & 0xC0) != 0x80)
-    last = np.searchsorted(begins, ends)  # one past the characters of each word
+    # where each character begins; starts and ends of substrings are among these
+    edge = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+    last = np.searchsorted(edge[:-1], ends)  # one past the characters of each word
     n = np.diff(last, prepend=0)
-    width = np.minimum(n, model.longest)
-    long = n > LONG
+    plain = n > LONG
+    square = np.where(plain, 0, n * n + 1)
+    base = np.cumsum(square) - square
+    of_char = np.repeat(np.arange(len(words)), n)
+    at = np.arange(len(of_char)) - np.repeat(last - n, n)
+    left, row = n[of_char] - at, base[of_char] + at * (n[of_char] + 1)
     sums = Texts(data, np.array([0, len(data)]), 0).prefix()
-    edge = np.append(begins, len(data))
-    char_word = np.repeat(np.arange(len(words)), n)
-    char_at = np.arange(len(begins)) - np.repeat(last - n, n)
-    shown = ~long[char_word]
-    base = np.cumsum(np.where(long, 0, n * width)) - np.where(long, 0, n * width)
-    lattice = np.full(int(np.where(long, 0, n * width).sum()), -1, np.int64)
-    for length in range(1, model.longest + 1):
-        at = np.flatnonzero(shown & (char_at + length <= n[char_word]))
-        found = pieces.find(gram(sums, edge[at], edge[at + length]))
-        own = char_word[at]
-        place = base[own] + char_at[at] * width[own] + length - 1
-        lattice[place[found >= 0]] = found[found >= 0]
+    lattice = np.full(int(square.sum()), _NONE, np.int32)
+    own, tied = np.flatnonzero(~plain[of_char]), []
+    for length in range(1, min(pieces.longest, int(n.max(initial=0))) + 1):
+        own = own[left[own] >= length]
+        found = pieces.find(gram(sums, edge[own], edge[own + length]))
+        lattice[row[own] + length] = np.where(found < 0, _NONE, found)
+        tied.append(of_char[own[(found >= 0) & pieces.tied[found]]])
         if length == 1:
-            unknown = at[found < 0]
-    offsets = np.concatenate([[0], np.cumsum(np.where(long, 0, n * width))]).astype(np.int32)
-    none = np.zeros(len(words) + 1, np.int32)
+            for k in own[found < 0].tolist():
+                lattice[row[k] + 1] = -1 - ord(data[edge[k] : edge[k + 1]].tobytes().decode("utf-8", "replace"))
     ids = [None] * len(words)
-    for i in np.flatnonzero(long).tolist():
-        word = words[i].decode("utf-8", "replace").replace(" ", BLANK)
-        ids[i] = (merged if model.merges else viterbi)(word, model, pieces.table)
+    for i in np.unique(np.concatenate([np.flatnonzero(plain), *tied])).tolist():
+        ids[i] = (merged if model.merges else viterbi)(words[i].decode("utf-8", "replace").replace(" ", BLANK), model, pieces.table)
+    none = pa.array(np.zeros(len(words) + 1, np.int32))
     if model.merges:
-        packed = np.where(lattice >= 0, pieces.ranks[lattice] << _RANK | pieces.ids[lattice], 0)
-        missing = lattice < 0
-        if len(unknown):
-            signs = [data[edge[k] : edge[k + 1]].tobytes().decode("utf-8", "replace") for k in unknown.tolist()]
-            place = base[char_word[unknown]] + char_at[unknown] * width[char_word[unknown]]
-            packed[place], missing[place] = [-1 - ord(c) for c in signs], False
-        values, sizes = pa.array(packed, mask=missing), offsets
-        edges = pa.ListArray.from_arrays(pa.array(none), pa.array([], _EDGE))
+        squares = pa.ListArray.from_arrays(pa.array(np.append(base, len(lattice)).astype(np.int32)), pa.array(lattice))
+        edges = pa.ListArray.from_arrays(none, pa.array([], _EDGE))
     else:
-        values, sizes = pa.array([], pa.int64()), none
-        edges = _edge_lists(lattice, base, n, width, long, words, model, pieces)
-    columns = [pa.array(n.astype(np.int32)), pa.array(width.astype(np.int32)), pa.ListArray.from_arrays(pa.array(sizes), values), edges, pa.array(ids, pa.list_(pa.int32()))]
-    return pa.StructArray.from_arrays(columns, names=["n", "width", "lattice", "edges", "ids"])
+        squares = pa.ListArray.from_arrays(none, pa.array([], pa.int32()))
+        edges = pa.array([_edges(lattice[b : b + q], k, model, pieces) if q else [] for b, q, k in zip(base.tolist(), square.tolist(), n.tolist())], pa.list_(_EDGE))
+    columns = [pa.array(n.astype(np.int32)), squares, edges, pa.array(ids, pa.list_(pa.int32()))]
+    return pa.StructArray.from_arrays(columns, names=["n", "lattice", "edges", "ids"])
 
 
-def _edge_lists(lattice, base, n, width, long, words, model: Model, pieces: _Pieces) -> pa.Array:
-    """The lattices as edges with scores, for the fold by Viterbi."""
+def _edges(lattice: np.ndarray, n: int, model: Model, pieces: _Pieces) -> list[dict]:
+    """The lattice of a word as edges with scores, for the fold by Viterbi."""
     out = []
-    for i, word in enumerate(words):
-        edges = []
-        if not long[i]:
-            text, w = word.decode("utf-8", "replace").replace(" ", BLANK), int(width[i])
-            own = lattice[base[i] : base[i] + n[i] * w].tolist()
-            for k, found in enumerate(own):
-                s, length = k // w, k % w + 1
-                if found >= 0:
-                    edges.append({"e": s + length, "s": s, "score": float(pieces.scores[found]), "ids": [int(pieces.ids[found])]})
-                elif length == 1:
-                    edges.append({"e": s + 1, "s": s, "score": model.unknown_score, "ids": model.ids_of_unknown(text[s])})
-        out.append(edges)
-    return pa.array(out, pa.list_(_EDGE))
+    for k in np.flatnonzero(lattice != _NONE).tolist():
+        s, e, found = (k - 1) // n, (k - 1) % n + 1, int(lattice[k])
+        known = found >= 0
+        ids = [int(pieces.ids[found])] if known else model.ids_of_unknown(chr(-1 - found))
+        out.append({"e": e, "s": s, "score": float(pieces.scores[found]) if known else model.unknown_score, "ids": ids})
+    return out
 
 
 def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> Iterator[pa.RecordBatch]:
@@ -345,9 +342,8 @@ def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> I
 
 
 def folded(word: Column, model: Model) -> Column:
-    """The ids of a word by the fold of its lattice; -1 - c for a character c without a piece."""
-    fold = _merge_fold(word["n"], word["width"], word["lattice"]) if model.merges else _fold(word["n"], word["edges"])
-    return F.coalesce(word["ids"], fold)
+    """What the fold of a word's lattice gives: ids by Viterbi, places by merges (see `_spelled`)."""
+    return _merge_fold(word["n"], word["lattice"]) if model.merges else _fold(word["n"], word["edges"])
 
 
 class _Known:
@@ -378,7 +374,7 @@ def _sizes(lists: pa.ListArray) -> np.ndarray:
 
 
 def _put_together(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    known = _Known()
+    known, pieces = _Known(), _Pieces(model)
     for batch in batches:
         lists, codes = batch.column("words"), batch.column("codes")
         is_text = codes.is_valid().to_numpy(zero_copy_only=False)
@@ -387,8 +383,11 @@ def _put_together(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
         for a, b in zip(cuts, cuts[1:]):
             if not is_text[a]:
                 words = lists.slice(a, b - a).flatten()
-                ids, sizes = words.flatten().to_numpy(zero_copy_only=False), _sizes(words)
-                known.add(*_spelled(ids, sizes, model))
+                folded, whole = words.field("folded"), words.field("ids")
+                if whole.null_count < len(whole):
+                    known.add(*_mixed(folded, whole, model, pieces))
+                else:
+                    known.add(*_spelled(folded.flatten().to_numpy(zero_copy_only=False), _sizes(folded), model, pieces))
                 continue
             for at in range(a, b, ROWS):
                 own = codes.slice(at, min(ROWS, b - at))
@@ -399,18 +398,34 @@ def _put_together(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
                 yield pa.RecordBatch.from_arrays([*columns, found], names=[*batch.schema.names[:-2], "ids"])
 
 
-def _spelled(ids: np.ndarray, sizes: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Ids with the bytes of characters that have no piece, and the numbers of ids of each word."""
-    if not len(ids) or ids.min() >= 0:
-        return ids, sizes
-    out, of_word = [], np.repeat(np.arange(len(sizes)), sizes)
-    bytes_of = {int(v): model.ids_of_unknown(chr(-1 - int(v))) for v in np.unique(ids[ids < 0])}
-    longer = np.ones(len(ids), np.int64)
-    for v, b in bytes_of.items():
-        longer[ids == v] = len(b)
-    for v in ids.tolist():
-        out += bytes_of[v] if v < 0 else [v]
-    return np.array(out, np.int32), np.bincount(of_word, longer, len(sizes)).astype(np.int64)
+def _spelled(values: np.ndarray, sizes: np.ndarray, model: Model, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and number of ids of each word from folds: places become ids, unknown characters their bytes."""
+    if not model.merges:
+        return values, sizes
+    if not len(values) or values.min() >= 0:
+        return pieces.ids[values], sizes
+    bytes_of = {int(v): model.ids_of_unknown(chr(-1 - int(v))) for v in np.unique(values[values < 0])}
+    longer = np.ones(len(values), np.int64)
+    for v, own in bytes_of.items():
+        longer[values == v] = len(own)
+    ids = np.repeat(pieces.ids[np.maximum(values, 0)], longer)
+    begin = np.cumsum(longer) - longer
+    for k in np.flatnonzero(values < 0).tolist():
+        ids[begin[k] : begin[k] + longer[k]] = bytes_of[int(values[k])]
+    return ids, np.bincount(np.repeat(np.arange(len(sizes)), sizes), longer, len(sizes)).astype(np.int64)
+
+
+def _mixed(folded: pa.ListArray, whole: pa.ListArray, model: Model, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """The same where some words came with their ids."""
+    ids, sizes = [], []
+    for own, done in zip(folded, whole):
+        if not done.is_valid:
+            values = np.array(own.as_py(), np.int32)
+            ids.append(_spelled(values, np.array([len(values)]), model, pieces)[0])
+        else:
+            ids.append(np.array(done.as_py(), np.int32))
+        sizes.append(len(ids[-1]))
+    return np.concatenate(ids), np.array(sizes, np.int64)
 
 
 def encode(docs: DataFrame, model: Model, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -420,7 +435,8 @@ def encode(docs: DataFrame, model: Model, text_col: str = "text", ids_col: str =
     fields = [T.StructField(c, f.dataType) for c, f in zip(inner, docs.schema)]
     more = [T.StructField("codes", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(from_arrow_type(_WORD)))]
     numbered = docs.toDF(*inner).mapInArrow(lambda batches: _numbered(batches, at, model), T.StructType(fields + more))
-    words = numbered.select(*inner, F.transform("words", lambda w: folded(w, model)).alias("words"), "codes")
+    word = lambda w: F.struct(F.when(w["ids"].isNull(), folded(w, model)).alias("folded"), w["ids"].alias("ids"))
+    words = numbered.withColumn("words", F.transform("words", word))
     done = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
     rows = words.select(*inner, "words", "codes").mapInArrow(lambda batches: _put_together(batches, model), done)
     kept = [i for i, c in enumerate(docs.columns) if c.lower() != ids_col.lower()]

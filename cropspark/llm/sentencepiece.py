@@ -211,7 +211,7 @@ def _merge_fold(n: Column, lattice: Column) -> Column:
 
     def step(cuts: Column, _: Column) -> Column:
         # for each cut, the piece from there over the next cut to the one after it
-        joins = F.transform(cuts, lambda c, k: F.get(lattice, c * n + F.get(cuts, k + F.lit(2))))
+        joins = F.zip_with(cuts, F.slice(cuts, F.lit(3), n), lambda c, e: F.get(lattice, c * n + e))
 
         def joined(joins: Column) -> Column:
             taken = lambda m: F.array_remove(cuts, F.get(cuts, F.array_position(joins, m).cast("int")))
@@ -221,7 +221,9 @@ def _merge_fold(n: Column, lattice: Column) -> Column:
 
     steps = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
     done = F.aggregate(steps, F.sequence(F.lit(0), n), step)
-    return bound(done, lambda cuts: F.transform(F.slice(cuts, F.lit(1), F.size(cuts) - F.lit(1)), lambda c, k: F.get(lattice, c * n + F.get(cuts, k + F.lit(1)))))
+    found = lambda cuts: F.zip_with(cuts, F.slice(cuts, F.lit(2), n), lambda c, e: F.get(lattice, c * n + e))
+    # the last cut has no piece behind it
+    return F.array_compact(bound(done, found))
 
 
 class _Pieces:
@@ -343,7 +345,10 @@ def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> I
 
 def folded(word: Column, model: Model) -> Column:
     """What the fold of a word's lattice gives: ids by Viterbi, places by merges (see `_spelled`)."""
-    return _merge_fold(word["n"], word["lattice"]) if model.merges else _fold(word["n"], word["edges"])
+    if not model.merges:
+        return _fold(word["n"], word["edges"])
+    # each field is taken out of its word once, not at each step
+    return bound(word["n"], lambda n: bound(word["lattice"], lambda lattice: _merge_fold(n, lattice)))
 
 
 class _Known:

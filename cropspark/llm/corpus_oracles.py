@@ -44,16 +44,24 @@ FROM reach LEFT JOIN n ON n.doc_id = node GROUP BY node, n.n
 
 LINE_DEDUP = r"""
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
-h AS (SELECT doc_id, l, i, CAST('0x' || substr(md5(l[i]), 1, 7) AS BIGINT) AS h
-      FROM (SELECT doc_id, l, unnest(generate_series(1, len(l))) AS i FROM d WHERE text IS NOT NULL)),
-b AS (SELECT *, ((coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 31 + h) % 2147483647) % 3 = 0 AS ends FROM h),
-c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM b),
-ch AS (SELECT doc_id, k, count(*) AS n, string_agg(l[i], chr(10) ORDER BY i) AS t FROM c GROUP BY doc_id, k),
-r AS (SELECT *, CASE WHEN n >= 2 THEN row_number() OVER (PARTITION BY t, n >= 2 ORDER BY doc_id, k) > 1 ELSE false END AS gone FROM ch)
-SELECT d.doc_id, coalesce(string_agg(t, chr(10) ORDER BY k) FILTER (NOT gone), CASE WHEN d.text IS NOT NULL THEN '' END) AS text,
-       CAST(coalesce(sum(n), 0) AS INT) AS n_lines, CAST(count(k) AS INT) AS n_chunks,
-       CAST(count(k) FILTER (gone) AS INT) AS n_removed_chunks, CAST(coalesce(sum(n) FILTER (gone), 0) AS INT) AS n_removed_lines
-FROM d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id, d.text
+h AS (SELECT doc_id, l, i, len(l) - 1 AS z, CAST('0x' || substr(md5(l[i + 1]), 1, 7) AS BIGINT) AS h
+      FROM (SELECT doc_id, l, unnest(generate_series(0, len(l) - 1)) AS i FROM d WHERE text IS NOT NULL)),
+r AS (SELECT *, (lag(h) OVER w * 31 + h) % 2147483647 AS before, (h * 31 + lead(h) OVER w) % 2147483647 AS after
+      FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+b AS (SELECT doc_id, l, i, z,
+             min(i) FILTER (WHERE i = z OR before % 4 <> 0) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ends,
+             max(i) FILTER (WHERE i = 0 OR (after // 4) % 4 <> 0) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS begins
+      FROM r),
+c AS (SELECT doc_id, l, i AS x, least(ends, i + 15) AS y FROM b WHERE i < z
+      UNION SELECT doc_id, l, greatest(begins, i - 15), i FROM b WHERE i > 0),
+o AS (SELECT doc_id, x, y, (doc_id, x) <> min((doc_id, x)) OVER (PARTITION BY l[x + 1 : y + 1]) AS gone FROM c),
+n AS (SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed FROM o GROUP BY doc_id),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(x, y)) AS i FROM o WHERE gone),
+t AS (SELECT h.doc_id, string_agg(l[h.i + 1], chr(10) ORDER BY h.i) FILTER (g.i IS NULL) AS text, count(*) AS n_lines, count(g.i) AS n_gone
+      FROM h LEFT JOIN g ON g.doc_id = h.doc_id AND g.i = h.i GROUP BY h.doc_id)
+SELECT d.doc_id, coalesce(t.text, CASE WHEN d.text IS NOT NULL THEN '' END) AS text, CAST(coalesce(n_lines, 0) AS INT) AS n_lines,
+       CAST(coalesce(n_chunks, 0) AS INT) AS n_chunks, CAST(coalesce(n_removed, 0) AS INT) AS n_removed_chunks, CAST(coalesce(n_gone, 0) AS INT) AS n_removed_lines
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
 WARC = r"""

@@ -11,7 +11,7 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent.parent / "
 
 import compare_sql  # noqa: E402
 import helpers  # noqa: E402
-from test_row_operators import chunks_of, edits  # noqa: E402
+from test_row_operators import edits, without_repeats  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
 from cropspark.llm import quality_rules, queries  # noqa: E402
@@ -33,16 +33,8 @@ def test_pipeline_matches_brute_force(spark):
     items = [helpers.WORD.sub(lambda m: m[0], r["text"]) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
     kept = {r["doc_id"] for r in quality_rules.judge(spark.read.parquet(f"{FOLDER}/documents.parquet")).collect() if r["kept"]}
     docs = [(i, t) for i, t in docs if i in kept]
-    seen, left = set(), []
-    for i, text in docs:
-        parts = []
-        for chunk in chunks_of(text):
-            if len(chunk) < 2 or tuple(chunk) not in seen:
-                parts.append("\n".join(chunk))
-            if len(chunk) >= 2:
-                seen.add(tuple(chunk))
-        if parts:
-            left.append((i, "\n".join(parts)))
+    done = without_repeats([t for _, t in docs])
+    left = [(i, text) for (i, _), (text, n_gone, n_lines) in zip(docs, done) if n_gone < n_lines]
     groups = helpers.near_duplicates([t for _, t in left])
     left = [x for x, (_, _, _, first) in zip(left, groups) if first]
 

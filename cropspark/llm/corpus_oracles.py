@@ -15,13 +15,18 @@ m AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_str
              CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
              CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
-             len(list_filter(w, lambda x: list_contains({{stops}}, lower(x)))) AS n_stops, len(l) AS n_lines
+             len(list_filter(w, lambda x: list_contains({{stops}}, lower(x)))) AS n_stops, len(l) AS n_lines,
+             len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letters,
+             len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*\z'))) AS n_ellipses,
+             len(list_filter(l, lambda x: regexp_extract(x, '\A[\x20\x09-\x0D]*([^\x20\x09-\x0D])', 1) IN ({{bullets}}))) AS n_bullets
       FROM d LEFT JOIN rep USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
-         AND coalesce(word_chars / n_words BETWEEN 1.5 AND 25 AND n_symbols / n_words <= 0.5
-                      AND n_stops / n_words >= 0.01 AND n_dup_lines / n_lines <= 0.5, true) AS kept
+         AND coalesce(word_chars / n_words BETWEEN 1.5 AND 25 AND n_symbols / n_words <= 0.1
+                      AND n_stops / n_words >= 0.01 AND n_stops >= 2 AND n_dup_lines / n_lines <= 0.5
+                      AND n_ellipses / n_lines <= 0.3 AND n_bullets / n_lines <= 0.9
+                      AND n_letters / n_words >= 0.5 AND n_words <= 100000, true) AS kept
 FROM m
 """
 

@@ -5,17 +5,23 @@ that are neither letters nor digits as one blank. An item of n bytes may be edit
 k = `EDIT_RATE` * n places. A copy with k edits or fewer shares at least n - Q + 1 - k * Q
 q-grams with the item, and they lie on diagonals no more than k apart. So the q-grams that a
 text shares with an item are counted in overlapping bands of diagonals, each 2k wide; bands that
-meet the bound are kept, and the region below them is aligned with the item in that band.
+meet the bound are kept, and the region below them is aligned with the item, in the cells of the
+band alone.
+
+An item of over `LONG` plain bytes is looked for by windows of that size, half of it apart, each with
+its own budget. So a text that quotes a good part of an item word for word holds it, and the work
+for an item grows with its length, not with the square.
 
 The benchmark is a query set against all rows, taken in blocks of about `BLOCK_BYTES`: items go
-to blocks by hash, a block's q-gram index is broadcast (its size is bounded by the block's), and
-all texts are read once for each block. Text work is on byte arrays and row by row, so copies
-and long texts need no shuffle.
+to blocks by hash, a block's q-gram index is broadcast (its size is bounded by the block's) and
+built once a task. Text work is on byte arrays and row by row, so copies and long texts need no
+shuffle.
 
 Defined results: null or blank texts match nothing; items whose plain form is shorter than `Q`
 match nothing; the budget of short items is lowered until the lemma asks for one q-gram; equal
 texts, items and ids are each matched on their own; empty tables give no rows; only the named
-columns are read.
+columns are read. `edits` are those of the best window; the place is from the first to the last
+window found.
 """
 
 from __future__ import annotations
@@ -28,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cropspark.llm.frames import fresh, stored
 from cropspark.llm.text_arrays import slices
 
 Q = 8
 EDIT_RATE = 0.08
+LONG = 256
 BLOCK_BYTES = 4 << 20
 FILTER_BITS = 22
 
@@ -64,23 +70,32 @@ def grams(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def windows(size: int) -> list[int]:
+    """Where the windows of an item begin; the last one ends with it."""
+    return [0] if size <= LONG else [*range(0, size - LONG, LONG // 2), size - LONG]
+
+
 class Index:
-    """The q-grams of a block of items."""
+    """The q-grams of a block of items, by windows; `of` numbers the item of each."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
-        self.ids, self.texts, all_grams, owner, place = [], [], [], [], []
+        self.ids, self.of, self.texts, all_grams, owner, place, known = [], [], [], [], [], [], -1
         for item_id, text in items:
             raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
             data = plain(raw, np.array([0, len(raw)]))[0]
             data = data[: len(data) - 1] if len(data) and data[-1] == 32 else data
             if len(data) < Q:
                 continue
-            g = grams(data)
-            all_grams.append(g)
-            owner.append(np.full(len(g), len(self.ids)))
-            place.append(np.arange(len(g)))
-            self.ids.append(item_id)
-            self.texts.append(data)
+            known += 1
+            for at in windows(len(data)):
+                part = data[at : at + LONG]
+                g = grams(part)
+                all_grams.append(g)
+                owner.append(np.full(len(g), len(self.ids)))
+                place.append(np.arange(len(g)))
+                self.ids.append(item_id)
+                self.of.append(known)
+                self.texts.append(part)
         self.sizes = np.array([len(t) for t in self.texts], np.int64)
         self.edits = np.minimum((self.sizes * EDIT_RATE).astype(np.int64), (self.sizes - Q) // Q)
         self.need = np.maximum(1, self.sizes - Q + 1 - self.edits * Q)
@@ -128,76 +143,119 @@ class Index:
         low = (band - 1) * int(self.widths[item]) - int(self.sizes[item])
         start = max(0, low - int(self.edits[item]))
         region = text[start : low + 2 * int(self.widths[item]) + int(self.sizes[item]) + int(self.edits[item])]
-        edits, end = placed(self.texts[item], region)
-        if edits > self.edits[item]:
+        most = int(self.edits[item])
+        edits, end = placed(self.texts[item], region, most)
+        if edits > most:
             return None
-        _, back = placed(self.texts[item][::-1], region[:end][::-1], anchored=True)
+        _, back = placed(self.texts[item][::-1], region[:end][::-1], most, anchored=True)
         return edits, start + end - back, start + end
 
 
-def placed(item: np.ndarray, region: np.ndarray, anchored: bool = False) -> tuple[int, int]:
+def placed(item: np.ndarray, region: np.ndarray, most: int, anchored: bool = False) -> tuple[int, int]:
     """Fewest edits of the item against a part of the region, and the (first) end of that part.
 
-    The region is no wider than the item and its band. Anchored parts start where it starts.
+    Only cells that a path of `most` edits can reach are filled: a column starts at most that far
+    before the row, and ends that far behind it and the region's surplus (none if the part has to
+    start where the region does). Without such a path the edits are more than `most`.
     """
-    steps = np.arange(len(region) + 1)
-    row = steps.copy() if anchored else np.zeros(len(region) + 1, np.int64)
-    for i, byte in enumerate(item, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        new[1:] = np.minimum(row[1:] + 1, row[:-1] + (region != byte))
-        row = np.minimum.accumulate(new - steps) + steps
-    end = int(row.argmin())
-    return int(row[end]), end
+    n, m = len(item), len(region)
+    slack = 0 if anchored else max(0, m - n)
+    width = slack + 2 * most + 1
+    if m < n - most:
+        return most + 1, 0
+    # cell b of row i stands for column i - most + b of the region
+    steps = np.arange(width)
+    far = n + m + width
+    column = steps - most
+    row = np.where((column >= 0) & (column <= m), column if anchored else 0, far)
+    padded = np.concatenate([np.zeros(most, np.int64), region.astype(np.int64), np.full(width + n, -1)])
+    for i, byte in enumerate(item.tolist(), 1):
+        column = column + 1
+        inside = (column >= 0) & (column <= m)
+        # the byte before column j is region[j - 1]
+        new = row + (padded[i - 1 : i - 1 + width] != byte)
+        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
+        new = np.where(inside, new, far)
+        row = np.where(inside, np.minimum.accumulate(new - steps) + steps, far)
+    best = int(row.argmin())
+    return int(min(row[best], most + 1)), int(best + n - most)
 
 
 _FOUND = "doc_id bigint, item_id bigint, edits int, start bigint, end bigint"
 
 
-def _search(index: Index, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hits(index: Index, part) -> dict[tuple[int, int], tuple[int, int, int, int]]:
+    """By text and item: edits and window of the best place, and the bytes from the first place to the last."""
+    data, offsets, source = plain(part.data, part.offsets)
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for text, window, band in index.bands(data, offsets) if index.ids and len(data) else ():
+        place = index.aligned(data[offsets[text] : offsets[text + 1]], window, band)
+        if place is not None and place < best.get((text, window), (1 << 60,)):
+            best[text, window] = place
+    found: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+    for (text, window), (edits, a, b) in sorted(best.items()):
+        start = int(source[offsets[text] + a] - part.offsets[text])
+        end = int(source[offsets[text] + b - 1] + 1 - part.offsets[text])
+        key = (text, index.of[window])
+        known = found.get(key, (1 << 60, window, start, end))
+        found[key] = min(known[0], edits), known[1], min(known[2], start), max(known[3], end)
+    return found
+
+
+def _search(items: list[tuple], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    index = Index(items)
     for batch in batches:
         for part in slices(batch.column(1)):
             ids = batch.column(0).slice(part.first, part.n)
-            data, offsets, source = plain(part.data, part.offsets)
-            best: dict[tuple[int, int], tuple[int, int, int]] = {}
-            for text, item, band in index.bands(data, offsets) if index.ids and len(data) else ():
-                place = index.aligned(data[offsets[text] : offsets[text + 1]], item, band)
-                if place is not None and place < best.get((text, item), (1 << 60,)):
-                    best[text, item] = place
-            rows = sorted(best.items())
-            base = part.offsets
+            rows = sorted(_hits(index, part).items())
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.take(pa.array([t for (t, _), _ in rows], pa.int64())),
-                    pa.array([index.ids[i] for (_, i), _ in rows], pa.int64()),
-                    pa.array([e for _, (e, _, _) in rows], pa.int32()),
-                    pa.array([int(source[offsets[t] + a] - base[t]) for (t, _), (_, a, _) in rows], pa.int64()),
-                    pa.array([int(source[offsets[t] + b - 1] + 1 - base[t]) for (t, _), (_, _, b) in rows], pa.int64()),
+                    pa.array([index.ids[w] for _, (_, w, _, _) in rows], pa.int64()),
+                    pa.array([e for _, (e, _, _, _) in rows], pa.int32()),
+                    pa.array([a for _, (_, _, a, _) in rows], pa.int64()),
+                    pa.array([b for _, (_, _, _, b) in rows], pa.int64()),
                 ],
                 names=["doc_id", "item_id", "edits", "start", "end"],
             )
 
 
+def _clean(items: list[tuple], batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    index = Index(items)
+    for batch in batches:
+        kept = np.ones(batch.num_rows, bool)
+        for part in slices(batch.column(column)):
+            kept[[part.first + text for text, _ in _hits(index, part)]] = False
+        yield batch.filter(pa.array(kept))
+
+
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator:
+    """The items in broadcasts of about `BLOCK_BYTES`."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).alias("text")).filter("text is not null")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    for block in range(blocks):
+        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        yield spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in own.collect()])
+
+
 def matches(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """(doc_id, item_id, edits, start, end): the items found in each text; places are UTF-8 bytes."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), F.col(item_text_col).alias("text")).filter("text is not null")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
     plain_docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
-    for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        sent = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in own.collect()])
-        found = plain_docs.mapInArrow(lambda batches, sent=sent: _search(Index(sent.value), batches), _FOUND)
+    for sent in _blocks(benchmark, item_col, item_text_col):
+        found = plain_docs.mapInArrow(lambda batches, sent=sent: _search(sent.value, batches), _FOUND)
         out = found if out is None else out.union(found)
     return out
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs` in which no item was found, unchanged; rows without an id are kept."""
-    gone = fresh(docs, "_id")
-    found = matches(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(gone)).filter(F.col(gone).isNotNull()).distinct()
-    return docs.join(stored(found, "leaks"), F.col(f"`{id_col}`").cast("bigint") == F.col(gone), "left_anti")
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` whose text holds no item, unchanged, whatever their ids; read once."""
+    at = docs.columns.index(text_col)
+    inner = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    for sent in _blocks(benchmark, "item_id", "text"):
+        inner = inner.mapInArrow(lambda batches, sent=sent: _clean(sent.value, batches, at), inner.schema)
+    return inner.toDF(*docs.columns)

@@ -10,7 +10,7 @@ null ids included; no input columns are kept except the id, so clashing names do
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,8 @@ STOP_WORDS = (
     "de la le et les des en un du une que est pour qui dans par sur pas au plus "
     "el los las y se del por con no una su para al lo como más"
 ).split()
+# Signs that begin the lines of lists.
+BULLETS = "-*•‣·–"
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 WINDOW = 5
@@ -45,10 +47,13 @@ RULES = (
     # Bars of menus ('word | word') count as words too, so such text never exceeds 0.5.
     Rule("symbol_ratio", "symbols_per_word", None, 0.1),
     Rule("stop_word_ratio", "stop_word_share", 0.01, None),
+    Rule("stop_words", "n_stop_words", 2, None),
     Rule("duplicate_lines", "dup_line_share", None, 0.5),
+    Rule("ellipsis_lines", "ellipsis_line_share", None, 0.3),
+    Rule("bullet_lines", "bullet_line_share", None, 0.9),
+    Rule("letter_words", "letter_word_share", 0.5, None),
+    Rule("length", "n_words", None, 100_000),
 )
-#: The table as the SQL twin of op2_quality_rules states it; only that query uses it.
-TWIN_RULES = tuple(replace(r, high=0.5) if r.name == "symbol_ratio" else r for r in RULES)
 
 
 def _window_hashes(words: Column) -> Column:
@@ -93,6 +98,11 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     word_chars = F.length(F.array_join(w, ""))
     symbols = F.length(t) - F.length(F.regexp_replace(t, f"[{SYMBOLS}]+", ""))
     dup_lines = n_lines - F.size(F.array_distinct(ln))
+    trimmed = F.transform(ln, lambda x: F.btrim(x, F.lit(BLANKS)))
+    ellipses = F.size(F.filter(trimmed, lambda x: x.endswith("...") | x.endswith("…")))
+    bullets = F.size(F.filter(trimmed, lambda x: F.substring(x, 1, 1).isin(*BULLETS)))
+    # one pass over the text instead of a search in each word
+    letters = F.regexp_count(t, F.lit(r"[^ \t\n\x0B\f\r\p{L}]*+\p{L}[^ \t\n\x0B\f\r]*+"))
     stops = F.size(F.filter(w, lambda x: F.lower(x).isin(*dict.fromkeys(STOP_WORDS))))
     counted = one_row(
         hashed,
@@ -104,8 +114,12 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         n_dup_lines=dup_lines.cast("bigint"),
         n_repeat_words=_repeat_words(h),
         n_stop_words=stops.cast("bigint"),
+        n_ellipsis_lines=ellipses.cast("bigint"),
+        n_bullet_lines=bullets.cast("bigint"),
+        n_letter_words=letters.cast("bigint"),
     )
-    m = {c: F.col(f"_m.{c}") for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words")}
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_stop_words", "n_ellipsis_lines", "n_bullet_lines", "n_letter_words")
+    m = {c: F.col(f"_m.{c}") for c in counts}
     return one_row(
         counted,
         [id_col],
@@ -113,7 +127,10 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         mean_word_chars=share(m["word_chars"], m["n_words"]),
         symbols_per_word=share(m["n_symbols"], m["n_words"]),
         stop_word_share=share(m["n_stop_words"], m["n_words"]),
+        letter_word_share=share(m["n_letter_words"], m["n_words"]),
         dup_line_share=share(m["n_dup_lines"], F.col("_m.n_lines")),
+        ellipsis_line_share=share(m["n_ellipsis_lines"], F.col("_m.n_lines")),
+        bullet_line_share=share(m["n_bullet_lines"], F.col("_m.n_lines")),
     )
 
 

@@ -34,7 +34,7 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    judged = quality_rules.judge(_table(spark, folder, "documents"), quality_rules.TWIN_RULES)
+    judged = quality_rules.judge(_table(spark, folder, "documents"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
@@ -123,8 +123,9 @@ QUERIES = {
 }
 
 _STOPS = "[" + ", ".join(f"'{w}'" for w in dict.fromkeys(quality_rules.STOP_WORDS)) + "]"
+_BULLETS = ", ".join(f"'{b}'" for b in quality_rules.BULLETS)
 ORACLES = {
-    "op2_quality_rules": corpus_oracles.QUALITY_RULES.replace("{stops}", _STOPS),
+    "op2_quality_rules": corpus_oracles.QUALITY_RULES.replace("{stops}", _STOPS).replace("{bullets}", _BULLETS),
     "op3_warc": corpus_oracles.WARC,
     "op6_line_dedup": corpus_oracles.LINE_DEDUP,
     "op7_minhash_near_dedup": corpus_oracles.NEAR_DUPLICATES,

@@ -2,9 +2,12 @@
 
 import collections
 import pathlib
+import random
 import sys
 
+import numpy as np
 import pytest
+import regex
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
@@ -29,6 +32,10 @@ def test_measures_match_brute_force(spark):
         assert own["word_chars"] == sum(map(len, words))
         assert own["n_dup_lines"] == len(lines) - len(set(lines))
         assert own["n_repeat_words"] == len(twice)
+        assert own["n_letter_words"] == sum(regex.search(r"\p{L}", w) is not None for w in words)
+        blanks = " \t\n\x0b\x0c\r"
+        assert own["n_ellipsis_lines"] == sum(x.strip(blanks).endswith(("...", "…")) for x in lines)
+        assert own["n_bullet_lines"] == sum(x.strip(blanks)[0] in quality_rules.BULLETS for x in lines)
         assert own["base_failed"] == (len(words) < 10 or 100 * len(twice) > 20 * len(words))
         assert not (own["kept"] and own["base_failed"])
 
@@ -49,6 +56,19 @@ def test_menus_break_the_symbol_rule(spark):
     assert judged == {0: (["symbol_ratio"], False), 1: ([], True)}
 
 
+def test_lines_and_letters_break_their_rules(spark):
+    lead = "the of and to in a is that it for "
+    texts = {
+        "ellipsis_lines": "\n".join(f"{lead}read more about part {i} ... " for i in range(8)),
+        "bullet_lines": "\n".join(f" - {lead} entry number {i} of the list" for i in range(8)),
+        "letter_words": lead + " ".join(f"{i}.{i}" for i in range(40)),
+        "stop_words": "the " + " ".join(f"wörter{i}" for i in range(60)),
+        "length": " ".join(f"{lead}{i} is" for i in range(9000)),
+    }
+    judged = quality_rules.judge(awkward(spark, list(texts.values()))).collect()
+    assert {list(texts)[r["doc_id"]]: r["broken_rules"] for r in judged} == {name: [name] for name in texts}
+
+
 def test_limits_against_the_labels(spark):
     folder = "/root/testdata/sf0.01"
     if not pathlib.Path(folder).exists():
@@ -123,8 +143,6 @@ def repeated_runs(texts):
 
 def test_recall_of_repeated_runs():
     """Passages of 2 to 7 lines put between other lines: nine in ten go whole, and copies of texts always."""
-    import random
-
     rng = random.Random(6)
     passages = [[f"passage {i} line {k} {rng.random()}" for k in range(2 + i % 6)] for i in range(120)]
     texts = []
@@ -203,6 +221,83 @@ def test_items_are_found_with_edits_and_case(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [2, 4, 5, 6]
 
 
+def semi_global(item, text):
+    """Fewest edits of the item against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        row, old = [i], row
+        for j, y in enumerate(text, 1):
+            row.append(min(row[-1] + 1, old[j] + 1, old[j - 1] + (x != y)))
+    return min(row)
+
+
+def plainly(text):
+    shown = "".join(c.lower() if c.isascii() and c.isalnum() else c if not c.isascii() else " " for c in text)
+    return regex.sub(" +", " ", shown).encode()
+
+
+def test_items_are_those_of_all_alignments(spark):
+    """All texts against all items, on both sides of the budget."""
+    items = [prose(500 + i, 12 + 3 * i, lines=False)[: 60 + 21 * i] for i in range(8)] + ["short one", "tiny"]
+    texts = []
+    for i in range(40):
+        rate = (i % 7) * 0.025
+        copy = list(items[i % len(items)])
+        rng = random.Random(i)
+        for _ in range(int(rate * len(copy))):
+            at = rng.randrange(len(copy))
+            copy[at : at + rng.randrange(2)] = rng.choice(["", "z", "qq"])
+        texts.append(f"{prose(600 + i, 15)} {''.join(copy)}, {prose(700 + i, 10)}")
+    docs = awkward(spark, texts)
+    found = {(r["doc_id"], r["item_id"]): r["edits"] for r in decontamination.matches(docs, spark.createDataFrame([*enumerate(items)], "item_id bigint, text string")).collect()}
+    expected = {}
+    for j, item in enumerate(items):
+        own = plainly(item).rstrip(b" ")
+        budget = min(int(len(own) * decontamination.EDIT_RATE), (len(own) - decontamination.Q) // decontamination.Q) if len(own) >= decontamination.Q else -1
+        for i, text in enumerate(texts):
+            edits = semi_global(own, plainly(text))
+            if edits <= budget:
+                expected[i, j] = edits
+    assert found == expected and len(expected) > 15
+
+
+def test_banded_cells_give_what_all_cells_give():
+    rng = random.Random(8)
+    for _ in range(300):
+        item = [rng.randrange(3) for _ in range(rng.randrange(1, 30))]
+        region = [rng.randrange(3) for _ in range(rng.randrange(0, 8))] + item[: rng.randrange(30)] + [rng.randrange(3) for _ in range(rng.randrange(0, 12))]
+        most = rng.randrange(0, 8)
+        got = decontamination.placed(np.array(item, np.uint8), np.array(region, np.uint8), most)
+        expected = semi_global(item, region)
+        assert got[0] == min(expected, most + 1)
+        if expected <= most:
+            assert min(edits(item, region[a : got[1]]) for a in range(got[1] + 1)) == expected
+
+
+def test_parts_of_long_items_are_found(spark):
+    item = prose(800, 200, lines=False)
+    huge = prose(801, 150_000, lines=False)
+    third = len(item) // 3
+    texts = [
+        f"{prose(1, 50)} {item[: 2 * third]} {prose(2, 50)}", f"{prose(3, 40)} {item[third:]}", f"{prose(4, 60)} {item[:100]} {prose(5, 60)}",
+        f"{prose(6, 30)} {huge[400_000:401_000]} {prose(7, 30)}", prose(8, 400), item, huge,
+    ]
+    bench = spark.createDataFrame([(0, item), (1, huge)], "item_id bigint, text string")
+    found = decontamination.matches(awkward(spark, texts), bench).collect()
+    assert len(huge) > 900_000 and sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 0), (1, 0), (3, 1), (5, 0), (6, 1)]
+    places = {r["doc_id"]: (r["start"], r["end"]) for r in found}
+    assert places[5] == (0, len(item)) and all(r["edits"] == 0 for r in found)
+
+
+def test_rows_are_judged_by_their_text_not_their_id(spark):
+    item = prose(900, 30, lines=False)
+    docs = spark.createDataFrame([(None, item, 1), (1, "clean " + prose(901, 30), 2), (1, item, 3), (None, None, 4)], "doc_id bigint, text string, `a.b` int")
+    bench = spark.createDataFrame([(5, item)], "item_id bigint, text string")
+    left = decontamination.without_leaks(docs, bench)
+    assert left.columns == docs.columns and sorted(r["a.b"] for r in left.collect()) == [2, 4]
+    assert decontamination.without_leaks(docs.filter("false"), bench).count() == 0
+
+
 def test_blocks_of_items_give_the_same(spark, monkeypatch):
     items = [prose(200 + i, 25, lines=False) for i in range(12)]
     docs = awkward(spark, [prose(i, 20) + " " + t for i, t in enumerate(items)])

@@ -74,7 +74,7 @@ def op7_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = suffix_array_dedup.remove_repeats(_table(spark, folder, "documents"))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

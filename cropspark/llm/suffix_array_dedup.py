@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cropspark.llm.frames import stored
@@ -241,7 +241,8 @@ def _solve_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _split(rows: DataFrame) -> DataFrame:
     """Each row for the strings that reach the middle to the left, and for the others.
 
-    Contexts are cut to what those strings can reach; `c` is the context before, `cut` after.
+    Contexts are cut to what those strings can reach; `c` is the context before, in group `above`,
+    and `cut` the context after, in group `key`.
     """
     rows = rows.withColumn("middle", F.floor((F.col("low") + F.col("high") + 1) / 2).cast("int"))
     reach = F.lit(MIN_BYTES + 1) - F.col("middle")
@@ -250,11 +251,11 @@ def _split(rows: DataFrame) -> DataFrame:
         return F.substring(name, F.octet_length(name) - F.least(length, F.octet_length(name)) + F.lit(1), length)
 
     left = rows.filter(F.octet_length("before") >= F.col("middle")).select(
-        F.xxhash64("key", F.lit("left"), ends("before", F.col("middle"))).alias("key"), "c",
+        F.xxhash64("key", F.lit("left"), ends("before", F.col("middle"))).alias("key"), F.col("key").alias("above"), "c",
         "before", F.substring("after", F.lit(1), F.lit(MIN_BYTES) - F.col("middle")).alias("after"), "many", F.col("middle").alias("low"), "high",
     )
     right = rows.filter(F.octet_length("after") >= reach).select(
-        F.xxhash64("key", F.lit("right"), F.substring("after", F.lit(1), reach)).alias("key"), "c",
+        F.xxhash64("key", F.lit("right"), F.substring("after", F.lit(1), reach)).alias("key"), F.col("key").alias("above"), "c",
         ends("before", F.col("middle") - F.lit(1)).alias("before"), "after", "many", "low", (F.col("middle") - 1).alias("high"),
     )
     both = left.unionByName(right)
@@ -292,60 +293,58 @@ def trees(docs: DataFrame, text_col: str = "text", sent_hashes: int = SENT_HASHE
     sizes = stored(contexts.groupBy("key").agg(F.count("*").alias("n")), "sizes")
     # one context that occurs more than once is covered as far as it reaches, whatever its bytes
     alone = contexts.join(sizes.filter("n = 1").select("key"), "key").filter("many")
-    spans = [alone.select("c", F.explode(_whole_spans(F.col("before"), F.col("after"), F.lit(0), F.lit(LEFT))).alias("s"))]
+    alone = alone.select("c", F.explode(_whole_spans(F.col("before"), F.col("after"), F.lit(0), F.lit(LEFT))).alias("s"))
     wanted = stored(contexts.join(sizes.filter("n > 1").select("key"), "key").select("key", "c", "first", "many"), "wanted")
     firsts = wanted.select("first.t", "first.at").distinct()
     keys = _sent(spark, firsts, lambda t: _place_keys(t.column(0).to_pylist(), t.column(1).to_numpy()) if len(t) else np.zeros(0, np.uint64), sent_hashes)
     content = texts.mapInArrow(lambda b: _context_rows(b, hashes, keys, True), _CONTEXTS).withColumnRenamed("h", "key")
     content = content.groupBy("key", "c").agg(F.first("before").alias("before"), F.first("after").alias("after"))
     todo = wanted.select("key", "c", "many").join(content, ["key", "c"]).withColumn("low", F.lit(0)).withColumn("high", F.lit(LEFT))
-    todo, members, nodes = stored(todo, "groups"), None, []
+    todo, nodes, reaches, above = stored(todo, "groups"), [], [], []
     while True:
         counted = stored(todo.groupBy("key").agg(F.count("*").alias("n"), F.max("many").alias("any")), "sizes")
         counted = counted.filter("n > 1 or any")
         small = todo.join(counted.filter(f"n <= {group}").select("key"), "key")
         solved = stored(small.repartition("key").sortWithinPartitions("key", "after").mapInArrow(_solve_groups, _SOLVED), "solved")
         nodes.append(solved.filter("c is null").drop("c", "spans"))
-        done = solved.filter("c is not null").select("key", "c", F.explode("spans").alias("s"))
-        if members is not None:
-            done = done.withColumnRenamed("c", "cut").join(members, ["key", "cut"]).select("c", "s")
-        spans.append(done.select("c", "s"))
+        reaches.append(_reach(solved.filter("c is not null").select("key", "c", F.inline("spans"))))
         large = todo.join(counted.filter(f"n > {group}").select("key"), "key")
         if counted.filter(f"n > {group}").isEmpty():
             break
         parts = stored(_split(large.filter("low < high")), "parts")
+        above.append(parts.select("above", F.col("c").alias("whole"), "key", F.col("cut").alias("c")))
         todo = parts.groupBy("key", F.col("cut").alias("c"), "low", "high").agg(
             F.first("before").alias("before"), F.first("after").alias("after"), ((F.count("*") > 1) | F.max("many")).alias("many")
         )
         todo = stored(todo, "groups")
-        old = parts.select(F.col("c").alias("old"), "key", "cut")
-        if members is not None:
-            members = stored(members.select("c", F.col("cut").alias("old")).distinct().join(old, "old").select("c", "key", "cut").distinct(), "members")
-        else:
-            members = stored(old.withColumnRenamed("old", "c"), "members")
-    out, tree = spans[0], nodes[0]
-    for more in spans[1:]:
-        out = out.unionByName(more)
+    # back level by level: a context reaches as far as the contexts that were cut from it
+    reach = reaches[-1]
+    for own, cuts in zip(reversed(reaches[:-1]), reversed(above)):
+        up = stored(reach, "reach").join(cuts, ["key", "c"]).select(F.col("above").alias("key"), F.col("whole").alias("c"), "a", "b")
+        reach = _reach(own.unionByName(up))
+    tree = nodes[0]
     for more in nodes[1:]:
         tree = tree.unionByName(more)
-    return tree, out.distinct(), places.select("t", "at", "c").distinct()
+    spans = alone.unionByName(reach.select("c", F.struct("a", "b").alias("s")))
+    return tree, spans, places.select("t", "at", "c").distinct()
+
+
+def _reach(spans: DataFrame) -> DataFrame:
+    """The first and last byte (key, c, a, b) covered in each context: all its spans hold the anchor, so they overlap."""
+    return spans.groupBy("key", "c").agg(F.min("a").alias("a"), F.max("b").alias("b"))
 
 
 def covered(docs: DataFrame, text_col: str = "text", sent_hashes: int = SENT_HASHES, group: int = GROUP) -> DataFrame:
     """(t, spans): per text (its MD5) the merged byte ranges [a, b) of repeated strings."""
     _, spans, places = trees(docs, text_col, sent_hashes, group)
-    per_context = spans.groupBy("c").agg(F.collect_list("s").alias("spans"))
-    found = places.join(per_context, "c").select("t", F.explode(F.transform("spans", lambda s: F.struct((F.col("at") + s["a"]).alias("a"), (F.col("at") + s["b"]).alias("b")))).alias("s"))
-    listed = found.groupBy("t").agg(F.array_sort(F.collect_set("s")).alias("all"))
-
-    def joined(done, s):
-        last = F.element_at(done, -1)
-        longer = F.struct(last["a"].alias("a"), F.greatest(last["b"], s["b"]).alias("b"))
-        start = F.slice(done, F.lit(1), F.size(done) - F.lit(1))
-        return F.when((F.size(done) == 0) | (F.get(done, F.size(done) - F.lit(1))["b"] < s["a"]), F.concat(done, F.array(s))).otherwise(F.concat(start, F.array(longer)))
-
-    none = F.array().cast("array<struct<a:bigint,b:bigint>>")
-    return stored(listed.select("t", F.aggregate("all", none, joined).alias("spans")), "spans")
+    reach = spans.groupBy("c").agg(F.min("s.a").alias("a"), F.max("s.b").alias("b"))
+    found = places.join(reach, "c").select("t", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b")).alias("b"))
+    # a run begins where all ranges before have ended; a window holds the ranges of one text
+    before = Window.partitionBy("t").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.coalesce(F.max("b").over(before) < F.col("a"), F.lit(True)).cast("int")
+    run = F.sum("begins").over(Window.partitionBy("t").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, 0))
+    runs = found.withColumn("begins", begins).withColumn("run", run).groupBy("t", "run").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return stored(runs.groupBy("t").agg(F.array_sort(F.collect_list(F.struct("a", "b"))).alias("spans")), "spans")
 
 
 _KEPT = "doc_id bigint, text string, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, kept_sha256 string"

@@ -292,14 +292,14 @@ def trees(docs: DataFrame, text_col: str = "text", sent_hashes: int = SENT_HASHE
     contexts = stored(contexts, "contexts")
     sizes = stored(contexts.groupBy("key").agg(F.count("*").alias("n")), "sizes")
     # one context that occurs more than once is covered as far as it reaches, whatever its bytes
-    alone = contexts.join(sizes.filter("n = 1").select("key"), "key").filter("many")
+    alone = contexts.join(sizes.filter("n = 1").select("key").hint("merge"), "key").filter("many")
     alone = alone.select("c", F.explode(_whole_spans(F.col("before"), F.col("after"), F.lit(0), F.lit(LEFT))).alias("s"))
-    wanted = stored(contexts.join(sizes.filter("n > 1").select("key"), "key").select("key", "c", "first", "many"), "wanted")
+    wanted = stored(contexts.join(sizes.filter("n > 1").select("key").hint("merge"), "key").select("key", "c", "first", "many"), "wanted")
     firsts = wanted.select("first.t", "first.at").distinct()
     keys = _sent(spark, firsts, lambda t: _place_keys(t.column(0).to_pylist(), t.column(1).to_numpy()) if len(t) else np.zeros(0, np.uint64), sent_hashes)
     content = texts.mapInArrow(lambda b: _context_rows(b, hashes, keys, True), _CONTEXTS).withColumnRenamed("h", "key")
     content = content.groupBy("key", "c").agg(F.first("before").alias("before"), F.first("after").alias("after"))
-    todo = wanted.select("key", "c", "many").join(content, ["key", "c"]).withColumn("low", F.lit(0)).withColumn("high", F.lit(LEFT))
+    todo = wanted.select("key", "c", "many").hint("merge").join(content, ["key", "c"]).withColumn("low", F.lit(0)).withColumn("high", F.lit(LEFT))
     todo, nodes, reaches, above = stored(todo, "groups"), [], [], []
     while True:
         counted = stored(todo.groupBy("key").agg(F.count("*").alias("n"), F.max("many").alias("any")), "sizes")
@@ -338,7 +338,8 @@ def covered(docs: DataFrame, text_col: str = "text", sent_hashes: int = SENT_HAS
     """(t, spans): per text (its MD5) the merged byte ranges [a, b) of repeated strings."""
     _, spans, places = trees(docs, text_col, sent_hashes, group)
     reach = spans.groupBy("c").agg(F.min("s.a").alias("a"), F.max("s.b").alias("b"))
-    found = places.join(reach, "c").select("t", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b")).alias("b"))
+    # the same plan at every size, as in the other joins on contexts
+    found = places.join(reach.hint("merge"), "c").select("t", (F.col("at") + F.col("a")).alias("a"), (F.col("at") + F.col("b")).alias("b"))
     # a run begins where all ranges before have ended; a window holds the ranges of one text
     before = Window.partitionBy("t").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     begins = F.coalesce(F.max("b").over(before) < F.col("a"), F.lit(True)).cast("int")

@@ -158,13 +158,13 @@ def orphan_counts(
     )
     sizes = keys.groupBy("_ref").agg(F.count(F.lit(1)).alias("_size"), F.count_if(F.col("_key").isNull()).alias("_nulls"))
     names = fact.sparkSession.createDataFrame(list(enumerate(references)), "_ref int, verificacao string")
-    orphans = (
-        F.when(F.coalesce("_size", F.lit(0)) == 0, F.col("_all"))
-        .when(F.col("_nulls") > 0, F.lit(0))
-        .otherwise(F.col("_set"))
+    # a row per reference and part: gathered by an aggregation, which needs no join on a constant
+    parts = names.unionByName(sizes, allowMissingColumns=True).unionByName(unmatched, allowMissingColumns=True)
+    found = parts.groupBy("_ref").agg(
+        F.max("verificacao").alias("verificacao"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_size", "_nulls", "_all", "_set")]
     )
-    joined = names.join(sizes, "_ref", "left").join(unmatched, "_ref", "left")
-    return joined.select("verificacao", F.coalesce(orphans, F.lit(0)).alias("orfas"))
+    orphans = F.when(F.col("_size") == 0, F.col("_all")).when(F.col("_nulls") > 0, F.lit(0)).otherwise(F.col("_set"))
+    return found.select("verificacao", orphans.alias("orfas"))
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

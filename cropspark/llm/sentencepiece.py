@@ -53,7 +53,7 @@ WORDS = 128
 ROWS = 64
 _NONE = 2**31 - 1
 _SLOTS = 1 << 18
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -318,7 +318,8 @@ def _edges(lattice: np.ndarray, n: int, model: Model, pieces: _Pieces) -> list[d
 
 def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> Iterator[pa.RecordBatch]:
     """The rows with their texts as word numbers, and before them rows with the lattices of new words."""
-    pieces, known = _Pieces(model), {}
+    # hashes of the words so far, in order, and their numbers: a few bytes a word
+    pieces, known, numbers = _Pieces(model), np.zeros(0, np.uint64), np.zeros(0, np.int32)
     for batch in batches:
         kinds = [f.type for f in batch.schema]
         names = [*batch.schema.names, "codes", "words"]
@@ -326,8 +327,13 @@ def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> I
             part = _in_front(raw)
             hashes, starts, ends = _hashes(part)
             found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            fresh = [k for k, h in enumerate(found.tolist()) if h not in known]
-            known.update(zip(found[fresh].tolist(), range(len(known), len(known) + len(fresh))))
+            place = np.searchsorted(known, found)
+            old = np.append(known, np.uint64(0))[place] == found
+            old &= place < len(known)
+            fresh, number = np.flatnonzero(~old), np.empty(len(found), np.int32)
+            number[old] = numbers[place[old]]
+            number[fresh] = np.arange(len(known), len(known) + len(fresh))
+            known, numbers = np.insert(known, place[fresh], found[fresh]), np.insert(numbers, place[fresh], number[fresh])
             for at in range(0, len(fresh), WORDS * ROWS):
                 own = first[fresh[at : at + WORDS * ROWS]]
                 words = [part.data[a:b].tobytes() for a, b in zip(starts[own].tolist(), ends[own].tolist())]
@@ -336,7 +342,7 @@ def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> I
                 rows = len(cuts) - 1
                 lists = [pa.nulls(rows, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(cuts), lattices)]
                 yield pa.RecordBatch.from_arrays([*[pa.nulls(rows, k) for k in kinds], *lists], names=names)
-            codes = np.fromiter(map(known.__getitem__, found.tolist()), np.int32, len(found))[inverse]
+            codes = number[inverse]
             per_text = np.searchsorted(starts, part.offsets).astype(np.int32)
             own = batch.slice(raw.first, raw.n)
             lists = [pa.ListArray.from_arrays(pa.array(per_text), pa.array(codes)), pa.nulls(raw.n, pa.list_(_WORD))]

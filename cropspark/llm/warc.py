@@ -2,20 +2,22 @@
 
 Writing. Each page gives one record. Of pages with equal payloads of `REVISIT_BYTES` or more,
 the one with the largest id is a response and the others are revisits of it. The HTTP body is
-sent in chunked framing. A block longer than `SEGMENT` bytes is split into a first record and
-continuation records. The files are written by Spark's text writer with the line separator
+sent in chunked framing. A block longer than `SEGMENT` bytes, which most pages are, is split into a
+first record and continuation records. The files are written by Spark's text writer with the line separator
 that ends a WARC record, so they are archives on any file system Spark can write, each one
 gzip member, and `RECORDS` a file bound their size.
 
 Reading. Files are parsed record by record by their stated lengths. Records that are whole are
 decoded where they are; only segments are shuffled, grouped by the id of the record they
 continue, put in order of segment number, checked against the stated total length, and then
-decoded. A group holds the segments of one record.
+decoded. A group holds the segments of one record. With `regroup` whole records take the same way,
+as their own only segment: one scan of the archives, and all blocks shuffled.
 
 Defined results: null html is an empty payload; a null url is an empty target; equal rows and
 repeated page ids each give a record of their own (record ids are unique per row); a page
-without an id never leads; segments may lie in any file and order, and may be repeated; a record with a
-missing segment or a wrong total length is returned with `complete` false and no payload; text
+without an id never leads; segments may lie in any file and order, and may be repeated (a whole record that is repeated gives a
+row each time, with `regroup` one row); a record with a missing segment or a wrong total length is
+returned with `complete` false and no payload; records without an id are never put together; text
 that isn't a record is skipped up to the next one; an empty table writes an empty archive.
 """
 
@@ -31,10 +33,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cropspark.llm.frames import stored
+
 REVISIT_BYTES = 1000
-SEGMENT = 1 << 15
-CHUNK = 1 << 13
-RECORDS = 400
+SEGMENT = 1 << 12
+CHUNK = 1 << 11
+RECORDS = 1000
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -170,7 +174,8 @@ def _row(fields: dict[str, str], block: bytes) -> tuple:
     )
 
 
-def _parsed(batches: Iterator[pa.RecordBatch], segments: bool) -> Iterator[pa.RecordBatch]:
+def _parsed(batches: Iterator[pa.RecordBatch], segments: bool | None) -> Iterator[pa.RecordBatch]:
+    """Segments as they are, or whole records decoded; None: all, whole ones as their only segment."""
     names = [x.split()[0] for x in _PARSED.split(", ")]
     kinds = [pa.int64() if " bigint" in x else pa.binary() if " binary" in x else pa.string() for x in _PARSED.split(", ")]
     for batch in batches:
@@ -179,8 +184,11 @@ def _parsed(batches: Iterator[pa.RecordBatch], segments: bool) -> Iterator[pa.Re
             data = content.as_py()
             for fields, block in parse_records(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
                 row = _row(fields, block)
-                if (row[6] is not None) == segments:
-                    rows.append(row if segments else (*row[:-1], payload_of(block)))
+                whole = row[6] is None
+                if segments is None:
+                    rows.append((*row[:6], 1, row[7], len(block), block) if whole else row)
+                elif segments != whole:
+                    rows.append((*row[:-1], payload_of(block)) if whole else row)
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
@@ -193,17 +201,17 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.set_column(at, "block", payloads)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, regroup: bool = False) -> DataFrame:
     """(record_id, warc_type, page_id, target_uri, digest, refers_to, payload, complete) per record."""
     files = spark.read.format("binaryFile").load(path).select("content")
-    whole = files.mapInArrow(lambda batches: _parsed(batches, False), _PARSED)
-    parts = files.mapInArrow(lambda batches: _parsed(batches, True), _PARSED)
+    parts = files.mapInArrow(lambda batches: _parsed(batches, None if regroup else True), _PARSED)
     first = F.col("segment_number") == 1
 
     def of_first(name: str):
         return F.max(F.when(first, F.col(name))).alias(name)
 
-    joined = parts.groupBy(F.coalesce("origin_id", "record_id").alias("record_id")).agg(
+    unnamed = F.concat(F.lit("#"), F.sha2("block", 256))
+    joined = parts.groupBy(F.coalesce("origin_id", "record_id", unnamed).alias("key")).agg(
         *[of_first(c) for c in ("warc_type", "page_id", "target_uri", "digest", "refers_to")],
         F.max("total_length").alias("total_length"),
         F.array_sort(F.collect_set(F.struct("segment_number", "block"))).alias("parts"),
@@ -211,24 +219,25 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     block = F.array_join(F.transform("parts", lambda p: p["block"].cast("string")), "").cast("binary")
     numbers = F.transform("parts", lambda p: p["segment_number"])
     in_order = numbers == F.sequence(F.lit(1).cast("bigint"), F.size("parts").cast("bigint"))
-    put = joined.withColumn("block", block)
+    put = joined.withColumn("block", block).withColumn("record_id", F.when(~F.col("key").startswith("#"), F.col("key")))
     put = put.withColumn("block", F.when(in_order & (F.octet_length("block") == F.col("total_length")), F.col("block")))
     fields = ["record_id", "warc_type", "page_id", "target_uri", "digest", "refers_to", "block"]
     schema = ", ".join(x for x in _PARSED.split(", ") if x.split()[0] in fields)
-    decoded = put.select(*fields).mapInArrow(_decoded, schema)
-    return (
-        whole.select(*fields)
-        .unionByName(decoded)
-        .withColumn("complete", F.col("block").isNotNull())
-        .withColumnRenamed("block", "payload")
-    )
+    records = put.select(*fields).mapInArrow(_decoded, schema)
+    if not regroup:
+        whole = files.mapInArrow(lambda batches: _parsed(batches, False), _PARSED)
+        records = whole.select(*fields).unionByName(records)
+    return records.withColumn("complete", F.col("block").isNotNull()).withColumnRenamed("block", "payload")
 
 
 def page_payloads(records: DataFrame) -> DataFrame:
-    """Per page record: payload size and digest of the full payload, its type, what it revisits."""
-    own = records.filter("warc_type = 'response'").select(
-        "page_id", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "warc_type"
-    )
+    """Per page record: payload size and digest of the full payload, its type, what it revisits.
+
+    Sizes and digests are written once, so the archives are not parsed again for the join.
+    """
+    size = F.octet_length("payload").cast("bigint").alias("payload_bytes")
+    records = stored(records.select("page_id", "warc_type", "refers_to", "digest", size, F.sha1("payload").alias("payload_digest")), "digests")
+    own = records.filter("warc_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "warc_type")
     led = own.groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("digest")).agg(F.max("payload_bytes").alias("payload_bytes"))
     revisits = records.filter("warc_type = 'revisit'").select("page_id", "refers_to", "digest").join(led, ["refers_to", "digest"], "left")
     return own.select(

@@ -13,14 +13,14 @@ commit protocol, and any file system Spark can write will do. Memory is bounded
 texts and one file.
 
 Defined results: null and empty texts give the end id alone; documents without an id come
-first; documents with equal ids follow each other in no stated order; an empty table gives no
-sequences and no rows; only the id and text columns are read.
+first; documents with equal ids follow each other in order of text, null before empty (equal rows
+are alike), so a task that runs again packs the same files; an empty table gives no sequences and no
+rows; only the id and text columns are read.
 """
 
 from __future__ import annotations
 
 import itertools
-import sys
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +32,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cropspark.llm.text_arrays import slices
+from cropspark.llm.worker_cache import kept
 
 LENGTH = 1024
 ROWS = 256
@@ -42,17 +43,18 @@ KEPT_PIECES = 300_000
 
 
 def load_tokenizer(path: str):
-    """The tokenizer of a file; kept with its library, so a worker reads it once."""
+    """The tokenizer of a file, which a worker reads once."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     import tokenizers
 
-    known = sys.modules["tokenizers"].__dict__.setdefault("_kept_by_path", {})
-    if path not in known:
-        known[path] = tokenizers.Tokenizer.from_file(path)
-        known[path].encode_special_tokens = True
-    return known[path]
+    def read():
+        tokenizer = tokenizers.Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    return kept(("tokenizer", path), read)
 
 
 class Encoder:
@@ -162,7 +164,7 @@ def _packed(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id:
 def write_sequences(docs: DataFrame, path: str, tokenizer: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode `docs` in ascending order of id and write the files below `path`."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     files = ordered.mapInArrow(lambda batches: _packed(batches, tokenizer, pattern, end_id), "file binary")
     files.select(F.col("file").cast("string").alias("value")).write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(path)
 
@@ -229,8 +231,8 @@ def _with_crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crc = [zlib.crc32(x.as_buffer()) for x in ids]
         # whole documents go on as numbers; only those that run over a file's end keep their ids
         whole = [p >= 0 and n == m for p, n, m in zip(*(batch.column(c).to_pylist() for c in ("place", "length", "n")))]
-        kept = pa.array([None if w else x.as_py() for w, x in zip(whole, ids)], pa.binary())
-        yield batch.set_column(6, "ids", kept).append_column("crc", pa.array(crc, pa.int64()))
+        left = pa.array([None if w else x.as_py() for w, x in zip(whole, ids)], pa.binary())
+        yield batch.set_column(6, "ids", left).append_column("crc", pa.array(crc, pa.int64()))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,8 @@ document starts depends on all blocks before it, so three exclusive prefix scans
 separators so far, last separator so far) run over the blocks: inside parts of the block
 order, then over one row a part, so no task takes all blocks.
 
-Files follow in order of path. A document may run over blocks and files; ids after the last
+Files follow in order of path, runs of digits compared as numbers (part-99999 comes before
+part-100000). A document may run over blocks and files; ids after the last
 separator form a last document without an end. `write_flat` keeps files small; a file is read
 whole, so foreign files should be below the executors' memory and 2 GB.
 
@@ -18,16 +19,16 @@ ids gives no rows; equal rows are documents of their own; a trailing part of an
 from __future__ import annotations
 
 import base64
-import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cropspark.llm.frames import stored
 from cropspark.llm.text_arrays import slices
+from cropspark.llm.worker_cache import kept
 
 WIDTH = 2
 BLOCK = 1 << 16
@@ -35,15 +36,15 @@ FILE_BYTES = 4 << 20
 
 
 def load_encoding(path: str, pattern: str):
-    """The byte-pair encoding of a rank file; kept with its library, so a worker reads it once."""
+    """The byte-pair encoding of a rank file, which a worker reads once."""
     import tiktoken
 
-    known = sys.modules["tiktoken"].__dict__.setdefault("_kept_by_path", {})
-    if path not in known:
+    def read():
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
-        known[path] = tiktoken.Encoding("flat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return known[path]
+        return tiktoken.Encoding("flat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    return kept(("encoding", path, pattern), read)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -92,6 +93,17 @@ def _scanned(batches: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.Reco
                 )
 
 
+def in_number_order(path: Column) -> Column:
+    """A text that sorts as the path does with its runs of digits taken as numbers; the path ends it."""
+
+    def padded(part: Column) -> Column:
+        digits = F.ltrim(part, F.lit("0"))
+        return F.when(part.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 4, "0"), digits)).otherwise(part)
+
+    runs = F.regexp_extract_all(path, F.lit("([0-9]+|[^0-9]+)"), F.lit(1))
+    return F.concat(F.array_join(F.transform(runs, padded), ""), F.lit("\n"), path)
+
+
 def _before(what, order: list[str], how=F.sum):
     window = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return how(what).over(window)
@@ -104,15 +116,16 @@ def count_tokens(spark: SparkSession, path: str, end_id: int) -> DataFrame:
     """
     files = spark.read.format("binaryFile").load(path).filter("length > 0").select("path", "content")
     found = files.mapInArrow(lambda b: _scanned(b, end_id), "file string, block bigint, n bigint, ends array<bigint>")
-    blocks = stored(found.repartitionByRange("file", "block").withColumn("part", F.spark_partition_id()), "blocks")
-    order = ["file", "block"]
+    order = ["rank", "block"]
+    ranked = found.withColumn("rank", in_number_order(F.col("file")))
+    blocks = stored(ranked.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "blocks")
     parts = blocks.groupBy("part").agg(F.sum("n").alias("n"), F.sum(F.size("ends")).alias("seps"))
     over_parts = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.select(
         "part", F.coalesce(F.sum("n").over(over_parts), F.lit(0)).alias("n0"), F.coalesce(F.sum("seps").over(over_parts), F.lit(0)).alias("s0")
     )
     placed = blocks.join(carried, "part").select(
-        "part", *order, "n", "ends",
+        "part", *order, "file", "n", "ends",
         (F.col("n0") + F.coalesce(_before(F.col("n"), order), F.lit(0))).alias("at"),
         (F.col("s0") + F.coalesce(_before(F.size("ends"), order), F.lit(0))).alias("number"),
     )
@@ -128,7 +141,7 @@ def count_tokens(spark: SparkSession, path: str, end_id: int) -> DataFrame:
         (F.col("at") + F.col("end") - start).alias("n_tokens"), F.lit(True).alias("ended"),
     )
     total = placed.agg(
-        F.max(F.col("at") + F.col("n")).alias("all"), F.max("last").alias("last"), F.sum(F.size("ends")).alias("document"), F.max("file").alias("file")
+        F.max(F.col("at") + F.col("n")).alias("all"), F.max("last").alias("last"), F.sum(F.size("ends")).alias("document"), F.max_by("file", "rank").alias("file")
     )
     start = F.coalesce("last", F.lit(-1)) + F.lit(1)
     rest = total.filter(F.col("all") > start).select(

@@ -12,7 +12,8 @@
    component, and lists are contracted to components before the next round, so a group of
    copies is never expanded into all pairs. Between the components that are left, pairs come
    from a join on the rarest shingles of the full sets: the components are those of all links.
-4. Collisions over the whole signature are counted, then links are confirmed on the full sets.
+4. For pairs that come from posting lists, collisions over the whole signature are counted; links
+   are confirmed on the full sets. Pairs from the full sets are confirmed whatever their collisions.
 
 Defined results: null or blank text has an empty set, links with nothing and is kept; rows
 without an id are not compared, have no component and are kept; equal rows each give a row;
@@ -115,17 +116,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that agree in enough coordinates and whose sets are similar enough."""
+def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, matches: int) -> DataFrame:
+    """The pairs (a, b) that agree in at least `matches` coordinates and whose sets are similar enough."""
     small = nodes.select("node", "n_shingles", "signature")
     a = small.toDF("a", "na", "sa")
     b = small.toDF("b", "nb", "sb")
-    likely = (
-        pairs.join(a, "a")
-        .join(b, "b")
-        .filter((F.lit(100) * F.least("na", "nb") >= F.lit(PERCENT) * F.greatest("na", "nb")) & (_collisions(F.col("sa"), F.col("sb")) >= MATCHES))
-        .select("a", "b", "na", "nb")
-    )
+    sized = pairs.join(a, "a").join(b, "b").filter(F.lit(100) * F.least("na", "nb") >= F.lit(PERCENT) * F.greatest("na", "nb"))
+    if matches:
+        sized = sized.filter(_collisions(F.col("sa"), F.col("sb")) >= matches)
+    likely = sized.select("a", "b", "na", "nb")
     shared = (
         likely.join(sets.toDF("a", "xa"), "a")
         .join(sets.toDF("b", "xb"), "b")
@@ -222,12 +221,12 @@ def links(docs: DataFrame, signed: DataFrame, id_col: str = "doc_id", text_col:
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        more = stored(_confirmed(pairs, nodes, sets), "links")
+        more = stored(_confirmed(pairs, nodes, sets, MATCHES), "links")
         tried = pairs if tried is None else tried.union(pairs)
         found = more if found is None else found.union(more)
         rows = stored(_labelled(lists, found), "lists")
     rest = stored(_rest_pairs(rows, sets).join(tried, ["a", "b"], "left_anti"), "pairs")
-    return stored(found.union(_confirmed(rest, nodes, sets)), "links")
+    return stored(found.union(_confirmed(rest, nodes, sets, 0)), "links")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

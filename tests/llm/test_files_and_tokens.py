@@ -47,6 +47,30 @@ def test_pages_come_back_from_the_archives(spark, tmp_path):
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
 
 
+def test_most_pages_are_put_together_from_segments(spark, tmp_path):
+    rows = [(i, f"http://a/{i}", prose(i, 900 + 40 * i)) for i in range(12)] + [(50, "u", "short"), (51, "u", "é" * warc.SEGMENT)]
+    path = str(tmp_path / "a")
+    warc.write_pages(pages(spark, rows), path)
+    files = [gzip.decompress(f.read_bytes()) for f in (tmp_path / "a").glob("*.gz")]
+    kinds = [fields["warc-type"] for f in files for fields, _ in warc.parse_records(f)]
+    assert kinds.count("response") == 14 and kinds.count("continuation") >= 14
+    shown = lambda df: sorted((r["page_id"], r["record_id"], r["warc_type"], bytes(r["payload"]), r["complete"]) for r in df.collect())
+    whole = shown(warc.read_records(spark, path))
+    assert [(i, p) for i, _, _, p, done in whole if done] == [(i, t.encode()) for i, _, t in rows]
+    assert shown(warc.read_records(spark, path, regroup=True)) == whole
+
+
+def test_records_without_an_id_are_not_put_together(spark, tmp_path):
+    def record(n, part, page):
+        return warc._record("response", "gone", {"WARC-Segment-Number": n, "Page-ID": page}, part).replace(b"WARC-Record-ID: <gone>\r\n", b"")
+
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.warc").write_bytes(b"\r\n\r\n".join([record(None, b"one", 1), record(None, b"two", 2), record(1, b"three", 3), record(1, b"four", 4)]))
+    for regroup in (False, True):
+        found = warc.read_records(spark, str(tmp_path / "w"), regroup).collect()
+        assert sorted((r["page_id"], r["record_id"], r["payload"] and bytes(r["payload"])) for r in found) == [(1, None, b"one"), (2, None, b"two"), (3, None, None), (4, None, None)]
+
+
 def test_an_empty_table_of_pages(spark, tmp_path):
     assert read_back(spark, [], str(tmp_path / "a")).count() == 0
 
@@ -109,6 +133,19 @@ def test_sequences_hold_all_documents_in_order(spark, tmp_path, monkeypatch):
     assert np.array_equal(ids, files[0].batch(0)[1])
 
 
+def test_documents_with_equal_ids_follow_by_text(spark, tmp_path):
+    texts = ["b c", None, "a much longer text", "", "b c"]
+    docs = spark.createDataFrame([(4, t) for t in texts] + [(None, "first"), (5, "last")], "doc_id bigint, text string")
+    token_output.write_sequences(docs.repartition(4), str(tmp_path / "s"), TOKENIZER, public_tokenizers.PATTERN, end_id=2)
+    order = [(None, "first"), (4, None), (4, ""), (4, "a much longer text"), (4, "b c"), (4, "b c"), (5, "last")]
+    expected, start = [], 0
+    for (i, _), ids in zip(order, encoded([t for _, t in order], 2)):
+        expected.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    found = [tuple(r) for r in token_output.read_documents(spark, str(tmp_path / "s")).collect()]
+    assert sorted(found, key=lambda r: r[1]) == expected
+
+
 def test_no_documents_no_sequences(spark, tmp_path):
     token_output.write_sequences(awkward(spark, []), str(tmp_path / "s"), TOKENIZER, public_tokenizers.PATTERN, 2)
     token_counts.write_flat(awkward(spark, []), str(tmp_path / "f"), RANKS, public_tokenizers.PATTERN, 50256)
@@ -148,6 +185,16 @@ def test_documents_run_over_blocks_and_files(spark, tmp_path, monkeypatch):
     assert found == [(0, 0, 2, True), (1, 3, 11, True), (2, 15, 0, True), (3, 16, 3, False)]
 
 
+def test_files_follow_by_the_numbers_in_their_names(spark, tmp_path):
+    names = ["part-9-c1000.bin", "part-10-c002.bin", "part-9-c999.bin", "part-99999.bin", "part-100000.bin"]
+    wanted = ["part-9-c999.bin", "part-9-c1000.bin", "part-10-c002.bin", "part-99999.bin", "part-100000.bin"]
+    for name in names:
+        (tmp_path / name).write_bytes(np.array([1] * wanted.index(name) + [9], "<u2").tobytes())
+    (tmp_path / "part-100001.bin").write_bytes(np.array([5], "<u2").tobytes())
+    found = sorted((r["document"], r["n_tokens"], r["file"].rsplit("/", 1)[1]) for r in token_counts.count_tokens(spark, str(tmp_path), 9).collect())
+    assert found == [*((k, k, name) for k, name in enumerate(wanted)), (5, 1, "part-100001.bin")]
+
+
 # --- SentencePiece -----------------------------------------------------------------
 
 

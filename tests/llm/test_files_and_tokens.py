@@ -47,7 +47,7 @@ def test_pages_come_back_from_the_archives(spark, tmp_path):
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
 
 
-def test_most_pages_are_put_together_from_segments(spark, tmp_path):
+def test_long_pages_are_put_together_from_segments(spark, tmp_path):
     rows = [(i, f"http://a/{i}", prose(i, 900 + 40 * i)) for i in range(12)] + [(50, "u", "short"), (51, "u", "é" * warc.SEGMENT)]
     path = str(tmp_path / "a")
     warc.write_pages(pages(spark, rows), path)

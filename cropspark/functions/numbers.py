@@ -6,12 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cropspark.fixed_values import MISSING_MARKS
-from cropspark.functions.text import strip
+from cropspark.functions.text import bound, strip
 
 # Text is matched before it is cast: a failed cast costs an exception per row, and the
 # JVM would also read "12d", "NaN" or "Infinity".
 _DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _SPACED_DECIMAL = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)? *$"
+_SPACED_YEAR = r"^ *[+-]?[0-9]{1,9} *\z"
 _WHOLE = r"^[+-]?[0-9]+(\.0*)?$"
 _POWER = r"^[+-]?[0-9]+(\.[0-9]*)?[eE][+]?[0-9]+$"
 _DATE = r"^\s*[+-]?[0-9]{4,7}(-(0?[1-9]|1[0-2])(-(0?[1-9]|[12][0-9]|3[01])([ T].*)?)?)?\s*$"
@@ -21,11 +22,19 @@ def _decimal_or_null(text: Column) -> Column:
     return F.when(text.rlike(_DECIMAL), text.try_cast("double"))
 
 
+def _whole_or_null(text: Column) -> Column:
+    def whole(number: Column) -> Column:
+        power = text.rlike(_POWER) & (number == F.floor(number))
+        return F.when(text.rlike(_WHOLE) | power, number.try_cast("int"))
+
+    return bound(text.try_cast("double"), whole)
+
+
 def to_number(col: Column) -> Column:
     """Text or number to double; anything that is not a number becomes NULL."""
     text = col.cast("string")
     usual = F.when(text.rlike(_SPACED_DECIMAL), text.try_cast("double"))  # a cast trims spaces
-    return usual.otherwise(_decimal_or_null(strip(text)))
+    return usual.otherwise(bound(strip(text), _decimal_or_null))
 
 
 def to_year(col: Column) -> Column:
@@ -34,11 +43,9 @@ def to_year(col: Column) -> Column:
     Whether a year is possible is for the range check of the caller to say; only what is not
     whole or doesn't fit an integer is NULL.
     """
-    text = strip(col.cast("string"))
-    number = text.try_cast("double")
-    return F.when(text.rlike(_WHOLE), number.try_cast("int")).when(
-        text.rlike(_POWER) & (number == F.floor(number)), number.try_cast("int")
-    )
+    text = col.cast("string")
+    usual = F.when(text.rlike(_SPACED_YEAR), text.try_cast("int"))  # a cast trims spaces
+    return usual.otherwise(bound(strip(text), _whole_or_null))
 
 
 def to_timestamp(col: Column) -> Column:

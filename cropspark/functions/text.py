@@ -1,7 +1,7 @@
 """Text clean-up and lookup expressions."""
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +15,15 @@ BLANKS = (
 )
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once, however often the body names it.
+
+    Catalyst writes a column out at each place that names it, and the JVM doesn't compile a method
+    that grows too long by that.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(col: Column) -> Column:
     """Trim every Unicode blank, not only spaces."""
     trimmed = F.trim(col)

@@ -125,7 +125,7 @@ def standardize_categories(
 
 
 def _year_ok(year: str, first: int, last: int) -> Column:
-    return F.coalesce(F.col(year).between(first, last), F.lit(False))
+    return F.coalesce(txt.bound(F.col(year), lambda y: y.between(first, last)), F.lit(False))
 
 
 def _code_ok(code: str) -> Column:

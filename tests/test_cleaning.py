@@ -113,3 +113,15 @@ def test_name_map_and_options(spark):
     lines = {r["produto"]: r for r in reports.collection_report(cleaned.withColumn("qtd_produzida", F.lit(None).cast("double"))).collect()}
     assert lines["Soja"]["qtd_texto"] == "—" and lines["Soja"]["valor_texto"] == "45,906,902"
     assert lines["Soja"]["total_linhas"] == len(GOLDEN)
+
+
+def test_the_year_is_written_out_a_few_times_only_in_the_filter(spark, capsys):
+    """A filter that repeats its input too often is too long a method for the JVM to compile."""
+    data = frame(spark, [raw("Soja", "40124", "2024", "1", "2", "3", "4"), raw("Soja", "40124", "n/d", "1", "2", "3", "4")])
+    marked = data.withColumn("ano", F.when(F.col("produto_cod") == "year-mark", "n/d").otherwise(F.col("ano")))
+    cleaned = rows.clean_rows(marked, AT).select("produto", "produto_cod")
+    capsys.readouterr()
+    cleaned.explain()
+    filters = [x for x in capsys.readouterr().out.split("\n+- ") if "year-mark" in x and "Filter" in x]
+    assert filters and max(x.count("year-mark") for x in filters) <= 24
+    assert cleaned.count() == 1

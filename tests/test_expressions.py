@@ -44,6 +44,13 @@ def test_years(spark):
     ]
 
 
+def test_years_in_odd_forms(spark):
+    cells = ["\t2023\n", "2023\x85", "\xa02023", "+7", "-3 ", "123456789", "2147483647", "2147483648", "2.023e3", "2.0235e3", "2023.", "20 23", "", "+"]
+    assert evaluate(spark, cells, num.to_year) == [
+        2023, 2023, 2023, 7, -3, 123456789, 2147483647, None, 2023, None, 2023, None, None, None,
+    ]
+
+
 def test_timestamps(spark):
     got = evaluate(spark, ["2024-01-02 03:04:05", "2024-13-02", "x", None], lambda c: num.to_timestamp(c).cast("string"))
     assert got == ["2024-01-02 03:04:05", None, None, None]

@@ -1,23 +1,25 @@
-"""SentencePiece encoding and decoding by a lattice of pieces, folded with Spark's `aggregate`.
+"""SentencePiece encoding and decoding by a lattice of pieces for each distinct word of a task.
 
 Encoding. A text gets a blank in front, and is cut before each run of blanks that follows
 another character: no piece lies across such a cut, so words can be encoded on their own. A task
 encodes each distinct word of its texts once; nothing is shuffled, collected or broadcast but the
 piece table, which is bounded by the model file:
 
-* a first Arrow pass numbers the words. The substrings of new words, up to the longest piece, are
+* an Arrow pass numbers the words. The substrings of new words, up to the longest piece, are
   exploded as arrays and equi-joined to the piece table by hash; what is found is the word's
-  lattice. Words go on in rows of `WORDS`, ahead of the rows whose texts hold them.
-* the lattices are folded with `aggregate`. For a unigram model this is Viterbi: the best sum of
-  scores for each end, the longer last piece where sums are equal, then the way back. Scores of a
-  BPE model are ranks of merges, whose best sum is not what such a model means, so its fold starts
-  from single characters and takes, step by step, the best-ranked piece that joins two neighbours,
-  the leftmost of equals. A character without a piece stands for the unknown piece, written as byte
-  pieces if the model has them.
+  lattice.
+* for a unigram model the words go on in rows of `WORDS`, ahead of the rows whose texts hold them,
+  and the lattices are folded with `aggregate`. This is Viterbi: the best sum of scores for each
+  end, the longer last piece where sums are equal, then the way back. A second Arrow pass, in the
+  same task and order, puts the texts' ids together.
+* scores of a BPE model are ranks of merges, whose best sum is not what such a model means, so its
+  lattices are folded by merges: from single characters on, step by step, the best-ranked piece that
+  joins two neighbours, the leftmost of equals. All new words of a length take a step at once, as
+  arrays, and the same pass puts the texts' ids together.
+* a character without a piece stands for the unknown piece, written as byte pieces if the model has
+  them. The ids of the words so far are kept (about 20 bytes a word of the partition).
 * words of over `LONG` characters take the same rule in plain Python, where a step doesn't cost
   the length of the word, as do words that hold joined pieces of one score (runs of blanks).
-* a second Arrow pass, in the same task and order, keeps the ids of the words so far (about 20
-  bytes a word of the partition) and puts the texts' ids together.
 
 Decoding puts the pieces' bytes together and takes the first blank away.
 
@@ -31,6 +33,7 @@ passed through, whatever their names, but one named like the result is replaced
 
 from __future__ import annotations
 
+import functools
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -68,7 +71,7 @@ class Model:
     unknown_score: float
     merges: bool
 
-    @property
+    @functools.cached_property
     def longest(self) -> int:
         return max((len(p) for p, ok in zip(self.pieces, self.usable) if ok), default=1)
 
@@ -202,28 +205,35 @@ def _fold(n: Column, edges: Column) -> Column:
     return bound(F.aggregate(F.sequence(F.lit(1), n), nothing, step)["back"], back)
 
 
-def _merge_fold(n: Column, lattice: Column) -> Column:
-    """Places of the pieces of a word of n characters, by merges along its lattice.
+def _merge_fold(lattice: np.ndarray, base: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pieces of words of `n` characters, one after the other, and their numbers.
 
-    `lattice` holds at `start * n + end` the place in the order of merges of the piece between
-    the two, `_NONE` if there is none.
+    At `base + start * n + end` the lattice holds the place in the order of merges of the piece
+    between the two, `_NONE` if there is none. The words of one length that are not done have
+    equally many cuts, since a step takes one out of each.
     """
-
-    def step(cuts: Column, _: Column) -> Column:
-        # for each cut, the piece from there over the next cut to the one after it
-        joins = F.zip_with(cuts, F.slice(cuts, F.lit(3), n), lambda c, e: F.get(lattice, c * n + e))
-
-        def joined(joins: Column) -> Column:
-            taken = lambda m: F.array_remove(cuts, F.get(cuts, F.array_position(joins, m).cast("int")))
-            return bound(F.array_min(joins), lambda m: F.when(m < _NONE, taken(m)).otherwise(cuts))
-
-        return bound(joins, joined)
-
-    steps = F.when(n > 1, F.sequence(F.lit(2), n)).otherwise(F.array().cast("array<int>"))
-    done = F.aggregate(steps, F.sequence(F.lit(0), n), step)
-    found = lambda cuts: F.zip_with(cuts, F.slice(cuts, F.lit(2), n), lambda c, e: F.get(lattice, c * n + e))
-    # the last cut has no piece behind it
-    return F.array_compact(bound(done, found))
+    sizes, found = np.zeros(len(n), np.int64), []
+    for length in np.unique(n).tolist():
+        words = np.flatnonzero(n == length)
+        cuts = np.broadcast_to(np.arange(length + 1, dtype=np.int32), (len(words), length + 1))
+        while len(words):
+            row, left = base[words, None], cuts.shape[1]
+            if left > 2:
+                # for each cut, the piece from there over the next cut to the one after it
+                joins = lattice[row + cuts[:, :-2] * length + cuts[:, 2:]]
+                first = joins.argmin(1)
+                more = joins[np.arange(len(words)), first] < _NONE
+            else:
+                first, more = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+            done = ~more
+            sizes[words[done]] = left - 1
+            found.append((words[done], lattice[row[done] + cuts[done, :-1] * length + cuts[done, 1:]]))
+            kept = np.arange(left) != first[more, None] + 1
+            words, cuts = words[more], cuts[more][kept].reshape(np.count_nonzero(more), max(left - 1, 0))
+    ends, values = np.cumsum(sizes), np.empty(int(sizes.sum()), np.int32)
+    for words, places in found:
+        values[(ends - sizes)[words, None] + np.arange(places.shape[1])] = places
+    return values, sizes
 
 
 class _Pieces:
@@ -263,11 +273,14 @@ class _Pieces:
 
 
 _EDGE = pa.struct([("e", pa.int32()), ("s", pa.int32()), ("score", pa.float64()), ("ids", pa.list_(pa.int32()))])
-_WORD = pa.struct([("n", pa.int32()), ("lattice", pa.list_(pa.int32())), ("edges", pa.list_(_EDGE)), ("ids", pa.list_(pa.int32()))])
+_WORD = pa.struct([("n", pa.int32()), ("edges", pa.list_(_EDGE)), ("ids", pa.list_(pa.int32()))])
 
 
-def _lattices(words: list[bytes], model: Model, pieces: _Pieces) -> pa.Array:
-    """One `_WORD` per word: its lattice, and its ids if it is long or holds tied pieces."""
+def _lattices(words: list[bytes], model: Model, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+    """The lattices of the words, where each begins, its size, the words' characters, and ids of some.
+
+    Words that are long or hold tied pieces have ids; the long ones have no lattice.
+    """
     data = np.frombuffer(b"".join(words), np.uint8)
     ends = np.cumsum([len(w) for w in words])
     # where each character begins; starts and ends of substrings are among these
@@ -294,15 +307,28 @@ def _lattices(words: list[bytes], model: Model, pieces: _Pieces) -> pa.Array:
     ids = [None] * len(words)
     for i in np.unique(np.concatenate([np.flatnonzero(plain), *tied])).tolist():
         ids[i] = (merged if model.merges else viterbi)(words[i].decode("utf-8", "replace").replace(" ", BLANK), model, pieces.table)
-    none = pa.array(np.zeros(len(words) + 1, np.int32))
-    if model.merges:
-        squares = pa.ListArray.from_arrays(pa.array(np.append(base, len(lattice)).astype(np.int32)), pa.array(lattice))
-        edges = pa.ListArray.from_arrays(none, pa.array([], _EDGE))
-    else:
-        squares = pa.ListArray.from_arrays(none, pa.array([], pa.int32()))
-        edges = pa.array([_edges(lattice[b : b + q], k, model, pieces) if q else [] for b, q, k in zip(base.tolist(), square.tolist(), n.tolist())], pa.list_(_EDGE))
-    columns = [pa.array(n.astype(np.int32)), squares, edges, pa.array(ids, pa.list_(pa.int32()))]
-    return pa.StructArray.from_arrays(columns, names=["n", "lattice", "edges", "ids"])
+    return lattice, base, square, n, ids
+
+
+def _words(words: list[bytes], model: Model, pieces: _Pieces) -> pa.Array:
+    """One `_WORD` per word, for the fold by Viterbi."""
+    lattice, base, square, n, ids = _lattices(words, model, pieces)
+    edges = [_edges(lattice[b : b + q], k, model, pieces) if q else [] for b, q, k in zip(base.tolist(), square.tolist(), n.tolist())]
+    columns = [pa.array(n.astype(np.int32)), pa.array(edges, pa.list_(_EDGE)), pa.array(ids, pa.list_(pa.int32()))]
+    return pa.StructArray.from_arrays(columns, names=["n", "edges", "ids"])
+
+
+def _merged_words(words: list[bytes], model: Model, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words by merges, one after the other, and their numbers."""
+    lattice, base, _, n, ids = _lattices(words, model, pieces)
+    own = np.array([k for k, i in enumerate(ids) if i is None], np.int64)
+    flat, sizes = _spelled(*_merge_fold(lattice, base[own], n[own]), model, pieces)
+    if len(own) == len(words):
+        return flat, sizes
+    parts, begin = [np.array(i, np.int32) if i is not None else None for i in ids], np.cumsum(sizes) - sizes
+    for k, b, size in zip(own.tolist(), begin.tolist(), sizes.tolist()):
+        parts[k] = flat[b : b + size]
+    return np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
 
 
 def _edges(lattice: np.ndarray, n: int, model: Model, pieces: _Pieces) -> list[dict]:
@@ -316,45 +342,64 @@ def _edges(lattice: np.ndarray, n: int, model: Model, pieces: _Pieces) -> list[d
     return out
 
 
+class _Numbers:
+    """Numbers for the distinct words of a task, by their hashes: a few bytes a word."""
+
+    def __init__(self):
+        self.known, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    def of(self, part: Texts) -> tuple[np.ndarray, np.ndarray, Iterator[list[bytes]]]:
+        """Numbers of the words of the texts, where those of each text end, and the new words in lists."""
+        hashes, starts, ends = _hashes(part)
+        found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.known, found)
+        old = np.append(self.known, np.uint64(0))[place] == found
+        old &= place < len(self.known)
+        fresh, number = np.flatnonzero(~old), np.empty(len(found), np.int32)
+        number[old] = self.numbers[place[old]]
+        number[fresh] = np.arange(len(self.known), len(self.known) + len(fresh))
+        self.known, self.numbers = np.insert(self.known, place[fresh], found[fresh]), np.insert(self.numbers, place[fresh], number[fresh])
+
+        def new() -> Iterator[list[bytes]]:
+            for at in range(0, len(fresh), WORDS * ROWS):
+                own = first[fresh[at : at + WORDS * ROWS]]
+                yield [part.data[a:b].tobytes() for a, b in zip(starts[own].tolist(), ends[own].tolist())]
+
+        return number[inverse], np.searchsorted(starts, part.offsets).astype(np.int32), new()
+
+
 def _numbered(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> Iterator[pa.RecordBatch]:
     """The rows with their texts as word numbers, and before them rows with the lattices of new words."""
-    # hashes of the words so far, in order, and their numbers: a few bytes a word
-    pieces, known, numbers = _Pieces(model), np.zeros(0, np.uint64), np.zeros(0, np.int32)
+    pieces, numbers = _Pieces(model), _Numbers()
     for batch in batches:
         kinds = [f.type for f in batch.schema]
         names = [*batch.schema.names, "codes", "words"]
         for raw in slices(batch.column(column), SLICE_BYTES):
-            part = _in_front(raw)
-            hashes, starts, ends = _hashes(part)
-            found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-            place = np.searchsorted(known, found)
-            old = np.append(known, np.uint64(0))[place] == found
-            old &= place < len(known)
-            fresh, number = np.flatnonzero(~old), np.empty(len(found), np.int32)
-            number[old] = numbers[place[old]]
-            number[fresh] = np.arange(len(known), len(known) + len(fresh))
-            known, numbers = np.insert(known, place[fresh], found[fresh]), np.insert(numbers, place[fresh], number[fresh])
-            for at in range(0, len(fresh), WORDS * ROWS):
-                own = first[fresh[at : at + WORDS * ROWS]]
-                words = [part.data[a:b].tobytes() for a, b in zip(starts[own].tolist(), ends[own].tolist())]
-                lattices = _lattices(words, model, pieces)
+            codes, per_text, new = numbers.of(_in_front(raw))
+            for words in new:
                 cuts = np.append(np.arange(0, len(words), WORDS), len(words)).astype(np.int32)
                 rows = len(cuts) - 1
-                lists = [pa.nulls(rows, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(cuts), lattices)]
+                lists = [pa.nulls(rows, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(cuts), _words(words, model, pieces))]
                 yield pa.RecordBatch.from_arrays([*[pa.nulls(rows, k) for k in kinds], *lists], names=names)
-            codes = number[inverse]
-            per_text = np.searchsorted(starts, part.offsets).astype(np.int32)
             own = batch.slice(raw.first, raw.n)
             lists = [pa.ListArray.from_arrays(pa.array(per_text), pa.array(codes)), pa.nulls(raw.n, pa.list_(_WORD))]
             yield pa.RecordBatch.from_arrays([*own.columns, *lists], names=names)
 
 
-def folded(word: Column, model: Model) -> Column:
-    """What the fold of a word's lattice gives: ids by Viterbi, places by merges (see `_spelled`)."""
-    if not model.merges:
-        return _fold(word["n"], word["edges"])
-    # each field is taken out of its word once, not at each step
-    return bound(word["n"], lambda n: bound(word["lattice"], lambda lattice: _merge_fold(n, lattice)))
+def _by_merges(batches: Iterator[pa.RecordBatch], column: int, model: Model) -> Iterator[pa.RecordBatch]:
+    """The rows with the ids of their texts, of a model of merges."""
+    pieces, numbers, known = _Pieces(model), _Numbers(), _Known()
+    for batch in batches:
+        for raw in slices(batch.column(column), SLICE_BYTES):
+            codes, per_text, new = numbers.of(_in_front(raw))
+            for words in new:
+                known.add(*_merged_words(words, model, pieces))
+            for at in range(0, raw.n, ROWS):
+                ends = per_text[at : at + ROWS + 1]
+                ids, total = known.of(codes[ends[0] : ends[-1]])
+                found = pa.ListArray.from_arrays(pa.array(total[ends - ends[0]].astype(np.int32)), pa.array(ids))
+                own = batch.slice(raw.first + at, len(ends) - 1)
+                yield pa.RecordBatch.from_arrays([*own.columns, found], names=[*batch.schema.names, "ids"])
 
 
 class _Known:
@@ -384,8 +429,8 @@ def _sizes(lists: pa.ListArray) -> np.ndarray:
     return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _put_together(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    known, pieces = _Known(), _Pieces(model)
+def _put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = _Known()
     for batch in batches:
         lists, codes = batch.column("words"), batch.column("codes")
         is_text = codes.is_valid().to_numpy(zero_copy_only=False)
@@ -393,12 +438,8 @@ def _put_together(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
         cuts = np.append(np.flatnonzero(np.diff(is_text, prepend=~is_text[:1])), len(is_text)).tolist()
         for a, b in zip(cuts, cuts[1:]):
             if not is_text[a]:
-                words = lists.slice(a, b - a).flatten()
-                folded, whole = words.field("folded"), words.field("ids")
-                if whole.null_count < len(whole):
-                    known.add(*_mixed(folded, whole, model, pieces))
-                else:
-                    known.add(*_spelled(folded.flatten().to_numpy(zero_copy_only=False), _sizes(folded), model, pieces))
+                ids = lists.slice(a, b - a).flatten()
+                known.add(ids.flatten().to_numpy(zero_copy_only=False), _sizes(ids))
                 continue
             for at in range(a, b, ROWS):
                 own = codes.slice(at, min(ROWS, b - at))
@@ -410,9 +451,7 @@ def _put_together(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
 
 
 def _spelled(values: np.ndarray, sizes: np.ndarray, model: Model, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and number of ids of each word from folds: places become ids, unknown characters their bytes."""
-    if not model.merges:
-        return values, sizes
+    """Ids and number of ids of each word from merges: places become ids, unknown characters their bytes."""
     if not len(values) or values.min() >= 0:
         return pieces.ids[values], sizes
     bytes_of = {int(v): model.ids_of_unknown(chr(-1 - int(v))) for v in np.unique(values[values < 0])}
@@ -426,30 +465,20 @@ def _spelled(values: np.ndarray, sizes: np.ndarray, model: Model, pieces: _Piece
     return ids, np.bincount(np.repeat(np.arange(len(sizes)), sizes), longer, len(sizes)).astype(np.int64)
 
 
-def _mixed(folded: pa.ListArray, whole: pa.ListArray, model: Model, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
-    """The same where some words came with their ids."""
-    ids, sizes = [], []
-    for own, done in zip(folded, whole):
-        if not done.is_valid:
-            values = np.array(own.as_py(), np.int32)
-            ids.append(_spelled(values, np.array([len(values)]), model, pieces)[0])
-        else:
-            ids.append(np.array(done.as_py(), np.int32))
-        sizes.append(len(ids[-1]))
-    return np.concatenate(ids), np.array(sizes, np.int64)
-
-
 def encode(docs: DataFrame, model: Model, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """The rows of `docs` with the ids of their texts in `ids_col`."""
     at = docs.columns.index(text_col)
     inner = [f"c{i}" for i in range(len(docs.columns))]
     fields = [T.StructField(c, f.dataType) for c, f in zip(inner, docs.schema)]
-    more = [T.StructField("codes", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(from_arrow_type(_WORD)))]
-    numbered = docs.toDF(*inner).mapInArrow(lambda batches: _numbered(batches, at, model), T.StructType(fields + more))
-    word = lambda w: F.struct(F.when(w["ids"].isNull(), folded(w, model)).alias("folded"), w["ids"].alias("ids"))
-    words = numbered.withColumn("words", F.transform("words", word))
     done = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    rows = words.select(*inner, "words", "codes").mapInArrow(lambda batches: _put_together(batches, model), done)
+    texts = docs.toDF(*inner)
+    if model.merges:
+        rows = texts.mapInArrow(lambda batches: _by_merges(batches, at, model), done)
+    else:
+        more = [T.StructField("codes", T.ArrayType(T.IntegerType())), T.StructField("words", T.ArrayType(from_arrow_type(_WORD)))]
+        numbered = texts.mapInArrow(lambda batches: _numbered(batches, at, model), T.StructType(fields + more))
+        word = lambda w: F.when(w["ids"].isNull(), _fold(w["n"], w["edges"])).otherwise(w["ids"])
+        rows = numbered.withColumn("words", F.transform("words", word)).select(*inner, "words", "codes").mapInArrow(_put_together, done)
     kept = [i for i, c in enumerate(docs.columns) if c.lower() != ids_col.lower()]
     return rows.select(*[inner[i] for i in kept], "ids").toDF(*[docs.columns[i] for i in kept], ids_col)
 

@@ -242,3 +242,21 @@ def test_no_documents_to_encode(spark):
 def test_base64_ranks_are_whole():
     encoding = token_counts.load_encoding(RANKS, public_tokenizers.PATTERN)
     assert encoding.n_vocab == 50256 and base64.b64encode(b"the")
+
+
+def test_words_are_merged_as_arrays(spark, capsys):
+    """All words of a length at once give what each gives alone, and nothing is folded row by row in Spark."""
+    model = sentencepiece.load_model(MODEL)
+    pieces = sentencepiece._Pieces(model)
+    random = np.random.default_rng(5)
+    letters = np.array(list("aeiostnrhl'.,-0é漢😀\n"))
+    words = ["".join(random.choice(letters, size)) for size in random.integers(1, 90, 3000)]
+    words += ["the", " the", " internationalization", "    ", "   x", "a", "", "x" * 64, "x" * 65]
+    flat, sizes = sentencepiece._merged_words([w.encode() for w in words], model, pieces)
+    ends = np.cumsum(sizes)
+    for word, a, b in zip(words, ends - sizes, ends):
+        assert flat[a:b].tolist() == sentencepiece.merged(word.replace(" ", sentencepiece.BLANK), model, pieces.table), word
+    capsys.readouterr()
+    sentencepiece.encode(spark.createDataFrame([(1, "x")], "doc_id bigint, text string"), model).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("MapInArrow") == 1 and "aggregate(" not in plan

@@ -10,7 +10,7 @@ of the file (partition, number) and the documents that start in it (ids, places,
 Spark's text writer commits the files: a row is a file without its closing magic bytes, which
 are the line separator, and there is one row a file. So no executor writes outside Spark's
 commit protocol, and any file system Spark can write will do. Memory is bounded by a slice of
-texts and one file.
+texts, one file and the chunks that a worker remembers (`Encoder`).
 
 Defined results: null and empty texts give the end id alone; documents without an id come
 first; documents with equal ids follow each other in order of text, null before empty (equal rows
@@ -21,17 +21,19 @@ rows; only the id and text columns are read.
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cropspark.llm.text_arrays import slices
+from cropspark.llm.frames import stored
+from cropspark.llm.text_arrays import Texts, mixed, slices
+from cropspark.llm.token_alignment import BYTE_LEVEL_PATTERN
 from cropspark.llm.worker_cache import kept
 
 LENGTH = 1024
@@ -39,7 +41,12 @@ ROWS = 256
 BATCHES = 4
 MAGIC = "ARROW1"
 SLICE_BYTES = 1 << 20
-KEPT_PIECES = 300_000
+KEPT_CHUNKS = 1_500_000
+KEPT_IDS = 8_000_000
+KEPT_BYTES = 16 << 20
+#: Bytes of a chunk that are compared as numbers.
+WIDE = 24
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def load_tokenizer(path: str):
@@ -57,55 +64,197 @@ def load_tokenizer(path: str):
     return kept(("tokenizer", path), read)
 
 
+def chunk_starts(part: Texts) -> np.ndarray:
+    """Places at which `BYTE_LEVEL_PATTERN` ends a piece whatever stands around, and the starts of texts.
+
+    These are a blank after a sign that is surely no blank, a single line feed between two such signs and
+    the sign after it, and a printable ASCII sign, no letter, after a letter of ASCII or Latin-1. The pieces
+    of a chunk are those that the whole text has there.
+    """
+    data = np.concatenate([np.full(3, 32, np.uint8), part.data, np.full(1, 32, np.uint8)])
+    printable = (data > 32) & (data < 127)
+    letter = ((data | 32) - np.uint8(97)) < 26
+    going = (data & 192) == 128  # in a sign of several bytes
+    two, latin = (data >= 0xC3) & (data < 0xE0), data == 0xC3
+    three = (data >= 0xE4) & (data < 0xEE)
+    # what ends at the byte before each place
+    solid = printable[2:-2] | (going[2:-2] & (two[1:-3] | (going[1:-3] & three[:-4])))
+    word = letter[2:-2] | (going[2:-2] & latin[1:-3] & (data[2:-2] != 0x97) & (data[2:-2] != 0xB7))
+    here = data[3:-1]
+    cut = np.zeros(len(part.data) + 1, bool)
+    cut[:-1] = (solid & (here == 32)) | (word & printable[3:-1] & ~letter[3:-1])
+    lone = solid & (here == 10) & (printable[4:] | two[4:] | three[4:])
+    cut[:-1] |= lone
+    cut[1:] |= lone
+    cut[part.offsets] = True
+    return np.flatnonzero(cut[:-1])
+
+
+class Grown:
+    """An array that rows are added to."""
+
+    def __init__(self, dtype: type, *shape: int):
+        self.all, self.n = np.empty((1 << 12, *shape), dtype), 0
+
+    def add(self, rows: np.ndarray) -> None:
+        end = self.n + len(rows)
+        if end > len(self.all):
+            held, self.all = self.all[: self.n], np.empty((2 * end, *self.all.shape[1:]), self.all.dtype)
+            self.all[: self.n] = held
+        self.all[self.n : end] = rows
+        self.n = end
+
+
+class Numbers:
+    """Numbers of 64-bit hashes, found by looking on from the place that a hash names."""
+
+    def __init__(self):
+        self.hashes, self.slots = Grown(np.uint64), np.full(1 << 13, -1, np.int32)
+
+    def get(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each hash, -1 for one that has none."""
+        last = np.uint64(len(self.slots) - 1)
+        at = (hashes & last).astype(np.int64)
+        found = self.slots[at]
+        other = np.flatnonzero((found >= 0) & (self.hashes.all[found] != hashes))
+        while len(other):
+            at[other] = (at[other] + 1) & int(last)
+            found[other] = self.slots[at[other]]
+            other = other[(found[other] >= 0) & (self.hashes.all[found[other]] != hashes[other])]
+        return found
+
+    def add(self, hashes: np.ndarray) -> None:
+        """The next numbers to the hashes, which have none and differ from each other."""
+        start = self.hashes.n
+        self.hashes.add(hashes)
+        if 2 * self.hashes.n > len(self.slots):
+            self.slots, start = np.full(2 << self.hashes.n.bit_length(), -1, np.int32), 0
+        own = np.arange(start, self.hashes.n, dtype=np.int32)
+        at = (self.hashes.all[own] & np.uint64(len(self.slots) - 1)).astype(np.int64)
+        while len(own):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = own[free]
+            left = self.slots[at] != own
+            own, at = own[left], (at[left] + 1) & (len(self.slots) - 1)
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer of the tokenizers library.
 
-    Such a tokenizer splits a text by a pattern and encodes each piece on its own, so a piece
-    is given to the library once and remembered (up to `KEPT_PIECES`). New pieces go in lines of
-    one string, whose line feeds are pieces of their own; pieces of blanks go one by one.
+    Such a tokenizer splits a text by a pattern and encodes each piece on its own. With the standard
+    pattern a slice of texts is cut into chunks of whole pieces (`chunk_starts`), a chunk is given to the
+    library once and its ids are remembered, up to `KEPT_CHUNKS` chunks. Chunks are found by a hash
+    of their bytes, size and up to `WIDE` bytes being compared; longer ones by themselves. New chunks go in lines
+    of one string, whose line feeds are pieces of their own; chunks with other blanks go one by
+    one. With any other pattern whole texts go to the library.
     """
 
     def __init__(self, path: str, pattern: str):
         self.tokenizer = load_tokenizer(path)
-        self.split = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
-        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
-
-    def learn(self, pieces: list[str]) -> None:
-        plain = [p for p in pieces if not p.isspace() and "\n" not in p]
-        for at in range(0, len(plain), 2000):
-            own = plain[at : at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids)
-            ends = [*np.flatnonzero(ids == self.line_feed[0]).tolist(), len(ids)]
-            if len(ends) != len(own):  # the tokenizer doesn't keep line feeds apart
-                self.known.update((p, self.tokenizer.encode(p, add_special_tokens=False).ids) for p in own)
-                continue
-            parts, start = ids.tolist(), 0
-            for piece, end in zip(own, ends):
-                self.known[piece] = parts[start:end]
-                start = end + 1
-        for piece in pieces:
-            if piece not in self.known:
-                self.known[piece] = self.tokenizer.encode(piece, add_special_tokens=False).ids
-
-    def encode(self, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
-        split = [self.split(t) for t in texts]
-        if len(self.known) > KEPT_PIECES:
-            self.known.clear()
-        self.learn(list({p for p in itertools.chain.from_iterable(split) if p not in self.known}))
-        look = self.known.__getitem__
-        for pieces in split:
-            yield np.fromiter(itertools.chain(itertools.chain.from_iterable(map(look, pieces)), (end_id,)), np.uint32)
+        self.line_feed = self._ids("\n")
+        self.cuts = pattern == BYTE_LEVEL_PATTERN and len(self.line_feed) == 1
+        self.one_line = re.compile(r" ?\S+").fullmatch
+        self.forget()
+
+    def forget(self) -> None:
+        self.short, self.keys, self.place = Numbers(), Grown(np.uint64, WIDE // 8 + 1), Grown(np.int64)
+        self.long: dict[bytes, int] = {}
+        self.long_bytes = 0
+        self.start, self.count, self.ids = Grown(np.int64), Grown(np.int64), Grown(np.uint32)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        self.start.add(self.ids.n + np.cumsum(counts) - counts)
+        self.count.add(counts)
+        self.ids.add(ids)
+
+    def learn(self, chunks: list[bytes]) -> np.ndarray:
+        """Learn the ids of new chunks; gives the place among `chunks` of each in the order of its place."""
+        texts = [c.decode("utf-8", "replace") for c in chunks]
+        plain = [self.one_line(t) is not None for t in texts]
+        lines, rest = list(itertools.compress(texts, plain)), [t for t, p in zip(texts, plain) if not p]
+        for at in range(0, len(lines), 2000):
+            own = lines[at : at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(own)], add_special_tokens=False)[0].ids, np.uint32)
+            feeds = np.flatnonzero(ids == self.line_feed[0])
+            if len(feeds) == len(own) - 1:
+                self._add(np.delete(ids, feeds), np.diff(feeds, prepend=-1, append=len(ids)) - 1)
+            else:  # the tokenizer doesn't keep these line feeds apart
+                self._add(*_flat([self._ids(t) for t in own]))
+        if rest:
+            self._add(*_flat([e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]))
+        return np.argsort(~np.array(plain, bool), kind="stable")
+
+    def places(self, part: Texts, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The place of each chunk in `start` and `count`."""
+        raw = part.data.tobytes() + bytes(WIDE)
+        eights = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+        keys = np.empty((len(starts), WIDE // 8 + 1), np.uint64)
+        keys[:, 0] = sizes
+        hashes = sizes.astype(np.uint64)
+        for k in range(WIDE // 8):
+            at = np.minimum(starts + 8 * k, len(eights) - 1)
+            keys[:, k + 1] = eights[at] & _FIRST_BYTES[np.clip(sizes - 8 * k, 0, 8)]
+            hashes = mixed(hashes ^ keys[:, k + 1])
+        hashes[sizes > WIDE] = 0
+        found = self.short.get(hashes)
+        other = np.flatnonzero((found < 0) & (sizes <= WIDE))
+        if len(other):
+            new = other[np.unique(hashes[other], return_index=True)[1]]
+            new = new[self.learn([raw[a:b] for a, b in zip(starts[new].tolist(), (starts + sizes)[new].tolist())])]
+            self.short.add(hashes[new])
+            self.keys.add(keys[new])
+            self.place.add(np.arange(self.start.n - len(new), self.start.n))
+            found[other] = self.short.get(hashes[other])
+        other = np.flatnonzero((found < 0) | (sizes > WIDE) | (self.keys.all[found] != keys).any(axis=1))
+        found = self.place.all[found]
+        if len(other):  # long chunks, and any whose hash is another's too
+            chunks = [raw[a:b] for a, b in zip(starts[other].tolist(), (starts + sizes)[other].tolist())]
+            new = list(dict.fromkeys(c for c in chunks if c not in self.long))
+            if new:
+                n = self.start.n
+                self.long.update((new[k], n + i) for i, k in enumerate(self.learn(new).tolist()))
+                self.long_bytes += sum(map(len, new))
+            found[other] = [self.long[c] for c in chunks]
+        return found
+
+    def encode(self, part: Texts, end_id: int) -> Iterator[np.ndarray]:
+        """The ids, with the end id, of each text of a slice."""
+        if not self.cuts:
+            texts = [part.text(i).decode("utf-8", "replace") for i in range(part.n)]
+            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+                yield np.array([*e.ids, end_id], np.uint32)
+            return
+        if self.start.n > KEPT_CHUNKS or self.ids.n > KEPT_IDS or self.long_bytes > KEPT_BYTES:
+            self.forget()
+        starts = chunk_starts(part)
+        sizes = np.diff(starts, append=len(part.data))
+        found = self.places(part, starts, sizes) if len(starts) else starts
+        counts = self.count.all[found]
+        before = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.ids.all[np.repeat(self.start.all[found] - before[:-1], counts) + np.arange(before[-1])]
+        ends = before[np.searchsorted(starts, part.offsets[1:])]
+        whole = np.insert(ids, ends, np.uint32(end_id))
+        ends = ends + np.arange(1, part.n + 1)
+        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            yield whole[a:b]
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids one after the other, and how many each list has."""
+    counts = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(counts.sum())), counts
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id: int) -> Iterator[tuple[int | None, np.ndarray]]:
     """Id and token ids, with the end id, of each document (columns: id, text)."""
-    encoder = Encoder(path, pattern)
+    encoder = kept(("encoder", path, pattern), lambda: Encoder(path, pattern))
     for batch in batches:
         for part in slices(batch.column(1), SLICE_BYTES):
             ids = batch.column(0).slice(part.first, part.n).to_pylist()
-            texts = [part.text(i).decode("utf-8", "replace") for i in range(part.n)]
-            yield from zip(ids, encoder.encode(texts, end_id))
+            yield from zip(ids, encoder.encode(part, end_id))
 
 
 def _file(tokens: np.ndarray, width: np.dtype, partition: int, number: int, docs: list[tuple]) -> bytes:
@@ -238,7 +387,7 @@ def _with_crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each document, from the files."""
     files = spark.read.format("binaryFile").load(path).filter("length > 0").select("content")
-    pieces = files.mapInArrow(_with_crc, _PIECES + ", crc bigint")
+    pieces = stored(files.mapInArrow(_with_crc, _PIECES + ", crc bigint"), "pieces")
     whole = pieces.filter("ids is null").select("partition", "place", "doc_id", "n", "crc")
     # a piece that goes on belongs to the last document that starts before it in its partition
     parts = pieces.filter("ids is not null")

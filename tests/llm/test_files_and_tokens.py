@@ -1,22 +1,25 @@
 """Operators that write and read files or encode texts: WARC, sequences, flat tokens, SentencePiece."""
 
 import base64
+import collections
 import gzip
 import hashlib
 import pathlib
 import random
 import sys
+import types
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
 
 from helpers import awkward, awkward_texts, prose  # noqa: E402
 
-from cropspark.llm import sentencepiece, token_counts, token_output, warc  # noqa: E402
+from cropspark.llm import sentencepiece, token_counts, token_output, warc, worker_cache  # noqa: E402
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -115,6 +118,57 @@ def encoded(texts, end):
     return [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, end], "<u4") for t in texts]
 
 
+def mixtures(n):
+    """Texts of signs around which the tokenizer's pattern is particular about."""
+    rng, signs = random.Random(5), [*"a b B 1 , . ' ' ( - \n \n \t \r \x00 \x1c \x85 \xa0 \u3000 \u180e \ufeff é 漢 ß × ÷ Я 한 \u2028 \u205f à ́ 😀".split(" "), " ", " ", "  ", "'s", "'ll", " the", " house's", "x" * 30]
+    return ["".join(rng.choice(signs) for _ in range(rng.randrange(40))) for _ in range(n)]
+
+
+def test_chunks_get_the_ids_of_whole_texts(monkeypatch):
+    texts = mixtures(3000) + [t or "" for t in awkward_texts()]
+    expected = encoded(texts, 2)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    monkeypatch.setattr(token_output, "SLICE_BYTES", 4000)
+    for kept_chunks in (100, 10**6):
+        monkeypatch.setattr(token_output, "KEPT_CHUNKS", kept_chunks)
+        for pattern in (public_tokenizers.PATTERN, "another"):
+            encoder = token_output.Encoder(TOKENIZER, pattern)
+            found = [ids for part in token_output.slices(batch.column(1), 4000) for ids in encoder.encode(part, 2)]
+            assert len(found) == len(expected) and all(np.array_equal(a, b) for a, b in zip(found, expected))
+
+
+def test_equal_hashes_don_t_mix_chunks(monkeypatch):
+    monkeypatch.setattr(token_output, "mixed", lambda h: h * np.uint64(0) + np.uint64(7))
+    texts = ["one two three", "two three, one", "", "three"]
+    part = next(token_output.slices(pa.array(texts)))
+    found = list(token_output.Encoder(TOKENIZER, public_tokenizers.PATTERN).encode(part, 2))
+    assert all(np.array_equal(a, b) for a, b in zip(found, encoded(texts, 2)))
+
+
+def test_a_worker_gives_a_chunk_to_the_library_once(monkeypatch):
+    monkeypatch.setitem(sys.modules, worker_cache.HELD, types.ModuleType(worker_cache.HELD))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2]), "text": pa.array([prose(7, 300), prose(7, 300)])})
+    given, encode = [], token_output.load_tokenizer(TOKENIZER).__class__.encode_batch_fast
+
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer = tokenizer
+
+        def __getattr__(self, name):
+            return getattr(self.tokenizer, name)
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(w for t in texts for w in t.split())
+            return encode(self.tokenizer, texts, **options)
+
+    tokenizer = Counting(token_output.load_tokenizer(TOKENIZER))
+    monkeypatch.setattr(token_output, "load_tokenizer", lambda path: tokenizer)
+    for _ in range(2):  # two tasks
+        assert len(list(token_output.encoded(iter([batch]), TOKENIZER, public_tokenizers.PATTERN, 2))) == 2
+    # a word is given with a blank before it, and without one at the start of a line
+    assert given and max(collections.Counter(given).values()) <= 2
+
+
 def test_sequences_hold_all_documents_in_order(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_output, "ROWS", 2)
     monkeypatch.setattr(token_output, "LENGTH", 64)

@@ -8,6 +8,7 @@ import pathlib
 import sys
 import zlib
 
+import numpy as np
 import pytest
 
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent))
@@ -70,6 +71,25 @@ def test_trees_name_all_occurrences(spark):
     assert nodes == 5 and places.select("t").distinct().count() == 5
 
 
+def test_places_have_one_number_in_tasks_and_in_spark(spark):
+    digests = [hashlib.md5(b"%d" % i).digest() for i in range(50)]
+    owner, at = np.arange(50).repeat(2), np.arange(100) * 7919
+    own = suffix_array_dedup._place_keys(digests, owner, at)
+    places = spark.createDataFrame([(bytes(digests[o]), int(a)) for o, a in zip(owner, at)], "t binary, at bigint")
+    assert sorted(r[0] for r in places.select(suffix_array_dedup._place_key()).collect()) == sorted(own.tolist()) and min(own) < 0
+
+
+def test_large_groups_are_read_once_to_be_split(spark):
+    rows = [(1, b"c%d" % i, b"l" * i, b"r" * (400 - i), False, 0, 336) for i in range(0, 337, 48)]
+    groups = spark.createDataFrame(rows, "key bigint, c binary, before binary, after binary, many boolean, low int, high int")
+    parts = suffix_array_dedup._split(groups)
+    assert parts._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+    middle = (0 + 336 + 1) // 2
+    expected = {(bytes(c), middle, 336) for _, c, b, _, *_ in rows if len(b) >= middle}
+    expected |= {(bytes(c), 0, middle - 1) for _, c, _, a, *_ in rows if len(a) >= 401 - middle}
+    assert {(bytes(r["c"]), r["low"], r["high"]) for r in parts.collect()} == expected and len(expected) > len(rows) / 2
+
+
 def kt_tree(trained, depth):
     """Counts of each node below each context, straight from the definition."""
     counts = collections.Counter()

@@ -220,7 +220,12 @@ class Encoder:
             found[other] = [self.long[c] for c in chunks]
         return found
 
-    def encode(self, part: Texts, end_id: int) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str], end_id: int) -> Iterator[np.ndarray]:
+        """The ids, with the end id, of each text."""
+        for part in slices(pa.array(texts, pa.string()), SLICE_BYTES):
+            yield from self.encode_slice(part, end_id)
+
+    def encode_slice(self, part: Texts, end_id: int) -> Iterator[np.ndarray]:
         """The ids, with the end id, of each text of a slice."""
         if not self.cuts:
             texts = [part.text(i).decode("utf-8", "replace") for i in range(part.n)]
@@ -254,7 +259,7 @@ def encoded(batches: Iterator[pa.RecordBatch], path: str, pattern: str, end_id:
     for batch in batches:
         for part in slices(batch.column(1), SLICE_BYTES):
             ids = batch.column(0).slice(part.first, part.n).to_pylist()
-            yield from zip(ids, encoder.encode(part, end_id))
+            yield from zip(ids, encoder.encode_slice(part, end_id))
 
 
 def _file(tokens: np.ndarray, width: np.dtype, partition: int, number: int, docs: list[tuple]) -> bytes:

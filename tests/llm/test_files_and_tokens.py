@@ -133,7 +133,7 @@ def test_chunks_get_the_ids_of_whole_texts(monkeypatch):
         monkeypatch.setattr(token_output, "KEPT_CHUNKS", kept_chunks)
         for pattern in (public_tokenizers.PATTERN, "another"):
             encoder = token_output.Encoder(TOKENIZER, pattern)
-            found = [ids for part in token_output.slices(batch.column(1), 4000) for ids in encoder.encode(part, 2)]
+            found = [ids for part in token_output.slices(batch.column(1), 4000) for ids in encoder.encode_slice(part, 2)]
             assert len(found) == len(expected) and all(np.array_equal(a, b) for a, b in zip(found, expected))
 
 
@@ -141,7 +141,7 @@ def test_equal_hashes_don_t_mix_chunks(monkeypatch):
     monkeypatch.setattr(token_output, "mixed", lambda h: h * np.uint64(0) + np.uint64(7))
     texts = ["one two three", "two three, one", "", "three"]
     part = next(token_output.slices(pa.array(texts)))
-    found = list(token_output.Encoder(TOKENIZER, public_tokenizers.PATTERN).encode(part, 2))
+    found = list(token_output.Encoder(TOKENIZER, public_tokenizers.PATTERN).encode_slice(part, 2))
     assert all(np.array_equal(a, b) for a, b in zip(found, encoded(texts, 2)))
 
 

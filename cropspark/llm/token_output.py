@@ -41,7 +41,7 @@ ROWS = 256
 BATCHES = 4
 MAGIC = "ARROW1"
 SLICE_BYTES = 1 << 20
-KEPT_CHUNKS = 1_500_000
+KEPT_CHUNKS = 400_000
 KEPT_IDS = 8_000_000
 KEPT_BYTES = 16 << 20
 #: Bytes of a chunk that are compared as numbers.

@@ -8,16 +8,19 @@ half the product over the contexts one byte longer. So the tree mixes all depths
 scored with the trained tree held fixed: a decision's probability goes down the path of its
 contexts, at each depth taking the posterior weight of the estimate and passing the rest on.
 
-The work. Texts are counted as grams of `DEPTH` bytes of context and a byte, combined in each
-task and then by shuffles; grams of texts that are only scored come along with count nil. The
-contexts over `SHALLOW` bytes are worked out by numpy in the task that has all grams with the
-same last `SHALLOW` bytes. Above, node statistics go up the depths as aggregations and weights
-come down as joins, one per depth, over distinct contexts. Each gram ends with one number, the
-logarithm of its byte's probability. Words are counted the same way for the unigram model.
-
-Texts then add up the numbers of their grams and words. The `CACHED` most frequent of each are
-sent to the tasks as flat arrays (at most 33 bytes each); the rest is summed up per text and value, and
-joined on the shuffle. Both ways give the same sums, whatever the share of each.
+The work. Each slice of texts is one sorted list of its distinct grams of `DEPTH` bytes of context
+and a byte, with the texts in which each occurs. The list is cut by the last `SHALLOW` bytes of
+the context into compressed blocks, which are moved once, to the task that has all grams of
+those contexts, and used twice from there. First numpy works out the contexts over `SHALLOW`
+bytes on the merged list. Above, node statistics go up the depths as aggregations and weights
+come down as joins, one per depth, over distinct contexts. Then each gram gets one number, the
+logarithm of its byte's probability, each block adds the numbers up for its texts, and the sums of
+a slice's blocks are added up. Grams of texts that are only scored have count nil.
+
+Words are counted by shuffles for the unigram model, and texts add up the numbers of their
+words. The `CACHED` most frequent are sent to the tasks as flat arrays (at most 33 bytes each); the
+rest is summed up per text and value, and joined on the shuffle. Both ways give the same sums,
+whatever the share of each.
 
 Defined results: null and empty texts have no bytes (score 0, bits per byte null) and one
 token, the end; rows
@@ -30,10 +33,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,28 +47,33 @@ from cropspark.llm.text_arrays import Texts, slices, word_hashes
 
 DEPTH = 8
 SHALLOW = 4
-DEEP_ROWS = 200_000
 CACHED = 1 << 21
 SLICE_BYTES = 1 << 19
+COUNT_SLICE_BYTES = 6 << 20
+RANGE_GRAMS = 1 << 19
+MIXED_ROWS = 1 << 20
+PART_BYTES = 12 << 20
+LEAST_PART_BYTES = 1 << 20
 BATCH_ROWS = 1 << 16
 END = np.uint64(0x2545F4914F6CDD1D)
 
 
-def grams(part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each byte the `DEPTH` (up to 8) bytes before it in its text as one number; it; its text.
+def contexts(part: Texts) -> np.ndarray:
+    """For each byte the `DEPTH` (8) bytes before it in its text as one number, the byte just before in front.
 
-    The byte just before is the lowest of the number; zeros stand before the text.
+    Zeros stand before the text.
     """
-    data = part.data.astype(np.uint64)
-    owner = np.repeat(np.arange(part.n), np.diff(part.offsets))
-    place = np.arange(len(data)) - part.offsets[owner]
-    out = np.zeros_like(data)
-    for back in range(1, DEPTH + 1):
-        earlier = np.zeros_like(data)
-        earlier[back:] = data[:-back] if len(data) > back else 0
-        earlier[place < back] = 0
-        out |= earlier << np.uint64(8 * (back - 1))
-    return out, data.astype(np.int64), owner
+    size = len(part.data)
+    data = np.concatenate([np.zeros(DEPTH, np.uint8), part.data, np.zeros(DEPTH, np.uint8)])
+    out = np.empty(size, np.uint64)
+    for at in range(min(DEPTH, size)):
+        own = out[at::DEPTH]
+        own[:] = data[at : at + DEPTH * len(own)].view("<u8")
+    lengths = np.diff(part.offsets)
+    for back in range(DEPTH):
+        first = part.offsets[:-1][lengths > back] + back
+        out[first] &= np.uint64((1 << 64) - (1 << 8 * (DEPTH - back)) if back else 0)
+    return out
 
 
 def tokens(part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,7 +100,7 @@ def _found(keys: tuple[np.ndarray, np.ndarray], values: np.ndarray, byte: np.nda
     return (firsts[own] == values) & (pairs[at] == wanted), at
 
 
-_KINDS = {"gram": grams, "word": tokens}
+_KINDS = {"word": tokens}
 
 
 def _pieces(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -101,10 +111,13 @@ def _pieces(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatc
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind, value and training count of the distinct values of each slice."""
+    """Kind, value and training count of the distinct values of each slice, and the bytes of each batch."""
     for batch in batches:
         trained = batch.column(0).to_numpy(zero_copy_only=False)
-        for part in slices(batch.column(1), SLICE_BYTES):
+        size = pa.array([sum(len(part.data) for part in slices(batch.column(1)))], pa.int64())
+        none = [pa.array([0], k) for k in (pa.int64(), pa.int16())]
+        yield pa.RecordBatch.from_arrays([pa.array(["size"]), *none, size], names=["kind", "value", "byte", "n"])
+        for part in slices(batch.column(1), COUNT_SLICE_BYTES):
             own = trained[part.first : part.first + part.n].astype(np.int64)
             for kind, of in _KINDS.items():
                 values, byte, owner = of(part)
@@ -145,94 +158,338 @@ def _log_add(a: Column, b: Column) -> Column:
 def _log_rising(n: np.ndarray, start: float) -> np.ndarray:
     """ln of start (start + 1) ... for `n` factors, start being 0.5 or 1."""
     table = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1 << 16) + start))])
-    x = np.maximum(n, 1 << 16) + start
-    far = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - math.lgamma(start)
-    return np.where(n <= 1 << 16, table[np.minimum(n, 1 << 16)], far)
+    out = table[np.minimum(n, 1 << 16)]
+    large = np.flatnonzero(n > 1 << 16)
+    x = n[large] + start
+    out[large] = (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - math.lgamma(start)
+    return out
+
+
+def _packed(numbers: list[int], arrays: list[np.ndarray]) -> bytes:
+    """Numbers and arrays as one compressed block; equal bytes of the values of an array lie together."""
+    head = np.array([*numbers, *[x for a in arrays for x in (len(a), a.itemsize)]], np.int64)
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays]
+    whole = b"".join([head.tobytes(), *planes])
+    return len(whole).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(whole, asbytes=True)
+
+
+def _unpacked(block: bytes, n_numbers: int, kinds: str) -> tuple[list[int], list[np.ndarray]]:
+    """The numbers, and the arrays, whose kinds are i, u or f."""
+    whole = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
+    head = np.frombuffer(whole, np.int64, n_numbers + 2 * len(kinds)).tolist()
+    at, out = 8 * len(head), []
+    for size, width, kind in zip(head[n_numbers::2], head[n_numbers + 1 :: 2], kinds):
+        planes = np.frombuffer(whole, np.uint8, size * width, at).reshape(width, size)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(f"<{kind}{width}"))
+        at += size * width
+    return head[:n_numbers], out
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as they need."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+#: Of a block of grams: context, byte, occurrences, those in texts that are only scored; then the text of each occurrence as a difference.
+_GRAMS = "uuuuu"
+_MIX = 1_000_003
+
+
+def _part_of(top: np.ndarray, parts: int) -> np.ndarray:
+    """The part of a context's last `SHALLOW` bytes, given as the upper half of the number."""
+    return (top % np.uint64(_MIX)) % np.uint64(parts)
+
+
+def gram_blocks(part: Texts, held_out: np.ndarray, parts: int) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Part and arrays (`_GRAMS`) of the distinct grams of the slice."""
+    if not len(part.data):
+        return
+    whole = contexts(part)
+    order = np.argsort(whole)
+    whole = whole[order]
+    new = np.ones(len(whole), bool)
+    np.not_equal(whole[1:], whole[:-1], out=new[1:])
+    distinct = whole[new]
+    del whole
+    own = _part_of(distinct >> np.uint64(32), parts).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    by_part = np.argsort(own, kind="stable")
+    rank = np.empty(len(distinct), np.int64)
+    rank[by_part] = np.arange(len(distinct))
+    distinct, own = distinct[by_part], own[by_part]
+    # one number for context, byte and text of each occurrence
+    bits = max(1, (part.n - 1).bit_length())
+    key = rank[np.cumsum(new) - 1]
+    key <<= 8
+    key |= part.data[order]
+    key <<= bits
+    key |= np.repeat(np.arange(part.n), np.diff(part.offsets))[order]
+    del order, new, rank
+    key.sort()
+    text = key & ((1 << bits) - 1)
+    key >>= bits
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    seen = np.diff(first, append=len(key))
+    held = np.add.reduceat(held_out[text], first, dtype=np.int64)
+    step = np.diff(text, prepend=0)
+    step[first] = text[first]
+    key = key[first]
+    rows, byte = key >> 8, (key & 255).astype(np.uint8)
+    edges = np.searchsorted(own[rows], np.arange(parts + 1, dtype=np.int64))
+    places = np.append(first, len(text))
+    for p in np.flatnonzero(np.diff(edges)).tolist():
+        a, b = edges[p], edges[p + 1]
+        yield p, [distinct[rows[a:b]], byte[a:b], _narrow(seen[a:b]), _narrow(held[a:b]), _narrow(step[places[a] : places[b]])]
+
+
+_BLOCKS = "p int, texts boolean, data binary"
+
+
+def _block_row(p: int, texts: bool, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([texts]), pa.array([data], pa.binary())], names=["p", "texts", "data"])
+
+
+def _block_rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Per slice its blocks, and one that tells its texts (`_TEXTS`)."""
+    number, task = count(), TaskContext.get().partitionId()
+    for batch in batches:
+        held_out = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        for part in slices(batch.column(1), COUNT_SLICE_BYTES):
+            name = task << 32 | next(number)
+            own = slice(part.first, part.first + part.n)
+            ids = batch.column(0).slice(part.first, part.n)
+            null = ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
+            texts = [ids.fill_null(0).to_numpy(), null, batch.column(3).to_numpy()[own]]
+            yield _block_row(name % parts, True, _packed([name, part.n], texts))
+            for p, arrays in gram_blocks(part, held_out[own], parts):
+                yield _block_row(p, False, _packed([name, part.n], arrays))
+
+
+def merged(blocks: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Context, byte and training count of the distinct grams of the blocks, in order; the number of each block's grams."""
+    context, byte = (np.concatenate([b[k] for b in blocks]) for k in (0, 1))
+    n = np.concatenate([b[2].astype(np.int64) - b[3] for b in blocks])
+    order = np.argsort(context)
+    context = context[order]
+    new = np.ones(len(context), bool)
+    np.not_equal(context[1:], context[:-1], out=new[1:])
+    key = np.cumsum(new) << 8
+    key |= byte[order]
+    again = np.argsort(key, kind="stable")
+    order, context, key = order[again], context[again], key[again]
+    new = np.diff(key, prepend=-1) != 0
+    first = np.flatnonzero(new)
+    number = np.empty(len(key), np.int32)
+    number[order] = np.cumsum(new) - 1
+    return context[first], byte[order[first]], np.add.reduceat(n[order], first, dtype=np.int64), number
+
+
+class Depth:
+    """The distinct pairs of a context of `depth` bytes and a byte, in order, with their training counts."""
+
+    def __init__(self, context: np.ndarray, byte: np.ndarray, n: np.ndarray):
+        new = np.ones(len(context), bool)
+        np.not_equal(context[1:], context[:-1], out=new[1:])
+        self.context, self.byte, self.n, self.key = context, byte, n, np.cumsum(new) << 8 | byte
+
+    def shorter(self) -> tuple[Depth, np.ndarray]:
+        """The pairs with contexts one byte shorter, and the number of the pair that each pair of these becomes."""
+        context = self.context >> np.uint64(8)
+        new = np.ones(len(context), bool)
+        np.not_equal(context[1:], context[:-1], out=new[1:])
+        key = np.cumsum(new) << 8 | self.byte
+        order = np.argsort(key, kind="stable")
+        new = np.diff(key[order], prepend=-1) != 0
+        first = np.flatnonzero(new)
+        up = np.empty(len(key), np.int64)
+        up[order] = np.cumsum(new) - 1
+        own = order[first]
+        return Depth(context[own], self.byte[own], np.add.reduceat(self.n[order], first)), up
+
+    def nodes(self, bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of one bit: the node of each pair; first pair, zeros and ones of each node."""
+        new = np.diff(self.key >> (8 - bit), prepend=-1) != 0
+        first = np.flatnonzero(new)
+        all_, ones = np.add.reduceat(self.n, first), np.add.reduceat(self.n * (self.byte >> (7 - bit) & 1), first)
+        return np.cumsum(new) - 1, first, all_ - ones, ones
+
+
+def deep_tree(context: np.ndarray, byte: np.ndarray, n: np.ndarray, mixed: tuple | None = None) -> Iterator[tuple]:
+    """What the contexts over `SHALLOW` bytes give, bit by bit, for the sorted grams of some contexts of `SHALLOW` bytes.
+
+    Without `mixed`: context, node, zeros, ones of each node of `SHALLOW` bytes, and the logarithm of the
+    product over the contexts one byte longer. With the sorted (context, node) as one number, and what
+    is left and mixed so far for a zero and a one there: the probability of the bit of each gram.
+    """
+    half = math.log(0.5)
+    depths, ups = [Depth(context, byte, n)], []
+    for _ in range(SHALLOW, DEPTH):
+        shorter, up = depths[-1].shorter()
+        depths.append(shorter)
+        ups.append(up)
+    for bit in range(8):
+        below, parents, found = None, [], []
+        for d, own in enumerate(depths):
+            node, first, zeros, ones = own.nodes(bit)
+            if d:
+                parents.append(node[ups[d - 1][start]])
+                below = np.bincount(parents[-1], w, len(first))
+            start = first
+            if d == len(depths) - 1:
+                break
+            e = _log_rising(zeros, 0.5) + _log_rising(ones, 0.5) - _log_rising(zeros + ones, 1.0)
+            if d:
+                far = np.exp(-np.abs(below - e))
+                w, stop = half + np.maximum(e, below) + np.log1p(far), np.where(below > e, far, 1.0) / (1.0 + far)
+            else:
+                w, stop = e, None
+            found.append((zeros, ones, stop, node))
+        top = depths[-1].context[first]
+        name = (256 + depths[-1].byte[first].astype(np.int64)) >> (8 - bit)
+        if mixed is None:
+            yield top, name, zeros, ones, below
+            continue
+        at = np.searchsorted(mixed[0], top << np.uint64(8) | name.astype(np.uint64))
+        left, q0, q1 = (x[at] for x in mixed[1:])
+        for (zeros, ones, stop, node), parent in zip(reversed(found), reversed(parents)):
+            left, q0, q1 = left[parent], q0[parent], q1[parent]
+            share = (left if stop is None else left * stop) / (zeros + ones + 1.0)
+            q0 = q0 + share * (zeros + 0.5)
+            q1 = q1 + share * (ones + 0.5)
+            left = left if stop is None else left - left * stop
+        yield np.where(byte >> (7 - bit) & 1 == 1, q1[node], q0[node])
+
+
+def _grams_of(blocks: list[bytes]) -> tuple[list[tuple[int, int]], list[list[np.ndarray]]]:
+    """Slice and number of texts of each block of grams, and its arrays."""
+    names, out = [], []
+    for block in blocks:
+        (name, size), arrays = _unpacked(block, 2, _GRAMS)
+        names.append((name, size))
+        out.append(arrays)
+    return names, out
+
+
+def _ranges(blocks: list[list[np.ndarray]]) -> Iterator[list[tuple[int, int]]]:
+    """Where each block's grams of one range of contexts lie; no context of `SHALLOW` bytes is in two ranges."""
+    sample = np.sort(np.concatenate([b[0][::16] for b in blocks]))
+    n = sum(len(b[0]) for b in blocks) // RANGE_GRAMS + 1
+    shift = np.uint64(8 * (DEPTH - SHALLOW))
+    cuts = np.unique(sample[np.arange(1, n) * len(sample) // n] >> shift << shift)
+    edges = [np.concatenate([[0], np.searchsorted(b[0], cuts), [len(b[0])]]).tolist() for b in blocks]
+    for k in range(len(cuts) + 1):
+        if any(e[k] < e[k + 1] for e in edges):
+            yield [(e[k], e[k + 1]) for e in edges]
+
+
+def _swapped(top: np.ndarray) -> np.ndarray:
+    """A context of `SHALLOW` bytes with the byte just before in the lowest place, and the other way round."""
+    return top.astype(np.uint32).byteswap().astype(np.int64)
+
+
+_ABOVE = "context bigint, node int, zeros bigint, ones bigint, below double"
+_ABOVE_KINDS = "iiiif"
+_MIXED = "p int, context bigint, node int, left double, q0 double, q1 double"
+_MIXED_KINDS = "ufff"
+
+
+def _above(rows: Iterator[tuple[int, tuple[bool, bytes]]]) -> Iterator[tuple[bytes]]:
+    """`deep_tree` of the grams of a part, as blocks."""
+    blocks = [b[:4] for b in _grams_of([data for _, (texts, data) in rows if not texts])[1]]
+    for places in _ranges(blocks) if blocks else ():
+        context, byte, n, _ = merged([[x[i:j] for x in b] for b, (i, j) in zip(blocks, places)])
+        for top, node, zeros, ones, below in deep_tree(context, byte, n):
+            yield (_packed([], [_swapped(top), node.astype(np.int32), zeros, ones, below]),)
+
+
+def _above_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for block in batch.column(0):
+            yield from _pieces([pa.array(x) for x in _unpacked(block.as_py(), 0, _ABOVE_KINDS)[1]], [x.split()[0] for x in _ABOVE.split(", ")])
 
 
-def deep_mix(context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
-    """The mixture of the depths over `SHALLOW` for each bit of each gram's byte, and what is above.
+def _mixed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of `_MIXED` as blocks."""
 
-    The grams are all those of some contexts of `SHALLOW` bytes. Above: per bit the context, node,
-    zeros, ones and logarithm of the product over the contexts one byte longer.
-    """
-    top = context & np.uint64((1 << 8 * SHALLOW) - 1)
-    ids = [pd.factorize(top)[0].astype(np.int64)]
-    for depth in range(SHALLOW, DEPTH):
-        more = ((context >> np.uint64(8 * depth)) & np.uint64(255)).astype(np.int64)
-        ids.append(pd.factorize(ids[-1] * 256 + more)[0].astype(np.int64))
-    deep, above, half = np.zeros((len(byte), 8)), [], math.log(0.5)
-    for bit in range(8):
-        node, one = (256 + byte) >> (8 - bit), (byte >> (7 - bit)) & 1
-        keys = [pd.factorize(i * 256 + node)[0] for i in ids]
-        zeros = [np.bincount(k, n * (1 - one)).astype(np.int64) for k in keys]
-        ones = [np.bincount(k, n * one).astype(np.int64) for k in keys]
-        e = [_log_rising(z, 0.5) + _log_rising(o, 0.5) - _log_rising(z + o, 1.0) for z, o in zip(zeros, ones)]
-        w = {len(keys) - 1: e[-1]}
-        for d in reversed(range(len(keys) - 1)):
-            parent = np.zeros(len(e[d + 1]), np.int64)
-            parent[keys[d + 1]] = keys[d]
-            below = np.bincount(parent, w[d + 1], len(e[d]))
-            w[d] = np.where(zeros[d] + ones[d] == 0, 0.0, half + np.logaddexp(e[d], below))
-        first = np.zeros(len(e[0]), np.int64)
-        first[keys[0]] = np.arange(len(byte))
-        above.append((top[first], node[first], zeros[0], ones[0], below))
-        left = np.ones(len(byte))
-        for d in range(1, len(keys)):
-            weight = np.exp(half + e[d] - w[d]) if d < len(keys) - 1 else np.ones(len(e[d]))
-            total = zeros[d] + ones[d] + 1.0
-            own = keys[d]
-            deep[:, bit] += left * weight[own] * np.where(one == 1, ((ones[d] + 0.5) / total)[own], ((zeros[d] + 0.5) / total)[own])
-            left = left * (1 - weight[own])
-    return deep, above
-
-
-_MIXED = "context bigint, byte smallint, n bigint, deep array<double>, node int, zeros bigint, ones bigint, below double"
-
-
-def _deep_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """`deep_mix` of rows that are sorted by `top`; byte is null in the rows for what is above."""
-    names = [x.split()[0] for x in _MIXED.split(", ")]
-
-    def solved(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, context, byte, n = columns
-        deep, above = deep_mix(context.view(np.uint64), byte.astype(np.int64), n)
-        size, flat = len(n), pa.array(deep.ravel())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, 8 * size + 1, 8, dtype=np.int32)), flat)
-        none = [pa.nulls(size, k) for k in (pa.int32(), pa.int64(), pa.int64(), pa.float64())]
-        yield from _pieces([pa.array(context), pa.array(byte), pa.array(n), lists, *none], names)
-        for top, node, zeros, ones, below in above:
-            none = [pa.nulls(len(top), k) for k in (pa.int16(), pa.int64(), pa.list_(pa.float64()))]
-            own = [pa.array(top.view(np.int64)), *none, pa.array(node.astype(np.int32)), pa.array(zeros), pa.array(ones), pa.array(below)]
-            yield from _pieces(own, names)
+    def packed(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(columns[0], kind="stable")
+        p, context, node, left, q0, q1 = (x[order] for x in columns)
+        name = _swapped(context).astype(np.uint64) << np.uint64(8) | node.astype(np.uint64)
+        edges = np.append(np.flatnonzero(np.diff(p, prepend=-1)), len(p)).tolist()
+        for a, b in zip(edges, edges[1:]):
+            yield _block_row(int(p[a]), False, _packed([], [x[a:b] for x in (name, left, q0, q1)]))
 
     held, rows = [], 0
     for batch in batches:
-        if batch.num_rows:
-            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
-            rows += batch.num_rows
-        if rows >= DEEP_ROWS:
-            whole = [np.concatenate(c) for c in zip(*held)]
-            end = int(np.searchsorted(whole[0], whole[0][-1]))
-            if end:
-                yield from solved([c[:end] for c in whole])
-            held = [[c[end:].copy() for c in whole]]
-            rows = 0 if end else -rows  # a long group is looked at again after twice as many rows
-    if held:
-        yield from solved([np.concatenate(c) for c in zip(*held)])
-
-
-def gram_scores(counts: DataFrame) -> DataFrame:
-    """(value, byte, n, log10): the logarithm of the probability of each gram's byte after its context."""
+        held.append([c.to_numpy() for c in batch.columns])
+        rows += batch.num_rows
+        if rows >= MIXED_ROWS:
+            yield from packed([np.concatenate(x) for x in zip(*held)])
+            held, rows = [], 0
+    if rows:
+        yield from packed([np.concatenate(x) for x in zip(*held)])
+
+
+def _slice_sums(pair: tuple[list, list]) -> Iterator[tuple[int, tuple[bool, bytes]]]:
+    """Per block of grams the sums of its texts; blocks that tell a slice's texts are passed on."""
+    rows, mixed = pair
+    blocks = []
+    for _, (texts, data) in rows:
+        if texts:
+            yield _unpacked(data, 2, _TEXTS)[0][0], (True, data)
+        else:
+            blocks.append(data)
+    if not blocks:
+        return
+    tables = [_unpacked(data, 0, _MIXED_KINDS)[1] for _, (_, data) in mixed]
+    table = [np.concatenate(x) for x in zip(*tables)]
+    order = np.argsort(table[0])
+    names, grams = _grams_of(blocks)
+    mixed = tuple(x[order] for x in table)
+    sums, done = [np.zeros(size) for _, size in names], [0] * len(names)
+    for places in _ranges(grams):
+        context, byte, n, number = merged([[x[i:j] for x in b[:4]] for b, (i, j) in zip(grams, places)])
+        value = np.zeros(len(n))
+        for probability in deep_tree(context, byte, n, mixed):
+            value += np.log10(probability)
+        at = 0
+        for k, ((i, j), (_, _, seen, _, step)) in enumerate(zip(places, grams)):
+            seen = seen[i:j].astype(np.int64)
+            step = step[done[k] : done[k] + int(seen.sum())]
+            text, first = np.cumsum(step, dtype=np.int64), np.cumsum(seen) - seen
+            text -= np.repeat(text[first] - step[first], seen)
+            sums[k] += np.bincount(text, np.repeat(value[number[at : at + j - i]], seen), len(sums[k]))
+            at, done[k] = at + j - i, done[k] + len(step)
+    for (name, _), own in zip(names, sums):
+        yield name, (False, _packed([], [own]))
+
+
+#: Of the block that tells the texts of a slice: ids, whether they are null, hashes of the texts.
+_TEXTS = "iui"
+
+
+def _text_sums(rows: Iterator[tuple[int, tuple[bool, bytes]]]) -> Iterator[tuple]:
+    """doc_id, row and score of each text of the slices."""
+    told, sums = {}, {}
+    for name, (texts, data) in rows:
+        if texts:
+            told[name] = _unpacked(data, 2, _TEXTS)[1]
+        else:
+            own = _unpacked(data, 0, "f")[1][0]
+            sums[name] = sums[name] + own if name in sums else own
+    for name, (ids, null, row) in told.items():
+        own = sums[name].tolist() if name in sums else [0.0] * len(ids)
+        for i, empty, r, score in zip(ids.tolist(), null.tolist(), row.tolist(), own):
+            yield None if empty else i, r, score
+
+
+def mixed_nodes(solved: DataFrame) -> DataFrame:
+    """(context, node, left, q0, q1): what the depths up to `SHALLOW` give in each node of `SHALLOW` bytes, and the weight left."""
     half = math.log(0.5)
     estimate = _log_estimate(F.col("zeros"), F.col("ones"))
     mixed = F.lit(half) + _log_add(F.col("e"), F.col("below"))
     # a context nobody was trained on has estimate and product one
     weighted = F.when(F.col("zeros") + F.col("ones") == 0, F.lit(0.0)).otherwise(mixed)
-    top = F.col("value").bitwiseAND(F.lit((1 << 8 * SHALLOW) - 1))
-    grouped = counts.select(top.alias("top"), "value", "byte", "n").repartition("top").sortWithinPartitions("top")
-    solved = stored(grouped.mapInArrow(_deep_rows, _MIXED), "deep")
-    level = solved.filter("byte is null").select("context", "node", "zeros", "ones", "below").withColumn("e", estimate)
+    level = solved.withColumn("e", estimate)
     levels = [stored(level.withColumn("w", weighted).drop("below"), f"context-{SHALLOW}")]
     for depth in reversed(range(SHALLOW)):
         mask = (1 << (8 * depth)) - 1
@@ -259,17 +516,29 @@ def gram_scores(counts: DataFrame) -> DataFrame:
             "context", "node", (F.col("left") * (F.lit(1.0) - F.col("weight"))).alias("left"),
             (F.col("q0") + share * F.col("p0")).alias("q0"), (F.col("q1") + share * F.col("p1")).alias("q1"),
         )
-        down = stored(down, f"mixed-{depth}")
-    nodes = down.groupBy(F.col("context").alias("top")).agg(F.map_from_entries(F.collect_list(F.struct("node", F.struct("left", "q0", "q1")))).alias("nodes"))
-    own = solved.filter("byte is not null").select(F.col("context").alias("value"), F.col("byte").cast("int").alias("byte"), "n", "deep")
-    joined = own.withColumn("top", top).join(nodes, "top")
+        down = stored(down, f"mixed-{depth}") if depth < SHALLOW else down
+    return down
+
+
+def gram_sums(rows: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, row, score) per row of doc_id, text, held_out and row (a hash of the text)."""
+    spark = rows.sparkSession
+    blocks = rows.select("doc_id", "text", "held_out", "row").mapInArrow(lambda b: _block_rows(b, parts), _BLOCKS)
+    # moved once; both uses below start from the moved blocks
+    moved = _dealt(blocks, parts)
+    above = spark.createDataFrame(moved.mapPartitions(_above), "data binary")
+    solved = above.mapInArrow(_above_rows, _ABOVE)
+    swapped = sum((F.shiftleft(F.shiftright("context", 8 * k).bitwiseAND(F.lit(255)), 8 * (SHALLOW - 1 - k)) for k in range(1, SHALLOW)), F.shiftleft(F.col("context").bitwiseAND(F.lit(255)), 8 * (SHALLOW - 1)))
+    nodes = mixed_nodes(solved).withColumn("p", (swapped % F.lit(_MIX) % F.lit(parts)).cast("int"))
+    nodes = nodes.select(*[x.split()[0] for x in _MIXED.split(", ")])
+    mixed = _dealt(nodes.mapInArrow(_mixed_blocks, _BLOCKS), parts)
+    sums = moved.glom().zip(mixed.glom()).flatMap(_slice_sums).partitionBy(parts, lambda name: (name >> 32) + (name & 0xFFFFFFFF))
+    return spark.createDataFrame(sums.mapPartitions(_text_sums), "doc_id bigint, row bigint, score double", verifySchema=False)
 
-    def log_bit(bit: int) -> Column:
-        node = F.shiftright(F.col("byte") + F.lit(256), 8 - bit)
-        one = F.shiftright(F.col("byte"), 7 - bit).bitwiseAND(F.lit(1)) == 1
-        return bound(F.element_at("nodes", node), lambda x: F.log10(F.when(one, x["q1"]).otherwise(x["q0"]) + x["left"] * F.get("deep", F.lit(bit))))
 
-    return joined.select("value", F.col("byte").cast("smallint").alias("byte"), "n", sum((log_bit(b) for b in range(1, 8)), log_bit(0)).alias("log10"))
+def _dealt(blocks: DataFrame, parts: int) -> RDD:
+    """Pairs of p and (texts, data), dealt by p."""
+    return blocks.rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(parts, lambda p: p)
 
 
 def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
@@ -299,7 +568,7 @@ def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays(
                 [
                     ids, held, batch.column(3).slice(part.first, part.n), pa.nulls(part.n, pa.string()), pa.nulls(part.n, pa.int64()),
-                    pa.nulls(part.n, pa.int16()), pa.array(sums["gram", "n"]), pa.array(sums["word", "n"]), pa.array(sums["word", "known"]), pa.array(sums["word"]), pa.array(sums["gram"]),
+                    pa.nulls(part.n, pa.int16()), pa.array(np.diff(part.offsets)), pa.array(sums["word", "n"]), pa.array(sums["word", "known"]), pa.array(sums["word"]),
                 ],
                 names=_SUM_NAMES,
             )
@@ -309,14 +578,14 @@ def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]
                 yield from _pieces(
                     [
                         ids.take(own), held.take(own), batch.column(3).slice(part.first, part.n).take(own), pa.array(rest[0]),
-                        pa.array(value.view(np.int64)), pa.array(low.astype(np.int16)), pa.nulls(len(n), pa.int64()), pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64()), pa.nulls(len(n), pa.float64()),
+                        pa.array(value.view(np.int64)), pa.array(low.astype(np.int16)), pa.nulls(len(n), pa.int64()), pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64()),
                     ],
                     names=_SUM_NAMES,
                 )
 
 
 _SUMS = (
-    "doc_id bigint, held_out boolean, row bigint, kind string, value bigint, byte smallint, n_bytes bigint, n bigint, n_known bigint, base_score double, score double"
+    "doc_id bigint, held_out boolean, row bigint, kind string, value bigint, byte smallint, n_bytes bigint, n bigint, n_known bigint, base_score double"
 )
 _SUM_NAMES = [x.split()[0] for x in _SUMS.split(", ")]
 
@@ -330,10 +599,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cache
     words = counts.filter("kind = 'word'")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     below = math.log10(total[0] + total[1] + 1)
+    size = counts.filter("kind = 'size'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_parts = max(math.ceil(size / PART_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / LEAST_PART_BYTES)), 1)
     word_scores = words.select("kind", "value", "byte", "n", (F.log10(F.col("n") + F.lit(1.0)) - F.lit(below)).alias("log10"))
-    by_gram = counts.filter("kind = 'gram'").select("value", "byte", "n")
-    gram_rows = gram_scores(by_gram).select(F.lit("gram").alias("kind"), "value", "byte", "n", "log10")
-    numbers = stored(gram_rows.unionByName(word_scores), "numbers")
+    numbers = stored(word_scores, "numbers")
     tables = {}
     for kind in _KINDS:
         top = numbers.filter(F.col("kind") == kind).select("value", "byte", "log10", "n").orderBy(F.desc("n"), "value", "byte").limit(cached).toArrow()
@@ -351,18 +620,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cache
     rest = own.groupBy(*key).agg(
         F.sum(F.when(word & (F.col("n") > 0), F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.when(word, F.col("times") * F.col("log10")).otherwise(0.0)).alias("more_base"),
-        F.sum(F.when(~word, F.col("times") * F.col("log10")).otherwise(0.0)).alias("more"),
     )
     whole = parts.filter("kind is null").drop("kind", "value", "byte").alias("x")
     same = F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.row") == F.col("y.row"))
-    joined = whole.join(rest.alias("y"), same, "left")
+    by_gram = stored(gram_sums(marked, n_parts), "scores").groupBy(*key).agg(F.first("score").alias("score"))
+    scores = F.col("x.doc_id").eqNullSafe(F.col("z.doc_id")) & (F.col("x.row") == F.col("z.row"))
+    joined = whole.join(rest.alias("y"), same, "left").join(by_gram.alias("z"), scores)
 
     def plus(name: str, more: str, zero: object) -> Column:
         return F.col(f"x.{name}") + F.coalesce(F.col(f"y.{more}"), F.lit(zero))
 
     scored = joined.select(
         "x.doc_id", "x.held_out", F.col("x.n").alias("n_tokens"), plus("n_known", "more_known", 0).alias("n_known"),
-        F.lit(total[0]).cast("bigint").alias("train_tokens"), plus("base_score", "more_base", 0.0).alias("base_score"), plus("score", "more", 0.0).alias("score"), "x.n_bytes",
+        F.lit(total[0]).cast("bigint").alias("train_tokens"), plus("base_score", "more_base", 0.0).alias("base_score"), "z.score", "x.n_bytes",
     )
     bits = F.when(F.col("n_bytes") > 0, -F.col("score") * F.lit(math.log2(10)) / F.col("n_bytes"))
     return scored.withColumn("bits_per_byte", bits)

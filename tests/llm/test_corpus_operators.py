@@ -17,6 +17,7 @@ import helpers  # noqa: E402
 from helpers import awkward, awkward_texts, edited, prose, rows  # noqa: E402
 
 from cropspark.llm import components, lm_scoring, minhash_near_dedup, suffix_array_dedup  # noqa: E402
+from cropspark.session import shared_folder  # noqa: E402
 
 
 def test_components_of_a_chain_a_hub_and_loops(spark):
@@ -178,3 +179,21 @@ def test_code_length_of_no_bytes(spark):
 
 def test_scores_without_training_rows(spark):
     assert lm_scoring.score(awkward(spark, [])).count() == 0
+
+
+def test_scores_do_not_depend_on_slices_parts_and_ranges(spark, monkeypatch):
+    texts = [None, "", "a", "é ñ", prose(1, 30), prose(2, 12), prose(1, 30)] + [prose(i, 40) for i in range(10, 40)]
+    whole = {r["doc_id"]: r["score"] for r in lm_scoring.score(awkward(spark, texts)).collect()}
+    for name, value in (("COUNT_SLICE_BYTES", 500), ("LEAST_PART_BYTES", 900), ("PART_BYTES", 900), ("RANGE_GRAMS", 100)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    cut = {r["doc_id"]: r["score"] for r in lm_scoring.score(awkward(spark, texts)).collect()}
+    assert cut == pytest.approx(whole, abs=1e-9) and len(cut) == len(texts)
+
+
+def test_scoring_writes_no_more_than_a_few_times_the_text(spark):
+    texts = [prose(i, 400) for i in range(100, 400)]
+    folder = pathlib.Path(shared_folder(spark))
+    before = {p for p in folder.rglob("*.parquet") if p.is_file()}
+    lm_scoring.score(awkward(spark, texts)).collect()
+    written = sum(p.stat().st_size for p in folder.rglob("*.parquet") if p.is_file() and p not in before)
+    assert written < 2 * sum(len(t.encode()) for t in texts)

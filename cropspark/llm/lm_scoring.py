@@ -52,7 +52,7 @@ SLICE_BYTES = 1 << 19
 COUNT_SLICE_BYTES = 6 << 20
 RANGE_GRAMS = 1 << 19
 MIXED_ROWS = 1 << 20
-PART_BYTES = 12 << 20
+PART_BYTES = 8 << 20
 LEAST_PART_BYTES = 1 << 20
 BATCH_ROWS = 1 << 16
 END = np.uint64(0x2545F4914F6CDD1D)
@@ -438,12 +438,14 @@ def _slice_sums(pair: tuple[list, list]) -> Iterator[tuple[int, tuple[bool, byte
             yield _unpacked(data, 2, _TEXTS)[0][0], (True, data)
         else:
             blocks.append(data)
+    rows.clear()
     if not blocks:
         return
     tables = [_unpacked(data, 0, _MIXED_KINDS)[1] for _, (_, data) in mixed]
     table = [np.concatenate(x) for x in zip(*tables)]
     order = np.argsort(table[0])
     names, grams = _grams_of(blocks)
+    blocks.clear()
     mixed = tuple(x[order] for x in table)
     sums, done = [np.zeros(size) for _, size in names], [0] * len(names)
     for places in _ranges(grams):
@@ -490,7 +492,7 @@ def mixed_nodes(solved: DataFrame) -> DataFrame:
     # a context nobody was trained on has estimate and product one
     weighted = F.when(F.col("zeros") + F.col("ones") == 0, F.lit(0.0)).otherwise(mixed)
     level = solved.withColumn("e", estimate)
-    levels = [stored(level.withColumn("w", weighted).drop("below"), f"context-{SHALLOW}")]
+    levels = [stored(level.withColumn("w", weighted).drop("below", "e"), f"context-{SHALLOW}")]
     for depth in reversed(range(SHALLOW)):
         mask = (1 << (8 * depth)) - 1
         up = (
@@ -499,12 +501,12 @@ def mixed_nodes(solved: DataFrame) -> DataFrame:
             .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("w").alias("below"))
             .withColumn("e", estimate)
         )
-        levels.append(stored(up.withColumn("w", weighted).drop("below"), f"context-{depth}"))
+        levels.append(stored(up.withColumn("w", weighted).drop("below", "e"), f"context-{depth}"))
     down = None
     for depth, own in enumerate(reversed(levels)):
         total = F.col("zeros") + F.col("ones") + F.lit(1.0)
         weight = F.exp(F.lit(half) + F.col("e") - F.col("w"))
-        rows = own.select("context", "node", weight.alias("weight"), ((F.col("zeros") + 0.5) / total).alias("p0"), ((F.col("ones") + 0.5) / total).alias("p1"))
+        rows = own.withColumn("e", estimate).select("context", "node", weight.alias("weight"), ((F.col("zeros") + 0.5) / total).alias("p0"), ((F.col("ones") + 0.5) / total).alias("p1"))
         if down is None:
             above = rows.withColumn("left", F.lit(1.0)).withColumn("q0", F.lit(0.0)).withColumn("q1", F.lit(0.0))
         else:

@@ -8,14 +8,16 @@ half the product over the contexts one byte longer. So the tree mixes all depths
 scored with the trained tree held fixed: a decision's probability goes down the path of its
 contexts, at each depth taking the posterior weight of the estimate and passing the rest on.
 
-The work. Each slice of texts is one sorted list of its distinct grams of `DEPTH` bytes of context
-and a byte, with the texts in which each occurs. The list is cut by the last `SHALLOW` bytes of
-the context into compressed blocks, which are moved once, to the task that has all grams of
-those contexts, and used twice from there. First numpy works out the contexts over `SHALLOW`
-bytes on the merged list. Above, node statistics go up the depths as aggregations and weights
-come down as joins, one per depth, over distinct contexts. Then each gram gets one number, the
-logarithm of its byte's probability, each block adds the numbers up for its texts, and the sums of
-a slice's blocks are added up. Grams of texts that are only scored have count nil.
+The work. A slice of texts is a sorted list of its distinct grams of `DEPTH` bytes of context and
+a byte, cut by the last `SHALLOW` bytes of the context into compressed blocks, each for the task
+that has all grams of those contexts. Blocks with counts are moved first; numpy works out the
+contexts over `SHALLOW` bytes on the merged list. Above, node statistics go up the depths as
+aggregations and weights come down as joins, one per depth, over distinct contexts. Then blocks that
+also tell the texts of each gram are moved, in `ROUNDS` rounds over parts of the contexts: each
+gram gets one number, the logarithm of its byte's probability, each block adds the numbers up for
+its texts, and the sums of a slice's blocks are added up. What a round has moved is dropped when it
+ends, so the disk holds the grams of one round at most. Grams of texts that are only scored have
+count nil.
 
 Words are counted by shuffles for the unigram model, and texts add up the numbers of their
 words. The `CACHED` most frequent are sent to the tasks as flat arrays (at most 33 bytes each); the
@@ -33,74 +35,43 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 from itertools import count
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import RDD, TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cropspark.llm.frames import bound, stored
 from cropspark.llm.text_arrays import Texts, slices, word_hashes
+from cropspark.llm.worker_cache import kept
 
 DEPTH = 8
 SHALLOW = 4
 CACHED = 1 << 21
-SLICE_BYTES = 1 << 19
-COUNT_SLICE_BYTES = 6 << 20
+SLICE_BYTES = 1 << 20
+COUNT_WORDS = 1 << 20
+COUNT_SLICE_BYTES = 8 << 20
+ROUNDS = 3
+KEY_BITS = 64
+TABLE = 1 << 24
 RANGE_GRAMS = 1 << 19
 MIXED_ROWS = 1 << 20
-PART_BYTES = 8 << 20
-LEAST_PART_BYTES = 1 << 20
+PART_BYTES = 64 << 20
+LEAST_PART_BYTES = 32 << 20
 BATCH_ROWS = 1 << 16
+UNIT = 2.0**-40
 END = np.uint64(0x2545F4914F6CDD1D)
 
 
-def contexts(part: Texts) -> np.ndarray:
-    """For each byte the `DEPTH` (8) bytes before it in its text as one number, the byte just before in front.
-
-    Zeros stand before the text.
-    """
-    size = len(part.data)
-    data = np.concatenate([np.zeros(DEPTH, np.uint8), part.data, np.zeros(DEPTH, np.uint8)])
-    out = np.empty(size, np.uint64)
-    for at in range(min(DEPTH, size)):
-        own = out[at::DEPTH]
-        own[:] = data[at : at + DEPTH * len(own)].view("<u8")
-    lengths = np.diff(part.offsets)
-    for back in range(DEPTH):
-        first = part.offsets[:-1][lengths > back] + back
-        out[first] &= np.uint64((1 << 64) - (1 << 8 * (DEPTH - back)) if back else 0)
-    return out
-
-
-def tokens(part: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, nil and text of each word, A-Z in lower case, and of one end per text."""
+def tokens(part: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of each word, A-Z in lower case, and of one end per text."""
     hashes, owner = word_hashes(part)
-    return np.append(hashes, np.full(part.n, END)), np.zeros(len(hashes) + part.n, np.int64), np.append(owner, np.arange(part.n))
-
-
-def _distinct(values: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The number of each pair among the distinct pairs, and those."""
-    own, first = pd.factorize(values)
-    codes, pairs = pd.factorize(own.astype(np.int64) * 256 + byte)
-    return codes, first[pairs >> 8], pairs & 255
-
-
-def _found(keys: tuple[np.ndarray, np.ndarray], values: np.ndarray, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs are in the table with the sorted `keys`, and where."""
-    firsts, pairs = keys
-    if not len(firsts):
-        return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
-    own = np.minimum(np.searchsorted(firsts, values), len(firsts) - 1)
-    wanted = own * 256 + byte
-    at = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
-    return (firsts[own] == values) & (pairs[at] == wanted), at
-
-
-_KINDS = {"word": tokens}
+    return np.append(hashes, np.full(part.n, END)), np.append(owner, np.arange(part.n))
 
 
 def _pieces(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -111,22 +82,36 @@ def _pieces(columns: list[pa.Array], names: list[str]) -> Iterator[pa.RecordBatc
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind, value and training count of the distinct values of each slice, and the bytes of each batch."""
+    """Kind, value and training count of the distinct words of some slices, and the bytes of each batch."""
+
+    def rows(kind: str, values: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from _pieces([pa.repeat(kind, len(values)), pa.array(values.view(np.int64)), pa.array(n)], ["kind", "value", "n"])
+
+    def counts(words: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        held, own = (np.sort(np.concatenate(x)) for x in words)
+        first = np.flatnonzero(_changes(own))
+        values = own[first]
+        yield from rows("word", values, np.diff(first, append=len(own)))
+        held = held[_changes(held)]
+        held = held[~np.isin(held, values, assume_unique=True)]
+        yield from rows("word", held, np.zeros(len(held), np.int64))
+
+    words, n = [[], []], 0
     for batch in batches:
         trained = batch.column(0).to_numpy(zero_copy_only=False)
-        size = pa.array([sum(len(part.data) for part in slices(batch.column(1)))], pa.int64())
-        none = [pa.array([0], k) for k in (pa.int64(), pa.int16())]
-        yield pa.RecordBatch.from_arrays([pa.array(["size"]), *none, size], names=["kind", "value", "byte", "n"])
-        for part in slices(batch.column(1), COUNT_SLICE_BYTES):
-            own = trained[part.first : part.first + part.n].astype(np.int64)
-            for kind, of in _KINDS.items():
-                values, byte, owner = of(part)
-                codes, distinct, low = _distinct(values, byte)
-                counts = np.bincount(codes, weights=own[owner], minlength=len(distinct)).astype(np.int64)
-                yield from _pieces(
-                    [pa.repeat(kind, len(distinct)), pa.array(distinct.view(np.int64)), pa.array(low.astype(np.int16)), pa.array(counts)],
-                    names=["kind", "value", "byte", "n"],
-                )
+        size = 0
+        for part in slices(batch.column(1), SLICE_BYTES):
+            values, owner = tokens(part)
+            own = trained[part.first : part.first + part.n][owner]
+            words[0].append(values[~own])
+            words[1].append(values[own])
+            n, size = n + len(values), size + len(part.data)
+            if n >= COUNT_WORDS:
+                yield from counts(words)
+                words, n = [[], []], 0
+        yield from rows("size", np.zeros(1, np.int64), np.array([size]))
+    if n:
+        yield from counts(words)
 
 
 def _prepared(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -157,7 +142,7 @@ def _log_add(a: Column, b: Column) -> Column:
 
 def _log_rising(n: np.ndarray, start: float) -> np.ndarray:
     """ln of start (start + 1) ... for `n` factors, start being 0.5 or 1."""
-    table = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1 << 16) + start))])
+    table = kept(("log rising", start), lambda: np.concatenate([[0.0], np.cumsum(np.log(np.arange(1 << 16) + start))]))
     out = table[np.minimum(n, 1 << 16)]
     large = np.flatnonzero(n > 1 << 16)
     x = n[large] + start
@@ -165,6 +150,19 @@ def _log_rising(n: np.ndarray, start: float) -> np.ndarray:
     return out
 
 
+def _estimates(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """`_log_estimate` of arrays; that of small counts is looked up."""
+
+    def own(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        return _log_rising(zeros, 0.5) + _log_rising(ones, 0.5) - _log_rising(zeros + ones, 1.0)
+
+    table = kept(("log estimate",), lambda: own(np.arange(1 << 16) >> 8, np.arange(1 << 16) & 255))
+    out = table[np.minimum(zeros, 255) << 8 | np.minimum(ones, 255)]
+    large = np.flatnonzero((zeros | ones) > 255)
+    out[large] = own(zeros[large], ones[large])
+    return out
+
+
 def _packed(numbers: list[int], arrays: list[np.ndarray]) -> bytes:
     """Numbers and arrays as one compressed block; equal bytes of the values of an array lie together."""
     head = np.array([*numbers, *[x for a in arrays for x in (len(a), a.itemsize)]], np.int64)
@@ -173,8 +171,9 @@ def _packed(numbers: list[int], arrays: list[np.ndarray]) -> bytes:
     return len(whole).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(whole, asbytes=True)
 
 
-def _unpacked(block: bytes, n_numbers: int, kinds: str) -> tuple[list[int], list[np.ndarray]]:
+def _unpacked(block: bytes | pa.Buffer, n_numbers: int, kinds: str) -> tuple[list[int], list[np.ndarray]]:
     """The numbers, and the arrays, whose kinds are i, u or f."""
+    block = memoryview(block)
     whole = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), codec="zstd", asbytes=True)
     head = np.frombuffer(whole, np.int64, n_numbers + 2 * len(kinds)).tolist()
     at, out = 8 * len(head), []
@@ -190,66 +189,168 @@ def _narrow(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max(initial=0))))
 
 
-#: Of a block of grams: context, byte, occurrences, those in texts that are only scored; then the text of each occurrence as a difference.
-_GRAMS = "uuuuu"
+#: Of a block of grams, context by context: context, its grams, their bytes and training counts.
+_COUNTS = "uuuu"
+#: The same with what texts that are only scored add to the occurrences; then the text of each occurrence as a difference.
+_GRAMS = "uuuuuu"
+#: Of the block that tells the texts of a slice: ids, whether they are null, hashes of the texts.
+_TEXTS = "iui"
 _MIX = 1_000_003
 
 
 def _part_of(top: np.ndarray, parts: int) -> np.ndarray:
     """The part of a context's last `SHALLOW` bytes, given as the upper half of the number."""
-    return (top % np.uint64(_MIX)) % np.uint64(parts)
-
-
-def gram_blocks(part: Texts, held_out: np.ndarray, parts: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Part and arrays (`_GRAMS`) of the distinct grams of the slice."""
-    if not len(part.data):
+    return (top.astype(np.uint64) % np.uint64(_MIX)) % np.uint64(parts)
+
+
+def _rounds() -> np.ndarray:
+    """The round of each pair of the last bytes of a context."""
+    return ((np.arange(1 << 16, dtype=np.uint32) * np.uint32(0x9E3779B1) >> np.uint32(16)) % np.uint32(ROUNDS)).astype(np.uint8)
+
+
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where values begin that differ from the one before."""
+    new = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return new
+
+
+def _order(key: np.ndarray) -> np.ndarray:
+    """What puts small numbers in order, the first of equal ones first."""
+    bits = max(1, (len(key) - 1).bit_length())
+    if int(key.max(initial=0)).bit_length() + bits > KEY_BITS - 1:
+        return np.argsort(key, kind="stable")
+    whole = key << bits
+    whole |= np.arange(len(key))
+    whole.sort()
+    whole &= (1 << bits) - 1
+    return whole
+
+
+def _numbered(near: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each pair of two-byte numbers among the distinct pairs in order, and those."""
+    ranks, names = [], []
+    for own in (near, far):
+        there = np.zeros(1 << 16, bool)
+        there[own] = True
+        names.append(np.flatnonzero(there))
+        ranks.append(np.cumsum(there, dtype=np.int32) - 1)
+    size = len(names[1])
+    kind = np.int32 if len(names[0]) * size <= TABLE else np.int64
+    code = ranks[0].astype(kind)[near]
+    code *= kind(size)
+    code += ranks[1][far]
+    if len(names[0]) * size <= TABLE:
+        there = np.zeros(len(names[0]) * size, bool)
+        there[code] = True
+        distinct = np.flatnonzero(there)
+        number = (np.cumsum(there, dtype=np.int32) - 1)[code]
+    else:
+        distinct = np.sort(code)
+        distinct = distinct[_changes(distinct)]
+        number = np.searchsorted(distinct, code)
+    return number, names[0][distinct // size] << 16 | names[1][distinct % size]
+
+
+class Slice:
+    """The texts of a slice with `DEPTH` zeros before each; `pairs` holds the two bytes before each place."""
+
+    def __init__(self, part: Texts):
+        lengths = np.diff(part.offsets)
+        self.n, self.data = part.n, np.zeros(len(part.data) + DEPTH * part.n, np.uint8)
+        to = part.offsets + DEPTH * np.arange(1, part.n + 2)
+        for a, b, at in zip(part.offsets[:-1].tolist(), part.offsets[1:].tolist(), to.tolist()):
+            self.data[at : at + b - a] = part.data[a:b]
+        self.pairs = np.zeros(len(self.data), np.uint16)
+        self.pairs[2:] = self.data[1:-1]
+        self.pairs[2:] <<= 8
+        self.pairs[2:] |= self.data[:-2]
+        kind = np.min_scalar_type(part.n)
+        both = np.stack([np.full(part.n, part.n, kind), np.arange(part.n, dtype=kind)], axis=1).reshape(-1)
+        self.owner = np.repeat(both, np.stack([np.full(part.n, DEPTH), lengths], axis=1).reshape(-1))
+        self.round = np.where(self.owner == part.n, np.uint8(ROUNDS), _rounds()[self.pairs])
+
+
+def gram_blocks(part: Slice, held_out: np.ndarray, parts: int, turn: int, texts: bool) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Part and arrays (`_GRAMS` or `_COUNTS`) of the distinct grams of a round of the slice, with or without their texts.
+
+    Context, byte and text are put in order as one number of ranks, which sorts much faster than rows.
+    """
+    at = np.flatnonzero(part.round == turn)
+    if not len(at):
         return
-    whole = contexts(part)
-    order = np.argsort(whole)
-    whole = whole[order]
-    new = np.ones(len(whole), bool)
-    np.not_equal(whole[1:], whole[:-1], out=new[1:])
-    distinct = whole[new]
-    del whole
-    own = _part_of(distinct >> np.uint64(32), parts).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+    text = part.owner[at]
+    label = text.astype(np.uint64) if texts else held_out[text].astype(np.uint64)
+    byte = part.data[at]
+    near, tops = _numbered(part.pairs[at], part.pairs[at - 2])
+    own = _part_of(tops, parts).astype(np.int64)
     by_part = np.argsort(own, kind="stable")
-    rank = np.empty(len(distinct), np.int64)
-    rank[by_part] = np.arange(len(distinct))
-    distinct, own = distinct[by_part], own[by_part]
-    # one number for context, byte and text of each occurrence
-    bits = max(1, (part.n - 1).bit_length())
-    key = rank[np.cumsum(new) - 1]
-    key <<= 8
-    key |= part.data[order]
-    key <<= bits
-    key |= np.repeat(np.arange(part.n), np.diff(part.offsets))[order]
-    del order, new, rank
-    key.sort()
-    text = key & ((1 << bits) - 1)
-    key >>= bits
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    seen = np.diff(first, append=len(key))
-    held = np.add.reduceat(held_out[text], first, dtype=np.int64)
-    step = np.diff(text, prepend=0)
-    step[first] = text[first]
-    key = key[first]
-    rows, byte = key >> 8, (key & 255).astype(np.uint8)
-    edges = np.searchsorted(own[rows], np.arange(parts + 1, dtype=np.int64))
-    places = np.append(first, len(text))
+    rank = np.empty(len(tops), np.uint64)
+    rank[by_part] = np.arange(len(tops))
+    near, tops, own = rank[near], tops[by_part], own[by_part]
+    far, ends = _numbered(part.pairs[at - 4], part.pairs[at - 6])
+    far = far.astype(np.uint64)
+    del at, text
+    size = [np.uint64(max(1, (n - 1).bit_length())) for n in (len(ends), part.n if texts else 2)]
+    if (len(tops) - 1).bit_length() + 8 + int(sum(size)) <= KEY_BITS:
+        key = near
+        for bits, more in ((size[0], far), (np.uint64(8), byte), (size[1], label)):
+            key <<= bits
+            key |= more
+        del far, byte, label
+        key.sort()
+        label = (key & np.uint64((1 << int(size[1])) - 1)).astype(np.int64)
+        key >>= size[1]
+        first = np.flatnonzero(_changes(key))
+        key = key[first]
+        byte = key.astype(np.uint8)
+        key >>= np.uint64(8)
+        new = np.flatnonzero(_changes(key))
+        near, far = (key >> size[0])[new], (key & np.uint64((1 << int(size[0])) - 1))[new]
+    else:
+        order = np.lexsort((label, byte, far, near))
+        near, far, byte, label = near[order], far[order], byte[order], label[order].astype(np.int64)
+        other = _changes(near) | _changes(far)
+        first = np.flatnonzero(other | _changes(byte))
+        new = np.flatnonzero(other[first])
+        byte, near, far = byte[first], near[first[new]], far[first[new]]
+    context = tops[near].astype(np.uint64) << np.uint64(32) | ends[far].astype(np.uint64)
+    grams = np.diff(new, append=len(first))
+    seen = np.diff(first, append=len(label))
+    held = np.add.reduceat(held_out[label] if texts else label, first, dtype=np.int64)
+    if texts:
+        step = np.diff(label, prepend=0)
+        step[first] = label[first]
+    edges = np.searchsorted(own[near], np.arange(parts + 1))
+    rows, places = np.append(new, len(first))[edges], np.append(first, len(label))
     for p in np.flatnonzero(np.diff(edges)).tolist():
-        a, b = edges[p], edges[p + 1]
-        yield p, [distinct[rows[a:b]], byte[a:b], _narrow(seen[a:b]), _narrow(held[a:b]), _narrow(step[places[a] : places[b]])]
+        a, b = rows[p], rows[p + 1]
+        block = [context[edges[p] : edges[p + 1]], _narrow(grams[edges[p] : edges[p + 1]]), byte[a:b], _narrow(seen[a:b] - held[a:b])]
+        yield p, [*block, _narrow(held[a:b]), _narrow(step[places[a] : places[b]])] if texts else block
 
 
-_BLOCKS = "p int, texts boolean, data binary"
+_BLOCKS = "turn int, p int, kind int, data binary"
+_TOLD, _COUNTED, _MIXED_IN = range(3)
 
 
-def _block_row(p: int, texts: bool, data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([texts]), pa.array([data], pa.binary())], names=["p", "texts", "data"])
+def _block_row(turn: int, p: int, kind: int, data: bytes) -> pa.RecordBatch:
+    numbers = [pa.array([x], pa.int32()) for x in (turn, p, kind)]
+    return pa.RecordBatch.from_arrays([*numbers, pa.array([data], pa.binary())], names=["turn", "p", "kind", "data"])
 
 
-def _block_rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
-    """Per slice its blocks, and one that tells its texts (`_TEXTS`)."""
+def _count_blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Per slice of text and held_out the blocks of counts of all rounds."""
+    for batch in batches:
+        held_out = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        for part in slices(batch.column(0), COUNT_SLICE_BYTES):
+            whole, own = Slice(part), held_out[part.first : part.first + part.n]
+            for turn in range(ROUNDS):
+                for p, arrays in gram_blocks(whole, own, parts, turn, False):
+                    yield _block_row(turn, p * ROUNDS + turn, _COUNTED, _packed([], arrays))
+
+
+def _text_blocks(batches: Iterator[pa.RecordBatch], parts: int, turn: int) -> Iterator[pa.RecordBatch]:
+    """Per slice its blocks of a round, and one that tells its texts (`_TEXTS`)."""
     number, task = count(), TaskContext.get().partitionId()
     for batch in batches:
         held_out = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -259,46 +360,44 @@ def _block_rows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
             ids = batch.column(0).slice(part.first, part.n)
             null = ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)
             texts = [ids.fill_null(0).to_numpy(), null, batch.column(3).to_numpy()[own]]
-            yield _block_row(name % parts, True, _packed([name, part.n], texts))
-            for p, arrays in gram_blocks(part, held_out[own], parts):
-                yield _block_row(p, False, _packed([name, part.n], arrays))
+            yield _block_row(turn, name % parts, _TOLD, _packed([name, part.n], texts))
+            for p, arrays in gram_blocks(Slice(part), held_out[own], parts, turn, True):
+                yield _block_row(turn, p, _COUNTED, _packed([name, part.n], arrays))
 
 
 def merged(blocks: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Context, byte and training count of the distinct grams of the blocks, in order; the number of each block's grams."""
-    context, byte = (np.concatenate([b[k] for b in blocks]) for k in (0, 1))
-    n = np.concatenate([b[2].astype(np.int64) - b[3] for b in blocks])
-    order = np.argsort(context)
-    context = context[order]
-    new = np.ones(len(context), bool)
-    np.not_equal(context[1:], context[:-1], out=new[1:])
-    key = np.cumsum(new) << 8
-    key |= byte[order]
-    again = np.argsort(key, kind="stable")
-    order, context, key = order[again], context[again], key[again]
-    new = np.diff(key, prepend=-1) != 0
+    context, grams, byte = (np.concatenate([b[k] for b in blocks]) for k in range(3))
+    n = np.concatenate([b[3].astype(np.int64) for b in blocks])
+    distinct = np.sort(context)
+    distinct = distinct[_changes(distinct)]
+    key = np.repeat(np.searchsorted(distinct, context), grams) << 8
+    key |= byte
+    order = _order(key)
+    key = key[order]
+    new = _changes(key)
     first = np.flatnonzero(new)
     number = np.empty(len(key), np.int32)
-    number[order] = np.cumsum(new) - 1
-    return context[first], byte[order[first]], np.add.reduceat(n[order], first, dtype=np.int64), number
+    number[order] = np.cumsum(new, dtype=np.int32) - 1
+    key = key[first]
+    return distinct[key >> 8], key.astype(np.uint8), np.add.reduceat(n[order], first, dtype=np.int64), number
 
 
 class Depth:
     """The distinct pairs of a context of `depth` bytes and a byte, in order, with their training counts."""
 
     def __init__(self, context: np.ndarray, byte: np.ndarray, n: np.ndarray):
-        new = np.ones(len(context), bool)
-        np.not_equal(context[1:], context[:-1], out=new[1:])
-        self.context, self.byte, self.n, self.key = context, byte, n, np.cumsum(new) << 8 | byte
+        self.context, self.byte, self.n = context, byte, n
+        self.key = np.cumsum(_changes(context)) << 8
+        self.key |= byte
 
     def shorter(self) -> tuple[Depth, np.ndarray]:
         """The pairs with contexts one byte shorter, and the number of the pair that each pair of these becomes."""
         context = self.context >> np.uint64(8)
-        new = np.ones(len(context), bool)
-        np.not_equal(context[1:], context[:-1], out=new[1:])
-        key = np.cumsum(new) << 8 | self.byte
-        order = np.argsort(key, kind="stable")
-        new = np.diff(key[order], prepend=-1) != 0
+        key = np.cumsum(_changes(context)) << 8
+        key |= self.byte
+        order = _order(key)
+        new = _changes(key[order])
         first = np.flatnonzero(new)
         up = np.empty(len(key), np.int64)
         up[order] = np.cumsum(new) - 1
@@ -307,7 +406,7 @@ class Depth:
 
     def nodes(self, bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of one bit: the node of each pair; first pair, zeros and ones of each node."""
-        new = np.diff(self.key >> (8 - bit), prepend=-1) != 0
+        new = _changes(self.key >> (8 - bit))
         first = np.flatnonzero(new)
         all_, ones = np.add.reduceat(self.n, first), np.add.reduceat(self.n * (self.byte >> (7 - bit) & 1), first)
         return np.cumsum(new) - 1, first, all_ - ones, ones
@@ -336,7 +435,7 @@ def deep_tree(context: np.ndarray, byte: np.ndarray, n: np.ndarray, mixed: tuple
             start = first
             if d == len(depths) - 1:
                 break
-            e = _log_rising(zeros, 0.5) + _log_rising(ones, 0.5) - _log_rising(zeros + ones, 1.0)
+            e = _estimates(zeros, ones)
             if d:
                 far = np.exp(-np.abs(below - e))
                 w, stop = half + np.maximum(e, below) + np.log1p(far), np.where(below > e, far, 1.0) / (1.0 + far)
@@ -359,26 +458,23 @@ def deep_tree(context: np.ndarray, byte: np.ndarray, n: np.ndarray, mixed: tuple
         yield np.where(byte >> (7 - bit) & 1 == 1, q1[node], q0[node])
 
 
-def _grams_of(blocks: list[bytes]) -> tuple[list[tuple[int, int]], list[list[np.ndarray]]]:
-    """Slice and number of texts of each block of grams, and its arrays."""
-    names, out = [], []
-    for block in blocks:
-        (name, size), arrays = _unpacked(block, 2, _GRAMS)
-        names.append((name, size))
-        out.append(arrays)
-    return names, out
-
-
-def _ranges(blocks: list[list[np.ndarray]]) -> Iterator[list[tuple[int, int]]]:
-    """Where each block's grams of one range of contexts lie; no context of `SHALLOW` bytes is in two ranges."""
+def _ranges(blocks: list[list[np.ndarray]]) -> Iterator[list[tuple[slice, slice]]]:
+    """Where each block's contexts and grams of one range of contexts lie; no context of `SHALLOW` bytes is in two ranges."""
     sample = np.sort(np.concatenate([b[0][::16] for b in blocks]))
-    n = sum(len(b[0]) for b in blocks) // RANGE_GRAMS + 1
+    n = sum(len(b[2]) for b in blocks) // RANGE_GRAMS + 1
     shift = np.uint64(8 * (DEPTH - SHALLOW))
     cuts = np.unique(sample[np.arange(1, n) * len(sample) // n] >> shift << shift)
-    edges = [np.concatenate([[0], np.searchsorted(b[0], cuts), [len(b[0])]]).tolist() for b in blocks]
+    edges = [np.concatenate([[0], np.searchsorted(b[0], cuts), [len(b[0])]]) for b in blocks]
+    grams = [np.append(0, np.cumsum(b[1], dtype=np.int64))[e].tolist() for b, e in zip(blocks, edges)]
+    edges = [e.tolist() for e in edges]
     for k in range(len(cuts) + 1):
         if any(e[k] < e[k + 1] for e in edges):
-            yield [(e[k], e[k + 1]) for e in edges]
+            yield [(slice(e[k], e[k + 1]), slice(g[k], g[k + 1])) for e, g in zip(edges, grams)]
+
+
+def _cut(blocks: list[list[np.ndarray]], places: list[tuple[slice, slice]]) -> list[list[np.ndarray]]:
+    """Contexts, grams of each, bytes and counts of a range."""
+    return [[b[0][i], b[1][i], b[2][j], b[3][j]] for b, (i, j) in zip(blocks, places)]
 
 
 def _swapped(top: np.ndarray) -> np.ndarray:
@@ -387,36 +483,32 @@ def _swapped(top: np.ndarray) -> np.ndarray:
 
 
 _ABOVE = "context bigint, node int, zeros bigint, ones bigint, below double"
-_ABOVE_KINDS = "iiiif"
-_MIXED = "p int, context bigint, node int, left double, q0 double, q1 double"
 _MIXED_KINDS = "ufff"
 
 
-def _above(rows: Iterator[tuple[int, tuple[bool, bytes]]]) -> Iterator[tuple[bytes]]:
-    """`deep_tree` of the grams of a part, as blocks."""
-    blocks = [b[:4] for b in _grams_of([data for _, (texts, data) in rows if not texts])[1]]
+def _above(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`deep_tree` of the grams of a part."""
+    blocks = [_unpacked(data.as_buffer(), 0, _COUNTS)[1] for batch in batches for data in batch.column(3)]
     for places in _ranges(blocks) if blocks else ():
-        context, byte, n, _ = merged([[x[i:j] for x in b] for b, (i, j) in zip(blocks, places)])
+        context, byte, n, _ = merged(_cut(blocks, places))
         for top, node, zeros, ones, below in deep_tree(context, byte, n):
-            yield (_packed([], [_swapped(top), node.astype(np.int32), zeros, ones, below]),)
-
-
-def _above_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block in batch.column(0):
-            yield from _pieces([pa.array(x) for x in _unpacked(block.as_py(), 0, _ABOVE_KINDS)[1]], [x.split()[0] for x in _ABOVE.split(", ")])
+            columns = [_swapped(top), node.astype(np.int32), zeros, ones, below]
+            yield from _pieces([pa.array(x) for x in columns], [x.split()[0] for x in _ABOVE.split(", ")])
 
 
-def _mixed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of `_MIXED` as blocks."""
+def _mixed_blocks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
+    """Rows of `mixed_nodes` as blocks."""
+    rounds = _rounds()
 
     def packed(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        order = np.argsort(columns[0], kind="stable")
-        p, context, node, left, q0, q1 = (x[order] for x in columns)
-        name = _swapped(context).astype(np.uint64) << np.uint64(8) | node.astype(np.uint64)
-        edges = np.append(np.flatnonzero(np.diff(p, prepend=-1)), len(p)).tolist()
+        top = _swapped(columns[0])
+        p = _part_of(top, parts).astype(np.int64) * ROUNDS + rounds[top >> 16]
+        order = np.argsort(p, kind="stable")
+        p, top, node, left, q0, q1 = (x[order] for x in (p, top, *columns[1:]))
+        name = top.astype(np.uint64) << np.uint64(8) | node.astype(np.uint64)
+        edges = np.append(np.flatnonzero(_changes(p)), len(p)).tolist()
         for a, b in zip(edges, edges[1:]):
-            yield _block_row(int(p[a]), False, _packed([], [x[a:b] for x in (name, left, q0, q1)]))
+            yield _block_row(int(p[a]) % ROUNDS, int(p[a]) // ROUNDS, _MIXED_IN, _packed([], [x[a:b] for x in (name, left, q0, q1)]))
 
     held, rows = [], 0
     for batch in batches:
@@ -429,59 +521,69 @@ def _mixed_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from packed([np.concatenate(x) for x in zip(*held)])
 
 
-def _slice_sums(pair: tuple[list, list]) -> Iterator[tuple[int, tuple[bool, bytes]]]:
-    """Per block of grams the sums of its texts; blocks that tell a slice's texts are passed on."""
-    rows, mixed = pair
-    blocks = []
-    for _, (texts, data) in rows:
-        if texts:
-            yield _unpacked(data, 2, _TEXTS)[0][0], (True, data)
-        else:
-            blocks.append(data)
-    rows.clear()
-    if not blocks:
+_SLICE_SUMS = "name bigint, texts boolean, data binary"
+
+
+def _sum_row(name: int, texts: bool, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), pa.array([texts]), pa.array([data], pa.binary())], names=["name", "texts", "data"])
+
+
+def _slice_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block of grams the sums of its texts, in multiples of `UNIT`; blocks that tell a slice's texts are passed on."""
+    names, grams, tables = [], [], []
+    for batch in batches:
+        for kind, data in zip(batch.column(2).to_pylist(), batch.column(3)):
+            data = data.as_buffer()
+            if kind == _TOLD:
+                yield _sum_row(_unpacked(data, 2, _TEXTS)[0][0], True, data.to_pybytes())
+            elif kind == _MIXED_IN:
+                tables.append(_unpacked(data, 0, _MIXED_KINDS)[1])
+            else:
+                own, arrays = _unpacked(data, 2, _GRAMS)
+                names.append(own)
+                grams.append(arrays)
+    if not grams:
         return
-    tables = [_unpacked(data, 0, _MIXED_KINDS)[1] for _, (_, data) in mixed]
     table = [np.concatenate(x) for x in zip(*tables)]
     order = np.argsort(table[0])
-    names, grams = _grams_of(blocks)
-    blocks.clear()
     mixed = tuple(x[order] for x in table)
     sums, done = [np.zeros(size) for _, size in names], [0] * len(names)
     for places in _ranges(grams):
-        context, byte, n, number = merged([[x[i:j] for x in b[:4]] for b, (i, j) in zip(grams, places)])
+        own = _cut(grams, places)
+        context, byte, n, number = merged(own)
         value = np.zeros(len(n))
         for probability in deep_tree(context, byte, n, mixed):
             value += np.log10(probability)
         at = 0
-        for k, ((i, j), (_, _, seen, _, step)) in enumerate(zip(places, grams)):
-            seen = seen[i:j].astype(np.int64)
+        for k, ((_, _, bytes_, trained), (_, rows), (*_, held, step)) in enumerate(zip(own, places, grams)):
+            if not len(bytes_):
+                continue
+            seen = trained.astype(np.int64) + held[rows]
             step = step[done[k] : done[k] + int(seen.sum())]
             text, first = np.cumsum(step, dtype=np.int64), np.cumsum(seen) - seen
             text -= np.repeat(text[first] - step[first], seen)
-            sums[k] += np.bincount(text, np.repeat(value[number[at : at + j - i]], seen), len(sums[k]))
-            at, done[k] = at + j - i, done[k] + len(step)
+            sums[k] += np.bincount(text, np.repeat(value[number[at : at + len(seen)]], seen), len(sums[k]))
+            at, done[k] = at + len(seen), done[k] + len(step)
     for (name, _), own in zip(names, sums):
-        yield name, (False, _packed([], [own]))
+        yield _sum_row(name, False, _packed([], [np.rint(own / UNIT).astype(np.int64)]))
 
 
-#: Of the block that tells the texts of a slice: ids, whether they are null, hashes of the texts.
-_TEXTS = "iui"
+_SCORES = "doc_id bigint, row bigint, score double"
 
 
-def _text_sums(rows: Iterator[tuple[int, tuple[bool, bytes]]]) -> Iterator[tuple]:
+def _text_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, row and score of each text of the slices."""
     told, sums = {}, {}
-    for name, (texts, data) in rows:
-        if texts:
-            told[name] = _unpacked(data, 2, _TEXTS)[1]
-        else:
-            own = _unpacked(data, 0, "f")[1][0]
-            sums[name] = sums[name] + own if name in sums else own
+    for batch in batches:
+        for name, texts, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if texts:
+                told[name] = _unpacked(data.as_buffer(), 2, _TEXTS)[1]
+            else:
+                own = _unpacked(data.as_buffer(), 0, "i")[1][0]
+                sums[name] = sums[name] + own if name in sums else own
     for name, (ids, null, row) in told.items():
-        own = sums[name].tolist() if name in sums else [0.0] * len(ids)
-        for i, empty, r, score in zip(ids.tolist(), null.tolist(), row.tolist(), own):
-            yield None if empty else i, r, score
+        own = sums.get(name, np.zeros(len(ids))) * UNIT
+        yield from _pieces([pa.array(ids, mask=null == 1), pa.array(row), pa.array(own)], [x.split()[0] for x in _SCORES.split(", ")])
 
 
 def mixed_nodes(solved: DataFrame) -> DataFrame:
@@ -522,110 +624,107 @@ def mixed_nodes(solved: DataFrame) -> DataFrame:
     return down
 
 
-def gram_sums(rows: DataFrame, parts: int) -> DataFrame:
-    """(doc_id, row, score) per row of doc_id, text, held_out and row (a hash of the text)."""
-    spark = rows.sparkSession
-    blocks = rows.select("doc_id", "text", "held_out", "row").mapInArrow(lambda b: _block_rows(b, parts), _BLOCKS)
-    # moved once; both uses below start from the moved blocks
-    moved = _dealt(blocks, parts)
-    above = spark.createDataFrame(moved.mapPartitions(_above), "data binary")
-    solved = above.mapInArrow(_above_rows, _ABOVE)
-    swapped = sum((F.shiftleft(F.shiftright("context", 8 * k).bitwiseAND(F.lit(255)), 8 * (SHALLOW - 1 - k)) for k in range(1, SHALLOW)), F.shiftleft(F.col("context").bitwiseAND(F.lit(255)), 8 * (SHALLOW - 1)))
-    nodes = mixed_nodes(solved).withColumn("p", (swapped % F.lit(_MIX) % F.lit(parts)).cast("int"))
-    nodes = nodes.select(*[x.split()[0] for x in _MIXED.split(", ")])
-    mixed = _dealt(nodes.mapInArrow(_mixed_blocks, _BLOCKS), parts)
-    sums = moved.glom().zip(mixed.glom()).flatMap(_slice_sums).partitionBy(parts, lambda name: (name >> 32) + (name & 0xFFFFFFFF))
-    return spark.createDataFrame(sums.mapPartitions(_text_sums), "doc_id bigint, row bigint, score double", verifySchema=False)
-
-
-def _dealt(blocks: DataFrame, parts: int) -> RDD:
-    """Pairs of p and (texts, data), dealt by p."""
-    return blocks.rdd.map(lambda r: (r[0], (r[1], bytes(r[2])))).partitionBy(parts, lambda p: p)
+def gram_scores(rows: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, row, score) per doc_id and row (a hash of the text) of doc_id, text, held_out and row."""
+    counts = rows.select("text", "held_out").mapInArrow(lambda b: _count_blocks(b, parts), _BLOCKS)
+    solved = counts.repartitionById(parts * ROUNDS, F.col("p")).mapInArrow(_above, _ABOVE)
+    nodes = mixed_nodes(solved)
+    mixed = stored(nodes.mapInArrow(lambda b: _mixed_blocks(b, parts), _BLOCKS), "mixed")
+    own = rows.select("doc_id", "text", "held_out", "row")
+    scores = []
+    for turn in range(ROUNDS):
+        blocks = own.mapInArrow(lambda b, turn=turn: _text_blocks(b, parts, turn), _BLOCKS).union(mixed.filter(F.col("turn") == turn))
+        sums = blocks.repartitionById(parts, F.col("p")).mapInArrow(_slice_sums, _SLICE_SUMS)
+        texts = sums.repartition(parts, "name").mapInArrow(_text_sums, _SCORES)
+        scores.append(stored(texts.groupBy("doc_id", "row").agg(F.first("score").alias("score")), f"scores-{turn}"))
+    return reduce(DataFrame.union, scores).groupBy("doc_id", "row").agg(F.sum("score").alias("score"))
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What a job shuffles goes when the job has ended, not when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _summed(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
-    """Per text the sums over cached values, and the values that are not cached."""
-    tables = sent.value
+    """Per text the sums over cached words, and the words that are not cached."""
+    keys, numbers, known = sent.value
     for batch in batches:
         for part in slices(batch.column(1), SLICE_BYTES):
-            sums, rest = {}, [[], [], [], [], []]
-            for kind, of in _KINDS.items():
-                values, byte, owner = of(part)
-                codes, distinct, low = _distinct(values, byte)
-                keys, numbers, known = tables[kind]
-                hit, at = _found(keys, distinct, low)
-                number = np.where(hit, numbers[at] if len(numbers) else 0.0, 0.0)
-                seen = np.where(hit, known[at] if len(numbers) else False, False)
-                sums[kind] = np.bincount(owner, number[codes], part.n).astype(np.float64)  # of no rows it is int
-                sums[kind, "known"] = np.bincount(owner, seen[codes], part.n).astype(np.int64)
-                sums[kind, "n"] = np.bincount(owner, minlength=part.n).astype(np.int64)
-                missed = np.flatnonzero(~hit[codes])
-                if len(missed):
-                    pairs = pd.DataFrame({"o": owner[missed], "c": codes[missed]}).groupby(["o", "c"]).size().reset_index(name="n")
-                    rest[0] += [kind] * len(pairs)
-                    own = pairs["c"].to_numpy()
-                    for k, column in enumerate((pairs["o"].to_numpy(), distinct[own], low[own], pairs["n"].to_numpy()), 1):
-                        rest[k].append(column)
-            ids, held = (batch.column(k).slice(part.first, part.n) for k in (0, 2))
+            values, owner = tokens(part)
+            codes, distinct = pd.factorize(values)
+            order = np.argsort(distinct)
+            at = np.empty(len(distinct), np.int64)
+            at[order] = np.searchsorted(keys, distinct[order])
+            hit = np.zeros(len(distinct), bool)
+            if len(keys):
+                at = np.minimum(at, len(keys) - 1)
+                hit = keys[at] == distinct
+            number = np.where(hit, numbers[at] if len(keys) else 0.0, 0.0)
+            seen = np.where(hit, known[at] if len(keys) else False, False)
+            base = np.bincount(owner, number[codes], part.n).astype(np.float64)  # of no rows it is int
+            n_known = np.bincount(owner, seen[codes], part.n).astype(np.int64)
+            n = np.bincount(owner, minlength=part.n).astype(np.int64)
+            ids, held, row = (batch.column(k).slice(part.first, part.n) for k in (0, 2, 3))
             yield pa.RecordBatch.from_arrays(
-                [
-                    ids, held, batch.column(3).slice(part.first, part.n), pa.nulls(part.n, pa.string()), pa.nulls(part.n, pa.int64()),
-                    pa.nulls(part.n, pa.int16()), pa.array(np.diff(part.offsets)), pa.array(sums["word", "n"]), pa.array(sums["word", "known"]), pa.array(sums["word"]),
-                ],
+                [ids, held, row, pa.nulls(part.n, pa.int64()), pa.array(np.diff(part.offsets)), pa.array(n), pa.array(n_known), pa.array(base)],
                 names=_SUM_NAMES,
-            )
-            if rest[0]:
-                owner, value, low, n = (np.concatenate(x) for x in rest[1:])
-                own = pa.array(owner)
+            )
+            missed = np.flatnonzero(~hit[codes])
+            if len(missed):
+                pairs, times = np.unique(owner[missed] * len(distinct) + codes[missed], return_counts=True)
+                own = pa.array(pairs // len(distinct))
                 yield from _pieces(
                     [
-                        ids.take(own), held.take(own), batch.column(3).slice(part.first, part.n).take(own), pa.array(rest[0]),
-                        pa.array(value.view(np.int64)), pa.array(low.astype(np.int16)), pa.nulls(len(n), pa.int64()), pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.float64()),
+                        ids.take(own), held.take(own), row.take(own), pa.array(distinct[pairs % len(distinct)].view(np.int64)),
+                        pa.nulls(len(own), pa.int64()), pa.array(times), pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.float64()),
                     ],
                     names=_SUM_NAMES,
                 )
 
 
-_SUMS = (
-    "doc_id bigint, held_out boolean, row bigint, kind string, value bigint, byte smallint, n_bytes bigint, n bigint, n_known bigint, base_score double"
-)
+_SUMS = "doc_id bigint, held_out boolean, row bigint, value bigint, n_bytes bigint, n bigint, n_known bigint, base_score double"
 _SUM_NAMES = [x.split()[0] for x in _SUMS.split(", ")]
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", cached: int = CACHED) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte per row."""
+    with _shuffles_freed(docs.sparkSession):
+        return _scored(docs, id_col, text_col, cached)
+
+
+def _scored(docs: DataFrame, id_col: str, text_col: str, cached: int) -> DataFrame:
     spark = docs.sparkSession
     rows = _prepared(docs, id_col, text_col)
-    found = rows.select((~F.col("held_out")).alias("trained"), "text").mapInArrow(_counted, "kind string, value bigint, byte smallint, n bigint")
-    counts = stored(found.groupBy("kind", "value", "byte").agg(F.sum("n").alias("n")), "counts")
+    found = rows.select((~F.col("held_out")).alias("trained"), "text").mapInArrow(_counted, "kind string, value bigint, n bigint")
+    counts = stored(found.groupBy("kind", "value").agg(F.sum("n").alias("n")), "counts")
     words = counts.filter("kind = 'word'")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     below = math.log10(total[0] + total[1] + 1)
     size = counts.filter("kind = 'size'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n_parts = max(math.ceil(size / PART_BYTES), min(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / LEAST_PART_BYTES)), 1)
-    word_scores = words.select("kind", "value", "byte", "n", (F.log10(F.col("n") + F.lit(1.0)) - F.lit(below)).alias("log10"))
-    numbers = stored(word_scores, "numbers")
-    tables = {}
-    for kind in _KINDS:
-        top = numbers.filter(F.col("kind") == kind).select("value", "byte", "log10", "n").orderBy(F.desc("n"), "value", "byte").limit(cached).toArrow()
-        firsts, own = np.unique(top.column(0).to_numpy().view(np.uint64), return_inverse=True)
-        pairs = own.astype(np.int64) * 256 + top.column(1).to_numpy()
-        order = np.argsort(pairs)
-        tables[kind] = (firsts, pairs[order]), top.column(2).to_numpy()[order], top.column(3).to_numpy()[order] > 0
-    sent = spark.sparkContext.broadcast(tables)
+    numbers = words.select("value", "n", (F.log10(F.col("n") + F.lit(1.0)) - F.lit(below)).alias("log10"))
+    top = numbers.orderBy(F.desc("n"), "value").limit(cached).toArrow()
+    values = top.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(values)
+    sent = spark.sparkContext.broadcast((values[order], top.column(2).to_numpy()[order], top.column(1).to_numpy()[order] > 0))
     marked = rows.select("doc_id", "text", "held_out", F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"))
     parts = stored(marked.mapInArrow(lambda b: _summed(b, sent), _SUMS), "sums")
     key = ["doc_id", "row"]
-    missing = parts.filter("kind is not null").select(*key, "kind", "value", "byte", F.col("n").alias("times")).distinct()
-    own = missing.join(numbers, ["kind", "value", "byte"])
-    word = F.col("kind") == "word"
-    rest = own.groupBy(*key).agg(
-        F.sum(F.when(word & (F.col("n") > 0), F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.when(word, F.col("times") * F.col("log10")).otherwise(0.0)).alias("more_base"),
+    missing = parts.filter("value is not null").select(*key, "value", F.col("n").alias("times")).distinct()
+    rest = missing.join(numbers, "value").groupBy(*key).agg(
+        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("times") * F.col("log10")).alias("more_base"),
     )
-    whole = parts.filter("kind is null").drop("kind", "value", "byte").alias("x")
+    whole = parts.filter("value is null").drop("value").alias("x")
     same = F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")) & (F.col("x.row") == F.col("y.row"))
-    by_gram = stored(gram_sums(marked, n_parts), "scores").groupBy(*key).agg(F.first("score").alias("score"))
+    by_gram = gram_scores(marked, n_parts)
     scores = F.col("x.doc_id").eqNullSafe(F.col("z.doc_id")) & (F.col("x.row") == F.col("z.row"))
     joined = whole.join(rest.alias("y"), same, "left").join(by_gram.alias("z"), scores)
 

@@ -197,3 +197,51 @@ def test_scoring_writes_no_more_than_a_few_times_the_text(spark):
     lm_scoring.score(awkward(spark, texts)).collect()
     written = sum(p.stat().st_size for p in folder.rglob("*.parquet") if p.is_file() and p not in before)
     assert written < 2 * sum(len(t.encode()) for t in texts)
+
+
+def test_scoring_leaves_no_shuffled_grams(spark):
+    texts = [prose(i, 400) for i in range(100, 300)]
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def held():
+        return sum(p.stat().st_size for folder in folders for p in pathlib.Path(folder.getPath()).rglob("shuffle_*.data"))
+
+    before, setting = held(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    lm_scoring.score(awkward(spark, texts))
+    assert held() - before < sum(len(t.encode()) for t in texts) / 4
+    assert spark.conf.get(setting) == was
+
+
+def test_grams_are_the_same_with_and_without_packed_keys(monkeypatch):
+    data = [b"", b"a", prose(1, 200).encode(), bytes(range(256)) * 3, b"ab" * 500, prose(1, 200).encode()]
+    part = lm_scoring.Texts(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), 0)
+    held_out = np.array([0, 0, 1, 0, 1, 0])
+    expected = collections.Counter()
+    for text, own in enumerate(data):
+        for i, byte in enumerate(own):
+            expected[int.from_bytes((bytes(8) + own)[i : i + 8], "little"), byte, text] += 1
+    for bits, table in ((64, 1 << 24), (20, 100)):
+        monkeypatch.setattr(lm_scoring, "KEY_BITS", bits)
+        monkeypatch.setattr(lm_scoring, "TABLE", table)
+        found, counts = collections.Counter(), collections.Counter()
+        for turn in range(lm_scoring.ROUNDS):
+            whole = lm_scoring.Slice(part)
+            for _, (context, grams, byte, trained, held, step) in lm_scoring.gram_blocks(whole, held_out, 3, turn, True):
+                assert (np.diff(context.astype(object)) > 0).all()
+                seen, at = trained.astype(int) + held, 0
+                for c, b, n, h in zip(np.repeat(context, grams).tolist(), byte.tolist(), seen.tolist(), held.tolist()):
+                    own = np.cumsum(step[at : at + n].astype(int)).tolist()
+                    assert h == held_out[own].sum()
+                    found.update((c, b, text) for text in own)
+                    at += n
+            for _, (context, grams, byte, trained) in lm_scoring.gram_blocks(whole, held_out, 3, turn, False):
+                counts.update(dict(zip(zip(np.repeat(context, grams).tolist(), byte.tolist()), trained.tolist())))
+        assert found == expected
+        assert counts == collections.Counter({k: sum(n for (*g, t), n in expected.items() if tuple(g) == k and not held_out[t]) for k in {x[:2] for x in expected}})
+
+
+def test_estimates_of_small_and_large_counts():
+    zeros, ones = np.array([0, 1, 255, 256, 3, 70000, 1 << 20]), np.array([0, 0, 255, 2, 9000, 70000, 5])
+    expected = [math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1) for a, b in zip(zeros, ones)]
+    assert lm_scoring._estimates(zeros, ones) == pytest.approx(expected, rel=1e-9, abs=1e-9)

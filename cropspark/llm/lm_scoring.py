@@ -289,8 +289,8 @@ def gram_blocks(part: Slice, held_out: np.ndarray, parts: int, turn: int, texts:
     rank[by_part] = np.arange(len(tops))
     near, tops, own = rank[near], tops[by_part], own[by_part]
     far, ends = _numbered(part.pairs[at - 4], part.pairs[at - 6])
-    far = far.astype(np.uint64)
     del at, text
+    far = far.astype(np.uint64)
     size = [np.uint64(max(1, (n - 1).bit_length())) for n in (len(ends), part.n if texts else 2)]
     if (len(tops) - 1).bit_length() + 8 + int(sum(size)) <= KEY_BITS:
         key = near
@@ -299,17 +299,18 @@ def gram_blocks(part: Slice, held_out: np.ndarray, parts: int, turn: int, texts:
             key |= more
         del far, byte, label
         key.sort()
-        label = (key & np.uint64((1 << int(size[1])) - 1)).astype(np.int64)
+        label = (key & np.uint64((1 << int(size[1])) - 1)).astype(np.int32)
         key >>= size[1]
         first = np.flatnonzero(_changes(key))
         key = key[first]
+        del near
         byte = key.astype(np.uint8)
         key >>= np.uint64(8)
         new = np.flatnonzero(_changes(key))
         near, far = (key >> size[0])[new], (key & np.uint64((1 << int(size[0])) - 1))[new]
     else:
         order = np.lexsort((label, byte, far, near))
-        near, far, byte, label = near[order], far[order], byte[order], label[order].astype(np.int64)
+        near, far, byte, label = near[order], far[order], byte[order], label[order].astype(np.int32)
         other = _changes(near) | _changes(far)
         first = np.flatnonzero(other | _changes(byte))
         new = np.flatnonzero(other[first])
@@ -317,7 +318,7 @@ def gram_blocks(part: Slice, held_out: np.ndarray, parts: int, turn: int, texts:
     context = tops[near].astype(np.uint64) << np.uint64(32) | ends[far].astype(np.uint64)
     grams = np.diff(new, append=len(first))
     seen = np.diff(first, append=len(label))
-    held = np.add.reduceat(held_out[label] if texts else label, first, dtype=np.int64)
+    held = np.add.reduceat(held_out.astype(np.int8)[label] if texts else label, first, dtype=np.int64)
     if texts:
         step = np.diff(label, prepend=0)
         step[first] = label[first]
